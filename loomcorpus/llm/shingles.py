@@ -56,7 +56,7 @@ def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(values + (ends - starts).astype(np.uint64)), starts
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Split a string column into row ranges of some MB: ``(first, last, bytes, row starts)``.
 
     Rows are set apart by a newline, so no word crosses rows. Nulls count as empty.
@@ -74,7 +74,8 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         size = int(offsets[last] - low)
         buffer = np.full(size + (last - first), 0x0A, dtype=np.uint8)
         rows = np.repeat(np.arange(last - first), lengths)
-        buffer[np.arange(size) + rows] = _LOWER[data[low : low + size]]
+        part = data[low : low + size]
+        buffer[np.arange(size) + rows] = _LOWER[part] if lower else part
         yield first, last, buffer, (offsets[first:last] - low) + np.arange(last - first)
         first = last
 
