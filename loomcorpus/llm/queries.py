@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomcorpus.llm import jaccard, language, packing, quality
+from loomcorpus.llm import decontaminate, jaccard, language, lines, packing, quality, sharding, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), 40)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"))
 
@@ -26,15 +39,28 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), urls.rules_table(spark, urls.RULES))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_sharding": op2_sharding,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op7_url_filters": op7_url_filters,
+    "op8_warc": op8_warc,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_decontamination": decontaminate.SQL, "op7_url_filters": urls.SQL}
