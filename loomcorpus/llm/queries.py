@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomcorpus.llm import decontaminate, jaccard, language, lines, packing, quality, sharding, urls, warc
+from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, packing, quality, sharding, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(_table(spark, sf_dir, "pages"))
 
 
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise.materialise(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
+    "op9_training_order": op9_training_order,
     "op10_language_id": op10_language_id,
 }
 
