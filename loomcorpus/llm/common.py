@@ -25,12 +25,23 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{scratch_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch while a table is stored: texts may be long, and a batch is held several
+#: times (in the JVM, in pyarrow and as numpy arrays).
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame, what: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: later steps recompute nothing
-    before it, and any executor can read it."""
-    path = new_path(df.sparkSession, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before it, and any executor can read it. Arrow batches are kept small meanwhile."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, what)
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

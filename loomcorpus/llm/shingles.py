@@ -14,7 +14,7 @@ import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CHUNK_BYTES = 1 << 21
+_CHUNK_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
