@@ -1,0 +1,6 @@
+"""All registered queries and their checking SQL."""
+
+from loomcorpus.plans import analytics_queries, catalogue_queries  # noqa: F401
+from loomcorpus.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
