@@ -88,7 +88,9 @@ def decontaminate(
     texts = docs.select(*key, F.col(text_col).alias("text")).join(_small(met), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"])
     found = texts.select("id", "text_hash", "met", _word_hashes(F.col("text")).alias("hashes")).withColumn("grams", _grams("hashes", GRAM))
     # A k-gram that was met lies in the windows that start up to WINDOW - GRAM words before it.
-    hit = F.filter(_runs(F.size("hashes"), GRAM), lambda i: F.array_contains("met", F.element_at("grams", i)))
+    # (Zipped, as an array looked up inside the lambda would be computed again for every element.)
+    pairs = F.arrays_zip(_runs(F.size("hashes"), GRAM).alias("at"), F.col("grams").alias("gram"))
+    hit = F.transform(F.filter(pairs, lambda x: F.array_contains("met", x["gram"])), lambda x: x["at"])
     around = F.array_distinct(F.flatten(F.transform(hit, lambda i: F.sequence(F.greatest(i - (WINDOW - GRAM), F.lit(1)), i))))
     starts = F.filter(around, lambda i: i + (WINDOW - 1) <= F.size("hashes"))
     spans = [F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(WINDOW).alias("n")))]
