@@ -55,6 +55,10 @@ def _fingerprints(rows: DataFrame, short: list[int]) -> DataFrame:
     return rows.withColumn("prints", prints)
 
 
+def _spans(starts: Column, width: int) -> Column:
+    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(width).alias("n")))
+
+
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_SENT else df
 
@@ -93,11 +97,11 @@ def decontaminate(
     hit = F.transform(F.filter(pairs, lambda x: F.array_contains("met", x["gram"])), lambda x: x["at"])
     around = F.array_distinct(F.flatten(F.transform(hit, lambda i: F.sequence(F.greatest(i - (WINDOW - GRAM), F.lit(1)), i))))
     starts = F.filter(around, lambda i: i + (WINDOW - 1) <= F.size("hashes"))
-    spans = [F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(WINDOW).alias("n")))]
+    spans = [_spans(starts, WINDOW)]
     for n in short:
         grams = _grams("hashes", n)
         places = F.filter(F.arrays_zip(_runs(F.size("hashes"), n).alias("at"), grams.alias("gram")), lambda x: F.array_contains("met", x["gram"]))
-        spans.append(F.transform(places, lambda x, n=n: F.struct(x["at"].alias("at"), F.lit(n).alias("n"))))
+        spans.append(_spans(F.transform(places, lambda x: x["at"]), n))
     found = found.select("id", "text_hash", "hashes", F.concat(*spans).alias("spans"))
     named = F.transform("spans", lambda s: F.struct(s["at"].alias("at"), s["n"].alias("n"), *_names(F.slice("hashes", s["at"], s["n"]))))
     spots = found.select("id", "text_hash", F.explode(named).alias("s")).select("id", "text_hash", "s.*")

@@ -29,6 +29,7 @@ SYMBOLS = 48
 TEXTS_PER_LANGUAGE = 400
 _CHUNK = 1 << 20
 _BLANK = 0
+_TEXT = "_scored_text"
 
 
 @dataclass(frozen=True)
@@ -165,7 +166,7 @@ def text_bits(model: Model, data: bytes) -> np.ndarray:
 def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, scores, bits = [], [], []
-        for text in batch.column("text").to_pylist():
+        for text in batch.column(_TEXT).to_pylist():
             if not model.languages or not _has_letter(text):
                 langs.append("und")
                 scores.append(0.0)
@@ -176,7 +177,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             langs.append(model.languages[best])
             scores.append(float(1.0 / np.exp2(np.maximum(lengths[best] - lengths, -1000.0)).sum()))
             bits.append(float(lengths[best]))
-        columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+        columns = {name: batch.column(name) for name in batch.schema.names if name != _TEXT}
         yield pa.record_batch([*columns.values(), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], names=[*columns, "lang_pred", "score", "bits"])
 
 
@@ -187,8 +188,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     winner's code length. Null texts, texts without a letter, and every text where no language was
     learned give ``und``, score 0 and null bits. Equal code lengths: the first name wins.
     """
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias(_TEXT))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != _TEXT)
     return rows.mapInArrow(lambda b: _predicted(b, model), f"{fields}, lang_pred string, score double, bits double")
 
 
@@ -208,5 +209,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without the texts that no language explains: ``und``, or a score under ``least``."""
     model = fit(docs.where(F.coalesce(fold(id_col) != 1, F.lit(True))), id_col, text_col, lang_col)
-    out = predict(docs.withColumn("_text", F.col(text_col)), model, "_text", keep=tuple(docs.columns))
+    out = predict(docs, model, text_col, keep=tuple(docs.columns))
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
