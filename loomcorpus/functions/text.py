@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that stay lower-case in folder names.
-SMALL_WORDS = ["and", "or", "the", "of", "in", "for", "to", "a", "an"]
+SMALL_WORDS = ["and", "of", "the", "to", "for", "in", "on", "at"]
 #: Name suffixes that are no last name.
 NAME_SUFFIXES = ["jr", "sr", "ii", "iii", "iv", "phd", "md", "do"]
 
@@ -44,7 +44,7 @@ def folder_name(name: Column) -> Column:
 
     def cased(w: Column) -> Column:
         small = F.lower(w).isin(SMALL_WORDS)
-        return F.when(small, F.lower(w)).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1_000_000)))
+        return F.when(small, F.lower(w)).otherwise(F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2)))))
 
     joined = F.array_join(F.transform(tokens, cased), "-")
     return F.when(blank_to_null(name).isNull(), "Uncategorized").otherwise(joined)

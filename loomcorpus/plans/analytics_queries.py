@@ -230,7 +230,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("c07_folder_names", """SELECT p_partkey, list_aggregate(list_transform(list_filter(string_split(replace(p_type, '&', 'and'), ' '), lambda w: w <> ''),
-  lambda w: CASE WHEN lower(w) IN ('and', 'or', 'the', 'of', 'in', 'for', 'to', 'a', 'an') THEN lower(w) ELSE upper(left(w, 1)) || substr(w, 2) END), 'string_agg', '-') AS folder FROM part""")
+  lambda w: CASE WHEN lower(w) IN ('and', 'of', 'the', 'to', 'for', 'in', 'on', 'at') THEN lower(w) ELSE upper(left(w, 1)) || lower(substr(w, 2)) END), 'string_agg', '-') AS folder FROM part""")
 def _(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", X.folder_name(F.col("p_type")).alias("folder"))
 
