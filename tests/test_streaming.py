@@ -16,7 +16,7 @@ def landed(spark, tmp_path):
 
 
 def test_snapshots_equal_batch(spark, tmp_path):
-    rows = streams.snapshots(streams.events(spark, landed(spark, tmp_path)), late="3 days")
+    rows = streams.snapshots(streams.events(spark, landed(spark, tmp_path)), late="60 days")
     table = str(tmp_path / "out")
     sink = streams.merge_into(table, ["minute", "metric_type"], "batch")
     streams.run_available(rows, str(tmp_path / "cp"), sink, "update")
