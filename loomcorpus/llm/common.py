@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +33,13 @@ BATCH_ROWS = 1000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stored(df: DataFrame, what: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later steps recompute nothing
-    before it, and any executor can read it. Arrow batches are kept small meanwhile."""
+_open_scopes: list[list[str]] = []
+
+
+def _write(df: DataFrame, what: str, scope: int) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, what)
+    if len(_open_scopes) >= scope:
+        _open_scopes[-scope].append(path)
     before = spark.conf.get(_BATCH_CONF)
     spark.conf.set(_BATCH_CONF, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
     try:
@@ -44,6 +49,32 @@ def stored(df: DataFrame, what: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, what: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: later steps recompute nothing
+    before it, and any executor can read it. Arrow batches are kept small meanwhile."""
+    return _write(df, what, 1)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def cleaned(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Store the result of an operator, then delete the tables that it stored on the way."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        _open_scopes.append([])
+        try:
+            return _write(operator(docs, *args, **kwargs), operator.__name__, 2)
+        finally:
+            for path in _open_scopes.pop():
+                _delete(docs.sparkSession, path)
+
+    return run
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node of an undirected edge list; component is the least node.
 

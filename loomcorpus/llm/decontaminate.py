@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import stored
+from loomcorpus.llm.common import cleaned, stored
 
 WINDOW = 13
 GRAM = 8
@@ -63,6 +63,7 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_SENT else df
 
 
+@cleaned
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:

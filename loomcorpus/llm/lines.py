@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import stored
+from loomcorpus.llm.common import cleaned, stored
 
 #: Words a repeated run must have.
 MIN_WORDS = 50
@@ -62,6 +62,7 @@ def _ranked(rows: DataFrame, first: str, second: str) -> DataFrame:
     return stored(rows.join(pairs, [first, second]).select("doc", "line", F.col("place").alias("rank")), "suffixes")
 
 
+@cleaned
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc, at)``: the lines that lie in a later copy of a run of at least ``min_words`` words."""
     lines = stored(_lines(docs, id_col, text_col, min_words), "lines")

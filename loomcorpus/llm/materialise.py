@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import new_path, stored
+from loomcorpus.llm.common import cleaned, new_path, stored
 from loomcorpus.llm.packing import token_ids
 from loomcorpus.llm.shingles import mix
 
 SEQUENCE = 2048
-#: Records of a shard: 32 MB of 16-bit ids.
-PER_SHARD = 8192
+#: Records of a shard: 16 MB of 16-bit ids.
+PER_SHARD = 4096
 KEY = 20240229
 ROUNDS = 4
 #: Vocabularies of up to 2 ** 16 ids; a record is its number of tokens and the ids, zero-padded.
@@ -134,6 +134,7 @@ def _parse(batches: Iterator[pa.RecordBatch], size: int, per_shard: int) -> Iter
             )
 
 
+@cleaned
 def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int = SEQUENCE, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """Write all sequences of ``docs`` as shards in ``folder`` (a URI); ``(shard, records)`` of each.
 
@@ -153,7 +154,7 @@ def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int
     # The slots are a permutation of 0 to n - 1, so equal ranges of them hold equal numbers of
     # sequences: the range of a row is known, without sampling the data for it.
     ranged = slotted.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-    return stored(ranged.mapInArrow(lambda b: _write(b, folder, size), "shard long, records long"), "shards")
+    return ranged.mapInArrow(lambda b: _write(b, folder, size), "shard long, records long")
 
 
 def read_shards(spark: SparkSession, folder: str, size: int = SEQUENCE, per_shard: int = PER_SHARD) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import stored
+from loomcorpus.llm.common import cleaned, stored
 
 SEQUENCE = 2048
 END = 0
@@ -228,6 +228,7 @@ def _round(rows: DataFrame, size: int) -> DataFrame:
     return rows.select(_FIELDS).groupBy("group").applyInPandas(lambda g: _packed(g, size)[_FIELDS], schema)
 
 
+@cleaned
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, name: str = "byte_bpe_50k", group: int = GROUP) -> DataFrame:
     """Place every piece of every row: ``(id_col, piece, start, length, ids_crc32, sequence_id, offset)``.
 

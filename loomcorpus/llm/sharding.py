@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import stored
+from loomcorpus.llm.common import cleaned, stored
 
 OVERHEAD = 16
 
@@ -40,6 +40,7 @@ def with_prefix_sums(rows: DataFrame, order: list[str], value: str) -> DataFrame
     )
 
 
+@cleaned
 def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, size, text_crc32, law, shard, slot, grown_shard)`` of every row.
 

@@ -19,10 +19,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import new_path, stored
+from loomcorpus.llm.common import cleaned, new_path, stored
 
 #: An archive file is closed beyond this size, so that reading one back takes bounded memory.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 
 
 def payload_digest(payload: bytes) -> str:
@@ -96,12 +96,13 @@ def deduplicate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return landed.join(revisits, "row", "left")
 
 
+@cleaned
 def write_archives(resolved: DataFrame, folder: str) -> DataFrame:
     """Write the resolved rows as archives under ``folder``; the files and their record counts."""
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(base)
     rows = resolved.select("page", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "digest", "refers_to", "size")
-    return stored(rows.mapInArrow(lambda b: _written(b, folder), "file string, records long"), "files")
+    return rows.mapInArrow(lambda b: _written(b, folder), "file string, records long")
 
 
 def parse(data: bytes) -> Iterator[dict]:
