@@ -89,14 +89,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # Every node above its least neighbour is tied to that neighbour.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u > v").distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         # Then every node passes its lower neighbours on to the least of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = stored(small.where("u > v").distinct(), "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        if state == seen or state[0] == 0:
             break
         seen = state
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -73,14 +73,3 @@ def write_shards(docs: DataFrame, shards: int, path: str, id_col: str = "doc_id"
     placed = assign_shards(docs, shards, id_col, text_col).select(id_col, "shard", "slot")
     docs.join(placed, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
-
-SQL = """
-WITH sized AS (
-  SELECT doc_id, text, CAST(coalesce(octet_length(encode(text)), 0) + 16 AS BIGINT) AS size FROM documents
-), summed AS (
-  SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, row_number() OVER (ORDER BY doc_id) - 1 AS rk, sum(size) OVER () AS total FROM sized
-), placed AS (
-  SELECT *, CAST(least((2 * before + size) * 40 // (2 * total), 39) AS INTEGER) AS shard FROM summed
-)
-SELECT doc_id, size, shard, CAST(rk - min(rk) OVER (PARTITION BY shard) AS BIGINT) AS slot FROM placed
-"""
