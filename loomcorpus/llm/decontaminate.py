@@ -72,7 +72,8 @@ def decontaminate(
     ``n_hit`` counts the words inside any occurrence of a window of the benchmark, ``n_items`` the
     item ids whose windows occur; a row is contaminated if words were hit, and they are at least one
     in twenty. Null and wordless texts have no hits and no contamination. Items without words or id are ignored, items
-    that repeat an id count once. Repeated rows of ``docs`` each get their result. Other columns are ignored.
+    that repeat an id count once. Repeated rows of ``docs`` each get their result;
+    rows with a null id are returned without hits. Other columns are ignored.
     """
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), _word_hashes(F.col(item_text)).alias("hashes"))
     items = stored(items.where("item is not null and size(hashes) > 0").withColumn("n", F.least(F.size("hashes"), F.lit(WINDOW))), "items")

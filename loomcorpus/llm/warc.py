@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 
@@ -123,7 +124,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
             rows = []
-            for r in parse(gzip.decompress(content.as_buffer())):
+            # (gzip.decompress would copy the rest of the file once for every record.)
+            with gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer())) as archived:
+                data = archived.read()
+            for r in parse(data):
                 if r["WARC-Type"] == "response":
                     assert payload_digest(r["payload"]) == r["WARC-Payload-Digest"].removeprefix("sha1:")
                 rows.append((number(r["WARC-Record-ID"]), int(r["Page-Payload-Length"]), r["WARC-Payload-Digest"].removeprefix("sha1:"), r["WARC-Type"], number(r.get("WARC-Refers-To"))))
