@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcorpus.functions.vectors import centroids, cosine
@@ -19,6 +21,64 @@ def top_k(points: DataFrame, query: DataFrame, k: int, where: Column | None = No
     return scored.orderBy(F.desc("score"), id_col).limit(k)
 
 
+#: Queries and points of one block: what a task holds at once of either side.
+BLOCK = 4096
+#: Queries scored together within a block.
+_STEP = 256
+
+
+def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
+    """The vectors in double precision and of length one; zero vectors stay zero."""
+    flat = pa.concat_arrays(vectors.chunks).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    rows = flat.reshape(len(vectors), -1)
+    length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return rows / np.where(length == 0, 1.0, length)
+
+
+def _block_tops(queries: pa.Table, points: pa.Table, k: int, schema: pa.Schema) -> pa.Table:
+    """The ``k`` best points of one block for each query of one block."""
+    if not len(queries) or not len(points):
+        return schema.empty_table()
+    points = points.sort_by("pid")
+    q, p = _unit(queries.column("qv")), _unit(points.column("pv"))
+    rows, picks, scores = [], [], []
+    for at in range(0, len(q), _STEP):
+        score = np.round(q[at : at + _STEP] @ p.T, 10)
+        top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+        rows.append(np.repeat(np.arange(at, at + len(score)), top.shape[1]))
+        picks.append(top.ravel())
+        scores.append(np.take_along_axis(score, top, axis=1).ravel())
+    columns = [queries.column("qid").take(pa.array(np.concatenate(rows))), points.column("pid").take(pa.array(np.concatenate(picks))), pa.array(np.concatenate(scores))]
+    return pa.table(columns, schema=schema)
+
+
+def top_k_batch(points: DataFrame, queries: DataFrame, k: int, where: Column | None = None, id_col: str = "point_id", query_id: str = "query_id") -> DataFrame:
+    """``(query_id, id_col, score, place)``: the ``k`` nearest points to every vector of ``queries``.
+
+    The filter runs before any scoring. Both sides are dealt into blocks of about ``BLOCK`` rows and
+    every block of queries meets every block of points in a task of its own; of each meeting only
+    the best ``k`` of a query go on. Cosines are rounded to ten places, and equal ones go by id. Rows
+    without a vector are neither found nor asked.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    rows = points if where is None else points.where(where)
+    rows = rows.select(F.col(id_col).alias("pid"), F.col("embedding").alias("pv")).where("pv is not null")
+    asked = queries.select(F.col(query_id).alias("qid"), F.col("embedding").alias("qv")).where("qv is not null")
+    n_points, n_asked = max(1, -(-rows.count() // BLOCK)), max(1, -(-asked.count() // BLOCK))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.withColumn("qb", dealt("qid", n_asked)).withColumn("pb", every(n_points))
+    right = rows.withColumn("pb", dealt("pid", n_points)).withColumn("qb", every(n_asked))
+    kinds = {f.name: f.dataType.simpleString() for f in [*rows.schema, *asked.schema]}
+    empty = rows.sparkSession.createDataFrame([], f"qid {kinds['qid']}, pid {kinds['pid']}, score double").schema
+    schema = to_arrow_schema(empty)
+    met = left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInArrow(lambda q, p: _block_tops(q, p, k, schema), empty)
+    place = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "pid"))
+    best = met.withColumn("place", place).where(F.col("place") <= k)
+    return best.select(F.col("qid").alias(query_id), F.col("pid").alias(id_col), "score", "place")
+
+
 def route(queries: DataFrame, examples: DataFrame, group: str, default: int | str, least: float, id_col: str = "point_id") -> DataFrame:
     """The route whose centroid is nearest, and ``default`` with the best score below ``least``.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcorpus.functions import text as X
@@ -189,6 +189,30 @@ def _(t: Tables) -> DataFrame:
     return search.top_k(t.pts, query_vector, 10, F.col("source_type") == "web").select("point_id", "source_type", F.round("score", 6).alias("score"))
 
 
+def _batch_sql(where: str) -> str:
+    """Every vector whose id is divisible by 50 against all points, or those that meet ``where``."""
+    return f"""WITH q AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id % 50 = 0),
+  s AS (SELECT query_id, point_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) * sqrt(list_dot_product(CAST(v AS DOUBLE[]), CAST(v AS DOUBLE[])))), 10) AS score
+    FROM pts, q WHERE {where}),
+  r AS (SELECT query_id, point_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS INT) AS place FROM s)
+  SELECT query_id, point_id, place, round(score, 6) AS score FROM r WHERE place <= 10"""
+
+
+def _batch(t: Tables, where: Column | None = None) -> DataFrame:
+    asked = t.embeddings.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return search.top_k_batch(t.pts, asked, 10, where).withColumn("score", F.round("score", 6))
+
+
+@query("t01_top_k_batch", _batch_sql("true"))
+def _(t: Tables) -> DataFrame:
+    return _batch(t)
+
+
+@query("t01_top_k_batch_web", _batch_sql("source_type = 'web'"))
+def _(t: Tables) -> DataFrame:
+    return _batch(t, F.col("source_type") == "web")
+
+
 @query("v05_router", """WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) r(i) WHERE vec_id % 2 = 0 GROUP BY 1, 2),
   c AS (SELECT label, list(x ORDER BY i) AS v FROM e GROUP BY label),
   s AS (SELECT p.vec_id, c.label, list_cosine_similarity(CAST(p.embedding AS DOUBLE[]), c.v) AS s FROM embeddings p, c WHERE p.vec_id % 2 = 1),
