@@ -15,6 +15,11 @@ compared with one hub of that shingle (the set with the greatest share of freque
 in a group of copies is the one they were made from); only sets that still lie in different
 components after that are paired. A pair inside one component cannot change any component, so no
 link between groups is lost and the components are exact. Equal sets are one node from the start.
+
+The links of each text are counted afterwards, component by component, without writing pairs out.
+Every set is reduced to what it differs in from one reference set of its component, which is little
+among near copies; as ``x ^ y == (x ^ r) ^ (y ^ r)``, overlaps follow from these differences exactly.
+Blocks of a component meet pairwise, each meeting in a task, and a node counts as often as it has copies.
 """
 
 from __future__ import annotations
@@ -36,6 +41,10 @@ MAX_FREQUENT = 1 << 16
 MAX_SENT_IDS = 1 << 20
 #: A shingle counts as frequent within a batch when that many texts of the batch hold it.
 BATCH_COUNT = 3
+#: Sets of one block when the links of a component are counted.
+LINK_BLOCK = 1024
+#: Shingles that are counted together in one matrix product.
+_COLUMNS = 2048
 _SKETCH = ["sketch_0", "sketch_1", "sketch_2", "sketch_3"]
 
 
@@ -167,6 +176,117 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, fragm
     return alive.select("a", "b")
 
 
+def _differences(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The symmetric difference of each set and the reference set of its component."""
+    kept = ["c", "blocks", "block", "id", "n", "weight"]
+    last, reference = None, None
+    for batch in batches:
+        for at in range(0, len(batch), 256):
+            part = batch.slice(at, 256)
+            rows, differ = [], []
+            sizes, components = part.column("n").to_pylist(), part.column("c").to_pylist()
+            for row, s in enumerate(shingle_sets(part.column("text"), width)):
+                if len(s) != sizes[row]:
+                    continue  # another text of the same id
+                if components[row] != last:
+                    last, reference = components[row], next(shingle_sets(part.column("reference").slice(row, 1), width))
+                rows.append(row)
+                differ.append(np.setxor1d(s, reference, assume_unique=True).tobytes())
+            chosen = part.take(pa.array(rows, pa.int32()))
+            yield pa.record_batch([*[chosen.column(k) for k in kept], pa.array(differ, pa.binary())], names=[*kept, "differ"])
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """The number of values that each array of ``x`` shares with each of ``y``."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    flat, rows = [np.concatenate(z) for z in (x, y)], [np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (x, y)]
+    # Values on one side only are in no overlap.
+    both = np.intersect1d(flat[0], flat[1])
+    if x is y:
+        both, times = np.unique(flat[0], return_counts=True)
+        both = both[times > 1]
+    if not len(both):
+        return out
+    sides = []
+    for v, r in zip(flat, rows, strict=True):
+        place = np.minimum(np.searchsorted(both, v), len(both) - 1)
+        met = both[place] == v
+        order = np.argsort(place[met], kind="stable")
+        sides.append((place[met][order], r[met][order]))
+    for low in range(0, len(both), _COLUMNS):
+        dense = []
+        for (place, r), z in zip(sides, (x, y), strict=True):
+            first, end = np.searchsorted(place, (low, low + _COLUMNS))
+            cells = np.zeros((len(z), min(_COLUMNS, len(both) - low)), np.float32)
+            cells[r[first:end], place[first:end] - low] = 1
+            dense.append(cells)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _met_links(table: pa.Table, percent: int) -> pa.Table:
+    """``(of, n, links)`` from the meetings of two blocks (or of one with itself) that ``table`` holds."""
+    found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 3]
+    cols = {k: table.column(k).to_numpy() for k in ("c", "block", "id", "n", "weight")}
+    # Rows that repeat an id and its set count once.
+    _, once = np.unique(np.stack([cols[k] for k in ("c", "block", "id", "n")], axis=1), axis=0, return_index=True)
+    cols = {k: v[once] for k, v in cols.items()}
+    values = table.column("differ").combine_chunks()
+    differ = [np.frombuffer(values[int(i)].as_buffer(), np.uint64) for i in once]
+    for at in np.split(np.arange(len(once)), np.flatnonzero(np.diff(cols["c"])) + 1):
+        blocks = np.unique(cols["block"][at])
+        x = at[cols["block"][at] == blocks[0]] if len(blocks) else at
+        same = len(blocks) < 2
+        if same and int(table.column("low")[0].as_py()) != int(table.column("high")[0].as_py()):
+            continue  # the other block is empty
+        y = x if same else at[cols["block"][at] == blocks[1]]
+        dx = [differ[i] for i in x]
+        dy = dx if same else [differ[i] for i in y]
+        rest = [np.array([len(v) for v in d], np.int64) for d in (dx, dy)]
+        apart = rest[0][:, None] + rest[1][None, :] - 2 * _common(dx, dy).astype(np.int64)
+        total = cols["n"][x][:, None] + cols["n"][y][None, :]
+        # |x & y| = (total - apart) / 2 and |x | y| = (total + apart) / 2.
+        linked = 100 * (total - apart) >= percent * (total + apart)
+        if same:
+            np.fill_diagonal(linked, False)
+        found.append([cols["id"][x], cols["n"][x], linked.astype(np.int64) @ cols["weight"][y]])
+        if not same:
+            found.append([cols["id"][y], cols["n"][y], linked.T.astype(np.int64) @ cols["weight"][x]])
+    return pa.table([pa.array(np.concatenate(v)) for v in zip(*found, strict=True)], names=["of", "n", "links"])
+
+
+def _link_counts(grouped: DataFrame, shares: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(of, n, n_links)``: for each node the texts that one of its texts links with.
+
+    ``grouped`` has id, n, node and component ``c`` of every row. All links lie inside components.
+    """
+    nodes = grouped.where("n > 0").groupBy("node", "n", "c").agg(F.countDistinct("id").alias("weight"))
+    nodes = stored(nodes.withColumnRenamed("node", "id"), "weights")
+    sizes = nodes.groupBy("c").agg(F.count("*").alias("size")).where("size > 1")
+    blocks = F.ceil(F.col("size") / LINK_BLOCK).cast("int")
+    own = nodes.join(sizes, "c").withColumn("blocks", blocks).drop("size")
+    own = stored(own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "blocks")
+    # Any text may be the reference; the one with the most frequent shingles is near to most.
+    chosen = own.join(shares, ["id", "n"]).groupBy("c", "blocks").agg(F.max(F.struct("share", (-F.col("id")).alias("last"))).alias("r"))
+    chosen = chosen.select("c", "blocks", (-F.col("r.last")).alias("id"))
+    reference = docs.join(chosen, "id").groupBy("c", "blocks").agg(F.min("text").alias("reference"))
+    reference = reference.select("c", "reference", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    texts = docs.join(own, "id").join(reference, ["c", "block"]).select("c", "blocks", "block", "id", "n", "weight", "text", "reference")
+    differ = stored(
+        texts.mapInArrow(lambda b: _differences(b, width), "c long, blocks int, block int, id long, n long, weight long, differ binary"), "differences"
+    )
+    # Components of one block share tasks; of others each pair of blocks is a group of its own.
+    single = differ.where("blocks = 1")
+    tasks = max(1, -(-own.where("blocks = 1").count() // LINK_BLOCK))
+    single = single.select("*", F.pmod(F.xxhash64("c"), F.lit(tasks)).alias("of"), F.lit(0).alias("low"), F.lit(0).alias("high"))
+    pairs = differ.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.select(*differ.columns, F.col("c").alias("of"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    met = [x.groupBy("of", "low", "high").applyInArrow(lambda t: _met_links(t, percent), "of long, n long, links long") for x in (single, pairs)]
+    links = met[0].union(met[1]).groupBy("of", "n").agg(F.sum("links").alias("links"))
+    counts = nodes.select(F.col("id").alias("of"), "n", "weight").join(links, ["of", "n"], "left")
+    return counts.select("of", "n", (F.col("weight") - 1 + F.coalesce("links", F.lit(0).cast("long"))).alias("n_links"))
+
+
 def _packed_column() -> Column:
     """Set size, place in the prefix and share of frequent shingles (in 1/1000) in one long."""
     return F.shiftleft(F.col("n"), 37) + F.shiftleft(F.col("at").cast("long"), 10) + F.round(F.col("share") * 1000).cast("long")
@@ -196,7 +316,7 @@ def _near(percent: int, x: str, y: str) -> Column:
 
 @cleaned
 def jaccard_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, fragments: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, fragments: int = 4, count_links: bool = True
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id, n_links)`` of every row of ``docs``.
 
@@ -204,8 +324,9 @@ def jaccard_groups(
     is the least id reachable by links. A text of fewer than ``width`` words is one shingle; null
     or wordless texts have an empty set and are their own component. Ids should be unique: rows that
     repeat an id count as one document that links where any of its texts does (texts of one id are
-    told apart by the size of their sets); rows with a null id are left out. ``n_links`` counts verified links of the row's set that
-    the join needed, not all pairs of a group. Other columns of ``docs`` are ignored.
+    told apart by the size of their sets); rows with a null id are left out. ``n_links`` is the exact number of other
+    texts that the row's text links with, equal sets among them; it is left out where ``count_links``
+    is false. Other columns of ``docs`` are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     frequent = frequent_shingles(docs, width, "text")
@@ -250,17 +371,19 @@ def jaccard_groups(
     upper = more.join(side("a"), "a", "left").join(side("b"), "b", "left")
     upper = upper.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     upper = connected_components(upper).select(F.col("node").alias("lower_component"), F.col("component").alias("upper"))
-    links = links.union(more)
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("of")).agg(F.count("*").alias("n_links"))
 
     # Components are named by nodes, and a node is the least id of its copies.
     out = member.join(parts, member["node"] == parts["node"], "left").select("id", "n", member["node"], "component")
     out = out.withColumn("component", F.coalesce("component", "node"))
-    out = out.join(upper, F.col("component") == F.col("lower_component"), "left").join(degree, F.col("node") == F.col("of"), "left")
-    return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("upper", "component").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    out = out.join(upper, F.col("component") == F.col("lower_component"), "left")
+    out = out.select("id", "n", "node", F.coalesce("upper", "component").alias("c"))
+    named = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id")]
+    if not count_links:
+        return out.select(named)
+    out = stored(out, "grouped")
+    counts = _link_counts(out, sets.select("id", "n", "share"), docs, width, percent)
+    out = out.join(counts.withColumnRenamed("n", "set_size"), (F.col("node") == F.col("of")) & (F.col("n") == F.col("set_size")), "left")
+    return out.select(*named, F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -272,5 +395,5 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the rows that are not the least id of their component."""
-    groups = jaccard_groups(docs, id_col, text_col, width, percent).where(F.col(id_col) != F.col("component_id")).select(id_col)
+    groups = jaccard_groups(docs, id_col, text_col, width, percent, count_links=False).where(F.col(id_col) != F.col("component_id")).select(id_col)
     return docs.join(groups.distinct(), id_col, "left_anti").select(*docs.columns)
