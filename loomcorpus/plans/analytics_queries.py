@@ -224,6 +224,16 @@ def _(t: Tables) -> DataFrame:
     return out.withColumn("score", F.round("score", 6))
 
 
+@query("v05_router_all", """WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2),
+  c AS (SELECT label, list(x ORDER BY i) AS v FROM e GROUP BY label),
+  s AS (SELECT p.vec_id, c.label, list_cosine_similarity(CAST(p.embedding AS DOUBLE[]), c.v) AS s FROM embeddings p, c),
+  b AS (SELECT vec_id, max(s) AS s, arg_max(label, s) AS label FROM s GROUP BY vec_id)
+  SELECT vec_id AS point_id, CASE WHEN s < 0.45 THEN -1 ELSE label END AS route, round(greatest(s, 0), 6) AS score FROM b""")
+def _(t: Tables) -> DataFrame:
+    rows = t.embeddings.withColumnRenamed("vec_id", "point_id")
+    return search.route(rows, rows, "label", -1, 0.45).withColumn("score", F.round("score", 6))
+
+
 @query("c80_point_ids", "SELECT doc, win, CAST(('0x' || left(md5(concat_ws(':', doc, win, title)), 15)) AS BIGINT) AS id FROM con")
 def _(t: Tables) -> DataFrame:
     return t.con.select("doc", "win", V.point_id(F.col("doc").cast("string"), F.col("win").cast("string"), F.col("title")).alias("id"))

@@ -171,6 +171,14 @@ def _(t: Tables) -> DataFrame:
     return met.select("doc_id", "hash", F.when(F.col("seen").isNull(), "new").otherwise("duplicate").alias("outcome"))
 
 
+@query("j07_duplicate_probe_all", """WITH b AS (SELECT doc_id, md5(text) AS hash FROM documents)
+  SELECT b.doc_id, b.hash, CASE WHEN d.hash IS NULL THEN 'new' ELSE 'duplicate' END AS outcome FROM b LEFT JOIN doc d ON b.hash = d.hash""")
+def _(t: Tables) -> DataFrame:
+    batch = t.documents.select("doc_id", F.md5("text").alias("hash"))
+    met = batch.join(t.doc.select("hash", F.lit(1).alias("seen")), "hash", "left")
+    return met.select("doc_id", "hash", F.when(F.col("seen").isNull(), "new").otherwise("duplicate").alias("outcome"))
+
+
 @query("j10_reconcile", """WITH a AS (SELECT DISTINCT source AS name FROM documents WHERE doc_id % 2 = 0), b AS (SELECT DISTINCT source AS name FROM documents WHERE doc_id % 5 = 1)
   SELECT coalesce(a.name, b.name) AS name, CASE WHEN b.name IS NULL THEN 'new' WHEN a.name IS NULL THEN 'removed' ELSE 'tracked' END AS state FROM a FULL JOIN b ON a.name = b.name""")
 def _(t: Tables) -> DataFrame:
@@ -178,6 +186,13 @@ def _(t: Tables) -> DataFrame:
     return analytics.reconcile(named(2, 0), named(5, 1), "name")
 
 
+@query("j10_reconcile_all", """WITH a AS (SELECT DISTINCT hash AS name FROM cat), b AS (SELECT DISTINCT hash AS name FROM doc)
+  SELECT coalesce(a.name, b.name) AS name, CASE WHEN b.name IS NULL THEN 'new' WHEN a.name IS NULL THEN 'removed' ELSE 'tracked' END AS state FROM a FULL JOIN b ON a.name = b.name""")
+def _(t: Tables) -> DataFrame:
+    named = lambda df: df.select(F.col("hash").alias("name")).distinct()
+    return analytics.reconcile(named(t.cat), named(t.doc), "name")
+
+
 @query("k01_catalogue_upsert", """WITH old AS (SELECT hash, path, filename, source, category, size_bytes FROM cat WHERE doc_id % 2 = 0),
   new AS (SELECT hash, CASE WHEN doc_id % 3 = 0 THEN concat(path, '.moved') ELSE path END AS path, filename, source, category, size_bytes FROM cat WHERE doc_id % 4 <> 1)
   SELECT coalesce(old.hash, new.hash) AS hash, coalesce(new.path, old.path) AS path, coalesce(new.filename, old.filename) AS filename, coalesce(new.source, old.source) AS source,
@@ -199,6 +214,13 @@ def _(t: Tables) -> DataFrame:
     return state.queue(t.cat, t.doc, wanted)
 
 
+@query("k02_queue_all", """WITH w AS (SELECT hash FROM cat UNION SELECT md5(url) FROM pages)
+  SELECT w.hash, c.hash IS NOT NULL AS queued, CASE WHEN c.hash IS NOT NULL THEN coalesce(d.status, 'queued') END AS status
+  FROM w LEFT JOIN cat c ON w.hash = c.hash LEFT JOIN doc d ON w.hash = d.hash""")
+def _(t: Tables) -> DataFrame:
+    return state.queue(t.cat, t.doc, t.cat.select("hash").union(t.pages.select(F.md5("url"))))
+
+
 @query("k03_transition", """SELECT hash, CASE status WHEN 'queued' THEN 'extracting' WHEN 'extracting' THEN 'extracted' WHEN 'extracted' THEN 'enriching' WHEN 'enriching' THEN 'enriched'
   WHEN 'enriched' THEN 'embedding' WHEN 'embedding' THEN 'complete' ELSE status END AS status FROM doc""")
 def _(t: Tables) -> DataFrame:

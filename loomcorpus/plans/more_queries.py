@@ -289,6 +289,12 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", library.ingestion_decision(i % 9 != 0, F.left("text", (i % 120).cast("int")), i % 5 == 0).alias("decision"))
 
 
+@query("l14_ingestion_decision_all", """SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'none' WHEN length(trim(text)) < 50 THEN 'too_short' WHEN doc_id % 5 = 0 THEN 'duplicate' ELSE 'extracted' END AS decision FROM documents""")
+def _(t: Tables) -> DataFrame:
+    i = F.col("doc_id")
+    return t.documents.select("doc_id", library.ingestion_decision(i % 9 != 0, F.col("text"), i % 5 == 0).alias("decision"))
+
+
 @query("x09_stale_recovery", """SELECT event_id, CASE WHEN event_type = 'view' AND (event_id % 10 = 0 OR ts < (SELECT max(ts) FROM events) - INTERVAL 48 HOURS) THEN 'extracted' WHEN event_type = 'view' THEN 'enriching' ELSE event_type END AS status FROM events""")
 def _(t: Tables) -> DataFrame:
     status = F.when(F.col("event_type") == "view", "enriching").otherwise(F.col("event_type"))
