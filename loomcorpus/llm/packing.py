@@ -261,6 +261,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     # A sequence of one full piece needs no packing; its number is negative.
     single = whole.select(
         F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32",
-        (-(F.col("row") * (1 << 12) + F.col("piece")) - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
     return packed.unionByName(single)
