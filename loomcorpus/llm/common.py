@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,23 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{scratch_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-#: Rows of an Arrow batch while a table is stored: texts may be long, and a batch is held several
-#: times (in the JVM, in pyarrow and as numpy arrays).
-BATCH_ROWS = 1000
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes of an Arrow batch while a table is stored: texts may be long, and a batch is held
+#: several times (in the JVM, in pyarrow and as numpy arrays).
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hold Arrow batches to ``BATCH_LIMITS`` while an action runs."""
+    before = {k: spark.conf.get(k, None) for k in BATCH_LIMITS}
+    for k, most in BATCH_LIMITS.items():
+        known = int(before[k]) if (before[k] or "").lstrip("-").isdigit() else 0
+        spark.conf.set(k, str(min(most, known) if known > 0 else most))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 _open_scopes: list[list[str]] = []
@@ -40,12 +54,8 @@ def _write(df: DataFrame, what: str, scope: int) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, what)
     if len(_open_scopes) >= scope:
         _open_scopes[-scope].append(path)
-    before = spark.conf.get(_BATCH_CONF)
-    spark.conf.set(_BATCH_CONF, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
-    try:
+    with small_batches(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

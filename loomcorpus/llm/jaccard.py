@@ -1,19 +1,27 @@
 """N-gram Jaccard self-join by vertical partitioning, and the groups it links.
 
-The sets are the distinct word shingles of each text. One global order of the shingles serves all
-sets: shingles seen often come last, others are ordered by their hash. An exact join then needs
-
-* candidates: two sets that reach the threshold share a shingle among the first
-  ``n - ceil(t n) + 1`` of each (prefix filter), and at the first shared one both rests are still
-  long enough (positional filter). Pairs across components must also be near by a parity sketch, whose
-  Hamming distance never exceeds the number of elements in which two sets differ;
-* verification: the shingle space is cut into vertical fragments by hash range, the
-  overlap of a pair is counted in each fragment on its own, and the counts are summed per pair.
-
-Groups of near copies don't give all their pairs. The sets that hold a prefix shingle are first
-compared with one hub of that shingle (the set with the greatest share of frequent shingles, which
-in a group of copies is the one they were made from); only sets that still lie in different
-components after that are paired. A pair inside one component cannot change any component, so no
+The sets are the distinct word shingles of each text, as 64-bit hashes. Vertical fragments, ranges
+of a global order of the shingles, are worked on separately, and what they count is summed per text
+or per pair:
+
+* Pruning. Under the order of the hashes, two linked texts share at least ``k`` of the first
+  ``n - ceil(t n) + k`` shingles of each (extended prefix filter, ``k`` about a quarter of a set). The prefixes are
+  cut into fragments; each fragment counts, for every text, the shingles it shares with any
+  other text, and a text whose sum stays below its ``k`` can't link and leaves. Texts that share only a
+  passage with others leave here, however many share it. It is done once over all texts and once
+  over one text of each set.
+* Order. The fragments count the exact number of sets that hold each shingle that is left. The global
+  order from here on is (size class of that number, hash), rarest first.
+* Candidates. Two linked sets share a shingle among the first ``n - ceil(t n) + 1`` of each (prefix
+  filter), and at the first shared one both rests are still long enough (positional filter).
+* Verification. The order is cut into fragments of near equal numbers of shingles; the overlap of a
+  pair is counted in each fragment on its own and summed, and pairs leave that can't link any more.
+
+Groups of near copies don't give all their pairs. Each set is first compared with one hub, of those of
+its prefix shingles (the set in a shingle's bucket whose shingles are held most often) the one it meets
+most often. Only sets that still lie in different components after that are paired, within a
+shingle and length band, if a parity sketch allows it, whose Hamming distance never exceeds the number of
+elements in which two sets differ. A pair inside one component cannot change any component, so no
 link between groups is lost and the components are exact. Equal sets are one node from the start.
 
 The links of each text are counted afterwards, component by component, without writing pairs out.
@@ -28,45 +36,52 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcorpus.llm.common import cleaned, connected_components, stored
 from loomcorpus.llm.shingles import shingle_sets
 
-#: Frequent shingles that the global order knows by count. The order may be any order, so this
-#: bounds what is sent to the tasks (8 bytes each) and changes no result.
-MAX_FREQUENT = 1 << 16
-#: Ids of candidate texts that are broadcast at most (8 bytes each).
+#: Ids of texts that are broadcast to the scan at most (8 bytes each); more are joined by a shuffle.
 MAX_SENT_IDS = 1 << 20
-#: A shingle counts as frequent within a batch when that many texts of the batch hold it.
-BATCH_COUNT = 3
+#: Bytes of text whose shingles one fragment of the pruning holds.
+FRAGMENT_BYTES = 2 << 20
+#: Texts whose sets travel together; below 2 ** 16 - 1.
+SLICE = 512
 #: Sets of one block when the links of a component are counted.
 LINK_BLOCK = 1024
 #: Shingles that are counted together in one matrix product.
 _COLUMNS = 2048
+_MANY = 0xFFFF
 _SKETCH = ["sketch_0", "sketch_1", "sketch_2", "sketch_3"]
+#: Equal ranges of the hashes in one size class: the cells at which the order can be cut.
+_CELLS = 16
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+def _least(n: int, percent: int) -> int:
+    """The least overlap of a set of ``n`` with any set it links with."""
+    return -(-percent * n // 100)
 
 
-def _frequent(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, len(batch), 4096):
-            sets = [s for s in shingle_sets(batch.column("text").slice(at, 4096), width) if len(s)]
-            if sets:
-                values, counts = np.unique(np.concatenate(sets), return_counts=True)
-                often = counts >= BATCH_COUNT
-                yield pa.record_batch([_signed(values[often]), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"])
+def _extra(n: int, percent: int) -> int:
+    """``k`` of the extended prefix filter."""
+    return min(1 + n // 4, _least(n, percent))
+
+
+def _coded(values: np.ndarray) -> bytes:
+    """Rising values as differences, byte by byte: the upper bytes are zeros, which compress away."""
+    return np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def frequent_shingles(docs: DataFrame, width: int, text: str) -> np.ndarray:
-    """The most frequent shingles, rarest first, counted batch by batch over all texts."""
-    found = docs.select(F.col(text).alias("text")).mapInArrow(lambda b: _frequent(b, width), "shingle long, n long")
-    rows = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT)
-    return np.array([r.shingle for r in rows.collect()][::-1], dtype=np.int64).view(np.uint64)
+def _decoded(data: pa.Scalar) -> np.ndarray:
+    planes = np.frombuffer(data.as_buffer(), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _bounds(fragments: int) -> np.ndarray:
+    step = (1 << 64) // fragments
+    return np.array([i * step for i in range(1, fragments)], dtype=np.uint64)
 
 
 def _digest(values: np.ndarray) -> tuple[int, int]:
@@ -83,62 +98,237 @@ def _parity(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.argsort(frequent)
-    known, rank = frequent[order], (order + 1).astype(np.int64)
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal values."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, np.int64)
+
+
+_FIELDS = ["id", "n", "name_a", "name_b", "shared"]
+
+
+def _sent(batches: Iterator[pa.RecordBatch], width: int, percent: int, fragments: int) -> Iterator[pa.RecordBatch]:
+    """The distinct prefix shingles of each slice of texts by fragment, with the place in the slice of
+    the one text that holds it (``_MANY``: several do), and a row with the members of the slice."""
+    number, bounds = TaskContext.get().partitionId() << 32, _bounds(fragments)
     for batch in batches:
-        for at in range(0, len(batch), 1024):
-            part = batch.slice(at, 1024)
-            sizes, names, prefixes, shares, sketches = [], [], [], [], []
+        for at in range(0, len(batch), SLICE):
+            part = batch.slice(at, SLICE)
+            sizes, names, heads = [], [], []
             for s in shingle_sets(part.column("text"), width):
                 n = len(s)
                 sizes.append(n)
                 names.append(_digest(s))
-                sketches.append(_parity(s))
-                if not n:
-                    prefixes.append(np.empty(0, np.int64))
-                    shares.append(0.0)
-                    continue
-                weight = np.zeros(n, np.int64)
-                if len(known):
-                    near = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    weight = np.where(known[near] == s, rank[near], 0)
-                length = n - -(-percent * n // 100) + 1
-                prefixes.append(s[np.argsort(weight, kind="stable")[:length]].view(np.int64))
-                shares.append(float((weight > 0).mean()))
-            names = np.array(names, dtype=np.int64).reshape(-1, 2)
-            sketches = np.array(sketches, dtype=np.int64).reshape(-1, 4)
-            offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
+                heads.append(s[: n - _least(n, percent) + _extra(n, percent)].copy())
+            flat, places = np.concatenate(heads), np.repeat(np.arange(len(heads)), [len(h) for h in heads])
+            order = np.argsort(flat, kind="stable")
+            flat, places = flat[order], places[order]
+            starts = _runs(flat)
+            counts = np.diff(np.append(starts, len(flat)))
+            shared = np.bincount(places[np.repeat(counts > 1, counts)], minlength=len(heads))
+            tokens, places = flat[starts], np.where(counts > 1, _MANY, places[starts]).astype(np.uint16)
+            cuts = [0, *np.searchsorted(tokens, bounds), len(tokens)]
+            own = [i for i in range(fragments) if cuts[i] < cuts[i + 1]]
+            names = np.array(names, np.int64).reshape(-1, 2)
+            fields = [part.column("id"), pa.array(sizes, pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(shared.astype(np.int64))]
+            members = pa.StructArray.from_arrays(fields, names=_FIELDS)
+            members = pa.ListArray.from_arrays(pa.array([0, len(part), *[len(part)] * len(own)], pa.int32()), members, mask=pa.array([False] + [True] * len(own)))
             yield pa.record_batch(
                 [
-                    part.column("id"),
-                    pa.array(np.array(sizes, dtype=np.int64)),
-                    pa.array(names[:, 0]),
-                    pa.array(names[:, 1]),
-                    pa.array(np.array(shares)),
-                    *[pa.array(sketches[:, i]) for i in range(4)],
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes))),
+                    pa.array([fragments + number % fragments, *own], pa.int32()), pa.array([number] * (len(own) + 1), pa.int64()), members,
+                    pa.array([None] + [_coded(tokens[cuts[i] : cuts[i + 1]]) for i in own], pa.binary()),
+                    pa.array([None] + [places[cuts[i] : cuts[i + 1]].tobytes() for i in own], pa.binary()),
                 ],
-                names=["id", "n", "name_a", "name_b", "share", *_SKETCH, "prefix"],
+                names=["fragment", "slice", "members", "tokens", "places"],
             )
+            number += 1
+
+
+def _counted(group: pa.Table, fragments: int) -> pa.Table:
+    """The partial counts of one fragment: for each slice the texts with shingles that other slices
+    hold too, and how many. The rows with members are passed on."""
+    names, member = ["slice", "members", "places", "counts"], group.column("members").type
+    if group.column("fragment")[0].as_py() >= fragments:
+        none = pa.nulls(len(group), pa.binary())
+        return pa.table([group.column("slice"), group.column("members"), none, none], names=names)
+    tokens = [_decoded(x) for x in group.column("tokens")]
+    owner = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
+    flat = np.concatenate(tokens)
+    places = np.concatenate([np.frombuffer(x.as_buffer(), np.uint16) for x in group.column("places")]).astype(np.int64)
+    order = np.argsort(flat, kind="stable")
+    starts = _runs(flat[order])
+    counts = np.diff(np.append(starts, len(flat)))
+    shared = (counts > 1) | np.logical_or.reduceat(places[order] == _MANY, starts)
+    met = order[np.repeat(shared, counts)]
+    met = met[places[met] != _MANY]
+    keys, times = np.unique((owner[met] << 16) + places[met], return_counts=True)
+    slices, cuts = np.unique(keys >> 16, return_index=True)
+    cuts = [*cuts, len(keys)]
+    return pa.table(
+        [
+            group.column("slice").combine_chunks().take(pa.array(slices)), pa.nulls(len(slices), member),
+            pa.array([(keys[a:b] & 0xFFFF).astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+            pa.array([times[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+        ],
+        names=names,
+    )
 
 
-def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) -> Iterator[pa.RecordBatch]:
-    step = (1 << 64) // fragments
-    cuts = np.array([i * step for i in range(1, fragments)], dtype=np.uint64)
+def _summed(group: pa.Table) -> pa.Table:
+    """The members of one slice with the sums of their partial counts."""
+    members, places, counts = None, [np.empty(0, np.uint16)], [np.empty(0, np.uint32)]
+    for own, p, c in zip(group.column("members"), group.column("places"), group.column("counts"), strict=True):
+        if own.is_valid:
+            members = own.values
+        else:
+            places.append(np.frombuffer(p.as_buffer(), np.uint16))
+            counts.append(np.frombuffer(c.as_buffer(), np.uint32))
+    columns = members.flatten()
+    more = np.bincount(np.concatenate(places), weights=np.concatenate(counts), minlength=len(members)).astype(np.int64)
+    columns[4] = pa.array(columns[4].to_numpy() + more)
+    return pa.table(columns, names=_FIELDS)
+
+
+def shared_counts(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(id, n, name_a, name_b, may_link)`` of every row of ``texts`` (id and text): the size and
+    name of its set, and whether it shares enough of its prefix with other rows to link at all."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    fragments = min(1 << 20, max(1, -(-size // FRAGMENT_BYTES)))
+    kind = texts.schema["id"].dataType.simpleString()
+    members = f"members array<struct<id: {kind}, n: long, name_a: long, name_b: long, shared: long>>"
+    sent = texts.mapInArrow(lambda b: _sent(b, width, percent, fragments), f"fragment int, slice long, {members}, tokens binary, places binary")
+    counted = sent.groupBy("fragment").applyInArrow(lambda t: _counted(t, fragments), f"slice long, {members}, places binary, counts binary")
+    summed = counted.groupBy("slice").applyInArrow(_summed, f"id {kind}, n long, name_a long, name_b long, shared long")
+    least = F.floor((percent * F.col("n") + 99) / 100)
+    enough = (F.col("n") > 0) & (F.col("shared") >= F.least(1 + F.floor(least / 4), least))
+    return stored(summed.select("id", "n", "name_a", "name_b", enough.alias("may_link")), "counts")
+
+
+def _among(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id is listed; few ids are sent to the scan."""
+    ids = ids.select("id").distinct()
+    return texts.join(F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids, "id", "left_semi")
+
+
+def _sliced_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The sets of some texts in one row."""
+    number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for at in range(0, len(batch), 1024):
-            part = batch.slice(at, 1024)
+        for at in range(0, len(batch), SLICE // 8):
+            part = batch.slice(at, SLICE // 8)
             sets = list(shingle_sets(part.column("text"), width))
-            ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), fragments)
-            sizes = np.repeat(np.array([len(s) for s in sets], dtype=np.int64), fragments)
-            pieces = [piece.tobytes() for s in sets for piece in np.split(s, np.searchsorted(s, cuts))]
+            sizes = [len(s) for s in sets]
+            names = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
+            lists = [pa.array([v], pa.list_(pa.int64())) for v in (np.array(sizes, np.int64), names[:, 0], names[:, 1])]
+            yield pa.record_batch([pa.array([number], pa.int64()), *lists, pa.array([np.concatenate(sets).tobytes()], pa.binary())], names=["slice", "n", "name_a", "name_b", "sets"])
+            number += 1
+
+
+_SLICED_SQL = "slice long, n array<long>, name_a array<long>, name_b array<long>, sets binary"
+
+
+def _listed(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.RecordBatch]:
+    """The distinct shingles of each slice by fragment, with the number of its sets that hold each."""
+    bounds = _bounds(fragments)
+    for batch in batches:
+        for number, sets in zip(batch.column("slice").to_pylist(), batch.column("sets"), strict=True):
+            tokens, counts = np.unique(np.frombuffer(sets.as_buffer(), np.uint64), return_counts=True)
+            cuts = [0, *np.searchsorted(tokens, bounds), len(tokens)]
+            own = [(i, slice(cuts[i], cuts[i + 1])) for i in range(fragments) if cuts[i] < cuts[i + 1]]
             yield pa.record_batch(
-                [pa.array(ids), pa.array(sizes), pa.array(np.tile(np.arange(fragments, dtype=np.int32), len(sets))), pa.array(pieces, type=pa.binary())],
-                names=["id", "n", "fragment", "segment"],
+                [
+                    pa.array([i for i, _ in own], pa.int32()), pa.array([number] * len(own), pa.int64()),
+                    pa.array([_coded(tokens[c]) for _, c in own], pa.binary()), pa.array([counts[c].astype(np.uint32).tobytes() for _, c in own], pa.binary()),
+                ],
+                names=["fragment", "slice", "tokens", "counts"],
             )
 
 
+def _classed(group: pa.Table) -> pa.Table:
+    """The size class of each shingle of one fragment: the bits of the number of sets that hold it."""
+    tokens = [_decoded(x) for x in group.column("tokens")]
+    counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column("counts")])
+    _, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
+    total = np.bincount(inverse, weights=counts)
+    classes = np.frexp(total)[1].astype(np.uint8)[inverse]
+    cuts = np.cumsum([0, *[len(x) for x in tokens]])
+    parts = pa.array([classes[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
+    return pa.table([group.column("slice"), group.column("fragment"), group.column("tokens"), parts], names=["slice", "fragment", "tokens", "classes"])
+
+
+def _ordered(group: pa.Table, percent: int) -> pa.Table:
+    """The sets of one slice in the global order; ``prefix`` begins after ``alone`` unique shingles."""
+    own = group.column("sets").is_valid().to_numpy()
+    row = group.slice(int(np.flatnonzero(own)[0]), 1)
+    rest = group.filter(pa.array(~own)).sort_by("fragment")
+    known = np.concatenate([_decoded(x) for x in rest.column("tokens")] or [np.empty(0, np.uint64)])
+    classes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in rest.column("classes")] or [np.empty(0, np.uint8)])
+    flat = np.frombuffer(row.column("sets")[0].as_buffer(), np.uint64)
+    of = classes[np.searchsorted(known, flat)]
+    columns = {k: row.column(k)[0].values for k in ("n", "name_a", "name_b")}
+    cuts = np.cumsum([0, *columns["n"].to_pylist()])
+    alone, weight, prefixes, tokens, cells, sketches = [], [], [], [], [], []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        order = np.argsort(of[a:b], kind="stable")  # the hashes rise already
+        s, c = flat[a:b][order], of[a:b][order]
+        unique = int((c <= 1).sum())
+        alone.append(unique)
+        weight.append(float(c.mean()) if len(c) else 0.0)
+        prefixes.append(s[unique : max(unique, len(s) - _least(len(s), percent) + 1)].view(np.int64))
+        tokens.append(s.tobytes())
+        cells.append((c.astype(np.uint16) * _CELLS + (s >> np.uint64(60)).astype(np.uint16)).tobytes())
+        sketches.append(_parity(s))
+    sketches = np.array(sketches, np.int64).reshape(-1, 4)
+    offsets = pa.array(np.cumsum([0, *[len(p) for p in prefixes]]).astype(np.int32))
+    prefix = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)])))
+    columns |= {"alone": pa.array(alone, pa.int64()), "weight": pa.array(weight, pa.float64()), "prefix": prefix}
+    columns |= {"tokens": pa.array(tokens, pa.binary()), "cells": pa.array(cells, pa.binary())}
+    return pa.table(columns | {k: pa.array(sketches[:, i]) for i, k in enumerate(_SKETCH)})
+
+
+_ORDERED_SQL = "n long, name_a long, name_b long, alone long, weight double, prefix array<long>, tokens binary, cells binary, " + ", ".join(f"{k} long" for k in _SKETCH)
+
+
+def ordered_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The set of every row of ``texts`` in the global order of (size class, hash)."""
+    sets = stored(texts.select("text").mapInArrow(lambda b: _sliced_sets(b, width), _SLICED_SQL), "sets")
+    size = sets.agg(F.coalesce(F.sum(F.octet_length("sets")), F.lit(0))).first()[0]
+    fragments = min(1 << 20, max(1, -(-size // (2 * FRAGMENT_BYTES))))
+    listed = sets.select("slice", "sets").mapInArrow(lambda b: _listed(b, fragments), "fragment int, slice long, tokens binary, counts binary")
+    classed = listed.groupBy("fragment").applyInArrow(_classed, "slice long, fragment int, tokens binary, classes binary")
+    both = sets.unionByName(classed, allowMissingColumns=True)
+    return stored(both.groupBy("slice").applyInArrow(lambda t: _ordered(t, percent), _ORDERED_SQL), "ordered")
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(65 * _CELLS, np.int64)
+    for batch in batches:
+        for cells in batch.column("cells"):
+            total += np.bincount(np.frombuffer(cells.as_buffer(), np.uint16), minlength=len(total))
+    own = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(own), pa.array(total[own])], names=["cell", "n"])
+
+
+def _cuts(sets: DataFrame, fragments: int) -> np.ndarray:
+    """The cells at which the global order is cut into fragments of near equal numbers of shingles."""
+    rows = sets.select("cells").mapInArrow(_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most 65 * 16
+    counts = np.zeros(65 * _CELLS + 1)
+    for r in rows:
+        counts[r.cell] = r.n
+    sums = np.cumsum(counts)
+    return np.unique(np.searchsorted(sums, sums[-1] * np.arange(1, fragments) / fragments, "right")).astype(np.uint16)
+
+
+def _segments(batches: Iterator[pa.RecordBatch], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    count = len(cuts) + 1
+    for batch in batches:
+        pieces = []
+        for tokens, cells in zip(batch.column("tokens"), batch.column("cells"), strict=True):
+            places = np.searchsorted(np.frombuffer(cells.as_buffer(), np.uint16), cuts)
+            pieces += [x.tobytes() for x in np.split(np.frombuffer(tokens.as_buffer(), np.uint64), places)]
+        fragment = np.tile(np.arange(count, dtype=np.int32), len(batch))
+        yield pa.record_batch([pa.array(np.repeat(batch.column("node").to_numpy(), count)), pa.array(fragment), pa.array(pieces, pa.binary())], names=["node", "fragment", "segment"])
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the overlap within one fragment to ``common``, and take its sizes off the rests."""
     for batch in batches:
@@ -152,23 +342,17 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*[batch.column(k) for k in kept], *[pa.array(v) for v in sums.values()]], names=[*kept, *sums])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, fragments: int) -> DataFrame:
-    """The pairs ``(a, b, na, nb)`` whose summed partial overlaps reach the threshold.
+def _verified(pairs: DataFrame, segments: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose summed partial overlaps reach the threshold.
 
-    The fragments are counted one after another; a pair that can't reach the threshold any more,
-    whatever its rests share, isn't joined with further fragments.
+    The fragments are counted one after another, the rarest shingles first; a pair that can't reach the
+    threshold any more, whatever its rests share, isn't joined with further fragments.
     """
-    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
-    # The ids of candidates are sent to the scan while they are few; beyond that, both sides are shuffled.
-    if wanted.count() <= MAX_SENT_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, "id", "left_semi").select("id", "text")
-    segments = stored(texts.mapInArrow(lambda b: _segments(b, width, fragments), "id long, n long, fragment int, segment binary"), "segments")
     alive = pairs.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("common"), F.col("na").alias("rest_a"), F.col("nb").alias("rest_b"))
     for fragment in range(fragments):
         own = segments.where(F.col("fragment") == fragment)
-        met = alive.join(own.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("segment").alias("left")), ["a", "na"])
-        met = met.join(own.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("segment").alias("right")), ["b", "nb"])
+        met = alive.join(own.select(F.col("node").alias("a"), F.col("segment").alias("left")), "a")
+        met = met.join(own.select(F.col("node").alias("b"), F.col("segment").alias("right")), "b")
         kept = ["a", "b", "na", "nb", "common", "rest_a", "rest_b"]
         counted = met.select(*kept, "left", "right").mapInArrow(_overlaps, ", ".join(f"{k} long" for k in kept))
         reach = (100 + percent) * (F.col("common") + F.least("rest_a", "rest_b"))
@@ -176,24 +360,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, fragm
     return alive.select("a", "b")
 
 
-def _differences(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The symmetric difference of each set and the reference set of its component."""
-    kept = ["c", "blocks", "block", "id", "n", "weight"]
-    last, reference = None, None
+    kept = ["c", "blocks", "block", "node", "n", "weight"]
     for batch in batches:
-        for at in range(0, len(batch), 256):
-            part = batch.slice(at, 256)
-            rows, differ = [], []
-            sizes, components = part.column("n").to_pylist(), part.column("c").to_pylist()
-            for row, s in enumerate(shingle_sets(part.column("text"), width)):
-                if len(s) != sizes[row]:
-                    continue  # another text of the same id
-                if components[row] != last:
-                    last, reference = components[row], next(shingle_sets(part.column("reference").slice(row, 1), width))
-                rows.append(row)
-                differ.append(np.setxor1d(s, reference, assume_unique=True).tobytes())
-            chosen = part.take(pa.array(rows, pa.int32()))
-            yield pa.record_batch([*[chosen.column(k) for k in kept], pa.array(differ, pa.binary())], names=[*kept, "differ"])
+        for at in range(0, len(batch), 128):
+            part = batch.slice(at, 128)
+            both = zip(part.column("tokens"), part.column("reference"), strict=True)
+            differ = [np.setxor1d(*[np.frombuffer(v.as_buffer(), np.uint64) for v in xy], assume_unique=True).tobytes() for xy in both]
+            yield pa.record_batch([*[part.column(k) for k in kept], pa.array(differ, pa.binary())], names=[*kept, "differ"])
 
 
 def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -225,15 +400,12 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def _met_links(table: pa.Table, percent: int) -> pa.Table:
-    """``(of, n, links)`` from the meetings of two blocks (or of one with itself) that ``table`` holds."""
-    found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 3]
-    cols = {k: table.column(k).to_numpy() for k in ("c", "block", "id", "n", "weight")}
-    # Rows that repeat an id and its set count once.
-    _, once = np.unique(np.stack([cols[k] for k in ("c", "block", "id", "n")], axis=1), axis=0, return_index=True)
-    cols = {k: v[once] for k, v in cols.items()}
-    values = table.column("differ").combine_chunks()
-    differ = [np.frombuffer(values[int(i)].as_buffer(), np.uint64) for i in once]
-    for at in np.split(np.arange(len(once)), np.flatnonzero(np.diff(cols["c"])) + 1):
+    """``(node, links)`` from the meetings of two blocks (or of one with itself) that ``table`` holds."""
+    found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 2]
+    table = table.sort_by([("c", "ascending"), ("block", "ascending")])
+    cols = {k: table.column(k).to_numpy() for k in ("c", "block", "node", "n", "weight")}
+    differ = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("differ")]
+    for at in np.split(np.arange(len(differ)), np.flatnonzero(np.diff(cols["c"])) + 1):
         blocks = np.unique(cols["block"][at])
         x = at[cols["block"][at] == blocks[0]] if len(blocks) else at
         same = len(blocks) < 2
@@ -249,53 +421,36 @@ def _met_links(table: pa.Table, percent: int) -> pa.Table:
         linked = 100 * (total - apart) >= percent * (total + apart)
         if same:
             np.fill_diagonal(linked, False)
-        found.append([cols["id"][x], cols["n"][x], linked.astype(np.int64) @ cols["weight"][y]])
+        found.append([cols["node"][x], linked.astype(np.int64) @ cols["weight"][y]])
         if not same:
-            found.append([cols["id"][y], cols["n"][y], linked.T.astype(np.int64) @ cols["weight"][x]])
-    return pa.table([pa.array(np.concatenate(v)) for v in zip(*found, strict=True)], names=["of", "n", "links"])
+            found.append([cols["node"][y], linked.T.astype(np.int64) @ cols["weight"][x]])
+    return pa.table([pa.array(np.concatenate(v)) for v in zip(*found, strict=True)], names=["node", "links"])
 
 
-def _link_counts(grouped: DataFrame, shares: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(of, n, n_links)``: for each node the texts that one of its texts links with.
+def _link_counts(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(node, links)``: for each set the texts of other sets that it links with, where there are any.
 
-    ``grouped`` has id, n, node and component ``c`` of every row. All links lie inside components.
+    ``grouped`` has node, n, weight (its texts) and component ``c``. All links lie inside components.
     """
-    nodes = grouped.where("n > 0").groupBy("node", "n", "c").agg(F.countDistinct("id").alias("weight"))
-    nodes = stored(nodes.withColumnRenamed("node", "id"), "weights")
-    sizes = nodes.groupBy("c").agg(F.count("*").alias("size")).where("size > 1")
-    blocks = F.ceil(F.col("size") / LINK_BLOCK).cast("int")
-    own = nodes.join(sizes, "c").withColumn("blocks", blocks).drop("size")
-    own = stored(own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "blocks")
-    # Any text may be the reference; the one with the most frequent shingles is near to most.
-    chosen = own.join(shares, ["id", "n"]).groupBy("c", "blocks").agg(F.max(F.struct("share", (-F.col("id")).alias("last"))).alias("r"))
-    chosen = chosen.select("c", "blocks", (-F.col("r.last")).alias("id"))
-    reference = docs.join(chosen, "id").groupBy("c", "blocks").agg(F.min("text").alias("reference"))
-    reference = reference.select("c", "reference", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    texts = docs.join(own, "id").join(reference, ["c", "block"]).select("c", "blocks", "block", "id", "n", "weight", "text", "reference")
-    differ = stored(
-        texts.mapInArrow(lambda b: _differences(b, width), "c long, blocks int, block int, id long, n long, weight long, differ binary"), "differences"
-    )
+    sizes = grouped.groupBy("c").agg(F.count("*").alias("size")).where("size > 1")
+    own = grouped.join(sizes, "c").withColumn("blocks", F.ceil(F.col("size") / LINK_BLOCK).cast("int")).drop("size")
+    own = stored(own.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "blocks")
+    # Any set may be the reference; the one whose shingles are held most is near to most.
+    share = sets.select("node", F.col("weight").alias("share"))
+    chosen = own.join(share, "node").groupBy("c", "blocks").agg(F.max(F.struct("share", (-F.col("node")).alias("last"))).alias("r"))
+    chosen = chosen.select("c", "blocks", (-F.col("r.last")).alias("node"))
+    tokens = sets.select("node", "tokens")
+    reference = tokens.join(chosen, "node").select("c", F.col("tokens").alias("reference"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    held = tokens.join(own, "node").join(reference, ["c", "block"]).select("c", "blocks", "block", "node", "n", "weight", "tokens", "reference")
+    differ = stored(held.mapInArrow(_differences, "c long, blocks int, block int, node long, n long, weight long, differ binary"), "differences")
     # Components of one block share tasks; of others each pair of blocks is a group of its own.
     single = differ.where("blocks = 1")
     tasks = max(1, -(-own.where("blocks = 1").count() // LINK_BLOCK))
     single = single.select("*", F.pmod(F.xxhash64("c"), F.lit(tasks)).alias("of"), F.lit(0).alias("low"), F.lit(0).alias("high"))
     pairs = differ.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select(*differ.columns, F.col("c").alias("of"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    met = [x.groupBy("of", "low", "high").applyInArrow(lambda t: _met_links(t, percent), "of long, n long, links long") for x in (single, pairs)]
-    links = met[0].union(met[1]).groupBy("of", "n").agg(F.sum("links").alias("links"))
-    counts = nodes.select(F.col("id").alias("of"), "n", "weight").join(links, ["of", "n"], "left")
-    return counts.select("of", "n", (F.col("weight") - 1 + F.coalesce("links", F.lit(0).cast("long"))).alias("n_links"))
-
-
-def _packed_column() -> Column:
-    """Set size, place in the prefix and share of frequent shingles (in 1/1000) in one long."""
-    return F.shiftleft(F.col("n"), 37) + F.shiftleft(F.col("at").cast("long"), 10) + F.round(F.col("share") * 1000).cast("long")
-
-
-def _unpacked(name: str) -> list[Column]:
-    c = F.col(name)
-    at = F.shiftright(c, 10).bitwiseAND(F.lit((1 << 27) - 1))
-    return [F.shiftright(c, 37).alias("n"), at.alias("at"), c.bitwiseAND(F.lit(1023)).alias("share")]
+    met = [x.groupBy("of", "low", "high").applyInArrow(lambda t: _met_links(t, percent), "node long, links long") for x in (single, pairs)]
+    return met[0].union(met[1]).groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def _may_link(percent: int, x: str, y: str) -> Column:
@@ -314,6 +469,48 @@ def _near(percent: int, x: str, y: str) -> Column:
     return (100 + percent) * differ <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs of ``x`` and ``y`` (structs or aliases with node and n), the lower node first."""
+    x, y = F.struct(F.col("x.node"), F.col("x.n")), F.struct(F.col("y.node"), F.col("y.n"))
+    low, high = F.least(x, y), F.greatest(x, y)
+    return met.select(low["node"].alias("a"), high["node"].alias("b"), low["n"].alias("na"), high["n"].alias("nb")).distinct()
+
+
+def _components(sets: DataFrame, same: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """``(node, c)`` of every node in a component of two or more."""
+    rows = sets.select("node", "n", "weight", "alone", F.posexplode("prefix").alias("place", "token"))
+    rows = stored(rows.select("token", "node", "n", (F.col("alone") + F.col("place")).alias("at"), "weight"), "prefixes")
+    cuts = _cuts(sets, fragments)
+    segments = stored(sets.select("node", "tokens", "cells").mapInArrow(lambda b: _segments(b, cuts), "node long, fragment int, segment binary"), "segments")
+    hubs = rows.groupBy("token").agg(F.max(F.struct("weight", (-F.col("node")).alias("last"), "n", "at")).alias("hub"), F.count("*").alias("held")).where("held > 1")
+    hubs = hubs.select("token", F.struct((-F.col("hub.last")).alias("node"), "hub.n", "hub.at").alias("hub"))
+    spokes = rows.join(hubs, "token").where("node <> hub.node").select(F.struct("node", "n", "at").alias("x"), F.col("hub").alias("y"))
+    spokes = spokes.where(_may_link(percent, "x", "y")).groupBy(F.col("x.node").alias("node"), F.col("y.node").alias("hub"))
+    spokes = spokes.agg(F.count("*").alias("met"), F.max("x.n").alias("n"), F.max("y.n").alias("m")).groupBy("node")
+    best = spokes.agg(F.max(F.struct("met", (-F.col("hub")).alias("last"), "n", "m")).alias("b"))
+    best = best.select(F.struct("node", F.col("b.n").alias("n")).alias("x"), F.struct((-F.col("b.last")).alias("node"), F.col("b.m").alias("n")).alias("y"))
+    pairs = stored(_pairs(best), "pairs")
+    parts = connected_components(_verified(pairs, segments, percent, len(cuts) + 1).union(same))
+
+    known = sets.select("node", *_SKETCH).join(parts, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    placed = stored(rows.drop("weight").join(known, "node"), "placed")
+    mixed = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
+    # Sets that link differ in length by less than the ratio of two neighbouring bands.
+    band = F.floor(F.log(101 / percent, F.col("n")))
+    placed = stored(placed.join(mixed, "token", "left_semi").withColumn("band", band), "mixed")
+    x, y = placed.alias("x"), placed.withColumn("own", F.col("band")).withColumn("band", F.explode(F.array("band", F.col("band") - 1))).alias("y")
+    once = (F.col("y.own") > F.col("x.band")) | (F.col("x.node") < F.col("y.node"))
+    met = (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & once
+    rest = _pairs(x.join(y, met & _may_link(percent, "x", "y") & _near(percent, "x", "y"))).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    more = _verified(stored(rest, "pairs"), segments, percent, len(cuts) + 1)
+    # Those links join whole components: the second round runs on the components, not on the sets.
+    side = lambda name: parts.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    upper = more.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    upper = connected_components(upper).select(F.col("node").alias("component"), F.col("component").alias("upper"))
+    lower = parts.unionByName(upper.select(F.col("component").alias("node"), "component")).distinct()
+    return lower.join(upper, "component", "left").select("node", F.coalesce("upper", "component").alias("c"))
+
+
 @cleaned
 def jaccard_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, fragments: int = 4, count_links: bool = True
@@ -322,78 +519,46 @@ def jaccard_groups(
 
     Two texts link when their shingle sets have ``100 |x & y| >= percent |x | y|``; component_id
     is the least id reachable by links. A text of fewer than ``width`` words is one shingle; null
-    or wordless texts have an empty set and are their own component. Ids should be unique: rows that
-    repeat an id count as one document that links where any of its texts does (texts of one id are
-    told apart by the size of their sets); rows with a null id are left out. ``n_links`` is the exact number of other
-    texts that the row's text links with, equal sets among them; it is left out where ``count_links``
-    is false. Other columns of ``docs`` are ignored.
+    or wordless texts have an empty set and are their own component. Ids may be of any type that has an order
+    and should be unique: rows that repeat an id count as one document that links where any of its texts does.
+    Rows with a null id are returned with their set size, a null component and no links.
+    ``n_links`` is the exact number of other texts that the row's text links with, equal sets among them;
+    it is left out where ``count_links`` is false. Other columns of ``docs`` are ignored.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    frequent = frequent_shingles(docs, width, "text")
-    sets = stored(
-        docs.mapInArrow(
-            lambda b: _signatures(b, width, percent, frequent),
-            "id long, n long, name_a long, name_b long, share double, " + "".join(f"{k} long, " for k in _SKETCH) + "prefix array<long>",
-        ),
-        "sets",
-    )
-    # Equal sets become one node, named by their least id.
-    nodes = sets.where("n > 0").groupBy("name_a", "name_b", "n").agg(F.min("id").alias("node"))
-    member = sets.select("id", "n", "name_a", "name_b").join(nodes, ["name_a", "name_b", "n"], "left")
-    member = stored(member.select("id", "n", F.coalesce("node", "id").alias("node")), "member")
-    first = member.where("id = node and n > 0").select("id", "n").distinct()
-    sketches = sets.join(first, ["id", "n"], "left_semi").select(F.col("id").alias("node"), "n", *_SKETCH).dropDuplicates(["node", "n"])
-    heads = sets.join(first, ["id", "n"], "left_semi").select("id", "n", "share", F.posexplode("prefix").alias("at", "token"))
-    # Most shingles are in one prefix only; the rows that remain are a small part. What is
-    # shuffled for that is one row of three longs per prefix shingle.
-    shared = heads.groupBy("token").count().where("count > 1").select("token")
-    packed = heads.select("token", "id", _packed_column().alias("place"))
-    rows = stored(packed.join(shared, "token").select("token", "id", *_unpacked("place")), "prefixes")
-    hubs = rows.groupBy("token").agg(F.max(F.struct("share", (-F.col("id")).alias("last"), "n", "at")).alias("hub"))
-    hubs = hubs.select("token", F.struct((-F.col("hub.last")).alias("id"), "hub.n", "hub.at").alias("hub"))
-
-    spokes = rows.join(hubs, "token").where("id <> hub.id").select(F.struct("id", "n", "at").alias("x"), F.col("hub").alias("y"))
-    spokes = spokes.where(_may_link(percent, "x", "y"))
-    pairs = stored(_pairs(spokes), "pairs")
-    links = _verified(pairs, docs, width, percent, fragments)
-    parts = connected_components(links)
-
-    known = stored(sketches.join(parts, "node", "left").select(F.col("node").alias("id"), "n", *_SKETCH, F.coalesce("component", "node").alias("c")), "nodes")
-    placed = rows.select("token", "id", "n", "at").join(known, ["id", "n"])
-    mixed = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
-    placed = stored(placed.join(mixed, "token", "left_semi"), "placed")
-    x, y = placed.alias("x"), placed.alias("y")
-    across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & _may_link(percent, "x", "y") & _near(percent, "x", "y"))
-    rest = _pairs(across).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(_verified(stored(rest, "pairs"), docs, width, percent, fragments), "links")
-    # Those links join whole components: the second round runs on the components, not on the texts.
-    side = lambda name: parts.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
-    upper = more.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    upper = upper.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    upper = connected_components(upper).select(F.col("node").alias("lower_component"), F.col("component").alias("upper"))
-
-    # Components are named by nodes, and a node is the least id of its copies.
-    out = member.join(parts, member["node"] == parts["node"], "left").select("id", "n", member["node"], "component")
-    out = out.withColumn("component", F.coalesce("component", "node"))
-    out = out.join(upper, F.col("component") == F.col("lower_component"), "left")
-    out = out.select("id", "n", "node", F.coalesce("upper", "component").alias("c"))
-    named = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id")]
-    if not count_links:
-        return out.select(named)
-    out = stored(out, "grouped")
-    counts = _link_counts(out, sets.select("id", "n", "share"), docs, width, percent)
-    out = out.join(counts.withColumnRenamed("n", "set_size"), (F.col("node") == F.col("of")) & (F.col("n") == F.col("set_size")), "left")
-    return out.select(*named, F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-
-
-def _pairs(met: DataFrame) -> DataFrame:
-    """Distinct pairs of ``x`` and ``y`` (structs or aliases with id and n), the lower id first."""
-    x, y = F.struct(F.col("x.id"), F.col("x.n")), F.struct(F.col("y.id"), F.col("y.n"))
-    low, high = F.least(x, y), F.greatest(x, y)
-    return met.select(low["id"].alias("a"), high["id"].alias("b"), low["n"].alias("na"), high["n"].alias("nb")).distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    name = ["name_a", "name_b", "n"]
+    every = shared_counts(texts, width, percent)
+    found = every.where("may_link and id is not null").select("id", *name)
+    # Equal sets are one node.
+    nodes = found.groupBy(*name).agg(F.min("id").alias("id"), F.countDistinct("id").alias("weight"))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    live = shared_counts(_among(texts, nodes), width, percent).where("may_link").select(*name).distinct()
+    live = stored(nodes.join(live, name), "live")
+    sets = ordered_sets(_among(texts, live), width, percent).dropDuplicates(name)
+    sets = stored(sets.join(live.select("node", *name), name).drop("name_a", "name_b"), "node_sets")
+    # Several texts of one id are one document.
+    member = stored(found.join(nodes.select("node", *name), name).select("id", "node").distinct(), "member")
+    least = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
+    same = member.join(least, "id").where("node > a").select("a", F.col("node").alias("b"))
+    parts = _components(sets, same, percent, fragments)
+
+    grouped = nodes.join(parts, "node", "left").select("node", "id", "n", "weight", F.coalesce("c", "node").alias("c"))
+    grouped = stored(grouped, "grouped")
+    named = grouped.join(grouped.groupBy("c").agg(F.min("id").alias("component")), "c").select("node", "component", "weight")
+    if count_links:
+        named = named.join(_link_counts(grouped.drop("id"), sets, percent), "node", "left")
+        links = F.col("weight") - 1 + F.coalesce("links", F.lit(0).cast("long"))
+        result = member.join(named.withColumn("linked", links), "node").groupBy("id").agg(F.min("component").alias("component"), F.max("linked").alias("linked"))
+    else:
+        result = member.join(named, "node").groupBy("id").agg(F.min("component").alias("component"))
+    out = every.select("id", "n").join(result, "id", "left")
+    columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")]
+    return out.select(*columns, *[F.coalesce("linked", F.lit(0).cast("long")).alias("n_links")] * count_links)
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the rows that are not the least id of their component."""
-    groups = jaccard_groups(docs, id_col, text_col, width, percent, count_links=False).where(F.col(id_col) != F.col("component_id")).select(id_col)
-    return docs.join(groups.distinct(), id_col, "left_anti").select(*docs.columns)
+    """``docs`` without the rows that are not the least id of their component; rows with a null id stay."""
+    groups = jaccard_groups(docs, id_col, text_col, width, percent, count_links=False).where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    if groups.count() <= MAX_SENT_IDS:
+        groups = F.broadcast(groups)
+    return docs.join(groups, id_col, "left_anti").select(*docs.columns)
