@@ -8,8 +8,8 @@ or per pair:
   ``n - ceil(t n) + k`` shingles of each (extended prefix filter, ``k`` about a quarter of a set). The prefixes are
   cut into fragments; each fragment counts, for every text, the shingles it shares with any
   other text, and a text whose sum stays below its ``k`` can't link and leaves. Texts that share only a
-  passage with others leave here, however many share it. It is done once over all texts and once
-  over one text of each set.
+  passage with others leave here, however many share it. It is done once over all texts and once,
+  with whole sets, over one text of each set that is left.
 * Order. The fragments count the exact number of sets that hold each shingle that is left. The global
   order from here on is (size class of that number, hash), rarest first.
 * Candidates. Two linked sets share a shingle among the first ``n - ceil(t n) + 1`` of each (prefix
@@ -64,9 +64,9 @@ def _least(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _extra(n: int, percent: int) -> int:
-    """``k`` of the extended prefix filter."""
-    return min(1 + n // 4, _least(n, percent))
+def _extra(n: int, percent: int, whole: bool) -> int:
+    """``k`` of the extended prefix filter; the prefix is the whole set where it is the least overlap."""
+    return _least(n, percent) if whole else min(1 + n // 4, _least(n, percent))
 
 
 def _coded(values: np.ndarray) -> bytes:
@@ -106,7 +106,7 @@ def _runs(values: np.ndarray) -> np.ndarray:
 _FIELDS = ["id", "n", "name_a", "name_b", "shared"]
 
 
-def _sent(batches: Iterator[pa.RecordBatch], width: int, percent: int, fragments: int) -> Iterator[pa.RecordBatch]:
+def _sent(batches: Iterator[pa.RecordBatch], width: int, percent: int, fragments: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """The distinct prefix shingles of each slice of texts by fragment, with the place in the slice of
     the one text that holds it (``_MANY``: several do), and a row with the members of the slice."""
     number, bounds = TaskContext.get().partitionId() << 32, _bounds(fragments)
@@ -118,7 +118,7 @@ def _sent(batches: Iterator[pa.RecordBatch], width: int, percent: int, fragments
                 n = len(s)
                 sizes.append(n)
                 names.append(_digest(s))
-                heads.append(s[: n - _least(n, percent) + _extra(n, percent)].copy())
+                heads.append(s[: n - _least(n, percent) + _extra(n, percent, whole)].copy())
             flat, places = np.concatenate(heads), np.repeat(np.arange(len(heads)), [len(h) for h in heads])
             order = np.argsort(flat, kind="stable")
             flat, places = flat[order], places[order]
@@ -188,18 +188,19 @@ def _summed(group: pa.Table) -> pa.Table:
     return pa.table(columns, names=_FIELDS)
 
 
-def shared_counts(texts: DataFrame, width: int, percent: int) -> DataFrame:
+def shared_counts(texts: DataFrame, width: int, percent: int, whole: bool = False) -> DataFrame:
     """``(id, n, name_a, name_b, may_link)`` of every row of ``texts`` (id and text): the size and
-    name of its set, and whether it shares enough of its prefix with other rows to link at all."""
+    name of its set, and whether it shares enough of its prefix (of its ``whole`` set) with other
+    rows to link at all."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     fragments = min(1 << 20, max(1, -(-size // FRAGMENT_BYTES)))
     kind = texts.schema["id"].dataType.simpleString()
     members = f"members array<struct<id: {kind}, n: long, name_a: long, name_b: long, shared: long>>"
-    sent = texts.mapInArrow(lambda b: _sent(b, width, percent, fragments), f"fragment int, slice long, {members}, tokens binary, places binary")
+    sent = texts.mapInArrow(lambda b: _sent(b, width, percent, fragments, whole), f"fragment int, slice long, {members}, tokens binary, places binary")
     counted = sent.groupBy("fragment").applyInArrow(lambda t: _counted(t, fragments), f"slice long, {members}, places binary, counts binary")
     summed = counted.groupBy("slice").applyInArrow(_summed, f"id {kind}, n long, name_a long, name_b long, shared long")
     least = F.floor((percent * F.col("n") + 99) / 100)
-    enough = (F.col("n") > 0) & (F.col("shared") >= F.least(1 + F.floor(least / 4), least))
+    enough = (F.col("n") > 0) & (F.col("shared") >= (least if whole else F.least(1 + F.floor(least / 4), least)))
     return stored(summed.select("id", "n", "name_a", "name_b", enough.alias("may_link")), "counts")
 
 
@@ -252,7 +253,7 @@ def _classed(group: pa.Table) -> pa.Table:
     classes = np.frexp(total)[1].astype(np.uint8)[inverse]
     cuts = np.cumsum([0, *[len(x) for x in tokens]])
     parts = pa.array([classes[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
-    return pa.table([group.column("slice"), group.column("fragment"), group.column("tokens"), parts], names=["slice", "fragment", "tokens", "classes"])
+    return pa.table([group.column("slice"), group.column("fragment"), parts], names=["slice", "fragment", "classes"])
 
 
 def _ordered(group: pa.Table, percent: int) -> pa.Table:
@@ -260,10 +261,9 @@ def _ordered(group: pa.Table, percent: int) -> pa.Table:
     own = group.column("sets").is_valid().to_numpy()
     row = group.slice(int(np.flatnonzero(own)[0]), 1)
     rest = group.filter(pa.array(~own)).sort_by("fragment")
-    known = np.concatenate([_decoded(x) for x in rest.column("tokens")] or [np.empty(0, np.uint64)])
     classes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in rest.column("classes")] or [np.empty(0, np.uint8)])
     flat = np.frombuffer(row.column("sets")[0].as_buffer(), np.uint64)
-    of = classes[np.searchsorted(known, flat)]
+    of = classes[np.unique(flat, return_inverse=True)[1]]  # the fragments are ranges of the sorted distinct shingles
     columns = {k: row.column(k)[0].values for k in ("n", "name_a", "name_b")}
     cuts = np.cumsum([0, *columns["n"].to_pylist()])
     alone, weight, prefixes, tokens, cells, sketches = [], [], [], [], [], []
@@ -294,7 +294,7 @@ def ordered_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
     size = sets.agg(F.coalesce(F.sum(F.octet_length("sets")), F.lit(0))).first()[0]
     fragments = min(1 << 20, max(1, -(-size // (2 * FRAGMENT_BYTES))))
     listed = sets.select("slice", "sets").mapInArrow(lambda b: _listed(b, fragments), "fragment int, slice long, tokens binary, counts binary")
-    classed = listed.groupBy("fragment").applyInArrow(_classed, "slice long, fragment int, tokens binary, classes binary")
+    classed = listed.groupBy("fragment").applyInArrow(_classed, "slice long, fragment int, classes binary")
     both = sets.unionByName(classed, allowMissingColumns=True)
     return stored(both.groupBy("slice").applyInArrow(lambda t: _ordered(t, percent), _ORDERED_SQL), "ordered")
 
@@ -532,7 +532,7 @@ def jaccard_groups(
     # Equal sets are one node.
     nodes = found.groupBy(*name).agg(F.min("id").alias("id"), F.countDistinct("id").alias("weight"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    live = shared_counts(_among(texts, nodes), width, percent).where("may_link").select(*name).distinct()
+    live = shared_counts(_among(texts, nodes), width, percent, whole=True).where("may_link").select(*name).distinct()
     live = stored(nodes.join(live, name), "live")
     sets = ordered_sets(_among(texts, live), width, percent).dropDuplicates(name)
     sets = stored(sets.join(live.select("node", *name), name).drop("name_a", "name_b"), "node_sets")
