@@ -65,6 +65,11 @@ def stored(df: DataFrame, what: str = "table") -> DataFrame:
     return _write(df, what, 1)
 
 
+def sent(table: DataFrame, most: int) -> DataFrame:
+    """A stored table, marked for broadcast while it has at most ``most`` rows."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
