@@ -10,6 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
+
+from loomcorpus.operators.tables import with_prefix_sums
 
 FLOW = ["queued", "extracting", "extracted", "enriching", "enriched", "embedding", "complete", "failed"]
 ENDED = ["complete", "failed"]
@@ -18,10 +21,18 @@ STAMPS = {"extracted": "extracted_at", "enriched": "enriched_at", "complete": "e
 
 
 def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key, the one of greatest ``order``; map-side combined, no window."""
+    """One row per key, the one of greatest ``order``; map-side combined, no window.
+
+    A null order comes before all others. Rows of one key and order are told apart by the rest of
+    their fields, the greatest in column order, so the result doesn't depend on how rows are dealt.
+    Maps can't be compared; tables with such columns need an order without ties.
+    """
     rest = [c for c in rows.columns if c not in keys]
-    top = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r"))
-    return top.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*rows.columns)
+    row = F.struct(order, F.struct(*rest).alias("_r"))
+    plain = not any(isinstance(rows.schema[c].dataType, MapType) for c in rest)
+    best = F.max(row) if plain else F.max_by(row, F.struct(F.col(order).isNotNull(), order))
+    top = rows.groupBy(*keys).agg(best.alias("_t"))
+    return top.select(*keys, *[F.col(f"_t._r.`{c}`").alias(c) for c in rest]).select(*rows.columns)
 
 
 def catalogue_upsert(current: DataFrame, batch: DataFrame, as_of: Column) -> DataFrame:
@@ -40,10 +51,10 @@ def catalogue_upsert(current: DataFrame, batch: DataFrame, as_of: Column) -> Dat
 
 
 def first_wins(current: DataFrame, batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Rows of ``batch`` whose key is new, the first of each by ``order``."""
+    """Rows of ``batch`` whose key is new, the first of each by ``order`` (null first; ties by the other fields)."""
     rest = [c for c in batch.columns if c not in keys]
-    new = batch.join(current.select(*keys), list(keys), "left_anti").groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r"))
-    return new.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    new = batch.join(current.select(*keys), list(keys), "left_anti").groupBy(*keys).agg(F.min(F.struct(order, F.struct(*rest).alias("_r"))).alias("_t"))
+    return new.select(*keys, *[F.col(f"_t._r.`{c}`").alias(c) for c in rest])
 
 
 def queue(catalogue: DataFrame, documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -78,20 +89,14 @@ def retry(rows: DataFrame) -> DataFrame:
 
 
 def append_ids(existing: DataFrame, rows: DataFrame, order: Sequence[str], id_col: str = "id") -> DataFrame:
-    """``rows`` with gapless new ids after the greatest existing one.
+    """``rows`` with gapless new ids after the greatest existing one, in ``order`` (which must be unique).
 
-    Ids come from per-partition counts of a range partitioning, so no task numbers all rows.
+    Ids come from per-partition counts of stored ranges, so no task numbers all rows.
     """
-    from pyspark.sql import Window
-
-    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    inside = Window.partitionBy("_part").orderBy(*order)
-    ranged = ranged.withColumn("_place", F.row_number().over(inside))
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    ranked = with_prefix_sums(rows.withColumn("_one", F.lit(1)), order, "_one")
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
-    out = ranged.join(F.broadcast(counts), "_part").crossJoin(F.broadcast(top))
-    return out.withColumn(id_col, F.col("_top") + F.col("_before") + F.col("_place")).drop("_part", "_place", "_before", "_top")
+    out = ranked.crossJoin(F.broadcast(top))  # one row
+    return out.withColumn("_id", F.col("_top") + F.col("rank") + 1).select(*rows.drop(id_col).columns, F.col("_id").alias(id_col))
 
 
 def set_payload(points: DataFrame, updates: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:

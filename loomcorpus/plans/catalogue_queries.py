@@ -241,18 +241,18 @@ def _(t: Tables) -> DataFrame:
     return state.last_wins(rows, ["minute", "metric_type"], "event_id").select("minute", "metric_type", "value")
 
 
-@query("k09_insert_or_ignore", """WITH old AS (SELECT DISTINCT source FROM documents WHERE doc_id < 4)
-  SELECT source, lang, min(doc_id) AS doc_id FROM documents WHERE source NOT IN (SELECT source FROM old) GROUP BY source, lang""")
+@query("k09_insert_or_ignore", """WITH b AS (SELECT source, md5(text) AS hash, doc_id FROM documents), old AS (SELECT DISTINCT source, md5(text) AS hash FROM documents JOIN labels USING (doc_id))
+  SELECT b.source, b.hash, min(b.doc_id) AS doc_id FROM b LEFT JOIN old ON b.source = old.source AND b.hash = old.hash WHERE old.hash IS NULL GROUP BY b.source, b.hash""")
 def _(t: Tables) -> DataFrame:
-    old = t.documents.where("doc_id < 4").select("source").distinct()
-    fresh = t.documents.join(old, "source", "left_anti")
-    return state.first_wins(fresh.limit(0), fresh.select("source", "lang", "doc_id"), ["source", "lang"], "doc_id").select("source", "lang", "doc_id")
+    batch = t.documents.select("source", F.md5("text").alias("hash"), "doc_id")
+    old = t.documents.join(t.labels.select("doc_id"), "doc_id").select("source", F.md5("text").alias("hash"))
+    return state.first_wins(old, batch, ["source", "hash"], "doc_id").select("source", "hash", "doc_id")
 
 
-@query("k10_append_ids", """SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY doc_id) AS id, doc_id FROM documents""")
+@query("k10_append_ids", """SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY doc_id) AS id, doc_id, source, lang, n_chars FROM documents""")
 def _(t: Tables) -> DataFrame:
     old = t.customer.select(F.col("c_custkey").alias("id"))
-    return state.append_ids(old, t.documents.select("doc_id"), ["doc_id"]).select("id", "doc_id")
+    return state.append_ids(old, t.documents.select("doc_id", "source", "lang", "n_chars", "text"), ["doc_id"]).drop("text")
 
 
 @query("k11_delete_by_predicate", "SELECT hash, status FROM doc WHERE NOT (status IN ('failed', 'queued'))")
