@@ -1,93 +1,13 @@
-"""Shared pieces of the training-data operators: tables that cut lineage, and graph components."""
+"""Shared pieces of the training-data operators: graph components, and the tables that cut lineage."""
 
 from __future__ import annotations
 
-import contextlib
-import functools
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcorpus.operators.tables import cleaned, new_path, qualified, sent, small_batches, stored, with_prefix_sums
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if known.isEmpty():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomcorpus-"))
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return known.get().rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{scratch_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-#: Rows and bytes of an Arrow batch while a table is stored: texts may be long, and a batch is held
-#: several times (in the JVM, in pyarrow and as numpy arrays).
-BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
-
-
-@contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Hold Arrow batches to ``BATCH_LIMITS`` while an action runs."""
-    before = {k: spark.conf.get(k, None) for k in BATCH_LIMITS}
-    for k, most in BATCH_LIMITS.items():
-        known = int(before[k]) if (before[k] or "").lstrip("-").isdigit() else 0
-        spark.conf.set(k, str(min(most, known) if known > 0 else most))
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-_open_scopes: list[list[str]] = []
-
-
-def _write(df: DataFrame, what: str, scope: int) -> DataFrame:
-    spark, path = df.sparkSession, new_path(df.sparkSession, what)
-    if len(_open_scopes) >= scope:
-        _open_scopes[-scope].append(path)
-    with small_batches(spark):
-        df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def stored(df: DataFrame, what: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later steps recompute nothing
-    before it, and any executor can read it. Arrow batches are kept small meanwhile."""
-    return _write(df, what, 1)
-
-
-def sent(table: DataFrame, most: int) -> DataFrame:
-    """A stored table, marked for broadcast while it has at most ``most`` rows."""
-    return F.broadcast(table) if table.count() <= most else table
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def cleaned(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Store the result of an operator, then delete the tables that it stored on the way."""
-
-    @functools.wraps(operator)
-    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
-        _open_scopes.append([])
-        try:
-            return _write(operator(docs, *args, **kwargs), operator.__name__, 2)
-        finally:
-            for path in _open_scopes.pop():
-                _delete(docs.sparkSession, path)
-
-    return run
+__all__ = ["cleaned", "connected_components", "new_path", "qualified", "sent", "small_batches", "stored", "with_prefix_sums"]
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

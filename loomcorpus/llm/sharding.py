@@ -7,10 +7,10 @@ row. A row belongs to the shard into whose equal share of all bytes the middle o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import cleaned, stored
+from loomcorpus.llm.common import cleaned, stored, with_prefix_sums
 
 OVERHEAD = 16
 
@@ -20,26 +20,6 @@ def text_size(text: str | Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long")
 
 
-def with_prefix_sums(rows: DataFrame, order: list[str], value: str) -> DataFrame:
-    """``rows`` with ``before`` (sum of ``value``) and ``rank`` (count) over all rows that sort before.
-
-    ``order`` must be unique. No task sees more than a range of rows; the window over everything
-    runs on the partitions' totals only.
-    """
-    ranged = stored(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranged")
-    totals = ranged.groupBy("part").agg(F.sum(value).alias("bytes"), F.count("*").alias("rows"))
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        "part", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("part_before"), F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("part_rank")
-    )
-    inside = Window.partitionBy("part").orderBy(*order)
-    run = ranged.withColumn("inside", F.sum(value).over(inside) - F.col(value)).withColumn("place", F.row_number().over(inside) - 1)
-    # One row for each partition: as many as there are tasks, so it is safe to broadcast.
-    return run.join(F.broadcast(totals), "part").select(
-        *rows.columns, (F.col("inside") + F.col("part_before")).alias("before"), (F.col("place") + F.col("part_rank")).alias("rank")
-    )
-
-
 @cleaned
 def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, size, text_crc32, law, shard, slot, grown_shard)`` of every row.
