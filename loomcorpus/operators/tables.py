@@ -91,18 +91,25 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is stored in the block when it ends."""
+    scopes = _open_scopes()
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            delete(spark, path)
+
+
 def cleaned(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Store the result of an operator, then delete the tables that it stored on the way."""
 
     @functools.wraps(operator)
     def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
-        scopes = _open_scopes()
-        scopes.append([])
-        try:
+        with scratch(docs.sparkSession):
             return _write(operator(docs, *args, **kwargs), operator.__name__, 2)
-        finally:
-            for path in scopes.pop():
-                delete(docs.sparkSession, path)
 
     return run
 
