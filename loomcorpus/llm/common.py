@@ -2,12 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcorpus.operators.tables import cleaned, new_path, qualified, sent, small_batches, stored, with_prefix_sums
+from loomcorpus.operators.tables import cleaned, delete, new_path, qualified, scratch, sent, small_batches, stored, with_prefix_sums
+
+__all__ = ["cleaned", "connected_components", "new_path", "publish", "scratch", "sent", "shared_uri", "small_batches", "stored", "with_prefix_sums"]
+
+#: Below a folder of published files, where the attempts of tasks write.
+ATTEMPTS = "_attempts"
+
+
+def shared_uri(spark: SparkSession, folder: str) -> str:
+    """The URI of a folder as pyarrow opens it; a path without a scheme is one of Spark's default store."""
+    uri = qualified(spark, folder)
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
-__all__ = ["cleaned", "connected_components", "new_path", "qualified", "sent", "small_batches", "stored", "with_prefix_sums"]
+
+def _moved(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    store, base = fs.FileSystem.from_uri(folder)
+    for batch in batches:
+        for attempt, name in zip(batch.column("attempt").to_pylist(), batch.column("file").to_pylist(), strict=True):
+            source = f"{base}/{ATTEMPTS}/{attempt}"
+            # A repeated task finds the file moved already.
+            if store.get_file_info(source).type != fs.FileType.NotFound:
+                store.move(source, f"{base}/{name}")
+        yield batch
+
+
+def publish(written: DataFrame, folder: str) -> DataFrame:
+    """Give the files of ``written`` (attempt, file, ...) their names in ``folder``.
+
+    Tasks write under ``ATTEMPTS``, each attempt under a new name. Only the attempts whose rows Spark
+    committed are in the stored list, and only those are moved; what lost or repeated attempts left is deleted.
+    """
+    spark, listed = written.sparkSession, stored(written, "written")
+    done = stored(listed.mapInArrow(lambda b: _moved(b, folder), listed.schema), "published")
+    delete(spark, f"{folder}/{ATTEMPTS}")
+    return done.drop("attempt")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import cleaned, new_path, stored
+from loomcorpus.llm.common import ATTEMPTS, cleaned, new_path, publish, shared_uri, stored
 from loomcorpus.llm.packing import token_ids
 from loomcorpus.llm.shingles import mix
 
@@ -56,6 +56,12 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _narrow(ids: np.ndarray) -> np.ndarray:
+    if len(ids) and ids.max() >= 1 << 8 * RECORD.itemsize:
+        raise ValueError(f"token id {ids.max()} doesn't fit the {8 * RECORD.itemsize} bits of a shard's ids")
+    return ids.astype(RECORD)
+
+
 def _cut(batches: Iterator[pa.RecordBatch], size: int, name: str) -> Iterator[pa.RecordBatch]:
     part, number, rest = TaskContext.get().partitionId(), 0, np.empty(0, RECORD)
 
@@ -71,7 +77,7 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int, name: str) -> Iterator[pa
 
     for batch in batches:
         for at in range(0, len(batch), 256):
-            ids = np.concatenate([rest, *[x.astype(RECORD) for x in token_ids(batch.column("text").slice(at, 256).to_pylist(), name)]])
+            ids = np.concatenate([rest, *[_narrow(x) for x in token_ids(batch.column("text").slice(at, 256).to_pylist(), name)]])
             whole = len(ids) // size
             if whole:
                 yield rows(list(ids[: whole * size].reshape(-1, size)))
@@ -82,7 +88,11 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int, name: str) -> Iterator[pa
 
 
 def sequences(docs: DataFrame, text_col: str = "text", size: int = SEQUENCE, name: str = "byte_bpe_50k") -> DataFrame:
-    """``(part, number, n_tokens, ids)``: every token of every document once; a task's last sequence may be shorter."""
+    """``(part, number, n_tokens, ids)``: every token of every document once; a task's last sequence may be shorter.
+
+    Null and empty texts are an end id alone, repeated rows come as often as they occur, no rows give no
+    sequence. An id that 16 bits can't hold is an error. Other columns are ignored.
+    """
     return docs.select(F.col(text_col).alias("text")).mapInArrow(lambda b: _cut(b, size, name), "part long, number long, n_tokens int, ids binary")
 
 
@@ -95,22 +105,22 @@ def _slotted(batches: Iterator[pa.RecordBatch], n: int, key: int, per_shard: int
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, size: int) -> Iterator[pa.RecordBatch]:
-    """Write the shards of one task, each under a name of its own until it is complete."""
+    """Write the shards of one task, each under a name of this attempt."""
     store, base = fs.FileSystem.from_uri(folder)
     unpack, out, shard, count, open_name = zstandard.ZstdDecompressor(), None, -1, 0, ""
 
     def close() -> pa.RecordBatch:
         out.close()
-        store.move(open_name, f"{base}/shard-{shard:09d}.bin")
-        return pa.record_batch([pa.array([shard]), pa.array([count], pa.int64())], names=["shard", "records"])
+        columns = [pa.array([open_name]), pa.array([f"shard-{shard:09d}.bin"]), pa.array([shard], pa.int64()), pa.array([count], pa.int64())]
+        return pa.record_batch(columns, names=["attempt", "file", "shard", "records"])
 
     for batch in batches:
         for own, n_tokens, ids in zip(batch.column("shard").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("ids"), strict=True):
             if own != shard:
                 if out is not None:
                     yield close()
-                shard, count, open_name = own, 0, f"{base}/{uuid.uuid4().hex}.open"
-                out = store.open_output_stream(open_name)
+                shard, count, open_name = own, 0, uuid.uuid4().hex
+                out = store.open_output_stream(f"{base}/{ATTEMPTS}/{open_name}")
             data = unpack.decompress(ids.as_buffer(), max_output_size=size * RECORD.itemsize)
             out.write((np.array([n_tokens], RECORD).tobytes() + data).ljust(stride(size), b"\0"))
             count += 1
@@ -142,7 +152,7 @@ def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int
     rows give no shard. Other columns are ignored.
     """
     store, base = fs.FileSystem.from_uri(folder)
-    store.create_dir(base)
+    store.create_dir(f"{base}/{ATTEMPTS}")
     cut = stored(sequences(docs, text_col, size), "sequences")
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.groupBy("part").agg(F.count("*").alias("n"))  # one row for each task of the scan
@@ -152,9 +162,9 @@ def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int
     indexed = cut.join(F.broadcast(offsets), "part").select((F.col("offset") + F.col("number")).alias("index"), "n_tokens", "ids")
     slotted = indexed.mapInArrow(lambda b: _slotted(b, n, key, per_shard), "shard long, slot long, n_tokens int, ids binary")
     # The slots are a permutation of 0 to n - 1, so equal ranges of them hold equal numbers of
-    # sequences: the range of a row is known, without sampling the data for it.
-    ranged = slotted.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-    return ranged.mapInArrow(lambda b: _write(b, folder, size), "shard long, records long")
+    # sequences: the range of a row is its shard, and a task writes one shard.
+    ranged = slotted.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+    return publish(ranged.mapInArrow(lambda b: _write(b, folder, size), "attempt string, file string, shard long, records long"), folder)
 
 
 def read_shards(spark: SparkSession, folder: str, size: int = SEQUENCE, per_shard: int = PER_SHARD) -> DataFrame:
@@ -187,8 +197,6 @@ def read_from(folder: str, slot: int, count: int, size: int = SEQUENCE, per_shar
 
 def materialise(docs: DataFrame, text_col: str = "text", folder: str | None = None, size: int = SEQUENCE, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """Write the shards and read them back, see ``write_shards`` and ``read_shards``."""
-    folder = folder or new_path(docs.sparkSession, "shards")
-    if ":" not in folder.split("/")[0]:
-        folder = f"file://{folder}"
+    folder = shared_uri(docs.sparkSession, folder or new_path(docs.sparkSession, "shards"))
     write_shards(docs, folder, text_col, size, per_shard, key)
     return read_shards(docs.sparkSession, folder, size, per_shard)

@@ -1,9 +1,11 @@
 """WARC archives with revisit records in place of repeated payloads.
 
 The headers of all pages are shuffled by payload digest; of equal payloads the one with the largest
-id stays a response and the others become revisits that refer to it. The archives are written anew
-with fresh headers, gzipped record by record, in files of bounded size in the shared folder, each
-under a name of its task and renamed when complete, so a lost task leaves nothing half-written.
+id stays a response and the others become revisits that refer to it. What comes back to the pages is
+the row number and the target of each revisit, so payloads aren't shuffled while those are few. The archives
+are written anew with fresh headers, gzipped record by record, in files of bounded size. Every attempt of
+a task writes files of its own, and only those of committed attempts are published (``common.publish``), so
+lost, repeated and speculative tasks leave no record twice and none half-written.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import cleaned, new_path, stored
+from loomcorpus.llm.common import ATTEMPTS, cleaned, new_path, publish, sent, shared_uri, stored
 
 #: An archive file is closed beyond this size, so that reading one back takes bounded memory.
 FILE_BYTES = 8 << 20
+#: Revisits whose row numbers are broadcast at most; more are joined by a shuffle.
+MAX_SENT = 1_000_000
 
 
 def payload_digest(payload: bytes) -> str:
@@ -38,17 +42,21 @@ def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns, digest, size], names=[*batch.schema.names, "digest", "size"])
 
 
-def record(page: int | str, url: str | None, payload: bytes, size: int, digest: str, refers_to: int | str | None) -> bytes:
+def _urn(page: int | str | None) -> str:
+    return f"<urn:page:{'' if page is None else page}>"
+
+
+def record(page: int | str | None, url: str | None, payload: bytes, size: int, digest: str, revisit: bool, refers_to: int | str | None) -> bytes:
     """One WARC/1.1 record; a revisit has the headers but no payload."""
-    kind = "response" if refers_to is None else "revisit"
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}>", "WARC-Date: 2000-01-01T00:00:00Z"]
+    kind = "revisit" if revisit else "response"
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(page)}", "WARC-Date: 2000-01-01T00:00:00Z"]
     if url is not None:
         target = "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
         lines.append(f"WARC-Target-URI: {target}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
     lines.append(f"Page-Payload-Length: {size}")
-    if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+    if revisit:
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_urn(refers_to)}"]
     lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
@@ -59,16 +67,15 @@ def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
 
     def close() -> pa.RecordBatch:
         out.close()
-        store.move(f"{base}/{name}.open", f"{base}/{name}")
-        return pa.record_batch([pa.array([name]), pa.array([count], pa.int64())], names=["file", "records"])
+        return pa.record_batch([pa.array([name]), pa.array([name]), pa.array([count], pa.int64())], names=["attempt", "file", "records"])
 
     for batch in batches:
         for row in batch.to_pylist():
             if out is None:
                 name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                out = store.open_output_stream(f"{base}/{name}.open")
+                out = store.open_output_stream(f"{base}/{ATTEMPTS}/{name}", compression=None)
             payload = (row["html"] or "").encode()
-            data = gzip.compress(record(row["page"], row["url"], payload, row["size"], row["digest"], row["refers_to"]), 4, mtime=0)
+            data = gzip.compress(record(row["page"], row["url"], payload, row["size"], row["digest"], row["revisit"], row["refers_to"]), 4, mtime=0)
             out.write(data)
             size, count = size + len(data), count + 1
             if size > FILE_BYTES:
@@ -78,32 +85,33 @@ def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
         yield close()
 
 
-def deduplicate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
-    """The rows with ``digest``, ``size`` and ``refers_to`` (null for responses).
+def resolve(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
+    """``(page, url, html, digest, size, revisit, refers_to)`` of every row; no html for revisits.
 
-    Of payloads of at least ``least_bytes`` bytes that are equal, the largest id is the response;
-    of repeated rows of that id one is. A null payload is empty. Rows with a null id are left out.
+    Of payloads of at least ``least_bytes`` bytes that are equal, the largest id is the response (a null
+    id is the least); of repeated rows of that id one is. A null payload is empty.
     """
-    rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).where("page is not null")
+    rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kind = rows.schema["page"].dataType.simpleString()
     landed = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         _headers, f"page {kind}, url string, html string, row long, digest string, size long"
     )
     landed = stored(landed, "landed")
-    headers = landed.select("page", "row", "digest", "size")
-    originals = headers.groupBy("digest", "size").agg(F.max(F.struct("page", "row")).alias("original"))
-    revisits = headers.where(F.col("size") >= least_bytes).join(originals, ["digest", "size"]).where(F.col("row") != F.col("original.row"))
-    revisits = revisits.select("row", F.col("original.page").alias("refers_to"))
-    return landed.join(revisits, "row", "left")
+    headers = landed.select("page", "row", "digest", "size").where(F.col("size") >= least_bytes)
+    originals = headers.groupBy("digest", "size").agg(F.max(F.struct("page", "row")).alias("original"), F.count("*").alias("held")).where("held > 1")
+    revisits = headers.join(originals.drop("held"), ["digest", "size"]).where(F.col("row") != F.col("original.row"))
+    revisits = stored(revisits.select("row", F.lit(True).alias("revisit"), F.col("original.page").alias("refers_to")), "revisits")
+    resolved = landed.join(sent(revisits, MAX_SENT), "row", "left").withColumn("revisit", F.coalesce("revisit", F.lit(False)))
+    return resolved.select("page", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "revisit", "refers_to")
 
 
 @cleaned
-def write_archives(resolved: DataFrame, folder: str) -> DataFrame:
-    """Write the resolved rows as archives under ``folder``; the files and their record counts."""
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
+    """Write all pages, resolved (see ``resolve``), as archives in ``folder`` (a URI); the files and their record counts."""
     store, base = fs.FileSystem.from_uri(folder)
-    store.create_dir(base)
-    rows = resolved.select("page", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "digest", "refers_to", "size")
-    return rows.mapInArrow(lambda b: _written(b, folder), "file string, records long")
+    store.create_dir(f"{base}/{ATTEMPTS}")
+    resolved = resolve(pages, id_col, url_col, html_col, least_bytes)
+    return publish(resolved.mapInArrow(lambda b: _written(b, folder), "attempt string, file string, records long"), folder)
 
 
 def parse(data: bytes) -> Iterator[dict]:
@@ -119,7 +127,7 @@ def parse(data: bytes) -> Iterator[dict]:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = lambda urn: urn.removeprefix("<urn:page:").removesuffix(">") if urn else None
+    number = lambda urn: urn.removeprefix("<urn:page:").removesuffix(">") or None if urn else None
     names = ["page", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     for batch in batches:
         for content in batch.column("content"):
@@ -145,10 +153,13 @@ def read_archives(pages: DataFrame, folder: str, id_type: str = "long") -> DataF
 
 
 def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, folder: str | None = None) -> DataFrame:
-    """Write deduplicated archives of all pages and read them back."""
-    folder = folder or new_path(pages.sparkSession, "warc")
-    if ":" not in folder.split("/")[0]:
-        folder = f"file://{folder}"
-    resolved = deduplicate(pages, id_col, url_col, html_col, least_bytes)
-    write_archives(resolved, folder)
+    """Write deduplicated archives of all pages and read them back:
+    ``(id_col, payload_bytes, payload_digest, record_type, refers_to)`` of every row.
+
+    Null and empty payloads are empty ones, and equal to each other. Repeated rows each give a record; one of
+    the largest id is the response. A null id is kept and is the least; revisits of such a response
+    refer to null. No rows give no archives. Other columns are ignored.
+    """
+    folder = shared_uri(pages.sparkSession, folder or new_path(pages.sparkSession, "warc"))
+    write_archives(pages, folder, id_col, url_col, html_col, least_bytes)
     return read_archives(pages, folder, pages.schema[id_col].dataType.simpleString()).withColumnRenamed("page", id_col)

@@ -245,6 +245,21 @@ def test_warc_round_trip(spark, tmp_path):
         assert r.record_type == "revisit" or r.page_id == last[h]
     assert Counter(r.record_type for r in got)["response"] == len(last)
     assert {r.record_type for r in warc.archive(pages.limit(3), folder=f"file://{tmp_path}/v", least_bytes=10**6).collect()} == {"response"}
+    assert warc.archive(pages.limit(0)).count() == 0
+    rows = spark.createDataFrame([(None, "u", "x"), (None, "u", "y"), (2, "u", "y"), (None, None, "x")], "page_id long, url string, html string")
+    got = sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in warc.archive(rows).collect())
+    assert got == [(0, "response", 0), (0, "revisit", 0), (0, "revisit", 2), (2, "response", 0)]
+
+
+def test_files_of_lost_attempts_are_not_read(spark, tmp_path, monkeypatch):
+    """Every task first runs to its end in vain, as a lost or speculative one does, and then again."""
+    write = warc._written
+    monkeypatch.setattr(warc, "_written", lambda b, folder: (lambda held: [list(write(iter(held), folder)), write(iter(held), folder)][1])(list(b)))
+    pages = spark.createDataFrame([(i, "u", f"p{i % 30}") for i in range(40)], "page_id long, url string, html string").repartition(3)
+    assert sorted(r.page_id for r in warc.archive(pages, folder=str(tmp_path / "w")).collect()) == list(range(40))
+    assert not (tmp_path / "w" / "_attempts").exists()
+    monkeypatch.setattr(warc, "MAX_SENT", 0)
+    assert Counter(r.record_type for r in warc.archive(pages).collect()) == {"response": 30, "revisit": 10}
 
 
 def test_materialise(spark, texts, tmp_path):
@@ -255,6 +270,14 @@ def test_materialise(spark, texts, tmp_path):
     assert sorted(rows["slot"]) == list(range(len(rows)))
     ids = list(packing.token_ids([t for _, t in texts]))
     assert rows["n_tokens"].sum() == sum(map(len, ids))
+    # Slot Feistel(i) holds sequence i: the parts' sequences in order, counted on.
+    cut = sorted((r.part, r.number, zlib.crc32(r.ids)) for r in materialise.sequences(frame(spark, texts), size=64).collect())
+    at = materialise.permuted(np.arange(len(cut)), len(cut))
+    by_slot = dict(zip(rows["slot"], rows["ids_crc32"], strict=True))
+    assert [by_slot[s] for s in at] == [c for _, _, c in cut]
+    assert list(rows["shard"]) == list(rows["slot"] // 50) and list(rows["place"]) == list(rows["slot"] % 50)
+    with pytest.raises(ValueError):
+        materialise._narrow(np.array([1 << 16], np.uint32))
     read = list(materialise.read_from(folder, 30, 60, size=64, per_shard=50))
     assert [zlib.crc32(x.tobytes()) for x in read] == list(rows.sort_values("slot")["ids_crc32"][30:90])
     tokens = Counter(np.concatenate(list(materialise.read_from(folder, 0, len(rows), size=64, per_shard=50))).tolist())
@@ -273,6 +296,54 @@ def test_language(spark):
     assert [out[i].lang_pred for i in (300, 301, 302, 303)] == ["und", "und", "und", "aa"]
     assert {r.doc_id for r in language.keep_identified(docs).collect()} == {*range(200), 303}
     assert {r.lang_pred for r in language.identify(docs.withColumn("lang", docs["lang"].substr(99, 1)).where("doc_id < 0")).collect()} == set()
+
+
+def brute_bits(sample, text):
+    """Code length of a text under the frozen PPM statistics of a sample, byte by byte."""
+    seen = defaultdict(Counter)
+    lower = lambda t: b"\n\n\n" + re.sub("[A-Z]", lambda c: c[0].lower(), t).encode()
+    for t in sample:
+        x = lower(t)
+        for i in range(3, len(x)):
+            for k in range(4):
+                seen[x[i - k : i]][x[i]] += 1
+    total, x = 0.0, lower(text)
+    for i in range(3, len(x)):
+        for k in (3, 2, 1, 0):
+            followers = seen.get(x[i - k : i])
+            if not followers:
+                continue
+            n, d = sum(followers.values()), len(followers)
+            if x[i] in followers:
+                total -= np.log2(followers[x[i]] / (n + d))
+                break
+            total -= np.log2(d / (n + d))
+        else:
+            total += 8
+    return total
+
+
+def test_code_lengths_equal_brute_force(spark):
+    rng = random.Random(9)
+    scripts = ["абвгдежзик", "αβγδεζηθικ", "אבגדהוזחטי", "aBcdefGhij", "कखगघचछजझटठ"]
+    texts = [("".join(rng.choice(s) + rng.choice(["", "", " ", "1", "\n"]) for _ in range(80)), f"l{k}") for k, s in enumerate(scripts) for _ in range(12)]
+    docs = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(texts)] + [(900, "", "l0"), (901, "é", None), (902, "б" * 3000, None)], "doc_id long, text string, lang string")
     model = language.fit(docs)
-    bits = language.code_lengths(model.keys[0], model.counts[0]).reshape(-1, language.SYMBOLS)
-    assert (np.exp2(-bits.astype(float)).sum(axis=1) <= 1.001).all()
+    assert model.languages == tuple(f"l{k}" for k in range(5))
+    rows = [t for t, _ in texts[::7]] + ["", "Zz 99", "б" * 3000]
+    for got, tree in zip(model.languages, language.trees(model), strict=True):
+        sample = [t for t, k in texts if k == got] + ([""] if got == "l0" else [])
+        for _, _, buffer, starts in language.chunks(pa.array(rows, pa.string())):
+            grams, bounds = language.byte_grams(buffer, starts)
+            bits = tree.code_lengths(grams)
+            for i, t in enumerate(rows):
+                assert abs(bits[bounds[i] : bounds[i + 1]].sum() - brute_bits(sample, t)) < 1e-2 * max(1, len(t)), (got, t[:20])
+    out = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    assert [out[i] for i in range(len(texts))] == [k for _, k in texts] and out[900] == "und" and out[902] == "l0"
+
+
+def test_language_columns_may_clash(spark):
+    docs = spark.createDataFrame([(i, "tolo mirru", "aa", "x", 1.0, 2, 3, "r") for i in range(9)] + [(None, None, "aa", "x", 1.0, 2, 3, "r")], "doc_id long, text string, lang string, lang_pred string, score double, bits int, held_out int, row string")
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns and kept.count() == 9
+    assert language.identify(docs).count() == 10
