@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, line dedup, near duplicates, decontamination, packing.
 
 Each stage takes the documents that its predecessor kept and returns documents again; the last
-returns the placed pieces of the packed training sequences.
+returns the placed pieces of the packed training sequences. Empty tables pass all stages.
 """
 
 from __future__ import annotations
@@ -13,27 +13,31 @@ from loomcorpus.llm.common import stored
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts in no learned language."""
+    """Drop null texts, texts without a letter, and those that two learned languages explain alike.
+    Repeated rows stay or go together; very long texts are scored whole."""
     return language.keep_identified(docs)
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete later copies of repeated runs of lines, and documents of which nothing is left."""
+    """Delete later copies of repeated runs of lines, and documents of which nothing is left. The copy
+    in the least id stays; texts that are null or blank to begin with, and rows with a null id, stay as they are."""
     return lines.keep_new_lines(docs)
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the least id of each group of linked documents."""
+    """Keep the least id of each group of linked documents. Null and wordless texts are linked with
+    nothing and stay, as do rows with a null id; rows that repeat the least id all stay."""
     return jaccard.keep_one_per_group(docs)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents contaminated by the benchmark."""
+    """Drop documents contaminated by the benchmark. Null texts, null ids and, for an empty benchmark,
+    all rows stay."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into training sequences."""
+    """Pack what is left into training sequences: every row, null and empty texts as an end id alone."""
     return packing.pack(docs)
 
 

@@ -562,3 +562,20 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if groups.count() <= MAX_SENT_IDS:
         groups = F.broadcast(groups)
     return docs.join(groups, id_col, "left_anti").select(*docs.columns)
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)
+), r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), m AS (SELECT a, min(b) AS b FROM r GROUP BY a
+), k AS (SELECT a, count(*) AS k FROM l GROUP BY a
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.b, w.doc_id)) AS component_id, coalesce(k.k, 0) AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = w.doc_id LEFT JOIN k ON k.a = w.doc_id
+"""

@@ -188,3 +188,22 @@ def keep_new_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = F.when(F.col("lines_gone") > 0, F.length("new_text").cast("long"))
     new = {text_col: F.col("new_text"), "n_chars": F.coalesce(size, F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return rows.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
+
+
+SQL = r"""
+WITH ls AS (SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents
+), e AS (SELECT doc_id, unnest(raw) AS t, generate_subscripts(raw, 1) - 1 AS spot FROM ls WHERE text IS NOT NULL
+), n AS (SELECT doc_id, spot, regexp_replace(t, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM e
+), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY spot) AS i, sum(w) OVER (PARTITION BY doc_id ORDER BY spot) AS s FROM n WHERE w > 0
+), l AS (SELECT doc_id, list(t ORDER BY i) AS ts, count(*) AS n_lines FROM r GROUP BY doc_id
+), u AS (
+  SELECT r.doc_id, r.i AS lo, min(q.i) AS hi FROM r JOIN r q ON q.doc_id = r.doc_id AND q.i BETWEEN r.i AND r.i + 49 AND q.s - r.s + r.w >= 50 GROUP BY r.doc_id, r.i
+  UNION SELECT r.doc_id, max(q.i), r.i FROM r JOIN r q ON q.doc_id = r.doc_id AND q.i BETWEEN r.i - 49 AND r.i AND r.s - q.s + q.w >= 50 GROUP BY r.doc_id, r.i
+), k AS (SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY array_to_string(list_slice(ts, lo, hi), chr(10)) ORDER BY doc_id, lo) AS place FROM u JOIN l USING (doc_id)
+), g AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS i FROM k WHERE place > 1
+), gone AS (SELECT doc_id, list(spot) AS gone FROM g JOIN r USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(raw, lambda x, j: NOT list_contains(gone, j - 1)), chr(10)) END AS text,
+  coalesce(n_lines, 0) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_deleted
+FROM ls LEFT JOIN l USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""

@@ -68,4 +68,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {"op4_decontamination": decontaminate.SQL, "op7_url_filters": urls.SQL}
+ORACLES: dict[str, str] = {
+    "op2_sharding": sharding.SQL,
+    "op3_line_dedup": lines.SQL,
+    "op4_decontamination": decontaminate.SQL,
+    "op5_jaccard_join": jaccard.SQL,
+    "op7_url_filters": urls.SQL,
+    "op8_warc": warc.SQL,
+}

@@ -53,3 +53,21 @@ def write_shards(docs: DataFrame, shards: int, path: str, id_col: str = "doc_id"
     placed = assign_shards(docs, shards, id_col, text_col).select(id_col, "shard", "slot")
     docs.join(placed, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
+
+SQL = r"""
+WITH RECURSIVE step(b, k, v) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM range(256) t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM step WHERE k < 8
+), tab AS (SELECT list(v ORDER BY b) AS t FROM step WHERE k = 8
+), sized AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) + 16 AS BIGINT) AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM documents
+), summed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total FROM sized
+), placed AS (
+  SELECT *, CAST(least(39, (2 * before + size) * 40 // (2 * total)) AS INT) AS shard FROM summed
+)
+SELECT doc_id, size, xor(4294967295, list_reduce(bytes, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295)) AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM placed, tab
+"""

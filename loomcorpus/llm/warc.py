@@ -163,3 +163,14 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     folder = shared_uri(pages.sparkSession, folder or new_path(pages.sparkSession, "warc"))
     write_archives(pages, folder, id_col, url_col, html_col, least_bytes)
     return read_archives(pages, folder, pages.schema[id_col].dataType.simpleString()).withColumnRenamed("page", id_col)
+
+
+SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages
+), d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS original FROM p
+)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(x, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> original THEN original END AS refers_to
+FROM d
+"""

@@ -213,6 +213,35 @@ def test_quality_classifier(spark):
     assert quality.judge(frame(spark, []), neutral).count() == 0
 
 
+def brute_margin(model, text):
+    """The classifier's margin of one text, gram by gram, from hashes of single words and grams."""
+    low = re.sub("[A-Z]", lambda c: c[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    hashes = [int(shingles.word_hashes(np.frombuffer(w.encode(), np.uint8))[0][0]) for w in words]
+    single = lambda x: int(shingles.mix(np.array([x % 2**64], np.uint64))[0])
+    quarter, half = quality.DIMENSIONS // 4, quality.DIMENSIONS // 2
+    found = [[h // 2**50 for h in hashes], [single(a * 3 + b) // 2**50 + quarter for a, b in zip(hashes, hashes[1:])], []]
+    chars = [ord(c) for c in low + "\n"]
+    for i in range(len(chars) - quality.GRAM + 1):
+        value = 0
+        for c in chars[i : i + quality.GRAM]:
+            value = (value * 0x9E3779B97F4A7C15 + c) % 2**64
+        found[2].append(single(value) // 2**49 + half)
+    return sum(np.mean([float(model.weights[i]) for i in x]) for x in found if x) + model.bias
+
+
+def test_quality_of_a_text_alone_and_in_a_batch(texts):
+    rng = np.random.default_rng(1)
+    model = quality.Classifier(rng.normal(size=quality.DIMENSIONS).astype(np.float32), 0.1, 0.7, -0.2)
+    rows = [t for _, t in texts if t is None or len(t) < 4000] + ["é", "ab", "abc", "A b\nc ß 漢字"]
+    together = np.concatenate(list(quality.probabilities(model, pa.array(rows, pa.string()))))
+    back = np.concatenate(list(quality.probabilities(model, pa.array(rows[::-1], pa.string()))))[::-1]
+    alone = np.concatenate([p for t in rows for p in quality.probabilities(model, pa.array([t], pa.string()))])
+    assert (together == alone).all() and (together == back).all()
+    want = [1 / (1 + np.exp(-(0.7 * brute_margin(model, t) - 0.2))) for t in rows]
+    assert np.abs(together - want).max() < 1e-6
+
+
 def test_urls(spark):
     urls_ = ["http://Example.ORG/es/x?q", "https://a.example.org/en/12#t", "http://example.org/en/2", "http://org", "ftp://x.com/fr/", "http://notexample.org/es/", "http://a.com/de/y",
              "http://com:80/de/", "no scheme", "", None, "http://x.com/fr", "HTTP://b.org/?x://y", "://org/"]
