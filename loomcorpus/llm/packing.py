@@ -4,7 +4,8 @@ Documents are tokenized in Arrow batches; only those longer than a sequence are
 full length are sequences of their own. The others are dealt by a hash into groups of bounded
 size, each packed in one task: best-fit decreasing first, then a local search over the underfull
 bins, which moves a document, exchanges one for one or two for one whenever that raises the sum of
-squared fills, so light bins drain into heavy ones until they are empty. The bins that a group
+squared fills, so light bins drain into heavy ones until they are empty; it ends when no step is left or
+the number of bins has reached its lower bound. The bins that a group
 leaves underfull go, as wholes, to a second round of groups, where the same search runs over
 documents of different first groups; so the loss to grouping doesn't add up with the group count.
 """
@@ -108,115 +109,113 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, size: int = SEQUENCE, na
 
 
 class Bins:
-    """Bins of one group, with the local search over the underfull ones."""
+    """Bins of one group of pieces, with the local search over the underfull ones."""
 
-    def __init__(self, size: int) -> None:
-        self.size = size
-        self.items: dict[int, list[tuple[int, int]]] = {}
-        self.fill: dict[int, int] = {}
+    def __init__(self, size: int, lengths: np.ndarray) -> None:
+        self.size, self.lengths = size, np.asarray(lengths, np.int64)
+        self.bin = np.full(len(self.lengths), -1, np.int64)
+        self.fill = np.zeros(len(self.lengths) + 1, np.int64)
+        self.items: dict[int, list[int]] = {}
         self.order: list[tuple[int, int]] = []  # (fill, bin) of the underfull bins, lightest first
 
-    def set(self, b: int, items: list[tuple[int, int]]) -> None:
-        old = self.fill.pop(b, None)
-        if old is not None and old < self.size:
-            del self.order[bisect_left(self.order, (old, b))]
-        self.items.pop(b, None)
-        if items:
-            self.items[b] = items
-            self.fill[b] = fill = sum(x[0] for x in items)
-            if fill < self.size:
-                insort(self.order, (fill, b))
-
-    def best_fit(self, pieces: list[tuple[int, int]]) -> None:
+    def put(self, pieces: list[int], b: int) -> None:
+        """Move pieces, which lie in no bin or together in one, to bin ``b``."""
+        old = int(self.bin[pieces[0]])
+        size = int(self.lengths[pieces].sum())
+        for at, change in ((old, -size), (b, size)):
+            if at < 0:
+                continue
+            known = (int(self.fill[at]), at)
+            place = bisect_left(self.order, known)
+            if place < len(self.order) and self.order[place] == known:
+                del self.order[place]
+            self.fill[at] += change
+            if 0 < self.fill[at] < self.size:
+                insort(self.order, (int(self.fill[at]), at))
+        if old >= 0:
+            self.items[old] = [x for x in self.items[old] if x not in pieces]
+            if not self.items[old]:
+                del self.items[old]
+        self.items.setdefault(b, []).extend(pieces)
+        self.bin[pieces] = b
+
+    def _fullest(self, length: int, but: int = -1) -> int:
+        """The fullest underfull bin that still holds a piece, else -1."""
+        i = bisect_left(self.order, (self.size - length + 1, -1)) - 1
+        if i >= 0 and self.order[i][1] == but:
+            i -= 1
+        return self.order[i][1] if i >= 0 else -1
+
+    def best_fit(self) -> None:
         """Each piece, longest first, to the fullest bin that still holds it."""
-        for x in sorted(pieces, key=lambda x: (-x[0], x[1])):
-            i = bisect_left(self.order, (self.size - x[0] + 1, -1)) - 1
-            b = self.order[i][1] if i >= 0 else len(self.items)
-            self.set(b, [*self.items.get(b, []), x])
+        for x in np.argsort(-self.lengths, kind="stable"):
+            b = self._fullest(int(self.lengths[x]))
+            self.put([int(x)], b if b >= 0 else len(self.items))
+
+    def least(self) -> int:
+        """A bound: pieces of more than half a sequence never share one."""
+        return max(-(-int(self.lengths.sum()) // self.size), int((2 * self.lengths > self.size).sum()))
 
-    def search(self, tries: int = 64) -> None:
-        """Drain the lightest bins until no bin can be emptied or the bound of their total is met.
+    def search(self) -> None:
+        """Move and exchange pieces while that raises the sum of the squared fills, the lightest bins first,
+        until no single step of any bin does, or the number of bins has reached its bound.
 
-        ``tries`` bounds the exchanges with which one bin is drained; it only bounds effort.
+        Every step raises an integer below ``bins * size ** 2``, so the search ends.
         """
-        least = -(-sum(self.fill.values()) // self.size)
-        stuck: set[int] = set()
-        while len(self.fill) > least:
-            light = next((b for _, b in self.order if b not in stuck), None)
-            if light is None or len(self.order) < 2:
-                return
-            saved, touched = list(self.items[light]), {}
-            if not self._drain(light, touched, tries):
-                for b, items in touched.items():
-                    self.set(b, items)
-                self.set(light, saved)
-                stuck.add(light)
-                if len(stuck) > 32:
+        least, changed = self.least(), True
+        while changed:
+            changed = False
+            for light in [b for _, b in self.order]:
+                while len(self.items) > least and light in self.items and (self._move(light) or self._exchange(light)):
+                    changed = True
+                if len(self.items) <= least:
                     return
 
-    def _drain(self, light: int, touched: dict[int, list[tuple[int, int]]], tries: int) -> bool:
-        for _ in range(tries):
-            if light not in self.items:
-                return True
-            if not (self._move(light, touched) or self._exchange(light, touched)):
-                return False
-        return light not in self.items
-
-    def _move(self, light: int, touched: dict) -> bool:
-        for x in sorted(self.items[light], reverse=True):
-            i = bisect_left(self.order, (self.size - x[0] + 1, -1)) - 1
-            while i >= 0 and (self.order[i][1] == light):
-                i -= 1
+    def _move(self, light: int) -> bool:
+        fill = int(self.fill[light])
+        for x in sorted(self.items[light], key=lambda x: -self.lengths[x]):
+            length = int(self.lengths[x])
+            b = self._fullest(length, light)
             # Into a bin at least as full as what stays behind, so the squares rise.
-            if i >= 0 and self.order[i][0] > self.fill[light] - x[0]:
-                b = self.order[i][1]
-                touched.setdefault(b, list(self.items[b]))
-                self.set(b, [*self.items[b], x])
-                self.set(light, [y for y in self.items[light] if y is not x])
+            if b >= 0 and int(self.fill[b]) > fill - length:
+                self.put([x], b)
                 return True
         return False
 
-    def _exchange(self, light: int, touched: dict) -> bool:
-        """Give a longer piece, or two pieces, for one piece of a fuller bin."""
-        mine = sorted(self.items[light], reverse=True)
-        give = [(x,) for x in mine] + [(x, y) for i, x in enumerate(mine[:12]) for y in mine[i + 1 : 12]]
-        best = None
-        for _, b in self.order[::-1][:256]:
-            if b == light or self.fill[b] < self.fill[light]:
-                continue
-            room = self.size - self.fill[b]
-            for y in self.items[b]:
-                for xs in give:
-                    gain = sum(x[0] for x in xs) - y[0]
-                    if 0 < gain <= room:
-                        rise = gain * (self.fill[b] - self.fill[light] + gain)
-                        if best is None or rise > best[0]:
-                            best = (rise, b, y, xs)
-        if best is None:
+    def _exchange(self, light: int) -> bool:
+        """Give a longer piece, or two pieces, for one piece of a bin at least as full: the best such
+        exchange with any bin. The rise grows with the gain, so for each piece the largest sum that fits is it."""
+        mine = np.array(self.items[light])
+        own = self.lengths[mine]
+        first, second = np.triu_indices(len(mine), 1)
+        first, second = np.concatenate((np.arange(len(mine)), first)), np.concatenate((np.full(len(mine), -1), second))
+        sums, which = np.unique(np.where(second < 0, own[first], own[first] + own[second]), return_index=True)
+        fill = self.fill[self.bin]
+        place = np.searchsorted(sums, self.lengths + self.size - fill, "right") - 1
+        gain = sums[np.maximum(place, 0)] - self.lengths
+        other = fill - self.fill[light]
+        rise = np.where((place >= 0) & (gain > 0) & (other >= 0) & (fill < self.size) & (self.bin != light), gain * (other + gain), 0)
+        y = int(rise.argmax())
+        if rise[y] <= 0:
             return False
-        _, b, y, xs = best
-        touched.setdefault(b, list(self.items[b]))
-        self.set(b, [z for z in self.items[b] if z is not y] + list(xs))
-        self.set(light, [z for z in self.items[light] if z not in xs] + [y])
+        chosen = which[place[y]]
+        b, give = int(self.bin[y]), [int(mine[first[chosen]])] + ([int(mine[second[chosen]])] if second[chosen] >= 0 else [])
+        self.put([y], light)
+        self.put(give, b)
         return True
 
 
 def _packed(group: pd.DataFrame, size: int) -> pd.DataFrame:
     """Bins of one group; pieces that share a ``bin`` already stay movable documents."""
     group = group.sort_values(["row", "piece"], kind="stable").reset_index(drop=True)
-    bins = Bins(size)
-    lengths = group["length"].to_numpy()
+    bins = Bins(size, group["length"].to_numpy())
     if (group["bin"] >= 0).all():
         for number, (_, at) in enumerate(group.groupby("bin").indices.items()):
-            bins.set(number, [(int(lengths[i]), int(i)) for i in at])
+            bins.put([int(i) for i in at], number)
     else:
-        bins.best_fit([(int(n), i) for i, n in enumerate(lengths)])
+        bins.best_fit()
     bins.search()
-    number, fill = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
-    for b, items in bins.items.items():
-        at = [i for _, i in items]
-        number[at], fill[at] = b, bins.fill[b]
-    return group.assign(bin=(group["group"].to_numpy() << 32) + number, fill=fill)
+    return group.assign(bin=(group["group"].to_numpy() << 32) + bins.bin, fill=bins.fill[bins.bin])
 
 
 _FIELDS = ["id", "row", "piece", "start", "length", "ids_crc32", "bin", "fill", "group"]

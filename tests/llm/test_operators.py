@@ -89,12 +89,32 @@ def test_packing(spark, texts, size):
 
 
 def test_packing_search_empties_bins():
-    bins = packing.Bins(10)
-    bins.set(0, [(6, 0)])
-    bins.set(1, [(5, 1), (3, 2)])
-    bins.set(2, [(4, 3), (2, 4)])
+    bins = packing.Bins(10, np.array([6, 5, 3, 4, 2]))
+    for pieces, b in (([0], 0), ([1, 2], 1), ([3, 4], 2)):
+        bins.put(pieces, b)
     bins.search()
-    assert len(bins.items) == 2 and sorted(bins.fill.values()) == [10, 10]
+    assert len(bins.items) == 2 and sorted(bins.fill[list(bins.items)]) == [10, 10]
+
+
+def test_packing_search_ends_in_a_local_optimum():
+    rng = np.random.default_rng(3)
+    for size, high in ((30, 20), (2048, 900), (100, 60), (9, 9)):
+        lengths = rng.integers(1, high, 120)
+        bins = packing.Bins(size, lengths)
+        bins.best_fit()
+        before = len(bins.items)
+        bins.search()
+        used = {b: [i for i in range(120) if bins.bin[i] == b] for b in set(bins.bin.tolist())}
+        fill = {b: int(lengths[x].sum()) for b, x in used.items()}
+        assert all(0 < f <= size for f in fill.values()) and len(used) <= before
+        if len(used) == bins.least():
+            continue
+        for a in used:
+            for b in (b for b in used if b != a and fill[b] >= fill[a]):
+                assert not any(lengths[x] <= size - fill[b] for x in used[a])
+                for y in used[b]:
+                    gives = [lengths[x] for x in used[a]] + [lengths[x] + lengths[z] for i, x in enumerate(used[a]) for z in used[a][i + 1 :]]
+                    assert not any(0 < g - lengths[y] <= size - fill[b] for g in gives)
 
 
 def test_packing_empty(spark):
@@ -104,6 +124,8 @@ def test_packing_empty(spark):
 def test_token_ids_equal_the_tokenizer(texts):
     rng = random.Random(1)
     odd = ["".join(rng.choice(" \n\tab1'é,.　ßIll\x0b\x85") for _ in range(rng.randint(1, 40))) for _ in range(300)] + ["<|endoftext|> b"]
+    points = [*range(0xD800), *range(0xE000, 0x30000)]
+    odd += ["".join(chr(rng.choice(points)) + rng.choice(["", "", " ", "a", "1"]) for _ in range(rng.randint(1, 12))) for _ in range(2000)]
     rows = [t for _, t in texts] + odd
     coder = packing.tokenizer()
     for t, ids in zip(rows, packing.token_ids(rows), strict=True):
