@@ -8,7 +8,23 @@ from pyspark.sql import functions as F
 #: Words that stay lower-case in folder names.
 SMALL_WORDS = ["and", "of", "the", "to", "for", "in", "on", "at"]
 #: Name suffixes that are no last name.
-NAME_SUFFIXES = ["jr", "sr", "ii", "iii", "iv", "phd", "md", "do"]
+NAME_SUFFIXES = ["jr", "jr.", "sr", "sr.", "ii", "iii", "iv", "phd", "md", "do"]
+#: What names no person, whatever the case.
+NO_PERSON = [
+    r"^\(YT\)", "^Wikipedia", "^null$", "^unknown$", "^N/A$", "^Various", "^Staff", "^Anonymous",
+    *(rf"{body}\b" for body in [
+        "Department", "Committee", "Organization", "Institute", "Association", "Foundation", "University", "Government", "Bureau", "Agency", "Office",
+        "Division", "Center", "Centre", "Ministry", "Commission", "Council", "Board", "Corps", "Army", "Navy", "Air Force", "Marine", r"U\.?S\.?", "United States",
+    ]),
+]
+#: Marks of download sites in titles.
+TITLE_TAGS = [r"(?i)[\s_]*\(?\s*PDFDrive\s*\)?\s*_?", r"(?i)[\s_]*\(?\s*z-lib\.org\s*\)?\s*_?"]
+#: Titles, and parts of titles, that name no work.
+GARBAGE_TITLES = [
+    "download", "cmspage", "plant uses", "natural resources conservation service", "national center for home food preservation",
+    "home", "index", "about", "contact", "menu", "page", "search", "untitled",
+]
+GARBAGE_PARTS = [".html", ".php", ".asp", "://", "\\\\"]
 
 
 def words(text: Column) -> Column:
@@ -20,21 +36,35 @@ def word_count(text: Column) -> Column:
     return F.size(words(text))
 
 
+#: All ASCII white space, as ``\\s`` matches it.
+WHITE = " \t\n\x0b\f\r"
+
+
+def strip(x: Column) -> Column:
+    """``x`` without white space of any kind at both ends."""
+    return F.btrim(x, F.lit(WHITE))
+
+
 def blank_to_null(x: Column) -> Column:
-    return F.nullif(F.trim(x), F.lit(""))
+    return F.nullif(strip(x), F.lit(""))
 
 
 def title_from_filename(name: Column) -> Column:
-    """A readable title: no extension, underscores and inner hyphens as blanks, ``[yyyy]`` moved to the
-    end in parentheses, lower-case words capitalised; names shorter than 3 characters stay."""
-    stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    body = F.regexp_replace(stem, r"(?<!\d)[-_](?!\d)", " ")
-    body = F.regexp_replace(body, "_", " ")
+    """A readable title: no extension and site marks, manual numbers as ``FM 1-2``, ``U.S.``, underscores and
+    hyphens between words as blanks, ``[yyyy]`` moved to the end in parentheses, lower-case words
+    capitalised; titles shorter than 3 characters give the stem."""
+    stem = F.regexp_replace(name, r"(?s)^(\.*[^.].*)\.[^.]*$", "$1")
+    body = stem
+    for tag in TITLE_TAGS:
+        body = F.regexp_replace(body, tag, "")
+    body = F.regexp_replace(body, r"\b(FM|ATP|TC|TM|AR|STP|GTA|ATTP|FMFRP|ADP|ADRP)[-_](\d+)[-_](\d+)", "$1 $2-$3")
+    body = F.regexp_replace(body, r"(?<![A-Za-z])U[_\s]S(?=[_\s]|$)", "U.S.")
+    body = F.replace(F.regexp_replace(body, r"(?<!\d)[-_](?!\d)", " "), F.lit("_"), F.lit(" "))
     year = F.regexp_extract(body, r"\[(\d{4})\]", 1)
-    body = F.trim(F.regexp_replace(F.regexp_replace(body, r"\[\d{4}\]", " "), r"\s+", " "))
-    cased = F.transform(F.split(body, " "), lambda w: F.when(w == F.lower(w), F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1_000_000))).otherwise(w))
+    body = strip(F.regexp_replace(F.regexp_replace(body, r"\[\d{4}\]", " "), r"\s+", " "))
+    cased = F.transform(F.split(body, " "), lambda w: F.when(w == F.lower(w), F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))).otherwise(w))
     text = F.array_join(cased, " ")
-    text = F.when(year != "", F.concat(text, F.lit(" ("), year, F.lit(")"))).otherwise(text)
+    text = strip(F.when(year != "", F.concat(text, F.lit(" ("), year, F.lit(")"))).otherwise(text))
     return F.when(F.length(text) < 3, stem).otherwise(text)
 
 
@@ -51,11 +81,16 @@ def folder_name(name: Column) -> Column:
 
 
 def author_last_name(author: Column) -> Column:
-    """``Last, First`` or the last token that is no suffix; must start upper-case and have 2 letters."""
-    tokens = F.filter(words(author), lambda w: ~F.lower(F.regexp_replace(w, r"[.,]", "")).isin(NAME_SUFFIXES))
-    comma = F.trim(F.element_at(F.split(author, ","), 1))
-    last = F.when(author.contains(",") & (F.length(comma) > 1), comma).otherwise(F.try_element_at(tokens, F.lit(-1)))
-    return F.when(last.rlike(r"^[A-Z].") & ~author.rlike(r"(?i)university|institute|department|press|anonymous"), last)
+    """``Last, First`` gives ``Last``; else the last of two or more names, before a suffix such as Jr,
+    that starts upper-case and has 2 characters. Bodies and placeholders give null."""
+    who = strip(author)
+    comma = strip(F.split(who, ",")[0])
+    tokens = words(who)
+    suffixed = F.lower(F.try_element_at(tokens, F.lit(-1))).isin(NAME_SUFFIXES)
+    last = F.when(F.size(tokens) < 2, F.lit(None)).when(~suffixed, F.try_element_at(tokens, F.lit(-1))).when(F.size(tokens) > 2, F.try_element_at(tokens, F.lit(-2)))
+    last = F.when((F.length(last) > 1) & last.rlike(r"^\p{Lu}"), last)
+    found = F.when(F.contains(who, F.lit(",")) & (F.length(comma) > 1), comma).otherwise(last)
+    return F.when(~who.rlike(f"(?i){'|'.join(NO_PERSON)}"), found)
 
 
 def last_year(*texts: Column) -> Column:
@@ -101,33 +136,19 @@ def slug(text: Column, limit: int = 50) -> Column:
 
 def quality_ok(text: Column, least: int = 50) -> Column:
     """At least ``least`` characters, 60 % of tokens with two ASCII letters, few camel-case joins."""
-    body = F.trim(text)
-    tokens = words(body)
-    wordy = F.size(F.filter(tokens, lambda w: F.regexp_count(w, F.lit("[A-Za-z]")) >= 2))
+    body = strip(text)
+    tokens = F.regexp_count(body, F.lit(r"\S+"))
+    wordy = F.regexp_count(body, F.lit(r"[^\sA-Za-z]*[A-Za-z][^\sA-Za-z]*[A-Za-z]\S*"))
     joins = F.regexp_count(body, F.lit("[a-z][A-Z]"))
-    return (F.length(body) >= least) & (10 * wordy >= 6 * F.size(tokens)) & (10 * joins <= F.size(tokens))
+    return (F.length(body) >= least) & (tokens > 0) & (10 * wordy >= 6 * tokens) & (10 * joins <= tokens)
 
 
 def embeddable(content: Column, least: int = 10, limit: int = 8192) -> Column:
     """The trimmed text cut at ``limit``, null if shorter than ``least``."""
-    body = F.trim(content.cast("string"))
+    body = strip(content.cast("string"))
     return F.when(F.length(body) >= least, F.left(body, F.lit(limit)))
 
 
-def html_text(html: Column) -> Column:
-    """Readable text of well-formed markup: blocks dropped, ``<br>`` and ``<li>`` as lines, tags and
-    the five common entities resolved, blank runs collapsed."""
-    x = F.regexp_replace(html, r"(?is)<(script|style|nav|footer|header|aside)\b.*?</\1\s*>", "")
-    x = F.regexp_replace(x, r"(?i)<br\s*/?>", "\n")
-    x = F.regexp_replace(x, r"(?i)<li[^>]*>", "\n- ")
-    x = F.regexp_replace(x, r"(?i)</(p|div|tr|h[1-6]|ul|ol|table|title)>", "\n")
-    x = F.regexp_replace(x, r"(?s)<[^>]+>", "")
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(entity), F.lit(plain))
-    x = F.regexp_replace(x, r"[ \t]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(x, r" ?\n ?", "\n"), r"\n{3,}", "\n\n"))
-
-
 def html_title(html: Column) -> Column:
     return F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
@@ -138,12 +159,13 @@ def escape_html(text: Column) -> Column:
     return text
 
 
-def garbage_title(title: Column, exact: list[str], fragments: list[str]) -> Column:
-    low = F.lower(F.trim(title))
+def garbage_title(title: Column, exact: list[str] = GARBAGE_TITLES, parts: list[str] = GARBAGE_PARTS) -> Column:
+    """Null, under 4 characters, one of the ``exact`` titles in any case, or with one of the ``parts`` as written."""
+    bare = strip(title)
     part = F.lit(False)
-    for f in fragments:
-        part = part | low.contains(f)
-    return title.isNull() | (F.length(F.trim(title)) < 4) | low.isin(exact) | part
+    for p in parts:
+        part = part | F.contains(bare, F.lit(p))
+    return title.isNull() | (F.length(bare) < 4) | F.lower(bare).isin(exact) | part
 
 
 def matches_any(text: Column, patterns: list[str]) -> Column:
@@ -188,28 +210,67 @@ def parse_address(text: Column, states: list[str]) -> Column:
 
 
 def chunk_pages(text: Column, budget: int) -> Column:
-    """Pages of about ``budget`` words.
+    """Pages of about ``budget`` words: whole pieces, joined by blank lines.
 
     Paragraphs are packed greedily; one of over 1.5 budgets closes the page and is packed by sentences;
     a piece that would overflow starts a new page only if the page isn't empty. After a long
-    paragraph the next piece joins the page that its last sentences left open.
+    paragraph the next piece joins the page that its last sentences left open. A text without
+    any piece is one page as it is.
     """
-    paragraphs = F.filter(F.transform(F.split(text, "\n\n"), lambda p: F.trim(p)), lambda p: p != "")
+    paragraphs = F.filter(F.transform(F.split(text, "\n\n"), strip), lambda p: p != "")
+    piece = lambda x, flush: F.struct(x.alias("text"), flush.alias("flush"), word_count(x).alias("n"))
 
     def pieces(p: Column) -> Column:
-        long_ = word_count(p) * 2 > 3 * budget
-        parts = F.transform(F.split(p, r"(?<=[.!?])\s+"), lambda s: F.struct(s.alias("text"), F.lit(True).alias("sentence"), word_count(s).alias("n")))
-        cut = F.transform(parts, lambda s, i: F.struct(s["text"].alias("text"), (i == 0).alias("flush"), F.lit(" ").alias("joint"), s["n"].alias("n")))
-        whole = F.array(F.struct(p.alias("text"), F.lit(False).alias("flush"), F.lit("\n\n").alias("joint"), word_count(p).alias("n")))
-        return F.when(long_, cut).otherwise(whole)
+        cut = F.transform(F.split(p, r"(?<=[.!?])\s+"), lambda s, i: piece(s, i == 0))
+        return F.when(word_count(p) * 2 > 3 * budget, cut).otherwise(F.array(piece(p, F.lit(False))))
 
-    state = F.struct(F.array().cast("array<string>").alias("pages"), F.lit("").alias("open"), F.lit(0).alias("n"))
+    none = F.array().cast("array<string>")
+    state = F.struct(none.alias("pages"), none.alias("open"), F.lit(0).alias("n"))
+    closed = lambda acc: F.array_append(acc["pages"], F.array_join(acc["open"], "\n\n"))
 
     def step(acc: Column, x: Column) -> Column:
-        close = (acc["n"] > 0) & (x["flush"] | (acc["n"] + x["n"] > budget))
-        pages = F.when(close, F.array_append(acc["pages"], acc["open"])).otherwise(acc["pages"])
-        joined = F.when(close | (acc["n"] == 0), x["text"]).otherwise(F.concat(acc["open"], x["joint"], x["text"]))
-        return F.struct(pages.alias("pages"), joined.alias("open"), F.when(close, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"))
+        close = (F.size(acc["open"]) > 0) & (x["flush"] | (acc["n"] + x["n"] > budget))
+        return F.struct(
+            F.when(close, closed(acc)).otherwise(acc["pages"]).alias("pages"),
+            F.when(close, F.array(x["text"])).otherwise(F.array_append(acc["open"], x["text"])).alias("open"),
+            F.when(close, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"),
+        )
+
+    end = lambda acc: F.when(F.size(acc["open"]) > 0, closed(acc)).otherwise(acc["pages"])
+    made = F.aggregate(F.flatten(F.transform(paragraphs, pieces)), state, step, end)
+    return F.when(F.size(made) == 0, F.array(text)).otherwise(made)
+
+
+def coordinates(text: Column) -> Column:
+    """``struct(latitude, longitude)`` of a text that is two numbers and a comma, else null."""
+    pattern = r"^\s*(-?\d+\.?\d*)\s*,\s*(-?\d+\.?\d*)\s*$"
+    part = lambda i: F.regexp_extract(text, pattern, i).try_cast("double")
+    return F.when(text.rlike(pattern), F.struct(part(1).alias("latitude"), part(2).alias("longitude")))
+
+
+def place_label(*parts: Column) -> Column:
+    """Name, city, state and country, without blanks and without a part that repeats the one before."""
+    kept = F.filter(F.array(*parts), lambda x: F.coalesce(x, F.lit("")) != "")
+    return F.array_join(F.filter(kept, lambda x, i: (i == 0) | (x != F.get(kept, i - 1))), ", ")
+
+
+def shown_url(url: Column, limit: int = 40) -> Column:
+    return F.when(F.length(url) > limit, F.concat(F.left(url, F.lit(limit)), F.lit("…"))).otherwise(url)
+
+
+def plain_identifier(text: Column) -> Column:
+    """Whether a text is safe as a name: ASCII letters and underscores, or a slug of lower-case letters, digits and hyphens."""
+    return text.rlike(r"^[A-Za-z_]+\z") | text.rlike(r"^[a-z0-9-]+\z")
+
+
+def readable_size(size: Column) -> Column:
+    """Bytes as ``1.5 MB``, one decimal from KB on."""
+    power = F.when(size < 1, 0).otherwise(F.least(F.floor(F.log(1024.0, F.greatest(size, F.lit(1)).cast("double")) + 1e-12), F.lit(4)))
+    unit = F.element_at(F.array(*[F.lit(u) for u in ("B", "KB", "MB", "GB", "TB")]), (power + 1).cast("int"))
+    return F.when(power == 0, F.concat(size.cast("string"), F.lit(" B"))).otherwise(F.concat(F.format_string("%.1f", size / F.pow(F.lit(1024.0), power)), F.lit(" "), unit))
+
 
-    end = lambda acc: F.when(acc["n"] > 0, F.array_append(acc["pages"], acc["open"])).otherwise(acc["pages"])
-    return F.aggregate(F.flatten(F.transform(paragraphs, pieces)), state, step, end)
+def age_hours(at: Column, as_of: Column, limit: float) -> Column:
+    """``struct(hours, stale)``: a time that can't be read is stale."""
+    hours = (as_of.cast("timestamp").cast("double") - F.try_to_timestamp(at.cast("string")).cast("double")) / 3600
+    return F.struct(hours.alias("hours"), F.coalesce(hours > limit, F.lit(True)).alias("stale"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomcorpus.operators import tables
+
 
 def breakdown(rows: DataFrame, keys: Sequence[str], **sums: str) -> DataFrame:
     """Row count and sums per key combination."""
@@ -22,19 +24,29 @@ def state_counts(rows: DataFrame, status: str = "status") -> list[Column]:
     ]
 
 
-def dominant(rows: DataFrame, doc: str, value: str, runner_up: float = 0.8, least: float = 0.4) -> DataFrame:
-    """Per document the most frequent value, null where the second is too close or the share too small.
+def call_cost(tokens_in: Column, tokens_out: Column, rate_in: float, rate_out: float) -> Column:
+    """Price of a model call; rates are for a million tokens."""
+    return (tokens_in * rate_in + tokens_out * rate_out) / 1_000_000
+
+
+def backlog(counts: Column, waiting: Sequence[str]) -> Column:
+    """The sum of a state-to-count map over the states that still wait."""
+    held = F.map_filter(counts, lambda k, v: k.isin(list(waiting)))
+    return F.aggregate(F.map_values(held), F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x, F.lit(0)))
+
+
+def bucket(status: Column, groups: dict[str, Sequence[str]], otherwise: str) -> Column:
+    """The first group that lists the status."""
+    out = F.lit(otherwise)
+    for name, members in reversed(groups.items()):
+        out = F.when(status.isin(list(members)), name).otherwise(out)
+    return out
 
-    Two grouped aggregates: counts per value, then the two greatest by (count, name) without a sort
-    of the documents.
-    """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(doc, value).agg(F.count("*").alias("n"))
-    best = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col(value).alias("v"))))
-    top = counts.groupBy(doc).agg(best.alias("b"), F.sum("n").alias("total"))
-    first, second = -F.col("b")[0]["k"], F.coalesce(-F.try_element_at("b", F.lit(2))["k"], F.lit(0))
-    share = first / F.col("total")
-    unclear = (second >= runner_up * first) | (share < least)
-    return top.select(doc, F.when(~unclear, F.col("b")[0]["v"]).alias(value), share.alias("confidence"))
+
+def throughput(done: Column, total: Column, seconds: Column) -> Column:
+    """``struct(per_second, remaining_seconds)``; null while nothing is done."""
+    rate = F.when((done > 0) & (seconds > 0), done / seconds)
+    return F.struct(rate.alias("per_second"), ((total - done) / rate).alias("remaining_seconds"))
 
 
 def facets(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -128,3 +140,14 @@ def remap(rows: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFram
     """Per key the sorted set of canonical values; variants mapped to null or unknown are dropped."""
     met = rows.join(F.broadcast(mapping), rows[value] == mapping["variant"]).where("canonical is not null")
     return met.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("canonical")), ",").alias("mapped"))
+
+
+def sets_differ(a: Column, b: Column) -> Column:
+    """Whether two lists hold different values, whatever the order and repeats."""
+    return ~F.equal_null(F.array_sort(F.array_distinct(a)), F.array_sort(F.array_distinct(b)))
+
+
+def round_robin(rows: DataFrame, order: Sequence[str], n: int, name: str) -> DataFrame:
+    """``rows`` with a number from 0 to ``n - 1``, dealt in ``order`` (unique) over all rows; no task numbers more than a range."""
+    ranked = tables.with_prefix_sums(rows.withColumn("_one", F.lit(1)), order, "_one")
+    return ranked.select(*rows.columns, (F.col("rank") % n).cast("int").alias(name))

@@ -154,3 +154,20 @@ def stale(rows: DataFrame, as_of: Column, hours: int = 2) -> DataFrame:
     at = F.try_to_timestamp(F.col("extracted_at").cast("string"))
     old = F.coalesce(at < as_of - F.expr(f"INTERVAL {hours} HOURS"), F.lit(True))
     return rows.withColumn("status", F.when((F.col("status") == "enriching") & old, "extracted").otherwise(F.col("status")))
+
+
+def sync_paths(documents: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Documents with their catalogue path and file name, and the flag of a path change cleared."""
+    new = catalogue.select("hash", F.col("path").alias("_path"), F.col("filename").alias("_filename"))
+    out = documents.join(new, "hash", "left")
+    flag = F.when(F.col("_path").isNull(), F.col("path_updated_at"))
+    return out.withColumns({"path": F.coalesce("_path", "path"), "filename": F.coalesce("_filename", "filename"), "path_updated_at": flag}).select(*documents.columns)
+
+
+def mark_organized(rows: DataFrame, where: Column, as_of: Column) -> DataFrame:
+    return rows.withColumn("organized_at", F.when(where, as_of).otherwise(F.col("organized_at")))
+
+
+def clear_organized(rows: DataFrame, where: Column) -> DataFrame:
+    """The reverse of an operation takes the mark off."""
+    return rows.withColumn("organized_at", F.when(~F.coalesce(where, F.lit(False)), F.col("organized_at")))

@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomcorpus.functions import markup
 from loomcorpus.functions import text as X
 from loomcorpus.functions import vectors as V
-from loomcorpus.operators import analytics, library, search
+from loomcorpus.operators import analytics, concepts, library, search
 from loomcorpus.plans.registry import query
 from loomcorpus.sources.bindings import Tables
 
 
-@query("a10_dominant_domain", """WITH c AS (SELECT doc, domain, count(*) AS n FROM con GROUP BY 1, 2),
-  r AS (SELECT doc, domain, n, row_number() OVER (PARTITION BY doc ORDER BY n DESC, domain) AS k, sum(n) OVER (PARTITION BY doc) AS total FROM c),
-  t AS (SELECT doc, max(CASE WHEN k = 1 THEN domain END) AS domain, max(CASE WHEN k = 1 THEN n END) AS a, coalesce(max(CASE WHEN k = 2 THEN n END), 0) AS b, max(total) AS total FROM r GROUP BY doc)
-  SELECT doc, CASE WHEN b >= 0.8 * a OR CAST(a AS DOUBLE) / total < 0.4 THEN NULL ELSE domain END AS domain, round(CAST(a AS DOUBLE) / total, 6) AS confidence FROM t""")
+def _top(column: str) -> str:
+    return f"SELECT doc, {column} AS v, count(*) AS n, row_number() OVER (PARTITION BY doc ORDER BY count(*) DESC, {column}) AS k FROM c WHERE {column} IS NOT NULL GROUP BY doc, {column}"
+
+
+@query("a10_dominant_domain", f"""WITH c AS (SELECT doc, CASE WHEN win % 5 = 0 THEN NULL ELSE domain END AS domain, subdomain FROM con), d AS ({_top("domain")}), s AS ({_top("subdomain")}), n AS (SELECT doc, count(*) AS n FROM c GROUP BY doc),
+  t AS (SELECT n.doc, n.n AS total, x.v AS domain, x.n AS a, coalesce(y.n, 0) AS b, s.v AS subdomain FROM n LEFT JOIN d x ON n.doc = x.doc AND x.k = 1 LEFT JOIN d y ON n.doc = y.doc AND y.k = 2 LEFT JOIN s ON n.doc = s.doc AND s.k = 1)
+  SELECT doc, CASE WHEN b < 0.8 * a AND CAST(a AS DOUBLE) / total >= 0.4 THEN domain END AS domain, CASE WHEN b < 0.8 * a AND CAST(a AS DOUBLE) / total >= 0.4 THEN subdomain END AS subdomain,
+    round(coalesce(CAST(a AS DOUBLE) / total, 0), 6) AS confidence FROM t""")
 def _(t: Tables) -> DataFrame:
-    return analytics.dominant(t.con, "doc", "domain").withColumn("confidence", F.round("confidence", 6))
+    """Concepts of every fifth window have no domain; they count in the share."""
+    rows = t.con.withColumn("domain", F.when(F.col("win") % 5 != 0, F.col("domain")))
+    return concepts.dominant(rows, "doc", "domain", "subdomain").withColumn("confidence", F.round("confidence", 6))
 
 
 @query("a08_facets", """SELECT 'label' AS facet, CAST(label AS VARCHAR) AS value, count(*) AS n FROM pts GROUP BY label
@@ -57,10 +64,11 @@ def _(t: Tables) -> DataFrame:
     return t.con.groupBy(F.col("domain").alias("old"), new.alias("new")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "old", "new").limit(30)
 
 
-@query("a26_cost_estimate", "SELECT domain, count(*) AS n, round(count(*) * (200 * 0.10 + 5 * 0.40) / 1000000, 6) AS dollars FROM con GROUP BY domain")
+@query("a26_cost_estimate", "SELECT source, count(*) AS n, round(sum(ceil(n_chars / 4.0) * 0.10 + 60 * 0.40) / 1000000, 9) AS dollars FROM documents GROUP BY source")
 def _(t: Tables) -> DataFrame:
-    dollars = F.count("*") * (200 * 0.10 + 5 * 0.40) / 1_000_000
-    return t.con.groupBy("domain").agg(F.count("*").alias("n"), F.round(dollars, 6).alias("dollars"))
+    """A prompt of each text (four characters a token) and an answer of 60 tokens."""
+    cost = analytics.call_cost(F.ceil(F.col("n_chars") / 4.0), F.lit(60), 0.10, 0.40)
+    return t.documents.groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum(cost), 9).alias("dollars"))
 
 
 @query("a27_metadata_vote", """WITH s AS (SELECT p_partkey AS doc, 'title' AS field, 1 AS pr, p_type AS v FROM part UNION ALL SELECT p_partkey, 'title', 2, CASE WHEN p_size % 2 = 0 THEN upper(p_type) ELSE p_brand END FROM part
@@ -239,15 +247,24 @@ def _(t: Tables) -> DataFrame:
     return t.con.select("doc", "win", V.point_id(F.col("doc").cast("string"), F.col("win").cast("string"), F.col("title")).alias("id"))
 
 
-@query("f14_text_quality", """WITH w AS (SELECT doc_id, trim(text) AS t, list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: x <> '') AS ws FROM documents)
-  SELECT doc_id, length(t) >= 50 AND 10 * len(list_filter(ws, lambda x: len(regexp_extract_all(x, '[A-Za-z]')) >= 2)) >= 6 * len(ws) AND 10 * len(regexp_extract_all(t, '[a-z][A-Z]')) <= len(ws) AS ok FROM w""".replace("\\\\", "\\"))
+#: A text between white space of several kinds, which all must go.
+_PADDED = "concat(chr(10), chr(9), ' ', text, chr(13), chr(10), ' ')"
+_BARE = rf"regexp_replace({_PADDED}, '^[\s\x0b]+|[\s\x0b]+$', '', 'g')"
+
+
+def _padded() -> Column:
+    return F.concat(F.lit("\n\t "), "text", F.lit("\r\n "))
+
+
+@query("f14_text_quality", rf"""WITH w AS (SELECT doc_id, {_BARE} AS t, list_filter(regexp_split_to_array(text, '[\s\x0b]+'), lambda x: x <> '') AS ws FROM documents)
+  SELECT doc_id, length(t) >= 50 AND 10 * len(list_filter(ws, lambda x: len(regexp_extract_all(x, '[A-Za-z]')) >= 2)) >= 6 * len(ws) AND 10 * len(regexp_extract_all(t, '[a-z][A-Z]')) <= len(ws) AS ok FROM w""")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.quality_ok(F.col("text")).alias("ok"))
+    return t.documents.select("doc_id", X.quality_ok(_padded()).alias("ok"))
 
 
-@query("f13_embeddable", "SELECT doc_id, md5(left(trim(text), 8192)) AS content_md5 FROM documents WHERE length(trim(text)) >= 10")
+@query("f13_embeddable", f"SELECT doc_id, md5(left({_BARE}, 8192)) AS content_md5 FROM documents WHERE length({_BARE}) >= 10")
 def _(t: Tables) -> DataFrame:
-    rows = t.documents.select("doc_id", X.embeddable(F.col("text")).alias("content")).where("content IS NOT NULL")
+    rows = t.documents.select("doc_id", X.embeddable(_padded()).alias("content")).where("content IS NOT NULL")
     return rows.select("doc_id", F.md5("content").alias("content_md5"))
 
 
@@ -289,12 +306,33 @@ def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", X.html_title(F.col("html")).alias("title"), (F.length("html") >= 100).alias("long_enough"))
 
 
-@query("c23_page_text")
+def _markup_sql() -> str:
+    x = "html"
+    for tag in sorted(markup.DROPPED):
+        x = rf"regexp_replace({x}, '(?is)<{tag}\b.*?</{tag}\s*>', '', 'g')"
+    for pattern, plain in ((r"(?i)<br\s*/?>", "chr(10)"), (r"(?i)<li\b[^>]*>", "'- '"), ("(?i)</li>", "chr(10)"), (r"(?s)<!--.*?-->", "''"), (r"(?s)<[^>]+>", "''")):
+        x = f"regexp_replace({x}, '{pattern}', {plain}, 'g')"
+    for entity, plain in (("nbsp", "chr(160)"), ("lt", "'<'"), ("gt", "'>'"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("amp", "'&'")):
+        x = f"replace({x}, '&{entity};', {plain})"
+    x = rf"regexp_replace(regexp_replace({x}, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"
+    return rf"SELECT page_id, regexp_replace({x}, '^\s+|\s+$', '', 'g') AS content FROM pages"
+
+
+@query("c23_page_text", _markup_sql())
 def _(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", X.html_text(F.col("html")).alias("content"))
+    """The parser's text; on the well-formed pages of the tables SQL's regular expressions give the same."""
+    return t.pages.select("page_id", markup.html_text(F.col("html")).alias("content"))
 
 
-@query("c40_chunk_pages")
+@query("c40_chunk_pages", r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_replace(text, '^[\s\x0b]+|[\s\x0b]+$', '', 'g') AS t FROM documents),
+  n AS (SELECT doc_id, t, len(list_filter(regexp_split_to_array(t, '[\s\x0b]+'), lambda x: x <> '')) AS words FROM w),
+  q AS (SELECT doc_id, CASE WHEN 2 * words > 3 * 400 THEN regexp_split_to_array(regexp_replace(t, '([.!?])[\s\x0b]+', '\1' || chr(1), 'g'), chr(1)) WHEN t <> '' THEN [t] ELSE [] END AS ps FROM n),
+  p AS (SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS i FROM q),
+  m AS (SELECT doc_id, i, piece, len(list_filter(regexp_split_to_array(piece, '[\s\x0b]+'), lambda x: x <> '')) AS k FROM p),
+  f AS (SELECT doc_id, i, k, 1 AS page, k AS held FROM m WHERE i = 1
+    UNION ALL SELECT m.doc_id, m.i, m.k, CASE WHEN f.held + m.k > 400 THEN f.page + 1 ELSE f.page END, CASE WHEN f.held + m.k > 400 THEN m.k ELSE f.held + m.k END FROM f JOIN m ON m.doc_id = f.doc_id AND m.i = f.i + 1)
+  SELECT f.doc_id, CAST(f.page AS INT) AS page_no, string_agg(m.piece, chr(10) || chr(10) ORDER BY f.i) AS content FROM f JOIN m ON f.doc_id = m.doc_id AND f.i = m.i GROUP BY f.doc_id, f.page
+  UNION ALL SELECT doc_id, 1, text FROM documents WHERE regexp_replace(text, '[\s\x0b]+', '', 'g') = ''""")
 def _(t: Tables) -> DataFrame:
     pages = F.posexplode(X.chunk_pages(F.col("text"), 400)).alias("pos", "content")
     return t.documents.select("doc_id", pages).select("doc_id", (F.col("pos") + 1).alias("page_no"), "content")
@@ -355,21 +393,27 @@ def _(t: Tables) -> DataFrame:
 
 @query("l08_sweep_actions", """WITH f AS (SELECT c.hash, d.status, d.book_title, c.path, CASE WHEN c.category = 'en' THEN NULL ELSE c.category END AS domain FROM cat c LEFT JOIN doc d ON c.hash = d.hash)
   SELECT CASE WHEN status IS NULL THEN 'rescue' WHEN status IN ('queued', 'extracting', 'enriching', 'embedding') THEN 'skip_in_progress' WHEN status = 'failed' THEN 'skip_failed' WHEN status <> 'complete' THEN 'skip_other_status'
-    WHEN book_title IS NULL OR length(trim(book_title)) < 4 OR lower(trim(book_title)) IN ('title 7') OR contains(lower(trim(book_title)), '13') THEN 'skip_garbage_title' WHEN domain IS NULL THEN 'unclassified'
+    WHEN book_title IS NULL OR length(trim(book_title)) < 4 OR lower(trim(book_title)) IN ('title 7') OR contains(trim(book_title), 'e 13') THEN 'skip_garbage_title' WHEN domain IS NULL THEN 'unclassified'
     WHEN path = concat('/library/', domain) THEN 'no_op' ELSE 'relocate' END AS action, count(*) AS n FROM f GROUP BY 1""")
 def _(t: Tables) -> DataFrame:
     rows = t.cat.join(t.doc.select("hash", "status", "book_title"), "hash", "left")
     domain = F.when(F.col("category") != "en", F.col("category"))
-    garbage = X.garbage_title(F.col("book_title"), ["title 7"], ["13"])
+    garbage = X.garbage_title(F.col("book_title"), ["title 7"], ["e 13"])
     action = library.sweep_action(F.col("status"), garbage, domain, F.col("path"), F.concat(F.lit("/library/"), domain))
     return rows.groupBy(action.alias("action")).agg(F.count("*").alias("n"))
 
 
-@query("l11_verify", """SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'target_missing' WHEN o_orderkey % 7 = 0 THEN 'source_still_exists' WHEN o_orderkey % 5 = 0 THEN 'db_path_mismatch' ELSE 'ok' END AS result, count(*) AS n FROM orders GROUP BY 1""")
+@query("l11_verify", """WITH m AS (SELECT o.id, c.path AS target, d.path AS db, concat('/old/', c.filename) AS source FROM ops o JOIN cat c ON o.doc = c.doc_id LEFT JOIN doc d ON c.hash = d.hash WHERE NOT o.is_reversed),
+  f AS (SELECT path FROM cat WHERE category <> 'es' UNION SELECT concat('/old/', filename) FROM cat WHERE source = 'src2')
+  SELECT m.id, CASE WHEN a.path IS NULL THEN 'target_missing' WHEN b.path IS NOT NULL THEN 'source_still_exists' WHEN m.db IS DISTINCT FROM m.target THEN 'db_path_mismatch' ELSE 'ok' END AS result
+  FROM m LEFT JOIN f a ON a.path = m.target LEFT JOIN f b ON b.path = m.source""")
 def _(t: Tables) -> DataFrame:
-    k = F.col("o_orderkey")
-    path = F.when(k % 5 == 0, "a").otherwise("b")
-    return t.orders.groupBy(library.verify_action(k % 11 != 0, k % 7 == 0, path, F.lit("b")).alias("result")).agg(F.count("*").alias("n"))
+    """Operations that moved catalogued files out of an old folder, against the files and the documents' paths."""
+    moved = t.ops.where(~F.col("is_reversed")).join(t.cat, t.ops["doc"] == t.cat["doc_id"]).select(
+        "id", "hash", F.col("path").alias("target"), F.concat(F.lit("/old/"), "filename").alias("source")
+    )
+    there = t.cat.where("category <> 'es'").select("path").union(t.cat.where("source = 'src2'").select(F.concat(F.lit("/old/"), "filename")))
+    return library.verify(moved, there, t.doc.select("hash", "path")).select("id", "result")
 
 
 @query("l12_missing_artefacts", """SELECT d.hash, CASE WHEN d.status IN ('extracted', 'enriching', 'enriched', 'embedding', 'complete') AND d.pages_extracted = 0 THEN 'text_missing'

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcorpus.functions import semistructured as J
@@ -39,13 +39,6 @@ def _(t: Tables) -> DataFrame:
     return line.select("conv_id", X.counter_map(F.col("c"))["rows"].alias("n"))
 
 
-@query("s18_best_candidate", """SELECT doc_id, CASE WHEN length(text) % 3 = 0 AND length(trim(text)) >= 500 THEN 'first' WHEN length(trim(reverse(text))) >= 300 THEN 'second' ELSE 'longest' END AS method FROM documents""")
-def _(t: Tables) -> DataFrame:
-    first = (F.length("text") % 3 == 0) & (F.length(F.trim("text")) >= 500)
-    second = F.length(F.trim(F.reverse("text"))) >= 300
-    return t.documents.select("doc_id", F.when(first, "first").when(second, "second").otherwise("longest").alias("method"))
-
-
 @query("s36_channel_statistics", "SELECT count(*) AS channels, count_if(n = 0) AS empty_channels, sum(n) AS videos FROM (SELECT c_custkey, count(o_orderkey) FILTER (WHERE o_orderstatus = 'P') AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey) x", longs="empty_channels videos")
 def _(t: Tables) -> DataFrame:
     n = F.count_if(F.col("o_orderstatus") == "P").alias("n")
@@ -89,10 +82,13 @@ def _(t: Tables) -> DataFrame:
     return met.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_set("v")), ",").alias("domains"))
 
 
-@query("j21_operation_paths", """SELECT o.id, CASE WHEN d.doc_id IS NULL THEN 'unknown' WHEN d.status = 'complete' THEN 'ok' ELSE 'pending' END AS result FROM ops o LEFT JOIN doc d ON o.doc = d.doc_id""")
+@query("j21_operation_paths", """SELECT o.id, CASE WHEN d.doc_id IS NULL THEN 'unknown' WHEN d.path = concat('/library/', d.filename) OR o.operation = 'rename' THEN 'ok' ELSE 'path_mismatch' END AS result
+  FROM ops o LEFT JOIN doc d ON o.doc = d.doc_id""")
 def _(t: Tables) -> DataFrame:
-    met = t.ops.join(t.doc.select("doc_id", "status"), F.col("doc") == F.col("doc_id"), "left")
-    return met.select("id", F.when(F.col("doc_id").isNull(), "unknown").when(F.col("status") == "complete", "ok").otherwise("pending").alias("result"))
+    docs = t.doc.select("doc_id", "path", "filename")
+    moved = t.ops.join(docs, F.col("doc") == F.col("doc_id"), "left")
+    target = F.when(F.col("operation") == "rename", F.col("path")).otherwise(F.concat(F.lit("/library/"), "filename"))
+    return moved.select("id", library.path_check(F.col("path"), target).alias("result"))
 
 
 @query("a17_ingest_summary", """WITH b AS (SELECT md5(text) AS hash, length(text) AS n, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS k FROM documents)
@@ -105,28 +101,14 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("a20_remap_statistics", """SELECT CASE WHEN p_size % 4 = 0 THEN 'no_change' WHEN contains(p_type, 'STEEL') THEN 'variant_remapped' WHEN contains(p_name, 'a') THEN 'subdomain_reclassified' ELSE 'needs_enrichment' END AS stat, count(*) AS n FROM part GROUP BY 1""")
-def _(t: Tables) -> DataFrame:
-    stat = F.when(F.col("p_size") % 4 == 0, "no_change").when(F.contains("p_type", F.lit("STEEL")), "variant_remapped")
-    stat = stat.when(F.contains("p_name", F.lit("a")), "subdomain_reclassified").otherwise("needs_enrichment")
-    return t.part.groupBy(stat.alias("stat")).agg(F.count("*").alias("n"))
-
-
-@query("a28_backlog_groups", "SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'backlog' END AS grp, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
-def _(t: Tables) -> DataFrame:
-    grp = F.when(F.col("o_orderstatus") == "F", "done").otherwise("backlog")
-    return t.orders.groupBy(grp.alias("grp")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-
-
 @query("w08_last_wins", "SELECT user_id, event_type, max_by(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY 1, 2")
 def _(t: Tables) -> DataFrame:
     return state.last_wins(t.events.select("user_id", "event_type", "value", "event_id").withColumn("o", F.col("event_id")), ["user_id", "event_type"], "o").drop("o")
 
 
-@query("w09_round_robin", "SELECT doc_id, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) % 4 AS INTEGER) AS key_no FROM documents")
+@query("w09_round_robin", "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 4 AS INTEGER) AS key_no FROM documents")
 def _(t: Tables) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return t.documents.select("doc_id", ((place - 1) % 4).alias("key_no"))
+    return analytics.round_robin(t.documents.select("doc_id"), ["doc_id"], 4, "key_no")
 
 
 @query("t04_oldest_pending", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate, o_orderkey LIMIT 1")
@@ -145,19 +127,6 @@ def _(t: Tables) -> DataFrame:
     return t.nation.select(F.col("n_nationkey").alias("page"), F.explode(shown).alias("shown"))
 
 
-@query("u02_changed_sets", """WITH s AS (SELECT doc, array_to_string(list_sort(list_distinct(list(domain))), ',') AS a, array_to_string(list_sort(list_distinct(list(CASE WHEN length(domain) > 18 THEN domain END))), ',') AS b FROM con GROUP BY doc) SELECT doc FROM s WHERE a <> b""")
-def _(t: Tables) -> DataFrame:
-    kept = F.collect_set(F.when(F.length("domain") > 18, F.col("domain")))
-    sets = t.con.groupBy("doc").agg(F.array_sort(F.collect_set("domain")).alias("a"), F.array_sort(kept).alias("b"))
-    return sets.where("a <> b").select("doc")
-
-
-@query("f16_language_paths", """SELECT page_id, regexp_extract(url, '/([a-z]{2,3})/', 1) AS lang FROM pages WHERE regexp_extract(url, '/([a-z]{2,3})/', 1) IN ('de', 'fr', 'es')""")
-def _(t: Tables) -> DataFrame:
-    lang = F.regexp_extract("url", "/([a-z]{2,3})/", 1)
-    return t.pages.select("page_id", lang.alias("lang")).where(F.col("lang").isin("de", "fr", "es"))
-
-
 @query("f21_junk_urls", "SELECT page_id, contains(lower(url), '/tag/') OR contains(lower(url), '.html') OR contains(lower(url), 'sort=') AS junk FROM pages")
 def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", X.matches_any(F.col("url"), ["/TAG/", ".html", "sort="]).alias("junk"))
@@ -168,19 +137,6 @@ def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.col("url").rlike("^https?://").alias("ok"))
 
 
-@query("f36_citations", """SELECT doc_id, concat(coalesce(book_title, replace(filename, '_', ' ')), ', ', CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'p. ' END, CASE WHEN doc_id % 2 = 0 THEN 'pp 3' ELSE '7' END) AS citation FROM doc""")
-def _(t: Tables) -> DataFrame:
-    title = F.coalesce("book_title", F.replace("filename", F.lit("_"), F.lit(" ")))
-    page = F.when(F.col("doc_id") % 2 == 0, "pp 3").otherwise("7")
-    return t.doc.select("doc_id", F.concat(title, F.lit(", "), F.when(F.startswith(page, F.lit("p")), "").otherwise("p. "), page).alias("citation"))
-
-
-@query("f37_index_type", "SELECT source_type, count(*) AS n, CASE WHEN count(*) >= 120 THEN 'HNSW' ELSE 'brute-force' END AS index_type FROM pts GROUP BY source_type")
-def _(t: Tables) -> DataFrame:
-    kind = F.when(F.count("*") >= 120, "HNSW").otherwise("brute-force")
-    return t.pts.groupBy("source_type").agg(F.count("*").alias("n"), kind.alias("index_type"))
-
-
 @query("f38_masked_keys", """SELECT c_custkey, CASE WHEN length(c_name) >= 12 THEN concat(left(c_name, 4), '...', right(c_name, 4)) WHEN length(c_name) >= 6 THEN concat(left(c_name, 2), '...', right(c_name, 2)) ELSE '***' END AS masked FROM customer""")
 def _(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", X.masked(F.col("c_name")).alias("masked"))
@@ -216,12 +172,6 @@ def _(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", J.first_valid(F.array("p_type", second), ["STANDARD COPPER", "PROMO STEEL"], "Other").alias("domain"))
 
 
-@query("c55_knowledge_heuristic", """SELECT p_partkey, CASE WHEN regexp_matches(lower(p_name), 'steel|green') THEN 'operational' WHEN regexp_matches(lower(p_name), 'red|small') THEN 'procedural' ELSE 'foundational' END AS kind FROM part""")
-def _(t: Tables) -> DataFrame:
-    low = F.lower("p_name")
-    return t.part.select("p_partkey", F.when(low.rlike("steel|green"), "operational").when(low.rlike("red|small"), "procedural").otherwise("foundational").alias("kind"))
-
-
 @query("c73_age_hours", "SELECT o_orderkey, datediff('hour', o_orderdate, TIMESTAMP '2000-01-01 00:00:00') AS hours, o_orderdate < TIMESTAMP '2000-01-01 00:00:00' - INTERVAL 2 HOURS AS old FROM orders")
 def _(t: Tables) -> DataFrame:
     as_of = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
@@ -264,13 +214,6 @@ def _(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type").agg(F.round(low - 0.05 * (high - low), 6).alias("low"), F.round(high + 0.1 * (high - low), 6).alias("high"))
 
 
-@query("v03_points", "SELECT point_id, len(embedding) AS dim, CASE WHEN label < 5 THEN 1 ELSE 0 END AS has_sparse FROM pts")
-def _(t: Tables) -> DataFrame:
-    sparse = F.when(F.col("label") < 5, F.struct(F.array(F.col("label")).alias("indices"), F.array(F.lit(1.0)).alias("values")))
-    points = t.pts.withColumn("sparse", sparse)
-    return points.select("point_id", F.size("embedding").cast("long").alias("dim"), F.col("sparse").isNotNull().cast("int").alias("has_sparse"))
-
-
 @query("l01_target_paths", """SELECT p_partkey, concat('/lib/', (SELECT string_agg(upper(left(w, 1)) || lower(substr(w, 2)), '-') FROM (SELECT unnest(string_split(p_type, ' ')) AS w) x), '/', CASE WHEN p_size % 3 = 0 THEN 'General' ELSE p_brand END, '/', left(p_name, 116), '.pdf') AS path FROM part""")
 def _(t: Tables) -> DataFrame:
     sub = F.when(F.col("p_size") % 3 == 0, "General").otherwise(F.col("p_brand"))
@@ -283,10 +226,14 @@ def _(t: Tables) -> DataFrame:
     return library.plan_slice(t.doc.select("hash", "doc_id"), "doc_id", 50, 100)
 
 
-@query("l14_ingestion_decision", """SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'none' WHEN length(trim(left(text, doc_id % 120))) < 50 THEN 'too_short' WHEN doc_id % 5 = 0 THEN 'duplicate' ELSE 'extracted' END AS decision FROM documents""")
+@query("l14_ingestion_decision", """SELECT conv_id, turn, CASE WHEN turn % 9 = 8 THEN 'none' WHEN length(trim(text)) < 50 THEN 'too_short' WHEN d.hash IS NOT NULL THEN 'duplicate' ELSE 'extracted' END AS decision
+  FROM conversations LEFT JOIN (SELECT DISTINCT md5(text) AS hash FROM conversations WHERE role = 'user') d ON md5(text) = d.hash""")
 def _(t: Tables) -> DataFrame:
-    i = F.col("doc_id")
-    return t.documents.select("doc_id", library.ingestion_decision(i % 9 != 0, F.left("text", (i % 120).cast("int")), i % 5 == 0).alias("decision"))
+    """Whole texts of turns; what a user said is known."""
+    known = t.conversations.where("role = 'user'").select(F.md5("text").alias("hash"), F.lit(True).alias("known")).distinct()
+    rows = t.conversations.withColumn("hash", F.md5("text")).join(known, "hash", "left")
+    decision = library.ingestion_decision(F.col("turn") % 9 != 8, F.col("text"), F.coalesce("known", F.lit(False)))
+    return rows.select("conv_id", "turn", decision.alias("decision"))
 
 
 @query("l14_ingestion_decision_all", """SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'none' WHEN length(trim(text)) < 50 THEN 'too_short' WHEN doc_id % 5 = 0 THEN 'duplicate' ELSE 'extracted' END AS decision FROM documents""")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomcorpus.functions import semistructured as J
+from loomcorpus.functions import markup
 from loomcorpus.functions import text as X
 from loomcorpus.functions import vectors as V
 from loomcorpus.operators import analytics, library, state
@@ -45,12 +46,14 @@ def test_chunks(spark):
     para = lambda n, w="w": " ".join([w] * n)
     rows = ["", para(10), para(14), ". ".join([para(4)] * 5) + ".", para(6) + "\n\n" + para(6), para(3) + "\n\n" + para(3)]
     got = values(spark, rows, X.chunk_pages(F.col("x"), 10))
-    assert [[len(p.split()) for p in pages] for pages in got] == [[], [10], [14], [8, 8, 4], [6, 6], [6]]
+    assert [[len(p.split()) for p in pages] for pages in got] == [[0], [10], [14], [8, 8, 4], [6, 6], [6]]
 
 
 def test_markup_and_addresses(spark):
     html = "<html><title> T </title><script>x()</script><p>a&amp;b</p><ul><li>one<li>two</ul>c<br>d</html>"
-    assert values(spark, [html], X.html_text(F.col("x"))) == ["T \na&b\n\n- one\n- two\nc\nd".replace("T \n", "T\n")]
+    assert values(spark, [html], markup.html_text(F.col("x"))) == ["T a&b- one\n- two\nc\nd"]
+    assert markup.read_html("<nav>n</nav>x<table><tr><th> a\n b</th><td></td><td>c</td></tr><tr><td><br>d</table>y<dl><dt>k<dd>v</dl>&eacute;") == "x\n\na b | c\nd\n\nyk\n v\né"
+    assert markup.read_html("<header>h<p>i</header> j<aside>k") == "j"
     parts = values(spark, ["214 North St, Filer, ID", "214 North St 83328", "no number"], X.parse_address(F.col("x"), ["ID"]))
     assert tuple(parts[0]) == ("214", "NORTH ST", "FILER", "ID", None)
     assert tuple(parts[1]) == ("214", "NORTH ST", None, None, "83328")
