@@ -5,7 +5,8 @@ least hash is a fingerprint, so two texts that share ``WINDOW`` words in a row s
 inside them. Fingerprints of all documents are joined with those of the benchmark; in the few
 documents that meet one, each hit is extended to the windows around it and these are looked up
 by a 128-bit hash in the benchmark's windows. Items too short for a window are one window of their
-own length, looked up under that length.
+own length; their first ``SHORT`` words, or all of fewer, are their fingerprint, and the windows of all
+lengths that begin like one are looked up.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from loomcorpus.llm.common import cleaned, stored
 
 WINDOW = 13
 GRAM = 8
+#: Words of the fingerprint of a short item.
+SHORT = 4
 #: Rows of a benchmark or candidate table that are broadcast at most; larger ones are shuffled.
 MAX_SENT = 500_000
 
@@ -48,10 +51,10 @@ def _winnowed(grams: str) -> Column:
     return F.array_distinct(F.transform(_runs(F.size(grams), width), lambda i: F.array_min(F.slice(grams, i, width))))
 
 
-def _fingerprints(rows: DataFrame, short: list[int]) -> DataFrame:
-    """``rows`` (with ``hashes``) with ``prints``: winnowed k-grams, and all runs of the short lengths."""
+def _fingerprints(rows: DataFrame, widths: list[int]) -> DataFrame:
+    """``rows`` (with ``hashes``) with ``prints``: winnowed k-grams, and all runs as wide as short fingerprints."""
     rows = rows.withColumn("grams", _grams("hashes", GRAM))
-    prints = F.concat(_winnowed("grams"), *[F.array_distinct(_grams("hashes", n)) for n in short])
+    prints = F.concat(_winnowed("grams"), *[F.array_distinct(_grams("hashes", n)) for n in widths])
     return rows.withColumn("prints", prints)
 
 
@@ -78,14 +81,15 @@ def decontaminate(
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), _word_hashes(F.col(item_text)).alias("hashes"))
     items = stored(items.where("item is not null and size(hashes) > 0").withColumn("n", F.least(F.size("hashes"), F.lit(WINDOW))), "items")
     short = sorted(r.n for r in items.where(F.col("n") < WINDOW).select("n").distinct().collect())
+    widths = sorted({min(n, SHORT) for n in short})
     windows = items.select("item", "n", "hashes", F.explode(F.sequence(F.lit(1), F.size("hashes") - F.col("n") + 1)).alias("at"))
     windows = stored(windows.select("item", "n", *_names(F.slice("hashes", F.col("at"), F.col("n")))).distinct(), "windows")
     prints = _fingerprints(items.where(F.col("n") == WINDOW), []).select(F.explode("prints").alias("print"))
-    brief = items.where(F.col("n") < WINDOW).select(F.xxhash64("hashes").alias("print"))
+    brief = items.where(F.col("n") < WINDOW).select(F.xxhash64(F.slice("hashes", 1, F.least("n", F.lit(SHORT)))).alias("print"))
     prints = _small(stored(prints.union(brief).distinct(), "prints"))
 
     key = [F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash")]
-    marked = _fingerprints(docs.select(*key, _word_hashes(F.col(text_col)).alias("hashes")), short)
+    marked = _fingerprints(docs.select(*key, _word_hashes(F.col(text_col)).alias("hashes")), widths)
     marked = stored(marked.select("id", "text_hash", F.size("hashes").cast("long").alias("n_words"), "prints"), "prints")
     met = marked.select("id", "text_hash", F.explode("prints").alias("print")).join(prints, "print")
     met = met.where("id is not null").groupBy("id", "text_hash").agg(F.collect_set("print").alias("met"))
@@ -100,10 +104,11 @@ def decontaminate(
     around = F.array_distinct(F.flatten(F.transform(hit, lambda i: F.sequence(F.greatest(i - (WINDOW - GRAM), F.lit(1)), i))))
     starts = F.filter(around, lambda i: i + (WINDOW - 1) <= F.size("hashes"))
     spans = [_spans(starts, WINDOW)]
+    for width in widths:
+        begun = F.filter(F.arrays_zip(_runs(F.size("hashes"), width).alias("at"), _grams("hashes", width).alias("gram")), lambda x: F.array_contains("met", x["gram"]))
+        found = found.withColumn(f"begun_{width}", F.transform(begun, lambda x: x["at"]))
     for n in short:
-        grams = _grams("hashes", n)
-        places = F.filter(F.arrays_zip(_runs(F.size("hashes"), n).alias("at"), grams.alias("gram")), lambda x: F.array_contains("met", x["gram"]))
-        spans.append(_spans(F.transform(places, lambda x: x["at"]), n))
+        spans.append(_spans(F.filter(f"begun_{min(n, SHORT)}", lambda i: i + (n - 1) <= F.size("hashes")), n))
     found = found.select("id", "text_hash", "hashes", F.concat(*spans).alias("spans"))
     named = F.transform("spans", lambda s: F.struct(s["at"].alias("at"), s["n"].alias("n"), *_names(F.slice("hashes", s["at"], s["n"]))))
     spots = found.select("id", "text_hash", F.explode(named).alias("s")).select("id", "text_hash", "s.*")

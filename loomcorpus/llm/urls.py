@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most blocks of the filter (16 bytes each when broadcast); a longer list gets a denser filter
-#: with more false positives, which the exact join removes.
-MAX_BLOCKS = 1 << 18
+#: Most blocks of the filter that are broadcast (some 40 bytes each). A longer list gets a denser filter, with
+#: more false positives for the exact join; one of over ``MAX_KEYS`` keys a block is joined without it.
+MAX_BLOCKS = 1 << 20
+MAX_KEYS = 16
 #: Listed entries that are broadcast for the exact join at most; a longer list is shuffled.
 MAX_SENT_ENTRIES = 100_000
 _PROBES = 4
@@ -73,8 +74,10 @@ def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", ur
     # Equal urls are judged once, so a host with a third of all pages costs no more than its urls.
     urls = rows.select("host", "path").distinct()
     probes = urls.where("host <> ''").select("host", "path", F.explode(keys).alias("key"))
-    hits = probes.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
-    hits = hits.where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key")
+    hits = probes
+    if sizes["keys"] <= MAX_KEYS * blocks:
+        hits = probes.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
+        hits = hits.where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key")
     exact = F.broadcast(listed) if sizes["keys"] <= MAX_SENT_ENTRIES else listed
     best = hits.join(exact, "key").groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), "key", "verdict")).alias("best"))
     return rows.join(best, ["host", "path"], "left").select(

@@ -280,6 +280,18 @@ def test_urls(spark):
     assert urls.filter_urls(pages, urls.rules_table(spark, urls.RULES).limit(0)).where("verdict = 'block'").count() == 0
 
 
+@pytest.mark.parametrize(("blocks", "keys"), [(1 << 20, 16), (1, 10**6), (1, 16)])
+def test_urls_long_lists(spark, monkeypatch, blocks, keys):
+    """A list that is shuffled, through a sparse filter, a full one (all its hits are false), and none."""
+    monkeypatch.setattr(urls, "MAX_SENT_ENTRIES", 0)
+    monkeypatch.setattr(urls, "MAX_BLOCKS", blocks)
+    monkeypatch.setattr(urls, "MAX_KEYS", keys)
+    rules = [("block", f"h{i}.org/{'a' * (i % 3)}") for i in range(0, 400, 2)] + [("allow", "h8.org/aaa")]
+    pages = spark.createDataFrame([(i, f"http://x.h{i}.org/aaa") for i in range(400)] + [(None, "http://h2.org/")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.filter_urls(pages, urls.rules_table(spark, rules), default="none").collect()}
+    assert got == {i: "none" if i % 2 else "allow" if i == 8 else "block" for i in range(400)} | {None: "none"}
+
+
 def test_warc_round_trip(spark, tmp_path):
     htmls = ["<p>x</p>", "<p>y é</p>", "<p>x</p>", None, "", "WARC/1.1\r\n\r\nfake", "<p>x</p>", "a\r\n\r\n" * 50]
     rows = [(i, f"http://h/{i} ü\r\nX: y" if i % 2 else None, h, "d") for i, h in enumerate(htmls)] + [(6, None, "<p>x</p>", "d")]
