@@ -66,19 +66,20 @@ def _open_scopes() -> list[list[str]]:
     return _scopes.open
 
 
-def _write(df: DataFrame, what: str, scope: int) -> DataFrame:
+def _write(df: DataFrame, what: str, scope: int, level: int = 3) -> DataFrame:
     spark, path, scopes = df.sparkSession, new_path(df.sparkSession, what), _open_scopes()
     if len(scopes) >= scope:
         scopes[-scope].append(path)
     with small_batches(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored(df: DataFrame, what: str = "table") -> DataFrame:
+def stored(df: DataFrame, what: str = "table", level: int = 3) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: later steps recompute nothing
-    before it, and any executor can read it. Arrow batches are kept small meanwhile."""
-    return _write(df, what, 1)
+    before it, and any executor can read it. Arrow batches are kept small meanwhile. ``level`` is that of
+    the compression, for tables whose size counts."""
+    return _write(df, what, 1, level)
 
 
 def sent(table: DataFrame, most: int) -> DataFrame:
