@@ -97,7 +97,7 @@ def sequences(docs: DataFrame, text_col: str = "text", size: int = SEQUENCE, nam
 
 
 def _slotted(batches: Iterator[pa.RecordBatch], n: int, key: int, per_shard: int) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=3)
+    pack = zstandard.ZstdCompressor(level=6)
     for batch in batches:
         slots = permuted(batch.column("index").to_numpy(), n, key)
         ids = pa.array([pack.compress(x.as_buffer()) for x in batch.column("ids")], pa.binary())
@@ -153,7 +153,7 @@ def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int
     """
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(f"{base}/{ATTEMPTS}")
-    cut = stored(sequences(docs, text_col, size), "sequences")
+    cut = stored(sequences(docs, text_col, size), "sequences", level=9)
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.groupBy("part").agg(F.count("*").alias("n"))  # one row for each task of the scan
     offsets = counts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
