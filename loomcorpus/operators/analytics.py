@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from loomcorpus.operators import tables
 
+#: Rows of a dictionary that are broadcast at most.
+MAX_SENT = 100_000
+
 
 def breakdown(rows: DataFrame, keys: Sequence[str], **sums: str) -> DataFrame:
     """Row count and sums per key combination."""
@@ -138,7 +141,9 @@ def first_rule(rows: DataFrame, rules: DataFrame, key: str, text: str) -> DataFr
 
 def remap(rows: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFrame:
     """Per key the sorted set of canonical values; variants mapped to null or unknown are dropped."""
-    met = rows.join(F.broadcast(mapping), rows[value] == mapping["variant"]).where("canonical is not null")
+    # A dictionary of few rows is sent to the tasks, a longer one is shuffled.
+    few = mapping.limit(MAX_SENT + 1).count() <= MAX_SENT
+    met = rows.join(F.broadcast(mapping) if few else mapping, rows[value] == mapping["variant"]).where("canonical is not null")
     return met.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("canonical")), ",").alias("mapped"))
 
 

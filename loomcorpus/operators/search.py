@@ -79,13 +79,19 @@ def top_k_batch(points: DataFrame, queries: DataFrame, k: int, where: Column | N
     return best.select(F.col("qid").alias(query_id), F.col("pid").alias(id_col), "score", "place")
 
 
-def route(queries: DataFrame, examples: DataFrame, group: str, default: int | str, least: float, id_col: str = "point_id") -> DataFrame:
-    """The route whose centroid is nearest, and ``default`` with the best score below ``least``.
+#: Routes whose centroids are sent to the tasks as one array; more are searched like points.
+MAX_ROUTES = 1000
 
-    There is one centroid per route, a fixed small list, so they are broadcast as one array.
-    """
-    means = centroids(examples, group, "embedding").select(F.struct(F.col(group), "centroid").alias("c"))
-    listed = means.agg(F.sort_array(F.collect_list("c")).alias("routes"))
+
+def route(queries: DataFrame, examples: DataFrame, group: str, default: int | str, least: float, id_col: str = "point_id") -> DataFrame:
+    """The route whose centroid is nearest (ties: the greatest route), and ``default`` with the best score below ``least``."""
+    means = centroids(examples, group, "embedding")
+    if means.select(group).limit(MAX_ROUTES + 1).count() > MAX_ROUTES:
+        points = means.select(F.col(group).alias("route"), F.col("centroid").cast("array<float>").alias("embedding"))
+        best = top_k_batch(points, queries.select(F.col(id_col).alias("query_id"), "embedding"), 1, id_col="route")
+        chosen = F.when(F.col("score") < least, F.lit(default)).otherwise(F.col("route"))
+        return best.select(F.col("query_id").alias(id_col), chosen.alias("route"), F.greatest("score", F.lit(0.0)).alias("score"))
+    listed = means.select(F.struct(F.col(group), "centroid").alias("c")).agg(F.sort_array(F.collect_list("c")).alias("routes"))
     score = F.transform("routes", lambda r: F.struct(cosine(F.col("embedding"), r["centroid"]).alias("score"), r[group].alias("route")))
     scored = queries.crossJoin(F.broadcast(listed)).select(id_col, score.alias("s"))
     best = F.array_max("s")

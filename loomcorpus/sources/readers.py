@@ -17,13 +17,14 @@ CONCEPT = (
 def library_files(spark: SparkSession, root: str, extension: str = "pdf") -> DataFrame:
     """Catalogue rows of a folder tree: content hash, size, source and category from the path.
 
-    Folders whose name starts with ``_`` are pruned; only the wanted extension (any case) is read.
+    Folders whose name starts with ``_`` are pruned; only files of the wanted extension (any case) are opened.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    named = "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in extension)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", named).load(root)
     root_path = root.split("://", 1)[-1].rstrip("/")
     relative = F.regexp_replace(F.regexp_replace("path", r"^[a-z]+:/+", "/"), "^" + root_path.replace(".", r"\.") + "/", "")
     source, category = X.source_and_category(F.col("relative"))
-    rows = files.where(F.lower("path").endswith("." + extension)).withColumn("relative", relative).where(~F.col("relative").rlike("(^|/)_[^/]*/"))
+    rows = files.withColumn("relative", relative).where(~F.col("relative").rlike("(^|/)_[^/]*/"))
     return rows.select(
         F.md5("content").alias("hash"), F.element_at(F.split("relative", "/"), -1).alias("filename"), F.col("path"), F.col("length").alias("size_bytes"),
         source.alias("source"), category.alias("category"), F.col("modificationTime").alias("modified_at"),
@@ -37,19 +38,19 @@ def stable(files: DataFrame, as_of: Column, seconds: int, modified: str = "modif
 
 def page_files(spark: SparkSession, root: str) -> DataFrame:
     """``(hash, page_no, text)`` of ``<hash>/page_NNNN.txt`` files."""
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("text"))
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page_*.txt").select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("text"))
     return files.select(
-        F.regexp_extract("p", r"([^/]+)/page_\d+\.txt$", 1).alias("hash"), F.regexp_extract("p", r"page_(\d+)\.txt$", 1).cast("int").alias("page_no"), "text"
+        F.regexp_extract("p", r"([^/]+)/page_\d+\.txt$", 1).alias("hash"), F.regexp_extract("p", r"page_(\d+)\.txt$", 1).try_cast("int").alias("page_no"), "text"
     ).where("page_no IS NOT NULL")
 
 
 def concept_windows(spark: SparkSession, root: str) -> DataFrame:
     """Concept rows of ``<hash>/window_NNNN.json`` arrays; broken files give one row with ``bad``."""
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("raw"))
+    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="window_*.json").select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("raw"))
     parsed = raw.withColumn("v", F.try_parse_json("raw"))
     kind = F.coalesce(F.schema_of_variant("v"), F.lit("bad"))
     return parsed.select(
-        F.regexp_extract("p", r"([^/]+)/window_\d+\.json$", 1).alias("hash"), F.regexp_extract("p", r"window_(\d+)\.json$", 1).cast("int").alias("win"),
+        F.regexp_extract("p", r"([^/]+)/window_\d+\.json$", 1).alias("hash"), F.regexp_extract("p", r"window_(\d+)\.json$", 1).try_cast("int").alias("win"),
         F.when(kind.startswith("ARRAY"), F.from_json("raw", f"array<struct<{_struct_fields()}>>")).alias("concepts"), (~kind.startswith("ARRAY")).alias("bad"),
     )
 
@@ -89,7 +90,7 @@ def opds_entries(spark: SparkSession, path: str) -> DataFrame:
 
 def intel_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Valid intel rows, and those that lack source, category or content."""
-    rows = spark.read.schema(INTEL).option("multiLine", True).option("mode", "PERMISSIVE").json(path).cache()
+    rows = spark.read.schema(INTEL).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
     ok = F.col("source").isNotNull() & F.col("category").isNotNull() & F.col("content").isNotNull() & F.col("_corrupt_record").isNull()
     return rows.where(ok).drop("_corrupt_record"), rows.where(~ok)
 
@@ -119,3 +120,71 @@ def caption_choice(captions: DataFrame, key: str) -> DataFrame:
     """Per video the first English caption, else the first of any language."""
     rank = F.struct((F.col("lang") != "en").alias("other"), F.col("pos"))
     return captions.groupBy(key).agg(F.min_by(F.struct("lang", "path"), rank).alias("c")).select(key, "c.lang", "c.path")
+
+
+SIDECAR = "source_type string, url string, page_timestamps map<string,double>, article_path string, zim_name string, zim_file string"
+
+
+def sidecars(spark: SparkSession, root: str) -> DataFrame:
+    """``(base, source_type, url, page_timestamps, ...)`` of ``<base>.meta.json`` and ``<base>/meta.json`` files; broken ones give nulls."""
+    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*meta.json").select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("raw"))
+    meta = F.from_json("raw", SIDECAR)
+    return raw.select(F.regexp_extract("p", r"([^/]+?)[./]meta\.json$", 1).alias("base"), meta.alias("m")).select("base", "m.*")
+
+
+def with_sidecar(documents: DataFrame, meta: DataFrame, key: str = "hash") -> DataFrame:
+    """Documents with what their sidecar states (null where there is none), as ``points.build`` reads it."""
+    stated = meta.select(
+        F.col("base").alias(key), F.col("source_type").alias("stated_type"), F.col("url").alias("stated_url"), F.col("article_path").alias("article"),
+        F.col("zim_name").alias("archive"), F.col("zim_file").alias("archive_file"), "page_timestamps",
+    )
+    return documents.join(stated, key, "left")
+
+
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON lines; lines that are no JSON are dropped."""
+    broken = "_corrupt_record"
+    rows = spark.read.schema(f"{schema}, {broken} string").option("mode", "PERMISSIVE").json(path)
+    return rows.where(F.col(broken).isNull()).drop(broken)
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of a plan: a JSON array of objects. The target is the sanitized path or else the proposed one."""
+    schema = "hash string, current_path string, sanitized_path string, proposed_path string, sanitized_filename string, filename string, ambiguous boolean"
+    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    return rows.select(
+        "hash", "current_path", F.coalesce("sanitized_path", "proposed_path").alias("target"), F.coalesce("sanitized_filename", "filename").alias("name"),
+        F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"),
+    )
+
+
+def uploads(files: DataFrame, catalogue: DataFrame, waiting: DataFrame, allowed: list[str]) -> DataFrame:
+    """``(filename, hash, action)`` of uploaded files (filename, content): only the allowed extensions, nothing
+    empty, nothing that the catalogue or the hopper holds already, and of equal uploads the first name."""
+    rows = files.select("filename", F.md5("content").alias("hash"), F.length("content").alias("size"))
+    known = catalogue.select("hash").union(waiting.select("hash")).distinct().withColumn("known", F.lit(True))
+    first = rows.groupBy("hash").agg(F.min("filename").alias("first"))
+    out = rows.join(known, "hash", "left").join(first, "hash")
+    ending = F.lower(F.regexp_extract("filename", r"\.([^.]+)$", 1))
+    action = (
+        F.when(~ending.isin([a.lower() for a in allowed]), "bad_type").when(F.col("size") == 0, "empty").when(F.col("known"), "duplicate")
+        .when(F.col("first") < F.col("filename"), "duplicate").otherwise("accepted")
+    )
+    return out.select("filename", "hash", action.alias("action"))
+
+
+def write_pages(pages: DataFrame, path: str, key: str = "hash", number: str = "page_no") -> None:
+    """Pages as one Parquet table, the pages of a document next to each other and in order."""
+    pages.repartitionByRange(key, number).sortWithinPartitions(key, number).write.mode("overwrite").parquet(path)
+
+
+def write_report(plan: DataFrame, statistics: DataFrame, folder: str, top: DataFrame) -> None:
+    """A plan as JSON lines, and beside it a Markdown report of its statistics (kind, value, n) and of the
+    50 most frequent titles (title, n), which are all that comes to one task."""
+    plan.write.mode("overwrite").json(f"{folder}/plan")
+    line = lambda *cols: F.concat(F.lit("| "), F.concat_ws(" | ", *cols), F.lit(" |"))
+    rows = statistics.select(F.lit(1).alias("part"), F.concat_ws(" ", "kind", "value").alias("name"), "n").unionByName(top.orderBy(F.desc("n"), "title").limit(50).select(F.lit(2).alias("part"), F.col("title").alias("name"), "n"))
+    heads = plan.sparkSession.createDataFrame([(1, -1, "| what | n |"), (1, 0, "|-|-|"), (2, -1, "| title | n |"), (2, 0, "|-|-|")], "part int, at long, value string")
+    body = rows.select("part", F.lit(1).cast("long").alias("at"), "n", "name", line("name", F.col("n").cast("string")).alias("value"))
+    full = heads.withColumns({"n": F.lit(0).cast("long"), "name": F.lit("")}).unionByName(body)
+    full.orderBy("part", "at", F.desc("n"), "name").coalesce(1).select("value").write.mode("overwrite").text(f"{folder}/report")

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loomcorpus.operators import state, tables
+from loomcorpus.operators import library, state, tables
+from loomcorpus.sources import readers
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -101,3 +102,46 @@ def pending(documents: DataFrame, stage_input: str) -> DataFrame:
     order = state.FLOW.index(stage_input)
     upstream = [s for s in state.FLOW[:order]]
     return documents.agg(F.count_if(F.col("status") == stage_input).alias("ready"), F.count_if(F.col("status").isin(upstream) if upstream else F.lit(False)).alias("upstream"))
+
+
+def polled(spark: SparkSession, step: Callable[[int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Run ``step(number)`` once per ``every``, or once in all without it.
+
+    The query's checkpoint counts the polls; a step that failed is run again under its number.
+    """
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    trigger = {"processingTime": every} if every else {"once": True}
+    return ticks.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(lambda rows, number: step(number)).start()
+
+
+def arrivals(files: DataFrame, known: DataFrame, as_of: Column, seconds: int, key: str = "hash") -> DataFrame:
+    """Files that are new and have been still for ``seconds``; of files of one key the first by path."""
+    still = readers.stable(files, as_of, seconds).join(known.select(key).distinct(), key, "left_anti")
+    return state.first_wins(known.select(key), still, [key], "path")
+
+
+def dispatch(files: DataFrame, known: DataFrame, as_of: Column, seconds: int, processors: dict[str, str]) -> DataFrame:
+    """``(hash, path, meta_file, processor)`` of what has arrived in the hopper: content and sidecar by base
+    name; the extension chooses the processor, and files without one are left out."""
+    here = arrivals(files, known, as_of, seconds)
+    base = F.regexp_replace("path", r"(\.meta\.json|\.[^./]*)$", "")
+    kind = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    content = here.where(~F.col("path").endswith(".meta.json")).select("hash", "path", base.alias("base"), kind.alias("kind"))
+    meta = files.where(F.col("path").endswith(".meta.json")).groupBy(base.alias("base")).agg(F.min("path").alias("meta_file"))
+    chosen = F.lit(None).cast("string")
+    for extension, processor in processors.items():
+        chosen = F.when(F.col("kind") == extension, processor).otherwise(chosen)
+    return content.join(meta, "base", "left").select("hash", "path", "meta_file", chosen.alias("processor")).where("processor is not null")
+
+
+def to_file(documents: DataFrame) -> DataFrame:
+    """What a filing worker has to place: complete documents that aren't organized."""
+    return documents.where((F.col("status") == "complete") & F.col("organized_at").isNull())
+
+
+def watched(files: DataFrame, documents: DataFrame, as_of: Column, seconds: int, acquired: str, ingest: str) -> tuple[DataFrame, DataFrame]:
+    """The two phases of a watchdog: the still files of the acquired folder with their action, and the
+    documents of the ingest folder that are ready to be placed."""
+    still = readers.stable(files, as_of, seconds).where(F.contains("path", F.lit(acquired)))
+    first = still.join(documents.select("hash", "status"), "hash", "left")
+    return first.select("hash", "path", library.acquire_action(F.col("status")).alias("action")), to_file(documents).where(F.contains("path", F.lit(ingest)))
