@@ -306,7 +306,7 @@ def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", X.html_title(F.col("html")).alias("title"), (F.length("html") >= 100).alias("long_enough"))
 
 
-def _markup_sql() -> str:
+def page_text_sql() -> str:
     x = "html"
     for tag in sorted(markup.DROPPED):
         x = rf"regexp_replace({x}, '(?is)<{tag}\b.*?</{tag}\s*>', '', 'g')"
@@ -318,7 +318,7 @@ def _markup_sql() -> str:
     return rf"SELECT page_id, regexp_replace({x}, '^\s+|\s+$', '', 'g') AS content FROM pages"
 
 
-@query("c23_page_text", _markup_sql())
+@query("c23_page_text", page_text_sql())
 def _(t: Tables) -> DataFrame:
     """The parser's text; on the well-formed pages of the tables SQL's regular expressions give the same."""
     return t.pages.select("page_id", markup.html_text(F.col("html")).alias("content"))

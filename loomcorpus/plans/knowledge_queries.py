@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomcorpus.functions import names as N
 from loomcorpus.functions import text as X
 from loomcorpus.operators import analytics, archives, concepts, library, points, state
+from loomcorpus.plans import analytics_queries
 from loomcorpus.plans.registry import query
 from loomcorpus.sources.bindings import Tables
 
@@ -311,7 +312,10 @@ def _entries(t: Tables) -> DataFrame:
     return archives.article_actions(rows.drop("page_id"), rows.where("page_id % 13 = 0").select("path"), t.documents.select(F.md5("text").alias("hash")))
 
 
-@query("s17_archive_actions")
+@query("s17_archive_actions", f"""WITH x AS ({analytics_queries.page_text_sql()}), e AS (SELECT page_id, concat('A/', CAST(page_id AS VARCHAR(9)), CASE page_id % 5 WHEN 0 THEN '/de' WHEN 1 THEN '/en' WHEN 2 THEN '/xyz' ELSE '' END) AS path, CASE WHEN length(content) >= 200 THEN md5(content) END AS hash FROM x),
+  l AS (SELECT * FROM e WHERE page_id % 11 <> 0 AND page_id % 7 <> 0 AND page_id % 13 <> 0), f AS (SELECT hash, min(path) AS path FROM l WHERE page_id % 5 <> 0 AND hash IS NOT NULL GROUP BY hash),
+  a AS (SELECT CASE WHEN l.path IS NULL THEN 'ignored' WHEN e.page_id % 5 = 0 THEN 'foreign' WHEN e.hash IS NULL THEN 'stub' WHEN f.path < e.path OR e.hash IN (SELECT md5(text) FROM documents) THEN 'duplicate' ELSE 'article' END AS action
+    FROM e LEFT JOIN l ON l.path = e.path LEFT JOIN f ON f.hash = e.hash) SELECT action, count(*) AS n FROM a GROUP BY action""")
 def _(t: Tables) -> DataFrame:
     return _entries(t).groupBy("action").agg(F.count("*").alias("n"))
 
