@@ -82,10 +82,9 @@ def _replaced(text: Column, patterns: list[str], by: str = " ") -> Column:
 def _cut(text: Column, room: Column) -> Column:
     """At most ``room`` characters, ended at the last blank if that is beyond 60 % of them."""
     head = F.left(text, room)
-    blank = F.length(head) - F.instr(F.reverse(head), " ")  # places before the last blank
-    worded = F.contains(head, F.lit(" ")) & (blank > 0.6 * room)
-    shorter = F.rtrim(F.when(worded, F.left(head, blank)).otherwise(head), F.lit(". -,"))
-    return F.when(F.length(text) > room, shorter).otherwise(text)
+    blank = room - F.instr(F.reverse(head), " ")  # places before the last blank
+    ended = F.left(text, F.when((blank < room) & (blank > 0.6 * room), blank).otherwise(room))
+    return F.when(F.length(text) > room, F.rtrim(ended, F.lit(". -,"))).otherwise(text)
 
 
 def sanitized(name: Column, doc_hash: Column | None = None) -> Column:
@@ -96,25 +95,20 @@ def sanitized(name: Column, doc_hash: Column | None = None) -> Column:
     URLs, and stems are cut to fit ``LIMIT``. Null gives null; a stem of under 2 characters is ``untitled``.
     """
     known = F.nullif(doc_hash if doc_hash is not None else F.lit(None).cast("string"), F.lit(""))
-    end = F.lower(extension(name))
-    end = F.when(end == "", ".pdf").otherwise(end)
+
+    # (Neither lambdas nor bound values can be the input of a Python function; steps name the one before rarely.)
     body = stem(name)
-    parts = F.split(body, " -- ")
-    other = F.size(parts) > 2
-    body = F.when(other | ((F.size(parts) == 2) & F.try_element_at(parts, F.lit(2)).rlike(SITE_SEGMENT)), parts[0]).otherwise(body)
-    body = _replaced(body, SITE_TAGS + IDENTIFIERS)
-    mark = F.regexp_extract(body, r"_([0-9a-f]{8})$", 1)
-    body = F.when((mark != "") & (known.isNull() | F.startswith(known, mark)), F.left(body, F.length(body) - 9)).otherwise(body)
-    body = plain_name(body)
-    spaced = F.regexp_replace(body, MANUALS, "$1 $2-$3")
-    dots = F.length(spaced) - F.length(F.replace(spaced, F.lit("."), F.lit("")))
-    spaced = F.when(dots >= 4, F.regexp_replace(spaced, r"\.(?=[A-Za-z])", " ")).otherwise(spaced)
-    body = F.when(body.rlike(r"^[a-z0-9-]+\.[a-z]{2,}[_/]"), body).otherwise(spaced)
-    body = F.replace(body, F.lit("_"), F.lit(" "))
-    body = _replaced(body, [r'[<>:"|?*\\/]', r"[\x00-\x1f\x7f]"], "")
+    sited = body.rlike("(?s) -- .* -- ") | body.rlike(f"(?s) -- .*(?:{SITE_SEGMENT})")
+    body = _replaced(F.when(sited, F.substring_index(body, " -- ", 1)).otherwise(body), SITE_TAGS + IDENTIFIERS)
+    own = known.isNull() | F.startswith(known, F.right(body, F.lit(8)))
+    plain = plain_name(F.when(own, F.regexp_replace(body, "_[0-9a-f]{8}$", "")).otherwise(body))
+    manual = F.regexp_replace(plain, MANUALS, "$1 $2-$3")
+    dotted = F.length(plain) - F.length(F.replace(plain, F.lit("."), F.lit(""))) >= 4
+    body = F.when(plain.rlike(r"^[a-z0-9-]+\.[a-z]{2,}[_/]"), plain).when(dotted, F.regexp_replace(manual, r"\.(?=[A-Za-z])", " ")).otherwise(manual)
+    body = _replaced(F.replace(body, F.lit("_"), F.lit(" ")), [r'[<>:"|?*\\/]', r"[\x00-\x1f\x7f]"], "")
     body = F.regexp_replace(F.regexp_replace(body, " {2,}", " "), "-{2,}", "-")
-    body = strip(F.btrim(body, F.lit(". -")))
-    body = F.when(F.length(body) < 2, "untitled").otherwise(body)
+    body = F.regexp_replace(strip(F.btrim(body, F.lit(". -"))), "(?s)^.?$", "untitled")
+    end = F.coalesce(F.nullif(F.lower(extension(name)), F.lit("")), F.lit(".pdf"))
     return F.concat(_cut(body, F.lit(LIMIT) - F.length(end)), end)
 
 
@@ -125,9 +119,9 @@ def needs_sanitizing(name: Column, doc_hash: Column | None = None) -> Column:
 def library_name(name: Column, doc_hash: Column | None = None) -> Column:
     """``sanitized`` with underscores for blanks; titles without ``.pdf`` get it. Blank names give null."""
     full = F.when(F.endswith(F.lower(name), F.lit(".pdf")), name).otherwise(F.concat(name, F.lit(".pdf")))
-    clean = sanitized(full, doc_hash)
-    body = F.btrim(F.regexp_replace(F.replace(stem(clean), F.lit(" "), F.lit("_")), "_{2,}", "_"), F.lit("_"))
-    return F.when((strip(name) != "") & (body != ""), F.concat(body, extension(clean)))
+    body = F.regexp_replace(sanitized(full, doc_hash), r"\.pdf$", "")
+    body = F.btrim(F.regexp_replace(F.replace(body, F.lit(" "), F.lit("_")), "_{2,}", "_"), F.lit("_"))
+    return F.when(strip(name) != "", F.concat(F.nullif(body, F.lit("")), F.lit(".pdf")))
 
 
 def video_name(title: Column, uuid: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcorpus.functions.names import extension, library_name, sanitized, stem
 from loomcorpus.functions.text import author_last_name, blank_to_null, folder_name, garbage_title, last_year, strip
-from loomcorpus.operators.tables import with_prefix_sums
+from loomcorpus.operators.tables import stored, with_prefix_sums
 
 NAME_LIMIT = 120
 
@@ -73,7 +73,8 @@ def sweep_plan(files: DataFrame, documents: DataFrame, domains: DataFrame, root:
     rows = files.join(documents.withColumnRenamed("filename", "own_name"), "hash", "left").join(domains, "hash", "left")
     base = F.element_at(F.split("path", "/"), -1)
     rows = rows.withColumns({"folder": target_folder(root, F.col("domain"), F.col("subdomain")), "name": planned_name(F.col("book_title"), F.coalesce("own_name", base), F.col("hash"))})
-    rows = rows.withColumn("name", F.coalesce("name", base))
+    # Stored, so that the long name expressions are planned and computed once.
+    rows = stored(rows.withColumn("name", F.coalesce("name", base)), "named")
     action = sweep_action(F.col("status"), garbage_title(F.col("book_title")), F.col("domain"), F.col("path"), F.concat("folder", F.lit("/"), F.col("name")))
     rows = rows.withColumn("action", action)
     moving = rows.where("action = 'relocate'")
