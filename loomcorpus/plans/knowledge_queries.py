@@ -123,7 +123,7 @@ def _(t: Tables) -> DataFrame:
     return t.part.select("p_brand", X.plain_identifier(F.col("p_brand")).alias("ok")).distinct()
 
 
-@query("c84_size_labels", """SELECT doc_id, CASE WHEN n_chars < 1024 THEN concat(CAST(n_chars AS VARCHAR(20)), ' B') ELSE concat(printf('%.1f', n_chars / 1024.0), ' KB') END AS label FROM documents WHERE n_chars < 1048576""")
+@query("c84_size_labels", """SELECT doc_id, CASE WHEN n_chars < 1024 THEN concat(CAST(n_chars AS VARCHAR(20)), ' B') ELSE concat(printf('%.1f', round(n_chars / 1024.0, 1)), ' KB') END AS label FROM documents WHERE n_chars < 1048576""")
 def _(t: Tables) -> DataFrame:
     return t.documents.where("n_chars < 1048576").select("doc_id", X.readable_size(F.col("n_chars")).alias("label"))
 
