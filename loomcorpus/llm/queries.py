@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, packing, quality, sharding, urls, warc
+from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, middle, packing, quality, sharding, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.middle_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_training_order": op9_training_order,
     "op10_language_id": op10_language_id,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
@@ -75,4 +80,5 @@ ORACLES: dict[str, str] = {
     "op5_jaccard_join": jaccard.SQL,
     "op7_url_filters": urls.SQL,
     "op8_warc": warc.SQL,
+    "op12_fill_in_middle": middle.SQL,
 }
