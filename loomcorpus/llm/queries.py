@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, middle, packing, quality, sharding, urls, warc
+from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, middle, packing, quality, sharding, urls, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle.middle_digests(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_training_order": op9_training_order,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
     "op12_fill_in_middle": op12_fill_in_middle,
 }
 
