@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, middle, packing, quality, sharding, urls, warc, whitening
+from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, middle, packing, quality, repeats, sharding, urls, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle.middle_digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sharding": op2_sharding,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_whitening": op11_whitening,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_repeated_strings": op13_repeated_strings,
 }
 
 ORACLES: dict[str, str] = {
