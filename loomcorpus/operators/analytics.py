@@ -154,5 +154,6 @@ def sets_differ(a: Column, b: Column) -> Column:
 
 def round_robin(rows: DataFrame, order: Sequence[str], n: int, name: str) -> DataFrame:
     """``rows`` with a number from 0 to ``n - 1``, dealt in ``order`` (unique) over all rows; no task numbers more than a range."""
-    ranked = tables.with_prefix_sums(rows.withColumn("_one", F.lit(1)), order, "_one")
-    return ranked.select(*rows.columns, (F.col("rank") % n).cast("int").alias(name))
+    rank = tables.fresh(rows, "rank")
+    ranked = tables.with_prefix_sums(rows, order, rank=rank)
+    return ranked.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col(rank) % n).cast("int").alias(name))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcorpus.functions.names import extension, library_name, sanitized, stem
 from loomcorpus.functions.text import author_last_name, blank_to_null, folder_name, garbage_title, last_year, strip
-from loomcorpus.operators.tables import stored, with_prefix_sums
+from loomcorpus.operators.tables import fresh, stored, with_prefix_sums
 
 NAME_LIMIT = 120
 
@@ -201,8 +201,8 @@ def plan_slice(plan: DataFrame, order: str, start: int, size: int) -> DataFrame:
 
     The ranks come from counts of ranges, so a deep slice sorts no more than its ranges.
     """
-    ranked = with_prefix_sums(plan.withColumn("_one", F.lit(1)), [order], "_one")
-    return ranked.where(F.col("rank").between(start, start + size - 1)).select(*plan.columns)
+    rank = fresh(plan, "rank")
+    return with_prefix_sums(plan, [order], rank=rank).where(F.col(rank).between(start, start + size - 1)).drop(rank)
 
 
 def ingestion_decision(captions: Column, text: Column, known: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomcorpus.functions import text as X
 from loomcorpus.functions import vectors as V
-from loomcorpus.operators import tables
+from loomcorpus.operators import state
 
 # What every new point says of itself.
 DEFAULTS = {"verification_status": "unverified", "credibility_score": 0.7, "language": "en"}
@@ -83,9 +83,16 @@ def hybrid(points: DataFrame, dense: str, indices: str | None = None, values: st
     return points.withColumn("vector", F.struct(F.col(dense).alias("dense"), sparse.alias("sparse"))).drop(*{dense, indices, values} - {None})
 
 
-def upsert(points: DataFrame, batch: DataFrame, id_col: str = "id") -> DataFrame:
-    """``points`` with the rows of ``batch`` in place of those of the same id; ``batch`` holds an id once."""
-    return points.join(batch.select(id_col), id_col, "left_anti").unionByName(batch, allowMissingColumns=True)
+def upsert(points: DataFrame, batch: DataFrame, id_col: str = "id", order: str | None = None) -> DataFrame:
+    """``points`` with the rows of ``batch`` in place of those of the same id.
+
+    Of rows of ``batch`` that repeat an id the one of greatest ``order`` wins, by default the greatest by its
+    other columns (which then must be comparable: no maps). Rows without an id are not stored.
+    """
+    new = batch.where(F.col(id_col).isNotNull())
+    rest = [c for c in batch.columns if c != id_col]
+    last = state.last_wins(new, [id_col], order or rest[0]) if rest else new.distinct()
+    return points.join(last.select(id_col), id_col, "left_anti").unionByName(last, allowMissingColumns=True)
 
 
 def delete_payload(points: DataFrame, keys: Sequence[str], payload: str = "payload") -> DataFrame:
@@ -99,10 +106,12 @@ def with_any(points: DataFrame, column: str, values: DataFrame | Sequence[str])
     listed = points.schema[column].dataType.simpleString().startswith("array")
     if isinstance(values, DataFrame):
         wanted = values.select(F.col(values.columns[0]).alias("_wanted")).distinct()
-        keyed = points.withColumn("_row", F.monotonically_increasing_id())
-        keyed = tables.stored(keyed, "points")
-        each = keyed.select("_row", (F.explode(column) if listed else F.col(column)).alias("_wanted"))
-        return keyed.join(each.join(wanted, "_wanted", "left_semi").select("_row").distinct(), "_row", "left_semi").drop("_row")
+        if not listed:
+            return points.join(wanted, points[column] == wanted["_wanted"], "left_semi")
+        # The lists that are met, not the rows, so rows need no number.
+        lists = points.select(F.array_distinct(column).alias("_list")).distinct()
+        met = lists.select("_list", F.explode("_list").alias("_wanted")).join(wanted, "_wanted", "left_semi").select("_list").distinct()
+        return points.join(met, F.array_distinct(points[column]) == met["_list"], "left_semi")
     if len(values) > MAX_LISTED:
         raise ValueError(f"more than {MAX_LISTED} values: pass a table")
     wanted = F.array(*[F.lit(v) for v in values])

@@ -27,9 +27,10 @@ BLOCK = 4096
 _STEP = 256
 
 
-def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
+def unit(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """The vectors in double precision and of length one; zero vectors stay zero."""
-    flat = pa.concat_arrays(vectors.chunks).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    whole = pa.concat_arrays(vectors.chunks) if isinstance(vectors, pa.ChunkedArray) else vectors
+    flat = whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     rows = flat.reshape(len(vectors), -1)
     length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return rows / np.where(length == 0, 1.0, length)
@@ -40,7 +41,7 @@ def _block_tops(queries: pa.Table, points: pa.Table, k: int, schema: pa.Schema)
     if not len(queries) or not len(points):
         return schema.empty_table()
     points = points.sort_by("pid")
-    q, p = _unit(queries.column("qv")), _unit(points.column("pv"))
+    q, p = unit(queries.column("qv")), unit(points.column("pv"))
     rows, picks, scores = [], [], []
     for at in range(0, len(q), _STEP):
         score = np.round(q[at : at + _STEP] @ p.T, 10)
@@ -52,6 +53,16 @@ def _block_tops(queries: pa.Table, points: pa.Table, k: int, schema: pa.Schema)
     return pa.table(columns, schema=schema)
 
 
+def meet(left: DataFrame, right: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """``(qid, pid, score)``: of every group of queries (qid, qv) and points (pid, pv) of equal ``keys`` the ``k`` best of each query."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = {f.name: f.dataType.simpleString() for f in [*left.schema, *right.schema]}
+    empty = left.sparkSession.createDataFrame([], f"qid {kinds['qid']}, pid {kinds['pid']}, score double").schema
+    schema = to_arrow_schema(empty)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda q, p: _block_tops(q, p, k, schema), empty)
+
+
 def top_k_batch(points: DataFrame, queries: DataFrame, k: int, where: Column | None = None, id_col: str = "point_id", query_id: str = "query_id") -> DataFrame:
     """``(query_id, id_col, score, place)``: the ``k`` nearest points to every vector of ``queries``.
 
@@ -60,8 +71,6 @@ def top_k_batch(points: DataFrame, queries: DataFrame, k: int, where: Column | N
     the best ``k`` of a query go on. Cosines are rounded to ten places, and equal ones go by id. Rows
     without a vector are neither found nor asked.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     rows = points if where is None else points.where(where)
     rows = rows.select(F.col(id_col).alias("pid"), F.col("embedding").alias("pv")).where("pv is not null")
     asked = queries.select(F.col(query_id).alias("qid"), F.col("embedding").alias("qv")).where("qv is not null")
@@ -70,10 +79,7 @@ def top_k_batch(points: DataFrame, queries: DataFrame, k: int, where: Column | N
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = asked.withColumn("qb", dealt("qid", n_asked)).withColumn("pb", every(n_points))
     right = rows.withColumn("pb", dealt("pid", n_points)).withColumn("qb", every(n_asked))
-    kinds = {f.name: f.dataType.simpleString() for f in [*rows.schema, *asked.schema]}
-    empty = rows.sparkSession.createDataFrame([], f"qid {kinds['qid']}, pid {kinds['pid']}, score double").schema
-    schema = to_arrow_schema(empty)
-    met = left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInArrow(lambda q, p: _block_tops(q, p, k, schema), empty)
+    met = meet(left, right, ["qb", "pb"], k)
     place = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "pid"))
     best = met.withColumn("place", place).where(F.col("place") <= k)
     return best.select(F.col("qid").alias(query_id), F.col("pid").alias(id_col), "score", "place")
@@ -84,15 +90,25 @@ MAX_ROUTES = 1000
 
 
 def route(queries: DataFrame, examples: DataFrame, group: str, default: int | str, least: float, id_col: str = "point_id") -> DataFrame:
-    """The route whose centroid is nearest (ties: the greatest route), and ``default`` with the best score below ``least``."""
+    """The route whose centroid is nearest, and its score, for every row of ``queries``.
+
+    Cosines are in double precision and rounded to ten places; of equally near routes the least wins.
+    ``default`` stands for a score below ``least`` or not above 0, and so for rows without a vector (null, of zeros only,
+    or with an entry that is null or not a number), which have score 0. Rows that repeat an id each get their route.
+    """
     means = centroids(examples, group, "embedding")
+    clean = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c))
+    asked = queries.select(id_col, F.when(clean, F.col("embedding")).alias("embedding"))
     if means.select(group).limit(MAX_ROUTES + 1).count() > MAX_ROUTES:
-        points = means.select(F.col(group).alias("route"), F.col("centroid").cast("array<float>").alias("embedding"))
-        best = top_k_batch(points, queries.select(F.col(id_col).alias("query_id"), "embedding"), 1, id_col="route")
-        chosen = F.when(F.col("score") < least, F.lit(default)).otherwise(F.col("route"))
-        return best.select(F.col("query_id").alias(id_col), chosen.alias("route"), F.greatest("score", F.lit(0.0)).alias("score"))
-    listed = means.select(F.struct(F.col(group), "centroid").alias("c")).agg(F.sort_array(F.collect_list("c")).alias("routes"))
-    score = F.transform("routes", lambda r: F.struct(cosine(F.col("embedding"), r["centroid"]).alias("score"), r[group].alias("route")))
-    scored = queries.crossJoin(F.broadcast(listed)).select(id_col, score.alias("s"))
-    best = F.array_max("s")
-    return scored.select(id_col, F.when(best["score"] < least, F.lit(default)).otherwise(best["route"]).alias("route"), F.greatest(best["score"], F.lit(0.0)).alias("score"))
+        points = means.select(F.col(group).alias("route"), F.col("centroid").alias("embedding"))
+        vectors = asked.where("embedding is not null").select(F.col("embedding").alias("query_id"), "embedding").distinct()
+        best = top_k_batch(points, vectors, 1, id_col="route").select(F.col("query_id").alias("embedding"), "route", "score")
+        best = asked.join(best, "embedding", "left")
+    else:
+        listed = means.select(F.struct(F.col(group), "centroid").alias("c")).agg(F.collect_list("c").alias("routes"))
+        near = F.transform("routes", lambda r: F.struct((-F.round(F.coalesce(cosine(F.col("embedding"), r["centroid"]), F.lit(0.0)), 10)).alias("away"), r[group].alias("route")))
+        scored = asked.crossJoin(F.broadcast(listed)).select(id_col, F.array_min(near).alias("s"))  # one row of routes
+        best = scored.select(id_col, F.col("s.route").alias("route"), (-F.col("s.away")).alias("score"))
+    score = F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(0.0)) + 0.0
+    chosen = F.when((score < least) | (score <= 0), F.lit(default)).otherwise(F.col("route"))
+    return best.select(id_col, chosen.alias("route"), score.alias("score"))

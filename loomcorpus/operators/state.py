@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from loomcorpus.operators.tables import with_prefix_sums
+from loomcorpus.operators.tables import fresh, with_prefix_sums
 
 FLOW = ["queued", "extracting", "extracted", "enriching", "enriched", "embedding", "complete", "failed"]
 ENDED = ["complete", "failed"]
@@ -35,11 +35,12 @@ def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return top.select(*keys, *[F.col(f"_t._r.`{c}`").alias(c) for c in rest]).select(*rows.columns)
 
 
-def catalogue_upsert(current: DataFrame, batch: DataFrame, as_of: Column) -> DataFrame:
+def catalogue_upsert(current: DataFrame, batch: DataFrame, as_of: Column, order: str | None = None) -> DataFrame:
     """Insert new hashes; for known ones take path, filename, source and category, and stamp
-    ``path_updated_at`` only where the path changed. ``batch`` holds a hash once."""
+    ``path_updated_at`` only where the path changed. Of rows that repeat a hash in ``batch`` the one of greatest
+    ``order`` wins (none named: the greatest by its fields), as if they came one after the other; rows without a hash are ignored."""
     fields = ["filename", "path", "source", "category"]
-    new = batch.select("hash", F.struct(*fields, "size_bytes").alias("new"))
+    new = last_update(batch, ["hash"], [*fields, "size_bytes"], order).select("hash", F.struct(*fields, "size_bytes").alias("new"))
     old = current.select("hash", F.struct(*[c for c in current.columns if c != "hash"]).alias("old"))
     met = old.join(new, "hash", "full_outer")
     moved = F.col("new").isNotNull() & F.col("old").isNotNull() & (F.col("old.path") != F.col("new.path"))
@@ -93,17 +94,34 @@ def append_ids(existing: DataFrame, rows: DataFrame, order: Sequence[str], id_co
 
     Ids come from per-partition counts of stored ranges, so no task numbers all rows.
     """
-    ranked = with_prefix_sums(rows.withColumn("_one", F.lit(1)), order, "_one")
-    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
-    out = ranked.crossJoin(F.broadcast(top))  # one row
-    return out.withColumn("_id", F.col("_top") + F.col("rank") + 1).select(*rows.drop(id_col).columns, F.col("_id").alias(id_col))
+    rank = fresh(rows, "rank")
+    top = fresh(rows, "top")
+    ranked = with_prefix_sums(rows, order, rank=rank)
+    out = ranked.crossJoin(F.broadcast(existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias(top))))  # one row
+    own = [F.col(f"`{c}`") for c in rows.columns if c != id_col]
+    return out.select(*own, (F.col(top) + F.col(rank) + 1).alias(id_col))
 
 
 def set_payload(points: DataFrame, updates: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Points with the non-null fields of the update of their key; fields without one stay."""
-    new = updates.select(key, *[F.col(c).alias(f"_{c}") for c in fields])
+    """Points with the non-null fields of the update of their key; fields without one stay.
+
+    Of updates that repeat a key ``last_update`` chooses one; a null key updates nothing.
+    """
+    new = last_update(updates, [key], fields).select(key, F.struct(*fields).alias(fresh(points, "update")))
+    update = new.columns[1]
     out = points.join(new, key, "left")
-    return out.withColumns({c: F.coalesce(f"_{c}", c) for c in fields}).drop(*[f"_{c}" for c in fields]).select(*points.columns)
+    return out.select(*[F.coalesce(F.col(f"{update}.`{c}`"), F.col(f"`{c}`")).alias(c) if c in fields else F.col(f"`{c}`") for c in points.columns])
+
+
+def last_update(updates: DataFrame, keys: Sequence[str], fields: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row for each key: the update of greatest ``order``, by default of greatest fields from left to right.
+
+    Without an order there is no last one among updates of a key, so the choice is only made the same
+    whatever the partitions. Rows with a null key update nothing.
+    """
+    row = F.struct(*([order] if order else []), *fields)
+    known = updates.where(" and ".join(f"`{k}` is not null" for k in keys))
+    return known.groupBy(*keys).agg(F.max(row).alias("_row")).select(*keys, *[F.col(f"_row.`{f}`").alias(f) for f in fields])
 
 
 def delete_keys(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:

@@ -31,6 +31,14 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{scratch_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def folder(spark: SparkSession, what: str) -> str:
+    """A new path that the innermost block of ``scratch`` deletes when it ends."""
+    path, scopes = new_path(spark, what), _open_scopes()
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme that Spark itself would read it with."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -75,11 +83,12 @@ def _write(df: DataFrame, what: str, scope: int, level: int = 3) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored(df: DataFrame, what: str = "table", level: int = 3) -> DataFrame:
+def stored(df: DataFrame, what: str = "table", level: int = 3, scope: int = 1) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: later steps recompute nothing
     before it, and any executor can read it. Arrow batches are kept small meanwhile. ``level`` is that of
-    the compression, for tables whose size counts."""
-    return _write(df, what, 1, level)
+    the compression, for tables whose size counts; with ``scope`` 2 the table outlives the innermost block of
+    ``scratch``, as its result."""
+    return _write(df, what, scope, level)
 
 
 def sent(table: DataFrame, most: int) -> DataFrame:
@@ -92,6 +101,11 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete what is stored in the block when it ends."""
@@ -115,22 +129,36 @@ def cleaned(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
-def with_prefix_sums(rows: DataFrame, order: Sequence[str], value: str) -> DataFrame:
-    """``rows`` with ``before`` (sum of ``value``) and ``rank`` (count) over all rows that sort before.
+def fresh(rows: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``rows`` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_prefix_sums(rows: DataFrame, order: Sequence[str], value: str | None = None, before: str = "before", rank: str = "rank") -> DataFrame:
+    """``rows`` with ``before`` (sum of the column ``value``) and ``rank`` (count) over all rows that sort before;
+    without ``value`` only ``rank``. They take the place of columns of these names.
 
     ``order`` must be unique. No task sees more than a range of rows; the window over everything
     runs on the partitions' totals only. The ranges are stored first: both the totals and the rows
-    come from the same ones.
+    come from the same ones. Rows are carried as one struct, so their columns may have any names.
     """
-    ranged = stored(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
-    totals = ranged.groupBy("_part").agg(F.sum(value).alias("_bytes"), F.count("*").alias("_rows"))
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        "_part", F.coalesce(F.sum("_bytes").over(ahead), F.lit(0)).alias("_bytes"), F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_rows")
-    )
-    inside = Window.partitionBy("_part").orderBy(*order)
-    run = ranged.withColumn("_inside", F.sum(value).over(inside) - F.col(value)).withColumn("_place", F.row_number().over(inside) - 1)
-    # One row for each partition: as many as there are tasks, so it is safe to broadcast.
-    return run.join(F.broadcast(totals), "_part").select(
-        *[f"`{c}`" for c in rows.columns], (F.col("_inside") + F.col("_bytes")).alias("before"), (F.col("_place") + F.col("_rows")).alias("rank")
-    )
+    keys = {f"k{i}": F.col(f"`{c}`") for i, c in enumerate(order)}
+    size = F.lit(0) if value is None else F.col(f"`{value}`")
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()], size.alias("size"))
+    with scratch(rows.sparkSession):
+        ranged = stored(packed.repartitionByRange(*keys).withColumn("part", F.spark_partition_id()), "ranged")
+        totals = ranged.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+        ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        none = F.lit(0)
+        totals = totals.select("part", F.coalesce(F.sum("bytes").over(ahead), none).alias("bytes"), F.coalesce(F.sum("rows").over(ahead), none).alias("rows"))
+        inside = Window.partitionBy("part").orderBy(*keys)
+        run = ranged.withColumn("inside", F.sum("size").over(inside) - F.col("size")).withColumn("place", F.row_number().over(inside) - 1)
+        # One row for each partition: as many as there are tasks, so it is safe to broadcast.
+        run = run.join(F.broadcast(totals), "part")
+        made = {before: F.col("inside") + F.col("bytes")} if value is not None else {}
+        made[rank] = F.col("place") + F.col("rows")
+        own = [F.col(f"row.`{c}`") for c in rows.columns if c not in made]
+        return stored(run.select(*own, *[c.alias(name) for name, c in made.items()]), "numbered", scope=2)

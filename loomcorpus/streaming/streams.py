@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loomcorpus.operators import library, state, tables
+from loomcorpus.operators import library, state
+from loomcorpus.operators.keyed import KeyedTable
 from loomcorpus.sources import readers
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -48,46 +49,26 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, within: str = "1
     return a.join(b, near).select(key, "left_id", "right_id")
 
 
-def merge_into(path: str, keys: list[str], order: str, keep: Callable[[DataFrame], DataFrame] | None = None, within: str | None = None, versions: int = 3) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` that writes the next version of a keyed table, last row of a key winning.
+def merge_into(path: str, keys: list[str], order: str, keep: Callable[[DataFrame], DataFrame] | None = None, within: str | None = None, versions: int = 3, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` that merges into a ``KeyedTable``, last row of a key winning, and only rewrites the buckets it touches.
 
     A later batch wins over an earlier one; ``order`` receives the number of the batch. Inside a batch
     the row of greatest ``within`` wins (ties, and rows without such a column: the greatest row by its
-    other fields), so a repeated batch gives the same rows. Versions are folders
-    numbered by batch: a repeated batch overwrites its own version only, and of complete ones the newest
-    ``versions`` stay. ``keep`` can drop rows by age, which is retention and not a watermark.
+    other fields). A repeated batch changes nothing, and the newest ``versions`` stay. ``keep`` can drop rows by
+    age, which is retention and not a watermark.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        by = within or next((c for c in batch.columns if c not in keys), None)
-        fresh = state.last_wins(batch, keys, by) if by else batch.dropDuplicates(keys)
-        fresh = fresh.withColumn(order, F.lit(number).cast("long"))
-        old = current(spark, path, number)
-        if old is not None:
-            # One row of a key on either side: only keys are compared.
-            fresh = old.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
-        (fresh if keep is None else keep(fresh)).write.mode("overwrite").parquet(f"{path}/version={number}")
-        for gone in sorted(_complete(spark, path), reverse=True)[versions:]:
-            tables.delete(spark, f"{path}/version={gone}")
+        table = KeyedTable(batch.sparkSession, path, keys, buckets)
+        table.merge(batch.withColumn(order, F.lit(number).cast("long")), number, within, keep=keep)
+        table.expire(versions)
 
     return write
 
 
-def _complete(spark: SparkSession, path: str) -> list[int]:
-    """The numbers of the complete versions of a merged table."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(jvm_path):
-        return []
-    names = [s.getPath().getName() for s in store.listStatus(jvm_path)]
-    return [int(n.split("=")[1]) for n in names if n.startswith("version=") and store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-
-
-def current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of a merged table (older than batch ``before``)."""
-    versions = [v for v in _complete(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/version={max(versions)}") if versions else None
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version of a merged table."""
+    return KeyedTable(spark, path, []).read()
 
 
 def run_available(rows: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
