@@ -91,4 +91,5 @@ ORACLES: dict[str, str] = {
     "op7_url_filters": urls.SQL,
     "op8_warc": warc.SQL,
     "op12_fill_in_middle": middle.SQL,
+    "op13_repeated_strings": repeats.SQL,
 }

@@ -306,21 +306,28 @@ def _edges(texts: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame, Data
     grams = texts.select("text").mapInArrow(lambda b: _gram_counts(b, min_bytes), "g long, n long")
     grams = grams.groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g")
     anchors = texts.mapInArrow(lambda b: _anchors(b, min_bytes), "h long, i long, pos long, g long, f long")
-    anchors = stored(anchors.join(grams, "g"), "anchors")
+    # Both sides are tables, so that Spark can split the partition of a gram that is everywhere.
+    anchors = stored(anchors.join(stored(grams, "grams"), "g"), "anchors")
     reaches = anchors.groupBy("g", "f").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "pos")).alias("at"))
     reaches = stored(reaches.select("g", "n", "at.*"), "reaches")
     edges = reaches.where("n = 1").select(*_KEY, "pos")
     # A reach that occurs once is an edge; it is compared with all reaches of its gram.
     mixed = reaches.groupBy("g").agg(F.min("n").alias("least"), F.count("*").alias("members")).where("least = 1").select("g", "members")
-    asked = stored(reaches.join(mixed, "g").select(*_KEY, "pos", "g", "members"), "asked")
+    asked = stored(reaches.join(stored(mixed, "mixed"), "g").select(*_KEY, "pos", "g", "members"), "asked")
     return anchors, edges, asked
 
 
+def _sent_lists(table: DataFrame, lists: str) -> DataFrame:
+    """A stored table, marked for broadcast while it has at most ``MAX_SENT`` rows and four times as many list entries."""
+    rows, entries = table.agg(F.count("*"), F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()
+    return F.broadcast(table) if rows <= MAX_SENT and entries <= 4 * MAX_SENT else table
+
+
 def _found(texts: DataFrame, asked: DataFrame, min_bytes: int, widest: bool) -> DataFrame:
     """``(h, i, pos, left, right, group)``: the occurrences of the maximal repeat groups around the asked anchors. For a gram of
     too many reaches, the least and greatest repeated window of each anchor."""
     by_text = stored(asked.groupBy(*_KEY).agg(F.collect_list(F.struct("pos", "g")).alias("asked")), "by_text")
-    bytes_ = texts.join(sent(by_text, MAX_SENT), _KEY).mapInArrow(lambda b: _reaches(b, min_bytes), "h long, i long, pos long, g long, left binary, right binary")
+    bytes_ = texts.join(_sent_lists(by_text, "asked"), _KEY).mapInArrow(lambda b: _reaches(b, min_bytes), "h long, i long, pos long, g long, left binary, right binary")
     hot = asked.where(F.col("members") > MAX_BUCKET).select("g").distinct()
     few = F.broadcast(hot) if hot.count() <= MAX_SENT else hot
     bytes_ = stored(bytes_.join(few.withColumn("hot", F.lit(True)), "g", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "reach_bytes")
@@ -392,7 +399,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty result.
     """
     names = {c: f"c{n}" for n, c in enumerate(docs.columns)}
-    ranges = sent(repeated_ranges(docs, id_col, text_col, min_bytes), MAX_SENT)
+    ranges = _sent_lists(repeated_ranges(docs, id_col, text_col, min_bytes), "starts")
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], _text(text_col).alias("text"), *_key(id_col, _text(text_col)))
     rows = rows.join(ranges, _KEY, "left").drop(*_KEY)
     kinds = ", ".join([*[f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in names.items()], *[f"{c} {kind}" for c, kind in _MADE.items()]])
@@ -405,3 +412,22 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``(id_col, n_bytes, n_removed, n_spans, kept_sha256)`` of every row; see ``remove_repeats``."""
     out = remove_repeats(docs.select(id_col, text_col), id_col, text_col, min_bytes)
     return out.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), n AS (SELECT doc_id, b, octet_length(b) AS n_bytes FROM d
+), w AS (SELECT doc_id, i, b[i:i + 199] AS s FROM (SELECT doc_id, b, unnest(range(1, n_bytes - 198)) AS i FROM n WHERE n_bytes >= 200)
+), r AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1
+), p AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM w SEMI JOIN r USING (s)
+), q AS (SELECT doc_id, min(i) AS a, max(i) + 199 AS z FROM p GROUP BY doc_id, k
+), m AS (SELECT *, max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS y FROM q
+), g AS (SELECT *, sum(CASE WHEN y IS NULL OR a > y + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a) AS k FROM m
+), c AS (SELECT doc_id, min(a) AS a, max(z) AS z FROM g GROUP BY doc_id, k
+), l AS (SELECT doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, list(a ORDER BY a) AS s, list(z ORDER BY a) AS e FROM c GROUP BY doc_id
+)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(CASE WHEN s IS NULL THEN b ELSE unhex(array_to_string(list_transform(range(1, len(s) + 2),
+    lambda i: hex(b[CASE WHEN i = 1 THEN 1 ELSE e[i - 1] + 1 END:CASE WHEN i > len(s) THEN n_bytes ELSE s[i] - 1 END])), '')) END) AS kept_sha256
+FROM n LEFT JOIN l USING (doc_id)
+"""
