@@ -127,18 +127,6 @@ def reconcile(listed: DataFrame, tracked: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "full_outer").select(key, state.alias("state"))
 
 
-def first_rule(rows: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row the value of the first rule (by number) whose keyword the text contains.
-
-    ``rules`` (rule_no, keyword, value) is a fixed small list and is broadcast; the distinct texts are
-    matched, not the rows.
-    """
-    texts = rows.select(text).distinct()
-    met = texts.join(F.broadcast(rules), F.contains(F.lower(F.col(text)), F.col("keyword")))
-    best = met.groupBy(text).agg(F.min_by("value", "rule_no").alias("value"))
-    return rows.join(best, text, "left").select(key, text, "value")
-
-
 def remap(rows: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFrame:
     """Per key the sorted set of canonical values; variants mapped to null or unknown are dropped."""
     # A dictionary of few rows is sent to the tasks, a longer one is shuffled.

@@ -167,17 +167,27 @@ class VectorIndex:
             return stored(out, "found", scope=2)
 
     def probes_for(self, queries: DataFrame, k: int, recall: float = 0.9, query_id: str = "query_id") -> tuple[int, float]:
-        """The least number of probes, by doubling, that finds ``recall`` of the exact ``k`` best of ``queries`` (a bounded
-        set), and the recall that it has."""
-        n = len(self.centroids())
+        """The least number of probes that finds ``recall`` of the exact ``k`` best of ``queries`` (a bounded set), and the
+        recall that it has.
+
+        A point of the exact result is found as soon as its cell is probed, so the place of that cell among the
+        query's cells is all that has to be counted. Ids must be unique."""
+        centroids = self.centroids()
+        if not len(centroids):
+            return 1, 1.0
         with scratch(self.spark):
-            want = stored(search.top_k_batch(_usable(self.points(), self.vector), queries, k, id_col=self.id_col, query_id=query_id).select(query_id, self.id_col), "exact")
-            total, probes = want.count(), 1
-            while True:
-                hits = self.search(queries, k, probes, query_id=query_id).join(want, [query_id, self.id_col], "left_semi").count()
-                if hits >= recall * total or probes >= n:
-                    return min(probes, max(1, n)), hits / total if total else 1.0
-                probes *= 2
+            want = search.top_k_batch(_usable(self.points(), self.vector), queries, k, id_col=self.id_col, query_id=query_id)
+            asked = _usable(queries.select(F.col(query_id).alias("qid"), F.col("embedding").alias("qv")), "qv")
+            near = _assigned(asked, centroids, "qv", len(centroids)).select("qid", F.posexplode("near").alias("turn", "x")).select("qid", "turn", F.col("x.cell").alias("cell"))
+            cells = self.points().select(F.col(self.id_col).alias("pid"), F.col("_cell").alias("cell"))
+            met = want.select(F.col(query_id).alias("qid"), F.col(self.id_col).alias("pid")).join(cells, "pid").join(near, ["qid", "cell"])
+            turns = {r.turn: r["count"] for r in met.groupBy("turn").count().collect()}  # at most the number of cells
+        total, so_far = sum(turns.values()), 0
+        for turn in range(len(centroids)):
+            so_far += turns.get(turn, 0)
+            if so_far >= recall * total:
+                break
+        return turn + 1, so_far / total if total else 1.0
 
 
 def complete(spark: SparkSession, path: str) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomcorpus.functions import markup
 from loomcorpus.functions import text as X
 from loomcorpus.functions import vectors as V
-from loomcorpus.operators import analytics, concepts, library, search
+from loomcorpus.operators import analytics, concepts, keywords, library, search
 from loomcorpus.plans.registry import query
 from loomcorpus.sources.bindings import Tables
 
@@ -172,7 +172,7 @@ _RULES_SQL = ", ".join(f"({n}, '{k}', '{v}')" for n, k, v in _RULES)
   SELECT p_partkey, p_name, (SELECT min_by(v, no) FROM r WHERE contains(lower(p_name), kw)) AS value FROM part""")
 def _(t: Tables) -> DataFrame:
     rules = t.spark.createDataFrame(_RULES, "rule_no int, keyword string, value string")
-    return analytics.first_rule(t.part, rules, "p_partkey", "p_name").select("p_partkey", "p_name", "value")
+    return keywords.first_rule(t.part.select("p_partkey", "p_name"), rules, "p_name")
 
 
 @query("j18_variant_map", """WITH m AS (SELECT p_type AS variant, CASE WHEN min(p_partkey) % 5 = 0 THEN NULL ELSE upper(left(p_type, 5)) END AS canonical FROM part GROUP BY p_type)
@@ -197,7 +197,7 @@ def _(t: Tables) -> DataFrame:
     return search.top_k(t.pts, query_vector, 10, F.col("source_type") == "web").select("point_id", "source_type", F.round("score", 6).alias("score"))
 
 
-def _batch_sql(where: str) -> str:
+def batch_sql(where: str) -> str:
     """Every vector whose id is divisible by 50 against all points, or those that meet ``where``."""
     return f"""WITH q AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id % 50 = 0),
   s AS (SELECT query_id, point_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) * sqrt(list_dot_product(CAST(v AS DOUBLE[]), CAST(v AS DOUBLE[])))), 10) AS score
@@ -211,35 +211,30 @@ def _batch(t: Tables, where: Column | None = None) -> DataFrame:
     return search.top_k_batch(t.pts, asked, 10, where).withColumn("score", F.round("score", 6))
 
 
-@query("t01_top_k_batch", _batch_sql("true"))
+@query("t01_top_k_batch", batch_sql("true"))
 def _(t: Tables) -> DataFrame:
     return _batch(t)
 
 
-@query("t01_top_k_batch_web", _batch_sql("source_type = 'web'"))
+@query("t01_top_k_batch_web", batch_sql("source_type = 'web'"))
 def _(t: Tables) -> DataFrame:
     return _batch(t, F.col("source_type") == "web")
 
 
-@query("v05_router", """WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) r(i) WHERE vec_id % 2 = 0 GROUP BY 1, 2),
-  c AS (SELECT label, list(x ORDER BY i) AS v FROM e GROUP BY label),
-  s AS (SELECT p.vec_id, c.label, list_cosine_similarity(CAST(p.embedding AS DOUBLE[]), c.v) AS s FROM embeddings p, c WHERE p.vec_id % 2 = 1),
-  b AS (SELECT vec_id, max(s) AS s, arg_max(label, s) AS label FROM s GROUP BY vec_id)
-  SELECT vec_id AS point_id, CASE WHEN s < 0.45 THEN -1 ELSE label END AS route, round(greatest(s, 0), 6) AS score FROM b""")
-def _(t: Tables) -> DataFrame:
-    rows = t.embeddings.withColumnRenamed("vec_id", "point_id")
-    out = search.route(rows.where("point_id % 2 = 1"), rows.where("point_id % 2 = 0"), "label", -1, 0.45)
-    return out.withColumn("score", F.round("score", 6))
+_ROUTED = "CASE WHEN vec_id % 97 = 0 THEN NULL WHEN vec_id % 89 = 0 THEN list_transform(embedding, lambda x: CAST(0 AS FLOAT)) ELSE embedding END"
 
 
-@query("v05_router_all", """WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2),
+@query("v05_router_all", f"""WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2),
   c AS (SELECT label, list(x ORDER BY i) AS v FROM e GROUP BY label),
-  s AS (SELECT p.vec_id, c.label, list_cosine_similarity(CAST(p.embedding AS DOUBLE[]), c.v) AS s FROM embeddings p, c),
-  b AS (SELECT vec_id, max(s) AS s, arg_max(label, s) AS label FROM s GROUP BY vec_id)
-  SELECT vec_id AS point_id, CASE WHEN s < 0.45 THEN -1 ELSE label END AS route, round(greatest(s, 0), 6) AS score FROM b""")
+  p AS (SELECT vec_id, {_ROUTED} AS v FROM embeddings),
+  s AS (SELECT p.vec_id, c.label, coalesce(round(CASE WHEN vec_id % 89 = 0 THEN 0 ELSE list_cosine_similarity(CAST(p.v AS DOUBLE[]), c.v) END, 10), 0) AS s FROM p, c),
+  b AS (SELECT vec_id, max(s) AS s, min_by(label, (-s, label)) AS label FROM s GROUP BY vec_id)
+  SELECT vec_id AS point_id, CASE WHEN s < 0.1 THEN -1 ELSE label END AS route, round(greatest(s, 0), 6) AS score FROM b""")
 def _(t: Tables) -> DataFrame:
     rows = t.embeddings.withColumnRenamed("vec_id", "point_id")
-    return search.route(rows, rows, "label", -1, 0.45).withColumn("score", F.round("score", 6))
+    k = F.col("point_id")
+    vector = F.when(k % 97 == 0, None).when(k % 89 == 0, F.transform("embedding", lambda x: F.lit(0.0).cast("float"))).otherwise(F.col("embedding"))
+    return search.route(rows.withColumn("embedding", vector), rows, "label", -1, 0.1).withColumn("score", F.round("score", 6))
 
 
 @query("c80_point_ids", "SELECT doc, win, CAST(('0x' || left(md5(concat_ws(':', doc, win, title)), 15)) AS BIGINT) AS id FROM con")

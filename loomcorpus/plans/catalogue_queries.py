@@ -114,16 +114,6 @@ def _(t: Tables) -> DataFrame:
     return analytics.breakdown(rows, ["folder"], bytes="size_bytes")
 
 
-@query("a16_enrichment_outcome", """WITH w AS (SELECT c.doc, c.win, count(*) AS n, sum(CASE WHEN length(c.title) % 5 = 0 THEN 1 ELSE 0 END) AS bad FROM con c GROUP BY 1, 2)
-  SELECT doc, sum(n) AS concepts, count_if(bad > 0) AS failed_windows, CASE WHEN count_if(bad > 0) = count(*) THEN 'failed' ELSE 'enriched' END AS status FROM w GROUP BY doc""", longs="concepts failed_windows")
-def _(t: Tables) -> DataFrame:
-    windows = t.con.groupBy("doc", "win").agg(F.count("*").alias("n"), F.count_if(F.length("title") % 5 == 0).alias("bad"))
-    failed = F.count_if(F.col("bad") > 0)
-    return windows.groupBy("doc").agg(
-        F.sum("n").alias("concepts"), failed.alias("failed_windows"), F.when(failed == F.count("*"), "failed").otherwise("enriched").alias("status")
-    )
-
-
 @query("a22_distinct_categories", "SELECT DISTINCT category FROM cat ORDER BY category")
 def _(t: Tables) -> DataFrame:
     return t.cat.select("category").distinct().orderBy("category")

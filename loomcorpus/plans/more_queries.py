@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomcorpus.functions import semistructured as J
 from loomcorpus.functions import text as X
 from loomcorpus.functions import vectors as V
-from loomcorpus.operators import analytics, library, state
+from loomcorpus.operators import analytics, keywords, library, state
 from loomcorpus.plans.registry import query
 from loomcorpus.sources import readers
 from loomcorpus.sources.bindings import Tables
@@ -76,9 +76,9 @@ def _(t: Tables) -> DataFrame:
 @query("j16_keyword_domains", """WITH r(kw, v) AS (VALUES ('steel', 'Metalwork'), ('brass', 'Metalwork'), ('small', 'Handicraft'), ('red', 'Pigments'))
   SELECT p_partkey, string_agg(DISTINCT v, ',' ORDER BY v) AS domains FROM part JOIN r ON contains(lower(p_name || ' ' || p_type), kw) GROUP BY p_partkey""")
 def _(t: Tables) -> DataFrame:
-    rules = _values(t, [("steel", "Metalwork"), ("brass", "Metalwork"), ("small", "Handicraft"), ("red", "Pigments")], "kw string, v string")
-    text = F.lower(F.concat_ws(" ", "p_name", "p_type"))
-    met = t.part.join(F.broadcast(rules), F.contains(text, F.col("kw")))
+    rules = _values(t, [(1, "steel", "Metalwork"), (2, "brass", "Metalwork"), (3, "small", "Handicraft"), (4, "red", "Pigments")], "rule_no int, keyword string, v string")
+    met = keywords.matches(t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text")), rules, "text")
+    met = met.select("p_partkey", F.explode("rules").alias("rule_no")).join(F.broadcast(rules.select("rule_no", "v")), "rule_no")  # four rules
     return met.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_set("v")), ",").alias("domains"))
 
 

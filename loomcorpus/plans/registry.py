@@ -21,6 +21,8 @@ def query(name: str, sql: str | None = None, longs: str = "") -> Callable[[Calla
     """
 
     def add(f: Callable[[bindings.Tables], DataFrame]) -> Callable:
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered already")
         QUERIES[name] = lambda spark, sf_dir: f(bindings.Tables(spark, sf_dir))
         if sql is not None:
             full = bindings.with_views(sql)
