@@ -9,9 +9,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcorpus.operators.tables import cleaned, delete, new_path, qualified, scratch, sent, small_batches, stored, with_prefix_sums
+from loomcorpus.operators.tables import cleaned, delete, folder, new_path, qualified, scratch, sent, small_batches, stored, with_prefix_sums
 
-__all__ = ["cleaned", "connected_components", "new_path", "publish", "scratch", "sent", "shared_uri", "small_batches", "stored", "with_prefix_sums"]
+__all__ = ["cleaned", "connected_components", "delete", "folder", "new_path", "publish", "scratch", "sent", "shared_uri", "small_batches", "stored", "with_prefix_sums"]
 
 #: Below a folder of published files, where the attempts of tasks write.
 ATTEMPTS = "_attempts"

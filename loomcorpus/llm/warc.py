@@ -2,8 +2,9 @@
 
 The headers of all pages are shuffled by payload digest; of equal payloads the one with the largest
 id stays a response and the others become revisits that refer to it. What comes back to the pages is
-the row number and the target of each revisit, so payloads aren't shuffled while those are few. The archives
-are written anew with fresh headers, gzipped record by record, in files of bounded size. Every attempt of
+the row number and the target of each revisit: broadcast while they are few, else written as one sorted list for
+each task that landed pages, of which a reader opens the lists of the rows before it. Payloads are
+never shuffled. The archives are written anew with fresh headers, gzipped record by record, in files of bounded size. Every attempt of
 a task writes files of its own, and only those of committed attempts are published (``common.publish``), so
 lost, repeated and speculative tasks leave no record twice and none half-written.
 """
@@ -11,22 +12,25 @@ lost, repeated and speculative tasks leave no record twice and none half-written
 from __future__ import annotations
 
 import base64
+import datetime
 import gzip
 import hashlib
 import io
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import ATTEMPTS, cleaned, new_path, publish, sent, shared_uri, stored
+from loomcorpus.llm.common import ATTEMPTS, cleaned, folder, new_path, publish, scratch, shared_uri, stored
 
-#: An archive file is closed beyond this size, so that reading one back takes bounded memory.
-FILE_BYTES = 8 << 20
-#: Revisits whose row numbers are broadcast at most; more are joined by a shuffle.
+#: An archive file is closed beyond this size, compressed or not, so that reading one back takes bounded memory.
+FILE_BYTES, RAW_BYTES = 8 << 20, 64 << 20
+#: Revisits whose row numbers are broadcast at most; more are read from lists beside the pages.
 MAX_SENT = 1_000_000
 
 
@@ -42,28 +46,33 @@ def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns, digest, size], names=[*batch.schema.names, "digest", "size"])
 
 
-def _urn(page: int | str | None) -> str:
-    return f"<urn:page:{'' if page is None else page}>"
+def record_id(digest: str, row: int) -> str:
+    """The name of one record: a UUID of its payload's digest and its number, so that repeated pages have records of their own."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{digest}/{row}')}>"
 
 
-def record(page: int | str | None, url: str | None, payload: bytes, size: int, digest: str, revisit: bool, refers_to: int | str | None) -> bytes:
-    """One WARC/1.1 record; a revisit has the headers but no payload."""
-    kind = "revisit" if revisit else "response"
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(page)}", "WARC-Date: 2000-01-01T00:00:00Z"]
-    if url is not None:
-        target = "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
+def record(row: dict, date: str) -> bytes:
+    """One WARC/1.1 record of a resolved page; a revisit has the headers but no payload."""
+    payload = (row["html"] or "").encode()
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if row['revisit'] else 'response'}", f"WARC-Record-ID: {record_id(row['digest'], row['row'])}", f"WARC-Date: {date}"]
+    if row["url"] is not None:
+        target = "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in row["url"])
         lines.append(f"WARC-Target-URI: {target}")
-    lines.append(f"WARC-Payload-Digest: sha1:{digest}")
-    lines.append(f"Page-Payload-Length: {size}")
-    if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_urn(refers_to)}"]
+    lines.append(f"WARC-Payload-Digest: sha1:{row['digest']}")
+    if row["page"] is not None:
+        lines.append(f"Page-ID: {row['page']}")
+    lines.append(f"Page-Payload-Length: {row['size']}")
+    if row["revisit"]:
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(row['digest'], row['refers_row'])}"]
+        if row["refers_to"] is not None:
+            lines.append(f"Page-Refers-To: {row['refers_to']}")
     lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
-def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _written(batches: Iterator[pa.RecordBatch], folder: str, date: str, most: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     store, base = fs.FileSystem.from_uri(folder)
-    out, name, size, count = None, "", 0, 0
+    out, name, size, raw, count = None, "", 0, 0, 0
 
     def close() -> pa.RecordBatch:
         out.close()
@@ -72,13 +81,13 @@ def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
     for batch in batches:
         for row in batch.to_pylist():
             if out is None:
-                name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                name, size, raw, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0, 0
                 out = store.open_output_stream(f"{base}/{ATTEMPTS}/{name}", compression=None)
-            payload = (row["html"] or "").encode()
-            data = gzip.compress(record(row["page"], row["url"], payload, row["size"], row["digest"], row["revisit"], row["refers_to"]), 4, mtime=0)
+            plain = record(row, date)
+            data = gzip.compress(plain, 4, mtime=0)
             out.write(data)
-            size, count = size + len(data), count + 1
-            if size > FILE_BYTES:
+            size, raw, count = size + len(data), raw + len(plain), count + 1
+            if size > most[0] or raw > most[1]:
                 yield close()
                 out = None
     if out is not None:
@@ -86,7 +95,8 @@ def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
 
 
 def resolve(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
-    """``(page, url, html, digest, size, revisit, refers_to)`` of every row; no html for revisits.
+    """``(page, url, html, digest, size, revisit, refers_to, row, refers_row)`` of every row; no html for revisits. Rows are
+    numbered, and ``refers_row`` is the number of the response.
 
     Of payloads of at least ``least_bytes`` bytes that are equal, the largest id is the response (a null
     id is the least); of repeated rows of that id one is. A null payload is empty.
@@ -100,18 +110,59 @@ def resolve(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     headers = landed.select("page", "row", "digest", "size").where(F.col("size") >= least_bytes)
     originals = headers.groupBy("digest", "size").agg(F.max(F.struct("page", "row")).alias("original"), F.count("*").alias("held")).where("held > 1")
     revisits = headers.join(originals.drop("held"), ["digest", "size"]).where(F.col("row") != F.col("original.row"))
-    revisits = stored(revisits.select("row", F.lit(True).alias("revisit"), F.col("original.page").alias("refers_to")), "revisits")
-    resolved = landed.join(sent(revisits, MAX_SENT), "row", "left").withColumn("revisit", F.coalesce("revisit", F.lit(False)))
-    return resolved.select("page", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "revisit", "refers_to")
+    revisits = stored(revisits.select("row", F.col("original.page").alias("refers_to"), F.col("original.row").alias("refers_row")), "revisits")
+    if revisits.count() <= MAX_SENT:
+        resolved = landed.join(F.broadcast(revisits), "row", "left")
+    else:
+        lists = folder(pages.sparkSession, "revisit_lists")
+        listed = revisits.withColumn("task", F.shiftright("row", 33)).repartition("task").sortWithinPartitions("task", "row")
+        listed.write.partitionBy("task").parquet(lists)
+        uri = shared_uri(pages.sparkSession, lists)
+        resolved = landed.mapInArrow(lambda b: _referred(b, uri), f"page {kind}, url string, html string, row long, digest string, size long, refers_to {kind}, refers_row long")
+    revisit = F.col("refers_row").isNotNull()
+    return resolved.select("page", "url", F.when(~revisit, F.col("html")).alias("html"), "digest", "size", revisit.alias("revisit"), "refers_to", "row", "refers_row")
+
+
+def _referred(batches: Iterator[pa.RecordBatch], lists: str) -> Iterator[pa.RecordBatch]:
+    """Landed rows with what they refer to, from the lists of the tasks that numbered them. A list has at most the
+    rows of one task, and rows of one task follow each other."""
+    store, base = fs.FileSystem.from_uri(lists)
+    known, list_of = -1, None
+    for batch in batches:
+        rows = batch.column("row").to_numpy()
+        tasks = rows >> 33
+        place = np.full(len(rows), -1)
+        parts = []
+        for task in np.unique(tasks):
+            if task != known:
+                files = store.get_file_info(fs.FileSelector(f"{base}/task={task}", allow_not_found=True))
+                tables = [pq.read_table(f.path, filesystem=store, partitioning=None) for f in files if f.path.endswith(".parquet")]
+                known, list_of = task, pa.concat_tables(tables).sort_by("row") if tables else None
+            if list_of is None:
+                continue
+            numbers, own = list_of.column("row").to_numpy(), np.flatnonzero(tasks == task)
+            at = np.minimum(np.searchsorted(numbers, rows[own]), len(numbers) - 1)
+            met = numbers[at] == rows[own]
+            place[own[met]] = at[met] + sum(map(len, parts))
+            parts.append(list_of)
+        if parts:
+            whole = pa.concat_tables(parts)
+            take = pa.array(place, mask=place < 0)
+            found = [whole.column(c).combine_chunks().take(take) for c in ("refers_to", "refers_row")]
+        else:
+            found = [pa.nulls(len(rows), batch.schema.field("page").type), pa.nulls(len(rows), pa.int64())]
+        yield pa.record_batch([*batch.columns, *found], names=[*batch.schema.names, "refers_to", "refers_row"])
 
 
 @cleaned
-def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
-    """Write all pages, resolved (see ``resolve``), as archives in ``folder`` (a URI); the files and their record counts."""
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, date: str | None = None) -> DataFrame:
+    """Write all pages, resolved (see ``resolve``), as archives in ``folder`` (a URI); the files and their record counts.
+    ``date`` (UTC, as ``2026-01-31T00:00:00Z``) is when the records were made, by default now."""
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(f"{base}/{ATTEMPTS}")
-    resolved = resolve(pages, id_col, url_col, html_col, least_bytes)
-    return publish(resolved.mapInArrow(lambda b: _written(b, folder), "attempt string, file string, records long"), folder)
+    date = date or datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    resolved, most = resolve(pages, id_col, url_col, html_col, least_bytes), (FILE_BYTES, RAW_BYTES)
+    return publish(resolved.mapInArrow(lambda b: _written(b, folder, date, most), "attempt string, file string, records long"), folder)
 
 
 def parse(data: bytes) -> Iterator[dict]:
@@ -127,7 +178,6 @@ def parse(data: bytes) -> Iterator[dict]:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = lambda urn: urn.removeprefix("<urn:page:").removesuffix(">") or None if urn else None
     names = ["page", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     for batch in batches:
         for content in batch.column("content"):
@@ -138,7 +188,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in parse(data):
                 if r["WARC-Type"] == "response":
                     assert payload_digest(r["payload"]) == r["WARC-Payload-Digest"].removeprefix("sha1:")
-                rows.append((number(r["WARC-Record-ID"]), int(r["Page-Payload-Length"]), r["WARC-Payload-Digest"].removeprefix("sha1:"), r["WARC-Type"], number(r.get("WARC-Refers-To"))))
+                rows.append((r.get("Page-ID"), int(r["Page-Payload-Length"]), r["WARC-Payload-Digest"].removeprefix("sha1:"), r["WARC-Type"], r.get("Page-Refers-To")))
             for at in range(0, len(rows), 10_000):
                 columns = zip(*rows[at : at + 10_000], strict=True)
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()], strict=True)], names=names)
@@ -152,7 +202,7 @@ def read_archives(pages: DataFrame, folder: str, id_type: str = "long") -> DataF
     return rows.withColumns({"page": F.col("page").cast(id_type), "refers_to": F.col("refers_to").cast(id_type)})
 
 
-def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, folder: str | None = None) -> DataFrame:
+def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, folder: str | None = None, date: str | None = None) -> DataFrame:
     """Write deduplicated archives of all pages and read them back:
     ``(id_col, payload_bytes, payload_digest, record_type, refers_to)`` of every row.
 
@@ -161,7 +211,8 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     refer to null. No rows give no archives. Other columns are ignored.
     """
     folder = shared_uri(pages.sparkSession, folder or new_path(pages.sparkSession, "warc"))
-    write_archives(pages, folder, id_col, url_col, html_col, least_bytes)
+    with scratch(pages.sparkSession):
+        write_archives(pages, folder, id_col, url_col, html_col, least_bytes, date)
     return read_archives(pages, folder, pages.schema[id_col].dataType.simpleString()).withColumnRenamed("page", id_col)
 
 
