@@ -12,10 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most blocks of the filter that are broadcast (some 40 bytes each). A longer list gets a denser filter, with
-#: more false positives for the exact join; one of over ``MAX_KEYS`` keys a block is joined without it.
+#: Most blocks of the filter that are broadcast (some 40 bytes each); a longer filter and the candidate keys are dealt by block.
 MAX_BLOCKS = 1 << 20
-MAX_KEYS = 16
 #: Listed entries that are broadcast for the exact join at most; a longer list is shuffled.
 MAX_SENT_ENTRIES = 100_000
 _PROBES = 4
@@ -62,7 +60,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", ur
     listed = listed.where("key is not null").groupBy("key").agg(F.max("verdict").alias("verdict"))
     lengths = listed.select(F.length(F.regexp_extract("key", r"(?s)^[^/]*(.*)$", 1)).alias("n"))
     sizes = lengths.agg(F.count("*").alias("keys"), F.sort_array(F.collect_set("n")).alias("lengths")).first()
-    blocks = int(min(MAX_BLOCKS, max(1, 16 * sizes["keys"] // 64 + 1)))
+    blocks = max(1, 16 * sizes["keys"] // 64 + 1)  # 16 bits a key
     bloom = listed.groupBy(_block(F.col("key"), blocks).alias("block")).agg(F.bit_or(_mask(F.col("key"))).alias("bits"))
 
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
@@ -74,10 +72,9 @@ def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", ur
     # Equal urls are judged once, so a host with a third of all pages costs no more than its urls.
     urls = rows.select("host", "path").distinct()
     probes = urls.where("host <> ''").select("host", "path", F.explode(keys).alias("key"))
-    hits = probes
-    if sizes["keys"] <= MAX_KEYS * blocks:
-        hits = probes.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
-        hits = hits.where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key")
+    # One block for each row of the filter, so its join has no hot key on that side.
+    hits = probes.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom) if blocks <= MAX_BLOCKS else bloom, "block")
+    hits = hits.where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key")
     exact = F.broadcast(listed) if sizes["keys"] <= MAX_SENT_ENTRIES else listed
     best = hits.join(exact, "key").groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), "key", "verdict")).alias("best"))
     return rows.join(best, ["host", "path"], "left").select(
