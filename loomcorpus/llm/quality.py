@@ -178,15 +178,16 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Classifier:
-    """Train on at most ``TRAINING_ROWS`` labelled rows, chosen by a hash of the id.
+    """Train on at most ``TRAINING_ROWS`` labelled texts, chosen by a hash of the id.
 
     Rows with a null text or label are left out; repeated labels of an id count once, the greatest
-    holding. Without both classes the model is neutral: probability 0.5 for every text.
+    holding, and so do repeated texts of an id, the one of least hash. Without both classes the model is neutral: probability 0.5 for every text.
     """
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("good"))
     chosen = marks.orderBy(F.xxhash64("id"), "id").limit(TRAINING_ROWS)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    rows = rows.join(F.broadcast(chosen), "id").repartition(1).sortWithinPartitions(F.xxhash64("id"), F.xxhash64("text"))
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id", "good").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
     r = rows.select("text", F.col("good").cast("int").alias("good")).mapInArrow(_train, "weights binary, bias double, slope double, shift double").first()
     if r is None:
         return Classifier(np.zeros(DIMENSIONS, np.float32), 0.0, 1.0, 0.0)
