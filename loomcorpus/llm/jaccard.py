@@ -80,8 +80,16 @@ def _decoded(data: pa.Scalar) -> np.ndarray:
 
 
 def _bounds(fragments: int) -> np.ndarray:
-    step = (1 << 64) // fragments
-    return np.array([i * step for i in range(1, fragments)], dtype=np.uint64)
+    step = np.uint64(((1 << 64) - 1) // fragments)
+    return np.arange(1, fragments, dtype=np.uint64) * step
+
+
+def _parts(tokens: np.ndarray, bounds: np.ndarray) -> tuple[list[int], list[int]]:
+    """The fragments that hold any of the sorted ``tokens``, and the cuts between them: the work is that of the tokens,
+    however many fragments there are."""
+    of = np.searchsorted(bounds, tokens, "right")
+    starts = _runs(of)
+    return of[starts].tolist(), [*starts.tolist(), len(tokens)]
 
 
 def _digest(values: np.ndarray) -> tuple[int, int]:
@@ -126,8 +134,7 @@ def _sent(batches: Iterator[pa.RecordBatch], width: int, percent: int, fragments
             counts = np.diff(np.append(starts, len(flat)))
             shared = np.bincount(places[np.repeat(counts > 1, counts)], minlength=len(heads))
             tokens, places = flat[starts], np.where(counts > 1, _MANY, places[starts]).astype(np.uint16)
-            cuts = [0, *np.searchsorted(tokens, bounds), len(tokens)]
-            own = [i for i in range(fragments) if cuts[i] < cuts[i + 1]]
+            own, cuts = _parts(tokens, bounds)
             names = np.array(names, np.int64).reshape(-1, 2)
             fields = [part.column("id"), pa.array(sizes, pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(shared.astype(np.int64))]
             members = pa.StructArray.from_arrays(fields, names=_FIELDS)
@@ -135,8 +142,8 @@ def _sent(batches: Iterator[pa.RecordBatch], width: int, percent: int, fragments
             yield pa.record_batch(
                 [
                     pa.array([fragments + number % fragments, *own], pa.int32()), pa.array([number] * (len(own) + 1), pa.int64()), members,
-                    pa.array([None] + [_coded(tokens[cuts[i] : cuts[i + 1]]) for i in own], pa.binary()),
-                    pa.array([None] + [places[cuts[i] : cuts[i + 1]].tobytes() for i in own], pa.binary()),
+                    pa.array([None] + [_coded(tokens[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+                    pa.array([None] + [places[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                 ],
                 names=["fragment", "slice", "members", "tokens", "places"],
             )
@@ -193,7 +200,7 @@ def shared_counts(texts: DataFrame, width: int, percent: int, whole: bool = Fals
     name of its set, and whether it shares enough of its prefix (of its ``whole`` set) with other
     rows to link at all."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    fragments = min(1 << 20, max(1, -(-size // FRAGMENT_BYTES)))
+    fragments = max(1, -(-size // FRAGMENT_BYTES))
     kind = texts.schema["id"].dataType.simpleString()
     members = f"members array<struct<id: {kind}, n: long, name_a: long, name_b: long, shared: long>>"
     sent = texts.mapInArrow(lambda b: _sent(b, width, percent, fragments, whole), f"fragment int, slice long, {members}, tokens binary, places binary")
@@ -233,12 +240,12 @@ def _listed(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.Re
     for batch in batches:
         for number, sets in zip(batch.column("slice").to_pylist(), batch.column("sets"), strict=True):
             tokens, counts = np.unique(np.frombuffer(sets.as_buffer(), np.uint64), return_counts=True)
-            cuts = [0, *np.searchsorted(tokens, bounds), len(tokens)]
-            own = [(i, slice(cuts[i], cuts[i + 1])) for i in range(fragments) if cuts[i] < cuts[i + 1]]
+            own, cuts = _parts(tokens, bounds)
+            parts = [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.record_batch(
                 [
-                    pa.array([i for i, _ in own], pa.int32()), pa.array([number] * len(own), pa.int64()),
-                    pa.array([_coded(tokens[c]) for _, c in own], pa.binary()), pa.array([counts[c].astype(np.uint32).tobytes() for _, c in own], pa.binary()),
+                    pa.array(own, pa.int32()), pa.array([number] * len(own), pa.int64()),
+                    pa.array([_coded(tokens[c]) for c in parts], pa.binary()), pa.array([counts[c].astype(np.uint32).tobytes() for c in parts], pa.binary()),
                 ],
                 names=["fragment", "slice", "tokens", "counts"],
             )
@@ -292,7 +299,7 @@ def ordered_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The set of every row of ``texts`` in the global order of (size class, hash)."""
     sets = stored(texts.select("text").mapInArrow(lambda b: _sliced_sets(b, width), _SLICED_SQL), "sets")
     size = sets.agg(F.coalesce(F.sum(F.octet_length("sets")), F.lit(0))).first()[0]
-    fragments = min(1 << 20, max(1, -(-size // (2 * FRAGMENT_BYTES))))
+    fragments = max(1, -(-size // (2 * FRAGMENT_BYTES)))
     listed = sets.select("slice", "sets").mapInArrow(lambda b: _listed(b, fragments), "fragment int, slice long, tokens binary, counts binary")
     classed = listed.groupBy("fragment").applyInArrow(_classed, "slice long, fragment int, classes binary")
     both = sets.unionByName(classed, allowMissingColumns=True)
