@@ -22,13 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import ATTEMPTS, cleaned, new_path, publish, shared_uri, stored
+from loomcorpus.llm.common import ATTEMPTS, cleaned, new_path, publish, scratch, shared_uri, stored
 from loomcorpus.llm.packing import token_ids
 from loomcorpus.llm.shingles import mix
 
 SEQUENCE = 2048
 #: Records of a shard: 16 MB of 16-bit ids.
 PER_SHARD = 4096
+#: Tasks that write shards at most: more shards than that are written a range to a task.
+MAX_TASKS = 20_000
 KEY = 20240229
 ROUNDS = 4
 #: Vocabularies of up to 2 ** 16 ids; a record is its number of tokens and the ids, zero-padded.
@@ -145,8 +147,8 @@ def _parse(batches: Iterator[pa.RecordBatch], size: int, per_shard: int) -> Iter
 
 
 @cleaned
-def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int = SEQUENCE, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
-    """Write all sequences of ``docs`` as shards in ``folder`` (a URI); ``(shard, records)`` of each.
+def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int = SEQUENCE, per_shard: int = PER_SHARD, key: int = KEY, max_tasks: int = MAX_TASKS) -> DataFrame:
+    """Write all sequences of ``docs`` as shards in ``folder`` (a URI), in at most ``max_tasks`` tasks; ``(shard, records)`` of each.
 
     Null and empty texts are an end id alone; repeated rows are written as often as they occur; no
     rows give no shard. Other columns are ignored.
@@ -162,8 +164,9 @@ def write_shards(docs: DataFrame, folder: str, text_col: str = "text", size: int
     indexed = cut.join(F.broadcast(offsets), "part").select((F.col("offset") + F.col("number")).alias("index"), "n_tokens", "ids")
     slotted = indexed.mapInArrow(lambda b: _slotted(b, n, key, per_shard), "shard long, slot long, n_tokens int, ids binary")
     # The slots are a permutation of 0 to n - 1, so equal ranges of them hold equal numbers of
-    # sequences: the range of a row is its shard, and a task writes one shard.
-    ranged = slotted.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+    # sequences: the range of a row is its shard, and a task writes a range of shards one after the other.
+    tasks = min(shards, max_tasks)
+    ranged = slotted.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("slot")
     return publish(ranged.mapInArrow(lambda b: _write(b, folder, size), "attempt string, file string, shard long, records long"), folder)
 
 
@@ -198,5 +201,6 @@ def read_from(folder: str, slot: int, count: int, size: int = SEQUENCE, per_shar
 def materialise(docs: DataFrame, text_col: str = "text", folder: str | None = None, size: int = SEQUENCE, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """Write the shards and read them back, see ``write_shards`` and ``read_shards``."""
     folder = shared_uri(docs.sparkSession, folder or new_path(docs.sparkSession, "shards"))
-    write_shards(docs, folder, text_col, size, per_shard, key)
+    with scratch(docs.sparkSession):
+        write_shards(docs, folder, text_col, size, per_shard, key)
     return read_shards(docs.sparkSession, folder, size, per_shard)

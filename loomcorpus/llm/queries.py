@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcorpus.llm import decontaminate, jaccard, language, lines, materialise, middle, packing, quality, repeats, sharding, urls, warc, whitening
+from loomcorpus.llm.common import scratch, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +23,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup_lines(docs)
+    with scratch(spark):
+        return stored(lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text")), "line_dedup", scope=2)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
