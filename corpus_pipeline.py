@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcorpus.llm import decontaminate, jaccard, language, lines, packing
-from loomcorpus.llm.common import stored
+from loomcorpus.llm.common import delete, scratch, stored
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``, each written as Parquet and read again. What a stage wrote, and what its
+    operators stored on the way, is deleted when the next stage is written; only the result stays."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, scope=2)
+        if before is not None:
+            delete(spark, before)
+        files = docs.inputFiles()
+        before = files[0].rsplit("/", 1)[0] if files else None
+    return docs
