@@ -19,33 +19,38 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "t
 _CONTAINERS = {"ul", "ol", "dl", "table"}
 
 
+#: Elements without an end tag.
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+#: How strong an end tag is. It doesn't close an open element that is stronger, so a stray one does nothing.
+_STRENGTH = {"p": 10, "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180, "table": 190, "head": 200, "body": 200, "html": 220}
+
+
 class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
-        self.skipped = 0
-        self.open: list[str] = []
+        self.open: list[tuple[str, bool]] = []  # the open elements, and whether they are part of the text
+        self.skipped = 0  # how many of them are dropped ones
         self.tables = 0
         self.rows: list[list[str]] = []
         self.at: list[int] = []  # rows of the open <tr>
         self.cells: list[list[str]] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in DROPPED:
-            self.skipped += 1
-        if self.skipped:
-            return
-        if tag in _CLOSES:
+        if not self.skipped and tag in _CLOSES:
             inner = len(self.open)
-            while inner and self.open[inner - 1] not in _CONTAINERS:
+            while inner and self.open[inner - 1][0] not in _CONTAINERS:
                 inner -= 1
-            hit = [i for i in range(inner, len(self.open)) if self.open[i] in _CLOSES[tag]]
+            hit = [i for i in range(inner, len(self.open)) if self.open[i][0] in _CLOSES[tag]]
             if hit:
                 self._end(hit[0])
-        if tag == "br":
+        if tag == "br" and not self.skipped:
             self._text("\n", "")
-        if tag in _CLOSES or tag in _CONTAINERS:
-            self.open.append(tag)
+        if tag not in _VOID:
+            self.open.append((tag, not self.skipped and tag not in DROPPED))
+            self.skipped += tag in DROPPED
+        if self.skipped:
+            return
         if tag == "table":
             self.tables += 1
         elif tag == "tr" and self.tables:
@@ -56,10 +61,13 @@ class _Reader(HTMLParser):
         self._text(_BEFORE.get(tag, ""), "")
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in DROPPED:
-            self.skipped = max(0, self.skipped - 1)
-        elif not self.skipped and tag in self.open:
-            self._end(len(self.open) - 1 - self.open[::-1].index(tag))
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] == tag:
+                # Elements inside that were left open end with their parent, dropped ones too.
+                self._end(at)
+                return
+            if _STRENGTH.get(self.open[at][0], 100) > _STRENGTH.get(tag, 100):
+                return
 
     def handle_data(self, data: str) -> None:
         if not self.skipped:
@@ -74,7 +82,10 @@ class _Reader(HTMLParser):
     def _end(self, at: int) -> None:
         """End the open elements from place ``at`` on, the innermost first."""
         while len(self.open) > at:
-            tag = self.open.pop()
+            tag, kept = self.open.pop()
+            self.skipped -= tag in DROPPED
+            if not kept:
+                continue
             if tag in ("td", "th") and self.cells and self.at:
                 text = re.sub(r"\s+", " ", "".join(self.cells.pop())).strip()
                 if text:

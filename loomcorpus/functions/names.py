@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from loomcorpus.functions.text import strip
+from loomcorpus.functions.text import strip, title_from_filename
 
 # The marks of download sites, identifiers and manual series in file names.
 SITE_TAGS = [r"(?i)\s*\(\s*PDFDrive\s*\)\s*", r"(?i)\s*_PDFDrive_\s*", r"(?i)\s*\(\s*z-lib\.org\s*\)\s*", r"(?i)\s*_z-lib\.org_\s*", r"\s*\{[A-Za-z0-9]+\}\s*"]
@@ -32,6 +32,16 @@ MISREAD = {
 # Punctuation that has a plain form.
 PLAIN = {"‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "–": "-", "—": "-", "‒": "-", "«": '"', "»": '"'}
 
+# Characters that no file name holds, and what marks a name made from a URL, the tail of a hash, an edition,
+# a year between marks, the year of a PDF date, and an author in a name.
+ILLEGAL = [r'[<>:"|?*\\/]', r"[\x00-\x1f\x7f]"]
+FROM_URL = r"^[a-z0-9-]+\.[a-z]{2,}[_/]"
+HASH_TAIL = "_[0-9a-f]{8}$"
+EDITION = r"(?i)(\d+)(?:st|nd|rd|th)?\s*(?:edition|ed\.?)"
+MARKED_YEAR = r"[\(\[_\s]((?:19|20)\d{2})[\)\]_\s.]"
+DATE_YEAR = r"(?:D:)?(\d{4})"
+BY_AUTHOR = r"\bby\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)"
+
 LIMIT = 120
 
 _BROKEN = {good.encode().decode("latin-1"): plain for good, plain in MISREAD.items()}
@@ -101,11 +111,11 @@ def sanitized(name: Column, doc_hash: Column | None = None) -> Column:
     sited = body.rlike("(?s) -- .* -- ") | body.rlike(f"(?s) -- .*(?:{SITE_SEGMENT})")
     body = _replaced(F.when(sited, F.substring_index(body, " -- ", 1)).otherwise(body), SITE_TAGS + IDENTIFIERS)
     own = known.isNull() | F.startswith(known, F.right(body, F.lit(8)))
-    plain = plain_name(F.when(own, F.regexp_replace(body, "_[0-9a-f]{8}$", "")).otherwise(body))
+    plain = plain_name(F.when(own, F.regexp_replace(body, HASH_TAIL, "")).otherwise(body))
     manual = F.regexp_replace(plain, MANUALS, "$1 $2-$3")
     dotted = F.length(plain) - F.length(F.replace(plain, F.lit("."), F.lit(""))) >= 4
-    body = F.when(plain.rlike(r"^[a-z0-9-]+\.[a-z]{2,}[_/]"), plain).when(dotted, F.regexp_replace(manual, r"\.(?=[A-Za-z])", " ")).otherwise(manual)
-    body = _replaced(F.replace(body, F.lit("_"), F.lit(" ")), [r'[<>:"|?*\\/]', r"[\x00-\x1f\x7f]"], "")
+    body = F.when(plain.rlike(FROM_URL), plain).when(dotted, F.regexp_replace(manual, r"\.(?=[A-Za-z])", " ")).otherwise(manual)
+    body = _replaced(F.replace(body, F.lit("_"), F.lit(" ")), ILLEGAL, "")
     body = F.regexp_replace(F.regexp_replace(body, " {2,}", " "), "-{2,}", "-")
     body = F.regexp_replace(strip(F.btrim(body, F.lit(". -"))), "(?s)^.?$", "untitled")
     end = F.coalesce(F.nullif(F.lower(extension(name)), F.lit("")), F.lit(".pdf"))
@@ -146,36 +156,49 @@ def acquired_name(title: Column, author: Column) -> Column:
     return F.concat_ws("_", safe, F.nullif(last, F.lit("")))
 
 
+def _edition(text: Column) -> Column:
+    return F.nullif(strip(F.regexp_extract(text, EDITION, 0)), F.lit(""))
+
+
 def name_metadata(filename: Column) -> Column:
     """``struct(title, author, edition, year)`` that a file name states, null where it doesn't.
 
-    A year stands between brackets, underscores, blanks or a dot; an edition is a number before
-    ``edition`` or ``ed.``; an author is `` - First Last`` at the end, or ``by First Last``.
+    The title is the readable form of the name. A year stands between brackets, underscores, blanks or
+    a dot; an edition is kept as it is written (``2nd Edition``, ``3 ed``); an author follows ``by`` as one or more names.
     """
-    body = F.replace(stem(filename), F.lit("_"), F.lit(" "))
-    year = F.regexp_extract(F.concat(filename, F.lit(" ")), r"[\(\[_\s]((?:19|20)\d{2})[\)\]_\s.]", 1)
-    edition = F.regexp_extract(body, r"(?i)(\d+)(?:st|nd|rd|th)?\s*(?:edition|ed\.)", 1)
-    ended = F.regexp_extract(body, r" - ([A-Z][a-z]+ [A-Z][a-z]+)$", 1)
-    by = F.regexp_extract(body, r"\b[Bb]y ([A-Z][a-z]+ [A-Z][a-z]+)", 1)
+    body = stem(filename)
     blank = lambda c: F.nullif(c, F.lit(""))
     return F.struct(
-        body.alias("title"), F.coalesce(blank(ended), blank(by)).alias("author"), blank(edition).alias("edition"), blank(year).try_cast("int").alias("year")
+        title_from_filename(filename).alias("title"), blank(F.regexp_extract(body, BY_AUTHOR, 1)).alias("author"), _edition(body).alias("edition"),
+        blank(F.regexp_extract(body, MARKED_YEAR, 1)).try_cast("int").alias("year"),
     )
 
 
 def field_metadata(title: Column, author: Column, subject: Column, created: Column, modified: Column) -> Column:
     """``struct(title, author, edition, year)`` of a PDF's own fields: titles of over 2 and authors of
-    over 1 characters, the year 1800 to 2030 of the creation date, else of the modification date."""
+    over 1 characters, the year 1800 to 2030 of the creation date, else of the modification date (the first
+    four digits of either), and the edition of the subject, else of the title, as it is written."""
 
     def year(date: Column) -> Column:
-        found = F.regexp_extract(date, r"D:(\d{4})", 1).try_cast("int")
+        found = F.regexp_extract(date, DATE_YEAR, 1).try_cast("int")
         return F.when(found.between(1800, 2030), found)
 
     def longer(c: Column, least: int) -> Column:
         return F.when(F.length(strip(c)) > least, strip(c))
 
-    edition = F.regexp_extract(F.concat_ws(" ", subject, title), r"(?i)(\d+)(?:st|nd|rd|th)?\s*(?:edition|ed\.)", 1)
-    return F.struct(longer(title, 2).alias("title"), longer(author, 1).alias("author"), F.nullif(edition, F.lit("")).alias("edition"), F.coalesce(year(created), year(modified)).alias("year"))
+    edition = F.coalesce(_edition(subject), _edition(title))
+    return F.struct(longer(title, 2).alias("title"), longer(author, 1).alias("author"), edition.alias("edition"), F.coalesce(year(created), year(modified)).alias("year"))
+
+
+def partial_extraction(first_page: Column, filename: Column, pages: Column, extracted: Column, found_title: Column | None = None) -> Column:
+    """``struct(title, partial, status, message)`` of a document of which only some pages were read: extracted all the same,
+    under the title that was found on a first page of over 20 characters, else under that of its name."""
+    named = title_from_filename(filename)
+    found = found_title if found_title is not None else F.lit(None).cast("string")
+    read = F.length(strip(F.coalesce(first_page, F.lit("")))) > 20
+    partial = F.coalesce(extracted < pages, F.lit(False))
+    message = F.when(partial, F.concat(F.lit("Partial: "), extracted.cast("string"), F.lit("/"), pages.cast("string"), F.lit(" pages")))
+    return F.struct(F.when(read, F.coalesce(F.nullif(found, F.lit("")), named)).otherwise(named).alias("title"), partial.alias("partial"), F.lit("extracted").alias("status"), message.alias("message"))
 
 
 def first_page_title(first_page: Column, filename: Column) -> Column:

@@ -18,17 +18,50 @@ def light_repair(raw: Column) -> Column:
     return F.regexp_replace(x, r",\s*([\]}])", "$1")
 
 
+_NEXT = re.compile(r"\}\s*,?\s*(?=\{)")
+
+
+def _object_end(raw: str, at: int) -> int:
+    """The place behind the object that begins at ``at``, by its brackets outside of strings; -1 if they don't close
+    before something that ends no member of a list."""
+    depth, quoted, i = 0, False, at
+    while i < len(raw):
+        c = raw[i]
+        if quoted:
+            if c == "\\":
+                i += 1
+            elif c == '"':
+                quoted = False
+        elif c == '"':
+            quoted = True
+        elif c in "{[":
+            depth += 1
+        elif c in "}]":
+            depth -= 1
+            if not depth:
+                rest = raw[i + 1 :].lstrip()[:1]
+                return i + 1 if rest in ("", ",", "]", "{") else -1
+        i += 1
+    return -1
+
+
 def _whole_objects(raw: str | None) -> str | None:
-    """The objects of a broken array that are complete, as an array."""
+    """The objects of a broken array that are complete, as an array.
+
+    An object that can't be read is passed over up to its own end, found by depth and strings; where it
+    has none, the scan takes up again behind the next place where one object ends and another begins."""
     if raw is None:
         return None
     decoder, at, found = json.JSONDecoder(strict=False), raw.find("{"), []
     while at >= 0:
         try:
             value, end = decoder.raw_decode(raw, at)
+            found.append(value)
         except ValueError:
-            break
-        found.append(value)
+            end = _object_end(raw, at)
+            if end < 0:
+                met = _NEXT.search(raw, at + 1)
+                end = met.end() if met else len(raw)
         at = raw.find("{", end)
     return json.dumps(found) if found else None
 

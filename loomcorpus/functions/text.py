@@ -12,10 +12,9 @@ NAME_SUFFIXES = ["jr", "jr.", "sr", "sr.", "ii", "iii", "iv", "phd", "md", "do"]
 #: What names no person, whatever the case.
 NO_PERSON = [
     r"^\(YT\)", "^Wikipedia", "^null$", "^unknown$", "^N/A$", "^Various", "^Staff", "^Anonymous",
-    *(rf"{body}\b" for body in [
-        "Department", "Committee", "Organization", "Institute", "Association", "Foundation", "University", "Government", "Bureau", "Agency", "Office",
-        "Division", "Center", "Centre", "Ministry", "Commission", "Council", "Board", "Corps", "Army", "Navy", "Air Force", "Marine", r"U\.?S\.?", "United States",
-    ]),
+    r"Department\b", r"Committee\b", r"Organization\b", r"Institute\b", r"Association\b", r"Foundation\b", r"University\b", r"Government\b",
+    r"Bureau\b", r"Agency\b", r"Office\b", r"Division\b", r"Center\b", r"Centre\b", r"Ministry\b", r"Commission\b", r"Council\b", r"Board\b",
+    r"Corps\b", r"Army\b", r"Navy\b", r"Air Force\b", r"Marine\b", r"U\.?S\.?\b", r"United States\b",
 ]
 #: Marks of download sites in titles.
 TITLE_TAGS = [r"(?i)[\s_]*\(?\s*PDFDrive\s*\)?\s*_?", r"(?i)[\s_]*\(?\s*z-lib\.org\s*\)?\s*_?"]
@@ -111,21 +110,34 @@ def download_url(path: Column, base: str) -> Column:
     return F.when(blank_to_null(path).isNull(), "").when(path.rlike("^https?://"), path).otherwise(F.concat(F.lit(base), F.array_join(parts, "/")))
 
 
+_SCHEME = r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://"
+
+
+def unquoted(path: Column) -> Column:
+    """Percent escapes resolved; a plus stays one, and a path with broken escapes stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def title_case(text: Column) -> Column:
+    """Every run of letters with an upper-case first letter, the rest lower-case."""
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1)), F.initcap), "")
+
+
 def title_from_url(url: Column) -> Column:
-    """Last path segment without extension, separators as blanks, in title case; else the host."""
-    path = F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^?#]*)", 1)
-    segment = F.regexp_extract(path, r"([^/]+)/*$", 1)
-    text = F.initcap(F.regexp_replace(F.regexp_replace(segment, r"\.[A-Za-z0-9]+$", ""), r"[-_]+", " "))
-    return F.when(F.trim(text) == "", host(url)).otherwise(text)
+    """Last path segment, unquoted, separators as blanks and without extension, in title case; else the host."""
+    path = F.when(url.rlike(_SCHEME), F.regexp_extract(url, _SCHEME + r"[^/?#]*([^?#]*)", 1)).otherwise(F.regexp_extract(url, r"(?s)^([^?#]*)", 1))
+    segment = F.regexp_extract(F.btrim(unquoted(F.regexp_replace(path, r";[^/]*$", "")), F.lit("/")), r"(?s)([^/]*)$", 1)
+    text = title_case(F.regexp_replace(F.regexp_replace(segment, "[-_]", " "), r"\.\w+$", ""))
+    return F.when(text == "", host(url)).otherwise(text)
 
 
 def host(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[a-z]+://([^/?#]*)", 1)
+    return F.regexp_extract(url, _SCHEME + "([^/?#]*)", 1)
 
 
 def url_filename(url: Column) -> Column:
     """``host_path`` with unsafe characters as ``_``, at most 200 characters and ``.html``."""
-    path = F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^?#]*)", 1)
+    path = F.regexp_extract(url, _SCHEME + "[^/?#]*([^?#]*)", 1)
     raw = F.concat(host(url), F.regexp_replace(path, "/", "_"))
     return F.concat(F.left(F.regexp_replace(raw, r"[^A-Za-z0-9_.-]", "_"), F.lit(200)), F.lit(".html"))
 
@@ -217,28 +229,33 @@ def chunk_pages(text: Column, budget: int) -> Column:
     paragraph the next piece joins the page that its last sentences left open. A text without
     any piece is one page as it is.
     """
-    paragraphs = F.filter(F.transform(F.split(text, "\n\n"), strip), lambda p: p != "")
-    piece = lambda x, flush: F.struct(x.alias("text"), flush.alias("flush"), word_count(x).alias("n"))
-
-    def pieces(p: Column) -> Column:
-        cut = F.transform(F.split(p, r"(?<=[.!?])\s+"), lambda s, i: piece(s, i == 0))
-        return F.when(word_count(p) * 2 > 3 * budget, cut).otherwise(F.array(piece(p, F.lit(False))))
-
-    none = F.array().cast("array<string>")
-    state = F.struct(none.alias("pages"), none.alias("open"), F.lit(0).alias("n"))
-    closed = lambda acc: F.array_append(acc["pages"], F.array_join(acc["open"], "\n\n"))
-
-    def step(acc: Column, x: Column) -> Column:
-        close = (F.size(acc["open"]) > 0) & (x["flush"] | (acc["n"] + x["n"] > budget))
-        return F.struct(
-            F.when(close, closed(acc)).otherwise(acc["pages"]).alias("pages"),
-            F.when(close, F.array(x["text"])).otherwise(F.array_append(acc["open"], x["text"])).alias("open"),
-            F.when(close, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"),
-        )
-
-    end = lambda acc: F.when(F.size(acc["open"]) > 0, closed(acc)).otherwise(acc["pages"])
-    made = F.aggregate(F.flatten(F.transform(paragraphs, pieces)), state, step, end)
-    return F.when(F.size(made) == 0, F.array(text)).otherwise(made)
+    counted = lambda x, flush: F.struct(x.alias("text"), F.regexp_count(x, F.lit(r"\S+")).alias("n"), flush.alias("flush"))
+    # Bound to lambda variables, the pieces are cut and their words counted once.
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    paragraphs = F.filter(F.transform(F.split(text, "\n\n"), lambda p: counted(strip(p), F.lit(False))), lambda p: p["text"] != "")
+
+    def cut(p: Column) -> Column:
+        sentences = F.transform(F.split(p["text"], r"(?<=[.!?])\s+"), lambda s, i: counted(s, i == 0))
+        return F.when(p["n"] * 2 > 3 * budget, sentences).otherwise(F.array(p))
+
+    def pages(pieces: Column) -> Column:
+        # The fold runs over numbers only; it keeps the place of the first piece of each page.
+        state = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("n"), F.lit(0).alias("at"))
+
+        def step(acc: Column, x: Column) -> Column:
+            new = (acc["at"] == 0) | x["flush"] | (acc["n"] + x["n"] > budget)
+            starts = F.when(new, F.array_append(acc["starts"], acc["at"])).otherwise(acc["starts"])
+            return F.struct(starts.alias("starts"), F.when(new, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"), (acc["at"] + 1).alias("at"))
+
+        def joined(starts: Column) -> Column:
+            end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(pieces))
+            return F.transform(starts, lambda s, i: F.array_join(F.transform(F.slice(pieces, s + 1, end(i) - s), lambda x: x["text"]), "\n\n"))
+
+        numbers = F.transform(pieces, lambda x: F.struct(x["n"].alias("n"), x["flush"].alias("flush")))
+        return bound(F.aggregate(numbers, state, step, lambda acc: acc["starts"]), joined)
+
+    made = bound(F.flatten(F.transform(paragraphs, cut)), pages)
+    return bound(made, lambda m: F.when(F.size(m) == 0, F.array(text)).otherwise(m))
 
 
 def coordinates(text: Column) -> Column:

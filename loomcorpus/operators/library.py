@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcorpus.functions.names import extension, library_name, sanitized, stem
 from loomcorpus.functions.text import author_last_name, blank_to_null, folder_name, garbage_title, last_year, strip
-from loomcorpus.operators.tables import fresh, stored, with_prefix_sums
+from loomcorpus.operators.tables import fresh, scratch, stored, with_prefix_sums
 
 NAME_LIMIT = 120
 
@@ -57,9 +57,20 @@ def target_folder(root: str, domain: Column, subdomain: Column) -> Column:
     return F.when(domain.isNotNull(), F.concat(F.lit(f"{root}/"), folder_name(domain), F.lit("/"), inner))
 
 
-def planned_name(book_title: Column, filename: Column, doc_hash: Column) -> Column:
-    """The library name of a title, else of the file name."""
-    return F.coalesce(library_name(F.concat(F.nullif(book_title, F.lit("")), F.lit(".pdf")), doc_hash), library_name(filename, doc_hash))
+def with_planned_name(rows: DataFrame, book_title: str, filename: str, doc_hash: str, name: str = "name") -> DataFrame:
+    """``rows`` with the library name of the title, else of the file name, else the file name itself.
+
+    A name is made once for each row; only where a title gives none is it made again.
+    """
+    titled = F.concat(F.nullif(F.col(book_title), F.lit("")), F.lit(".pdf"))
+    rows = rows.withColumn("_source", F.coalesce(titled, F.col(filename)))
+    with scratch(rows.sparkSession):
+        # Stored, so that the long name expressions are planned and computed once.
+        first = stored(rows.withColumn(name, library_name(F.col("_source"), F.col(doc_hash))), "named")
+        again = first.where(F.col(name).isNull() & (F.col("_source") != F.col(filename)))
+        again = again.withColumn(name, library_name(F.col(filename), F.col(doc_hash)))
+        out = first.where(F.col(name).isNotNull() | F.coalesce(F.col("_source") == F.col(filename), F.lit(True))).unionByName(again)
+        return stored(out.withColumn(name, F.coalesce(name, filename)).drop("_source"), "planned", scope=2)
 
 
 def sweep_plan(files: DataFrame, documents: DataFrame, domains: DataFrame, root: str) -> DataFrame:
@@ -72,9 +83,8 @@ def sweep_plan(files: DataFrame, documents: DataFrame, domains: DataFrame, root:
     """
     rows = files.join(documents.withColumnRenamed("filename", "own_name"), "hash", "left").join(domains, "hash", "left")
     base = F.element_at(F.split("path", "/"), -1)
-    rows = rows.withColumns({"folder": target_folder(root, F.col("domain"), F.col("subdomain")), "name": planned_name(F.col("book_title"), F.coalesce("own_name", base), F.col("hash"))})
-    # Stored, so that the long name expressions are planned and computed once.
-    rows = stored(rows.withColumn("name", F.coalesce("name", base)), "named")
+    rows = rows.withColumns({"folder": target_folder(root, F.col("domain"), F.col("subdomain")), "_file": F.coalesce("own_name", base)})
+    rows = with_planned_name(rows, "book_title", "_file", "hash").drop("_file")
     action = sweep_action(F.col("status"), garbage_title(F.col("book_title")), F.col("domain"), F.col("path"), F.concat("folder", F.lit("/"), F.col("name")))
     rows = rows.withColumn("action", action)
     moving = rows.where("action = 'relocate'")
@@ -166,7 +176,7 @@ def sweep_action(status: Column, title_is_garbage: Column, domain: Column, curre
         .when(status.isin("queued", "extracting", "enriching", "embedding"), "skip_in_progress")
         .when(status == "failed", "skip_failed")
         .when(status != "complete", "skip_other_status")
-        .when(title_is_garbage, "skip_garbage_title")
+        .when(title_is_garbage, "skip_garbage")
         .when(domain.isNull(), "unclassified")
         .when(target == current, "no_op")
         .otherwise("relocate")

@@ -388,7 +388,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("l08_sweep_actions", """WITH f AS (SELECT c.hash, d.status, d.book_title, c.path, CASE WHEN c.category = 'en' THEN NULL ELSE c.category END AS domain FROM cat c LEFT JOIN doc d ON c.hash = d.hash)
   SELECT CASE WHEN status IS NULL THEN 'rescue' WHEN status IN ('queued', 'extracting', 'enriching', 'embedding') THEN 'skip_in_progress' WHEN status = 'failed' THEN 'skip_failed' WHEN status <> 'complete' THEN 'skip_other_status'
-    WHEN book_title IS NULL OR length(trim(book_title)) < 4 OR lower(trim(book_title)) IN ('title 7') OR contains(trim(book_title), 'e 13') THEN 'skip_garbage_title' WHEN domain IS NULL THEN 'unclassified'
+    WHEN book_title IS NULL OR length(trim(book_title)) < 4 OR lower(trim(book_title)) IN ('title 7') OR contains(trim(book_title), 'e 13') THEN 'skip_garbage' WHEN domain IS NULL THEN 'unclassified'
     WHEN path = concat('/library/', domain) THEN 'no_op' ELSE 'relocate' END AS action, count(*) AS n FROM f GROUP BY 1""")
 def _(t: Tables) -> DataFrame:
     rows = t.cat.join(t.doc.select("hash", "status", "book_title"), "hash", "left")

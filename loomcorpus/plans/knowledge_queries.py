@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcorpus.functions import names as N
 from loomcorpus.functions import text as X
-from loomcorpus.operators import analytics, archives, concepts, library, points, state
+from loomcorpus.operators import analytics, archives, concepts, library, points, state, tables
 from loomcorpus.plans import analytics_queries
 from loomcorpus.plans.registry import query
 from loomcorpus.sources.bindings import Tables
@@ -84,20 +84,26 @@ def _(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", X.author_last_name(author).alias("last"))
 
 
-@query("c17_name_metadata", """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Ann Lee' END AS author, CAST(o_custkey % 9 + 1 AS VARCHAR(9)) AS edition, CAST(year(o_orderdate) AS INT) AS year FROM orders""")
+@query("c17_name_metadata", """SELECT o_orderkey, concat('Knots ', CASE o_custkey % 3 WHEN 0 THEN concat(o_custkey % 9 + 1, 'th Edition') WHEN 1 THEN concat(o_custkey % 9 + 1, ' ed') ELSE concat('Vol ', o_custkey % 9 + 1) END,
+    CASE WHEN o_orderkey % 2 = 0 THEN ' by Ann Lee' ELSE ' By Ann' END, ' (', year(o_orderdate), ')') AS title, CASE WHEN o_orderkey % 2 = 0 THEN 'Ann Lee' END AS author,
+    CASE o_custkey % 3 WHEN 0 THEN concat(o_custkey % 9 + 1, 'th Edition') WHEN 1 THEN concat(o_custkey % 9 + 1, ' ed') END AS edition, CAST(year(o_orderdate) AS INT) AS year FROM orders""")
 def _(t: Tables) -> DataFrame:
-    end = F.when(F.col("o_orderkey") % 2 == 0, " - Ann Lee.pdf").otherwise(" - ann.pdf")
-    name = F.concat(F.lit("Knots ("), F.year("o_orderdate").cast("string"), F.lit(") "), (F.col("o_custkey") % 9 + 1).cast("string"), F.lit("th Edition"), end)
-    return t.orders.select("o_orderkey", N.name_metadata(name).alias("m")).select("o_orderkey", "m.author", "m.edition", "m.year")
+    n, k = (F.col("o_custkey") % 9 + 1).cast("string"), F.col("o_custkey") % 3
+    edition = F.when(k == 0, F.concat(n, F.lit("th Edition"))).when(k == 1, F.concat(n, F.lit(" ed"))).otherwise(F.concat(F.lit("Vol "), n))
+    author = F.when(F.col("o_orderkey") % 2 == 0, " by Ann Lee").otherwise(" By Ann")
+    name = F.concat(F.lit("Knots "), edition, author, F.lit(" ("), F.year("o_orderdate").cast("string"), F.lit(").pdf"))
+    return t.orders.select("o_orderkey", N.name_metadata(name).alias("m")).select("o_orderkey", F.replace("m.title", F.lit(" By Ann Lee"), F.lit(" by Ann Lee")).alias("title"), "m.author", "m.edition", "m.year")
 
 
-@query("c18_field_metadata", """SELECT o_orderkey, CASE WHEN length(o_orderpriority) > 5 THEN o_orderpriority END AS title, CASE WHEN o_custkey % 4 = 0 THEN CAST(year(o_orderdate) AS INT) WHEN o_custkey % 4 = 1 THEN 2001 END AS year FROM orders""")
+@query("c18_field_metadata", """SELECT o_orderkey, CASE WHEN length(o_orderpriority) > 5 THEN o_orderpriority END AS title, CASE WHEN o_custkey % 3 = 0 THEN '2nd edition' WHEN o_custkey % 3 = 1 THEN '4 ed.' END AS edition,
+    CASE WHEN o_custkey % 4 IN (0, 3) THEN CAST(year(o_orderdate) AS INT) WHEN o_custkey % 4 = 1 THEN 2001 END AS year FROM orders""")
 def _(t: Tables) -> DataFrame:
-    k = F.col("o_custkey") % 4
-    created = F.when(k == 0, F.concat(F.lit("D:"), F.year("o_orderdate").cast("string"), F.lit("0101"))).otherwise("D:1650")
+    k, year = F.col("o_custkey") % 4, F.year("o_orderdate").cast("string")
+    created = F.when(k == 0, F.concat(F.lit("D:"), year, F.lit("0101"))).when(k == 3, F.concat(year, F.lit("-01-01"))).otherwise("D:1650")
     title = F.when(F.length("o_orderpriority") > 5, F.col("o_orderpriority")).otherwise(F.lit(" ab "))
-    m = N.field_metadata(title, F.lit("A"), F.lit(None).cast("string"), created, F.when(k == 1, "D:20010203"))
-    return t.orders.select("o_orderkey", m.alias("m")).select("o_orderkey", "m.title", "m.year")
+    subject = F.when(F.col("o_custkey") % 3 == 0, "Knots, 2nd edition").when(F.col("o_custkey") % 3 == 1, "4 ed. of Knots")
+    m = N.field_metadata(title, F.lit("A"), subject, created, F.when(k == 1, "20010203"))
+    return t.orders.select("o_orderkey", m.alias("m")).select("o_orderkey", "m.title", "m.edition", "m.year")
 
 
 @query("c20_coordinates", """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN round(c_acctbal / 100, 2) END AS latitude FROM customer""")
@@ -540,27 +546,31 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     rows = t.cat.join(t.doc.select("hash", "status", "book_title"), "hash", "left").join(_domains(t), "hash")
     i, folder = F.col("doc_id"), library.target_folder("/library", F.col("domain"), F.col("subdomain"))
-    rows = rows.withColumns({"folder": folder, "name": library.planned_name(F.col("book_title"), F.col("filename"), F.col("hash"))})
+    rows = library.with_planned_name(rows.withColumn("folder", folder), "book_title", "filename", "hash")
     here = F.when(i % 3 == 0, F.concat("folder", F.lit("/"), "name")).when(i % 3 == 1, F.concat("folder", F.lit("/x.pdf"))).otherwise(F.col("path"))
     stat = library.migration_stat(F.col("status").isNotNull(), F.col("domain"), "de", here, F.col("folder"), F.col("name"), F.when(i % 7 == 0, 4).otherwise(1))
     return rows.groupBy(stat.alias("stat")).agg(F.count("*").alias("n"))
 
 
 @query("l09_sweep_plan", f"""WITH {_PLAN}, h AS (SELECT *, CASE WHEN status IS NULL THEN 'rescue' WHEN status IN ('queued', 'extracting', 'enriching', 'embedding') THEN 'skip_in_progress' WHEN status = 'failed' THEN 'skip_failed' WHEN status <> 'complete' THEN 'skip_other_status'
-    WHEN book_title IS NULL THEN 'skip_garbage_title' WHEN domain IS NULL THEN 'unclassified' ELSE 'relocate' END AS action, list_extract(string_split(path, '/'), -1) AS base FROM g)
+    WHEN book_title IS NULL THEN 'skip_garbage' WHEN domain IS NULL THEN 'unclassified' ELSE 'relocate' END AS action, list_extract(string_split(path, '/'), -1) AS base FROM g)
   SELECT hash, action, CASE action WHEN 'rescue' THEN '/library/_acquired' WHEN 'unclassified' THEN '/library/_unclassified' WHEN 'relocate' THEN folder END AS folder,
     CASE WHEN action = 'rescue' THEN base WHEN action = 'unclassified' THEN name WHEN action = 'relocate' AND doc_id % 4 = 2 THEN concat(left(name, length(name) - 4), '_Lee.pdf') WHEN action = 'relocate' THEN name END AS name, CASE WHEN action = 'relocate' THEN CASE WHEN doc_id % 4 = 2 THEN 2 ELSE 1 END END AS step FROM h""")
 def _(t: Tables) -> DataFrame:
     docs = t.doc.select("hash", "status", "filename", "book_title", F.when(F.col("doc_id") % 4 == 2, "Ann Lee").alias("book_author"))
-    return library.sweep_plan(t.cat.select("hash", "path"), docs, _domains(t), "/library").select("hash", "action", "folder", "name", "step")
+    with tables.scratch(t.spark):
+        plan = library.sweep_plan(t.cat.select("hash", "path"), docs, _domains(t), "/library").select("hash", "action", "folder", "name", "step")
+        return tables.stored(plan, "plan", scope=2)
 
 
 @query("l09_sweep_statistics", f"""WITH {_PLAN}, h AS (SELECT *, CASE WHEN status IS NULL THEN 'rescue' WHEN status IN ('queued', 'extracting', 'enriching', 'embedding') THEN 'skip_in_progress' WHEN status = 'failed' THEN 'skip_failed' WHEN status <> 'complete' THEN 'skip_other_status'
-    WHEN book_title IS NULL THEN 'skip_garbage_title' WHEN domain IS NULL THEN 'unclassified' ELSE 'relocate' END AS action FROM g)
+    WHEN book_title IS NULL THEN 'skip_garbage' WHEN domain IS NULL THEN 'unclassified' ELSE 'relocate' END AS action FROM g)
   SELECT 'action' AS kind, action AS value, count(*) AS n FROM h GROUP BY action UNION ALL SELECT 'step', '1', count(*) FROM h WHERE action = 'relocate' HAVING count(*) > 0""")
 def _(t: Tables) -> DataFrame:
     docs = t.doc.select("hash", "status", "filename", "book_title", F.lit(None).cast("string").alias("book_author"))
-    return library.sweep_statistics(library.sweep_plan(t.cat.select("hash", "path"), docs, _domains(t), "/library"))
+    with tables.scratch(t.spark):
+        plan = library.sweep_plan(t.cat.select("hash", "path"), docs, _domains(t), "/library")
+        return tables.stored(library.sweep_statistics(plan), "statistics", scope=2)
 
 
 @query("l13_book_routing", """SELECT p_partkey, CASE WHEN p_size % 13 = 0 THEN 'rejected' WHEN p_partkey % 7 = 0 THEN 'duplicate' WHEN p_retailprice / 100 > 12 THEN 'content_failure' WHEN p_size % 5 = 0 THEN 'skip_empty' WHEN p_brand = 'Brand#11' THEN 'level4_duplicate' ELSE 'accepted' END AS action FROM part""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcorpus.functions import semistructured as J
 from loomcorpus.functions import text as X
 
 INTEL = "source string, category string, content string, region string, timestamp string, summary string, key_facts array<string>, _corrupt_record string"
@@ -45,13 +46,18 @@ def page_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def concept_windows(spark: SparkSession, root: str) -> DataFrame:
-    """Concept rows of ``<hash>/window_NNNN.json`` arrays; broken files give one row with ``bad``."""
+    """Concept rows of ``<hash>/window_NNNN.json`` files: arrays, of which members that are no objects are dropped, single
+    objects, and what can be repaired of either (``repaired``); other files give one row with ``bad``."""
     raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="window_*.json").select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("raw"))
-    parsed = raw.withColumn("v", F.try_parse_json("raw"))
-    kind = F.coalesce(F.schema_of_variant("v"), F.lit("bad"))
+    parsed = raw.withColumn("whole", F.try_parse_json("raw").isNotNull()).withColumn("fixed", J.repair(F.col("raw")))
+    kind = F.coalesce(F.schema_of_variant(F.try_parse_json("fixed")), F.lit("bad"))
+    listed = F.when(kind.startswith("OBJECT"), F.concat(F.lit("["), F.col("fixed"), F.lit("]"))).when(kind.startswith("ARRAY"), F.col("fixed"))
+    members = F.filter(F.from_json(listed, "array<string>"), lambda x: F.ltrim(x).startswith("{"))
+    concepts = F.transform(members, lambda x: F.from_json(x, f"struct<{_struct_fields()}>"))
+    good = kind.startswith("ARRAY") | kind.startswith("OBJECT")
     return parsed.select(
         F.regexp_extract("p", r"([^/]+)/window_\d+\.json$", 1).alias("hash"), F.regexp_extract("p", r"window_(\d+)\.json$", 1).try_cast("int").alias("win"),
-        F.when(kind.startswith("ARRAY"), F.from_json("raw", f"array<struct<{_struct_fields()}>>")).alias("concepts"), (~kind.startswith("ARRAY")).alias("bad"),
+        concepts.alias("concepts"), (~good).alias("bad"), (good & ~F.col("whole")).alias("repaired"),
     )
 
 

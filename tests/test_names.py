@@ -72,12 +72,18 @@ def test_garbage_titles(spark):
 
 
 def test_metadata(spark):
-    rows = [("Knots_(1998)_2nd edition - Ann Lee.pdf",), ("Maps by Bo Rask.pdf",), ("plain.pdf",)]
+    rows = [("Knots (1998) 2nd edition by Ann Lee.pdf",), ("Maps_by_Bo Rask.pdf",), ("plain.pdf",), ("Rope 3 ed [2001] by X.pdf",), ("Sails by Bo Rask Lind 4TH ED.pdf",), (None,)]
     got = ask(spark, rows, "n string", names.name_metadata(F.col("n")))
-    assert [(r.author, r.edition, r.year) for r in got] == [("Ann Lee", "2", 1998), ("Bo Rask", None, None), (None, None, None)]
-    rows = [(" A title ", "x", "3rd ed.", "D:1650", "D:2001-01"), ("ab", "Al", None, "D:1999", None)]
+    assert [(r.title, r.author, r.edition, r.year) for r in got] == [
+        ("Knots (1998) 2nd Edition By Ann Lee", "Ann Lee", "2nd edition", 1998), ("Maps By Bo Rask", None, None, None), ("Plain", None, None, None),
+        ("Rope 3 Ed By X (2001)", None, "3 ed", 2001), ("Sails By Bo Rask Lind 4TH ED", "Bo Rask Lind", "4TH ED", None), (None, None, None, None),
+    ]
+    rows = [(" A title ", "x", "3rd ed.", "D:1650", "D:2001-01"), ("ab", "Al", None, "1999-05", None), ("Knots 2 Edition", None, "no", None, "x 20010101"), (None, None, None, None, None)]
     got = ask(spark, rows, "t string, a string, s string, c string, m string", names.field_metadata(*map(F.col, "tascm")))
-    assert [tuple(r) for r in got] == [("A title", None, "3", 2001), (None, "Al", None, 1999)]
+    assert [tuple(r) for r in got] == [("A title", None, "3rd ed.", 2001), (None, "Al", None, 1999), ("Knots 2 Edition", None, "2 Edition", 2001), (None, None, None, None)]
+    rows = [("a first page of some length here", "x_y.pdf", 9, 4), (None, "x_y.pdf", 9, 0), ("a first page of some length here", "x_y.pdf", 9, 9)]
+    got = ask(spark, rows, "p string, n string, k int, e int", names.partial_extraction(F.col("p"), F.col("n"), F.col("k"), F.col("e"), F.lit("Found")))
+    assert [tuple(r) for r in got] == [("Found", True, "extracted", "Partial: 4/9 pages"), ("X Y", True, "extracted", "Partial: 0/9 pages"), ("Found", False, "extracted", None)]
     rows = [("short\nA line that is long enough to be one", "x_y.pdf"), ("short", "x_y.pdf"), (None, "x_y.pdf")]
     assert ask(spark, rows, "p string, n string", names.first_page_title(F.col("p"), F.col("n"))) == ["A line that is long enough to be one", "x y", "x y"]
 

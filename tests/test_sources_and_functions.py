@@ -32,7 +32,8 @@ def test_titles_and_names(spark):
 def test_urls(spark):
     paths = [None, "", "http://h/x", "/a b/ü.pdf"]
     assert values(spark, paths, X.download_url(F.col("x"), "https://base/")) == ["", "", "http://h/x", "https://base/a%20b/%C3%BC.pdf"]
-    assert values(spark, ["https://h.org/a/the-big_one.html", "https://h.org/"], X.title_from_url(F.col("x"))) == ["The Big One", "h.org"]
+    urls = ["https://h.org/a/the-big_one.html", "https://h.org/", "HTTPS://H.org/Can%20do-it%2B1.txt?x#y", "http://h.org/a/b%2Fc%20d/", "h.org/x_y", "http://h.org/a+b%zz", "http://u@h.org:8/don't_3d;p", None]
+    assert values(spark, urls, X.title_from_url(F.col("x"))) == ["The Big One", "h.org", "Can Do It+1", "C D", "X Y", "A+B%Zz", "Don'T 3D", None]
 
 
 def test_text_gates(spark):
@@ -54,6 +55,12 @@ def test_markup_and_addresses(spark):
     assert values(spark, [html], markup.html_text(F.col("x"))) == ["T a&b- one\n- two\nc\nd"]
     assert markup.read_html("<nav>n</nav>x<table><tr><th> a\n b</th><td></td><td>c</td></tr><tr><td><br>d</table>y<dl><dt>k<dd>v</dl>&eacute;") == "x\n\na b | c\nd\n\nyk\n v\né"
     assert markup.read_html("<header>h<p>i</header> j<aside>k") == "j"
+    # An element that is left open ends with its parent, and a weaker end tag closes no stronger element.
+    assert markup.read_html("<div><nav>menu</div><p>text</p>") == "text"
+    assert markup.read_html("<div><header>h<div>x</div></div>a<nav>m</span></nav>b</footer>c") == "abc"
+    assert markup.read_html("<nav><div>m</nav>still menu</div></nav>text") == "text"
+    assert markup.read_html("<ul><li><nav>a<li>b</nav></li><li>c</ul>d<script>var x='</p>'") == "- \n- c\nd"
+    assert markup.read_html("<table><tr><td><aside>x</td><td>y</table>z") == "y\n\nz"
     parts = values(spark, ["214 North St, Filer, ID", "214 North St 83328", "no number"], X.parse_address(F.col("x"), ["ID"]))
     assert tuple(parts[0]) == ("214", "NORTH ST", "FILER", "ID", None)
     assert tuple(parts[1]) == ("214", "NORTH ST", None, None, "83328")
