@@ -27,6 +27,12 @@ def path_language(path: Column) -> Column:
     return F.when(code.isin(LANGUAGES), code)
 
 
+def landed(entries: DataFrame) -> DataFrame:
+    """Container entries as ``article_actions`` takes them: HTML as text, of which broken bytes are replaced; other content is left out."""
+    html = F.when(F.col("mimetype") == "text/html", F.make_valid_utf8(F.col("content").cast("string")))
+    return entries.select("archive", "path", "title", "mimetype", "redirect", html.alias("html"))
+
+
 def article_actions(entries: DataFrame, seen: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``(path, title, action, hash, content)`` of every archive entry.
 
