@@ -185,6 +185,25 @@ def matches_any(text: Column, patterns: list[str]) -> Column:
     return F.exists(F.array(*[F.lit(p.lower()) for p in patterns]), lambda p: F.contains(F.lower(text), p))
 
 
+# Parts of addresses that a crawl passes over, whatever a site's own lists say.
+NOT_CRAWLED = [
+    "/search", "/404", "/login", "/signup", "/auth/", "/api/", "/assets/", "/static/", "/cart", "/checkout", "/account", "/register", "/subscribe",
+    "/membership", "/shop", "/store", "/product", "/wp-admin", "/feed", "/wp-json", "/xmlrpc", "/.well-known", "/cdn-cgi",
+]
+
+
+def crawlable(url: Column, include: list[str] = [], exclude: list[str] = [], always: list[str] = NOT_CRAWLED) -> Column:  # noqa: B006
+    """Whether a crawl takes an address: it holds one of ``include``, if there are any, and none of ``exclude`` and ``always``, whatever the case."""
+    wanted = matches_any(url, include) if include else F.lit(True)
+    out = [*exclude, *always]
+    return F.coalesce(wanted & (~matches_any(url, out) if out else F.lit(True)), F.lit(False))
+
+
+def trip(length: Column, seconds: Column) -> Column:
+    """``struct(miles, minutes)``, both to one decimal, halves to the even digit."""
+    return F.struct(F.bround(length, 1).alias("miles"), F.bround(seconds / 60, 1).alias("minutes"))
+
+
 def masked(key: Column) -> Column:
     """First and last 4 characters of long keys, 2 of medium ones, nothing of short ones."""
     return (

@@ -52,6 +52,41 @@ def throughput(done: Column, total: Column, seconds: Column) -> Column:
     return F.struct(rate.alias("per_second"), ((total - done) / rate).alias("remaining_seconds"))
 
 
+def folder_statistics(files: DataFrame, folder: str = "folder", name: str = "filename", size: str = "size_bytes", kinds: Sequence[str] = ("mp4", "webm", "mkv")) -> DataFrame:
+    """``(folder, files, bytes, of_kinds, extensions)``: of each folder its files, their bytes, how many have an extension of ``kinds``,
+    and the number for each extension (lower-case; '' for none)."""
+    ending = F.lower(F.regexp_extract(F.col(name), r"\.([^./]+)$", 1))
+    each = files.groupBy(folder, ending.alias("_x")).agg(F.count("*").alias("_n"), F.coalesce(F.sum(size), F.lit(0)).alias("_b"))
+    return each.groupBy(folder).agg(
+        F.sum("_n").alias("files"), F.sum("_b").alias("bytes"), F.coalesce(F.sum(F.when(F.col("_x").isin(list(kinds)), F.col("_n"))), F.lit(0)).alias("of_kinds"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("_x", "_n")))).alias("extensions"),
+    )
+
+
+def dashboard(documents: DataFrame, catalogue: DataFrame, order: Sequence[str], recent: str, limit: int = 10) -> DataFrame:
+    """One row with the state of everything: ``totals`` (documents, complete, failed, in_pipeline, not_started, concepts, vectors,
+    pages, catalogued), ``pipeline`` (status, n) in flow order, ``sources`` (source, n) by falling number, and the titles of the
+    ``limit`` complete documents that are newest by ``recent``.
+
+    ``documents``: hash, status, book_title, pages_extracted, concepts_extracted, vectors_inserted; ``catalogue``: hash, source.
+    Each part is an aggregate of a bounded number of rows: states, sources, titles.
+    """
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (("concepts", "concepts_extracted"), ("vectors", "vectors_inserted"), ("pages", "pages_extracted"))]
+    totals = documents.agg(F.count("*").alias("documents"), F.count_if(F.col("status") == "complete").alias("complete"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(~F.col("status").isin("complete", "failed")).alias("in_pipeline"), *sums)
+    idle = catalogue.join(documents.select("hash"), "hash", "left_anti").agg(F.count("*").alias("not_started"))
+    held = catalogue.agg(F.count("*").alias("catalogued"))
+    totals = totals.crossJoin(idle).crossJoin(held).select(F.struct("documents", "complete", "failed", "in_pipeline", "not_started", "concepts", "vectors", "pages", "catalogued").alias("totals"))
+    place = F.array_position(F.array(*[F.lit(s) for s in order]), F.col("status"))
+    states = documents.groupBy("status").agg(F.count("*").alias("n"))
+    states = states.agg(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("at"), "status", "n"))), lambda x: F.struct(x["status"].alias("status"), x["n"].alias("n"))).alias("pipeline"))
+    sources = catalogue.groupBy("source").agg(F.count("*").alias("n"))
+    sources = sources.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "source"))), lambda x: F.struct(x["source"].alias("source"), (-x["less"]).alias("n"))).alias("sources"))
+    newest = documents.where("status = 'complete'").orderBy(F.desc(recent), "hash").limit(limit)
+    newest = newest.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col(recent)).alias("less"), "hash", F.coalesce("book_title", F.lit("Untitled")).alias("title")))), lambda x: x["title"]).alias("recent"))
+    # One row each.
+    return totals.crossJoin(states).crossJoin(sources).crossJoin(newest)
+
+
 def facets(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(facet, value, n)`` of several columns in one pass; nulls and blanks are not counted."""
     pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in columns])

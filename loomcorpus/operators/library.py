@@ -215,6 +215,15 @@ def plan_slice(plan: DataFrame, order: str, start: int, size: int) -> DataFrame:
     return with_prefix_sums(plan, [order], rank=rank).where(F.col(rank).between(start, start + size - 1)).drop(rank)
 
 
+def rejects(files: DataFrame, readable: Column, reason: Column, review: str, path: str = "path", meta: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The files that can be read, and those that can't as a side table: ``(path, reason, review_path, removed_meta)``, where a
+    file is to be kept for review, why, and the sidecar that goes. A file of which nobody knows whether it can be read is a reject."""
+    ok = F.coalesce(readable, F.lit(False))
+    target = F.concat(F.lit(f"{review}/"), F.element_at(F.split(path, "/"), -1))
+    sidecar = F.col(meta) if meta else F.lit(None).cast("string")
+    return files.where(ok), files.where(~ok).select(F.col(path).alias("path"), F.coalesce(reason, F.lit("unreadable")).alias("reason"), target.alias("review_path"), sidecar.alias("removed_meta"))
+
+
 def ingestion_decision(captions: Column, text: Column, known: Column) -> Column:
     return F.when(~captions, "none").when(F.length(strip(text)) < 50, "too_short").when(known, "duplicate").otherwise("extracted")
 

@@ -398,13 +398,13 @@ def _(t: Tables) -> DataFrame:
     return rows.groupBy(action.alias("action")).agg(F.count("*").alias("n"))
 
 
-@query("l11_verify", """WITH m AS (SELECT o.id, c.path AS target, d.path AS db, concat('/old/', c.filename) AS source FROM ops o JOIN cat c ON o.doc = c.doc_id LEFT JOIN doc d ON c.hash = d.hash WHERE NOT o.is_reversed),
+@query("l11_verify", """WITH m AS (SELECT o.id, c.path AS target, d.path AS db, concat('/old/', c.filename) AS source FROM ops o LEFT JOIN cat c ON o.doc = c.doc_id LEFT JOIN doc d ON c.hash = d.hash WHERE NOT o.is_reversed),
   f AS (SELECT path FROM cat WHERE category <> 'es' UNION SELECT concat('/old/', filename) FROM cat WHERE source = 'src2')
   SELECT m.id, CASE WHEN a.path IS NULL THEN 'target_missing' WHEN b.path IS NOT NULL THEN 'source_still_exists' WHEN m.db IS DISTINCT FROM m.target THEN 'db_path_mismatch' ELSE 'ok' END AS result
   FROM m LEFT JOIN f a ON a.path = m.target LEFT JOIN f b ON b.path = m.source""")
 def _(t: Tables) -> DataFrame:
-    """Operations that moved catalogued files out of an old folder, against the files and the documents' paths."""
-    moved = t.ops.where(~F.col("is_reversed")).join(t.cat, t.ops["doc"] == t.cat["doc_id"]).select(
+    """Operations that moved files out of an old folder, against the files and the documents' paths; files that aren't catalogued have no target."""
+    moved = t.ops.where(~F.col("is_reversed")).join(t.cat, t.ops["doc"] == t.cat["doc_id"], "left").select(
         "id", "hash", F.col("path").alias("target"), F.concat(F.lit("/old/"), "filename").alias("source")
     )
     there = t.cat.where("category <> 'es'").select("path").union(t.cat.where("source = 'src2'").select(F.concat(F.lit("/old/"), "filename")))

@@ -61,11 +61,12 @@ def _(t: Tables) -> DataFrame:
     return _names(t).groupBy(N.needs_sanitizing(F.col("name"), F.col("hash")).alias("changed")).agg(F.count("*").alias("n"))
 
 
-@query("c04_library_names", f"""WITH {_SANITIZED.replace("FROM part", "FROM part WHERE p_partkey % 9 NOT IN (1, 3, 6)")} SELECT p_partkey, concat(regexp_replace(regexp_replace(replace(left(clean, length(clean) - 4), ' ', '_'), '_{{2,}}', '_', 'g'), '^_+|_+$', '', 'g'), '.pdf') AS clean FROM sane""")
+_AS_PDF = "(SELECT * REPLACE (CASE WHEN lower(name) LIKE '%.pdf' THEN name ELSE name || '.pdf' END AS name) FROM n)"
+
+
+@query("c04_library_names", f"""WITH {_SANITIZED.replace("FROM n)", f"FROM {_AS_PDF})", 1)} SELECT p_partkey, concat(regexp_replace(regexp_replace(replace(left(clean, length(clean) - 4), ' ', '_'), '_{{2,}}', '_', 'g'), '^_+|_+$', '', 'g'), '.pdf') AS clean FROM sane""")
 def _(t: Tables) -> DataFrame:
-    """Of the names that end in ``.pdf`` already; the others are in the tests."""
-    rows = _names(t).where(~(F.col("p_partkey") % 9).isin(1, 3, 6))
-    return rows.select("p_partkey", N.library_name(F.col("name"), F.col("hash")).alias("clean"))
+    return _names(t).select("p_partkey", N.library_name(F.col("name"), F.col("hash")).alias("clean"))
 
 
 @query("c01_titles", r"""SELECT p_partkey, list_aggregate(list_transform(string_split(concat(p_name, ' ', lower(p_type), ' X1 2nd'), ' '), lambda w: CASE WHEN w = lower(w) THEN upper(left(w, 1)) || substr(w, 2) ELSE w END), 'string_agg', ' ') || ' (1990)' AS title FROM part""")
@@ -129,9 +130,13 @@ def _(t: Tables) -> DataFrame:
     return t.part.select("p_brand", X.plain_identifier(F.col("p_brand")).alias("ok")).distinct()
 
 
-@query("c84_size_labels", """SELECT doc_id, CASE WHEN n_chars < 1024 THEN concat(CAST(n_chars AS VARCHAR(20)), ' B') ELSE concat(printf('%.1f', round(n_chars / 1024.0, 1)), ' KB') END AS label FROM documents WHERE n_chars < 1048576""")
+@query("c84_size_labels", """WITH d AS (SELECT doc_id, n_chars * CASE doc_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 997 WHEN 2 THEN 1000003 WHEN 3 THEN 1000000007 ELSE 0 END AS n FROM documents)
+  SELECT doc_id, CASE WHEN n < 1024 THEN concat(n, ' B') WHEN n < 1048576 THEN concat(printf('%.1f', round(n / 1024.0, 1)), ' KB') WHEN n < 1073741824 THEN concat(printf('%.1f', round(n / 1048576.0, 1)), ' MB')
+    WHEN n < 1099511627776 THEN concat(printf('%.1f', round(n / 1073741824.0, 1)), ' GB') ELSE concat(printf('%.1f', round(n / 1099511627776.0, 1)), ' TB') END AS label FROM d""")
 def _(t: Tables) -> DataFrame:
-    return t.documents.where("n_chars < 1048576").select("doc_id", X.readable_size(F.col("n_chars")).alias("label"))
+    k = F.col("doc_id") % 5
+    n = F.col("n_chars") * F.when(k == 0, 1).when(k == 1, 997).when(k == 2, 1000003).when(k == 3, 1000000007).otherwise(0)
+    return t.documents.select("doc_id", X.readable_size(n).alias("label"))
 
 
 @query("c74_cookie_age", """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN round(epoch((SELECT max(ts) FROM events) - ts) / 3600, 4) END AS hours, event_id % 7 = 0 OR ts < (SELECT max(ts) FROM events) - INTERVAL 14 DAYS AS stale FROM events""")

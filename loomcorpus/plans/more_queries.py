@@ -149,11 +149,10 @@ def _(t: Tables) -> DataFrame:
     return seen.join(configured, "name", "full_outer").select("name", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("c09_source_category", """SELECT hash, split_part(path, '/', 3) AS src, CASE WHEN len(string_split(substr(path, 10), '/')) > 2 THEN split_part(path, '/', 4) ELSE split_part(path, '/', 3) END AS category FROM cat WHERE path LIKE '/library/%'""")
+@query("c09_source_category", """WITH r AS (SELECT hash, string_split(substr(path, 10), '/') AS p FROM cat) SELECT hash, p[1] AS src, CASE WHEN len(p) > 2 THEN p[2] ELSE p[1] END AS category FROM r""")
 def _(t: Tables) -> DataFrame:
-    relative = F.substr(F.col("path"), F.lit(10))
-    source, category = X.source_and_category(relative)
-    return t.cat.where(F.col("path").startswith("/library/")).select("hash", source.alias("src"), category.alias("category"))
+    source, category = X.source_and_category(F.substr(F.col("path"), F.lit(10)))
+    return t.cat.select("hash", source.alias("src"), category.alias("category"))
 
 
 @query("c28_html_escape", """SELECT page_id, md5(replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;')) AS escaped_md5 FROM pages""")

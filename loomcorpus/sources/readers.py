@@ -89,9 +89,18 @@ def tsv_first_column(spark: SparkSession, path: str) -> DataFrame:
 
 
 def opds_entries(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of an Atom/OPDS feed."""
-    schema = "id string, title string, summary string, language string, name string, updated string"
-    return spark.read.format("xml").option("rowTag", "entry").schema(schema).load(path)
+    """``(uuid, title, name, flavour, language, category, summary, article_count, zim_filename)`` of the entries of an Atom/OPDS
+    feed: the id without its scheme, a blank category as null, a missing count as 0, and the archive's
+    file name from the first link to HTML."""
+    link = "struct<_href:string,_type:string>"
+    schema = f"id string, title string, name string, flavour string, language string, category string, summary string, articleCount string, link array<{link}>"
+    rows = spark.read.format("xml").option("rowTag", "entry").schema(schema).load(path)
+    page = F.filter(F.coalesce("link", F.array().cast(f"array<{link}>")), lambda x: x["_type"] == "text/html")
+    last = F.element_at(F.split(F.get(page, F.lit(0))["_href"], "/"), -1)
+    return rows.select(
+        F.replace("id", F.lit("urn:uuid:"), F.lit("")).alias("uuid"), "title", "name", "flavour", "language", F.nullif("category", F.lit("")).alias("category"), "summary",
+        F.coalesce(F.col("articleCount").try_cast("int"), F.lit(0)).alias("article_count"), F.concat(F.nullif(last, F.lit("")), F.lit(".zim")).alias("zim_filename"),
+    )
 
 
 def intel_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

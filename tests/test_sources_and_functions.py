@@ -114,8 +114,10 @@ def test_readers(spark, tmp_path):
     assert files == {"a.pdf": ("Sub", "x"), "c.PDF": ("Sub", "Sub")}
     (tmp_path / "urls.txt").write_text("http://a\n\n# no\n http://b \n")
     assert [r.url for r in readers.url_list(spark, str(tmp_path / "urls.txt")).collect()] == ["http://a", "http://b"]
-    (tmp_path / "feed.xml").write_text("<feed><entry><id>1</id><title>T</title></entry><entry><id>2</id></entry></feed>")
-    assert {(r.id, r.title) for r in readers.opds_entries(spark, str(tmp_path / "feed.xml")).collect()} == {("1", "T"), ("2", None)}
+    entry = "<entry><id>urn:uuid:1</id><title>T</title><name>n</name><flavour>maxi</flavour><category></category><articleCount>12</articleCount><link type='image/png' href='/i'/><link type='text/html' href='/content/wiki_en_2025'/></entry>"
+    (tmp_path / "feed.xml").write_text(f"<feed>{entry}<entry><id>2</id><category>c</category></entry></feed>")
+    got = {r.uuid: (r.title, r.name, r.flavour, r.category, r.article_count, r.zim_filename) for r in readers.opds_entries(spark, str(tmp_path / "feed.xml")).collect()}
+    assert got == {"1": ("T", "n", "maxi", None, 12, "wiki_en_2025.zim"), "2": (None, None, None, "c", 0, None)}
     (tmp_path / "i.json").write_text(json.dumps([{"source": "s", "category": "c", "content": "x"}, {"source": "s"}]))
     good, bad = readers.intel_json(spark, str(tmp_path / "i.json"))
     assert (good.count(), bad.count()) == (1, 1)
