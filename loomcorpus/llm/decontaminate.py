@@ -138,7 +138,8 @@ def _names(run: Column) -> list[Column]:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the contaminated rows (all rows of an id of which one is)."""
+    """``docs`` without the contaminated rows (all rows of an id of which one is). Rows with a null id or text stay, and so do all
+    rows if the benchmark is empty; an empty table stays empty."""
     bad = decontaminate(docs, benchmark, id_col, text_col).where("contaminated").select(id_col).distinct()
     return docs.join(bad, id_col, "left_anti").select(*docs.columns)
 

@@ -564,7 +564,8 @@ def jaccard_groups(
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the rows that are not the least id of their component; rows with a null id stay."""
+    """``docs`` without the rows that are not the least id of their component; rows with a null id stay, and an
+    empty table stays empty."""
     groups = jaccard_groups(docs, id_col, text_col, width, percent, count_links=False).where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     if groups.count() <= MAX_SENT_IDS:
         groups = F.broadcast(groups)

@@ -94,7 +94,8 @@ def _stretches(lines: DataFrame, min_words: int) -> DataFrame:
 @cleaned
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc, h, first, last)``: the merged later copies of runs of at least ``min_words`` words, by
-    id, text hash, and first and last non-blank line of the text."""
+    id, text hash, and first and last non-blank line of the text. Rows with a null id or text have none; an empty
+    table, like one without repeats, gives no rows."""
     rows = _stretches(stored(_lines(docs, id_col, text_col), "lines"), min_words)
     runs = rows.where("ahead is not null").select(*_KEY, "line", F.col("ahead").alias("n"))
     runs = stored(runs.union(rows.where("back is not null").select(*_KEY, F.col("line") - F.col("back") + 1, "back")).distinct(), "runs")
