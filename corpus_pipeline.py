@@ -14,7 +14,7 @@ from loomcorpus.llm.common import delete, scratch, stored
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop null texts, texts without a letter, and those that two learned languages explain alike.
-    Repeated rows stay or go together; very long texts are scored whole."""
+    Repeated rows stay or go together, rows with a null id like others; very long texts are scored whole."""
     return language.keep_identified(docs)
 
 
