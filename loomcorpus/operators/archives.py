@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,24 +113,32 @@ def retried_text(first: Column, second: Column, usable: Column) -> Column:
     return F.when(F.coalesce(usable, F.lit(False)), first).when(F.coalesce(longer, F.lit(False)), second).otherwise(first)
 
 
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The starts of each document's pages in its full text, every page looked for behind the one before."""
+    for batch in batches:
+        starts = []
+        for full, heads in zip(batch.column("full").to_pylist(), batch.column("heads").to_pylist(), strict=True):
+            at, own = 0, []
+            for head in heads:
+                found = full.find(head, at) if full is not None and head else -1
+                own.append(found if found >= 0 else at)
+                at = own[-1] + len(head or "")
+            starts.append(own)
+        yield pa.record_batch([batch.column("key"), batch.column("numbers"), pa.array(starts, pa.list_(pa.int32()))], names=["key", "numbers", "starts"])
+
+
 def page_starts(pages: DataFrame, full: DataFrame, key: str, number: str, text: str) -> DataFrame:
-    """``(key, number, start)``: where each page begins in the full text of its key.
+    """``(key, number, start)``: where each page begins in the full text (``full``) of its key.
 
     Pages are looked for by their first 200 characters, each behind the one before; a page that isn't
-    found starts where the last one found ended. One fold over the pages of a document.
+    found starts where the last one found ended. A full text is searched once, from its begin to its end.
     """
-    listed = pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(number).alias("n"), X.strip(F.left(text, F.lit(200))).alias("head")))).alias("pages"))
-    rows = full.join(listed, key)
-
-    def step(acc: Column, page: Column) -> Column:
-        found = F.call_function("locate", page["head"], F.col("full"), acc["next"] + 1) - 1
-        start = F.when((found >= 0) & (page["head"] != ""), found).otherwise(acc["next"])
-        return F.struct(F.array_append(acc["starts"], F.struct(page["n"].alias("n"), start.alias("start"))).alias("starts"), (start + F.length(page["head"])).alias("next"))
-
-    kind = pages.schema[number].dataType.simpleString()
-    zero = F.struct(F.array().cast(f"array<struct<n:{kind},start:int>>").alias("starts"), F.lit(0).alias("next"))
-    placed = rows.select(key, F.explode(F.aggregate("pages", zero, step, lambda acc: acc["starts"])).alias("p"))
-    return placed.select(key, F.col("p.n").alias(number), F.col("p.start").alias("start"))
+    head = X.strip(F.left(F.coalesce(F.col(text), F.lit("")), F.lit(200)))
+    listed = pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(number).alias("n"), head.alias("head")))).alias("pages"))
+    rows = full.join(listed, key).select(F.col(key).alias("key"), "full", F.col("pages.n").alias("numbers"), F.col("pages.head").alias("heads"))
+    kinds = f"key {full.schema[key].dataType.simpleString()}, numbers array<{pages.schema[number].dataType.simpleString()}>, starts array<int>"
+    placed = rows.mapInArrow(_located, kinds).select("key", F.explode(F.arrays_zip("numbers", "starts")).alias("p"))
+    return placed.select(F.col("key").alias(key), F.col("p.numbers").alias(number), F.col("p.starts").alias("start"))
 
 
 def new_windows(fresh: DataFrame, existing: DataFrame, keys: Sequence[str] = ("hash", "window")) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.operators import keywords, search, state, tables
+from loomcorpus.operators import addresses, keywords, paging, search, state, tables
+from loomcorpus.operators.journal import Journal
 from loomcorpus.operators.keyed import KeyedTable
 from loomcorpus.operators.vector_index import VectorIndex
 from loomcorpus.plans.analytics_queries import batch_sql
@@ -108,3 +109,42 @@ def _(t: Tables) -> DataFrame:
     words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), 0)).alias("keyword")).distinct()
     met = keywords.matches(t.documents.select("doc_id", "text"), words.withColumn("rule_no", F.col("keyword")), "text")
     return met.select("doc_id", F.array_min("rules").alias("value"), F.size("rules").cast("long").alias("n_rules"))
+
+
+@query("j25_stored_lookup", """WITH q AS (SELECT c_custkey AS query_id, CAST(c_custkey % 1000 AS VARCHAR(20)) AS number, CASE c_custkey % 3 WHEN 0 THEN 'Main st' WHEN 1 THEN 'north st' ELSE 'OAK AVE' END AS street, CASE c_custkey % 4 WHEN 1 THEN 'or' WHEN 2 THEN 'WA' END AS state FROM customer)
+  SELECT q.query_id, adr.id FROM q JOIN adr ON adr.number = q.number AND adr.street = upper(q.street) AND (q.state IS NULL OR adr.state = upper(q.state))""")
+def _(t: Tables) -> DataFrame:
+    """Every customer's number and street, some with a state, looked up in the stored address table."""
+    k = F.col("c_custkey")
+    street = F.when(k % 3 == 0, "Main st").when(k % 3 == 1, "north st").otherwise("OAK AVE")
+    asked = t.customer.select(k.alias("query_id"), (k % 1000).cast("string").alias("number"), street.alias("street"), F.when(k % 4 == 1, "or").when(k % 4 == 2, "WA").alias("state"))
+    with tables.scratch(t.spark):
+        path = tables.folder(t.spark, "addresses")
+        addresses.write(t.adr, path)
+        return tables.stored(addresses.look_up_all(t.spark, path, asked).select("query_id", "id"), "found", scope=2)
+
+
+@query("t02_stored_page", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 50 OFFSET 1000")
+def _(t: Tables) -> DataFrame:
+    """The 21st page of 50 of the newest orders, from a table stored by ranges."""
+    with tables.scratch(t.spark):
+        path = tables.folder(t.spark, "pages")
+        paging.write(t.orders.select("o_orderkey", "o_orderdate"), path, ["o_orderdate", "o_orderkey"], descending=True, rows_per_range=5000)
+        return tables.stored(paging.Pages(t.spark, path, 50).page(21), "page", scope=2)
+
+
+@query("l10_journalled_plan", "SELECT hash AS key, concat('moved ', filename) AS result FROM cat")
+def _(t: Tables) -> DataFrame:
+    """A plan over the whole catalogue, carried out in slices by two runs, the first of which ends early."""
+    plan = t.cat.select("hash", "filename")
+    with tables.scratch(t.spark):
+        path = tables.folder(t.spark, "journal")
+        size = max(1, -(-plan.count() // 3))
+        Journal(t.spark, path).run(plan, "hash", _moved, size, slices=1)
+        journal = Journal(t.spark, path)
+        journal.run(plan, "hash", _moved, size)
+        return tables.stored(journal.results().select("key", "result"), "results", scope=2)
+
+
+def _moved(row: dict) -> str:
+    return f"moved {row['filename']}"
