@@ -118,8 +118,10 @@ def sanitized(name: Column, doc_hash: Column | None = None) -> Column:
     body = _replaced(F.replace(body, F.lit("_"), F.lit(" ")), ILLEGAL, "")
     body = F.regexp_replace(F.regexp_replace(body, " {2,}", " "), "-{2,}", "-")
     body = F.regexp_replace(strip(F.btrim(body, F.lit(". -"))), "(?s)^.?$", "untitled")
-    end = F.coalesce(F.nullif(F.lower(extension(name)), F.lit("")), F.lit(".pdf"))
-    return F.concat(_cut(body, F.lit(LIMIT) - F.length(end)), end)
+    ending = F.regexp_replace(F.lower(extension(name)), "(?s)^$", ".pdf")
+    # Bound to a lambda variable, the name is made once, however often the cut looks at it.
+    made = F.array(F.struct(body.alias("body"), ending.alias("ending")))
+    return F.get(F.transform(made, lambda x: F.concat(_cut(x["body"], F.lit(LIMIT) - F.length(x["ending"])), x["ending"])), F.lit(0))
 
 
 def needs_sanitizing(name: Column, doc_hash: Column | None = None) -> Column:
@@ -131,7 +133,8 @@ def library_name(name: Column, doc_hash: Column | None = None) -> Column:
     full = F.when(F.endswith(F.lower(name), F.lit(".pdf")), name).otherwise(F.concat(name, F.lit(".pdf")))
     body = F.regexp_replace(sanitized(full, doc_hash), r"\.pdf$", "")
     body = F.btrim(F.regexp_replace(F.replace(body, F.lit(" "), F.lit("_")), "_{2,}", "_"), F.lit("_"))
-    return F.when(strip(name) != "", F.concat(F.nullif(body, F.lit("")), F.lit(".pdf")))
+    named = F.get(F.transform(F.array(body), lambda b: F.when(b != "", F.concat(b, F.lit(".pdf")))), F.lit(0))
+    return F.when(strip(name) != "", named)
 
 
 def video_name(title: Column, uuid: Column) -> Column:
