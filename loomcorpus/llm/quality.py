@@ -219,3 +219,38 @@ def judge(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col:
     kind = rows.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean"
     return rows.mapInArrow(lambda b: _judged(b, model, threshold), schema)
+
+
+_MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = list(measures(batch.column("text")))
+        columns = [pa.array(np.concatenate([x[k] for x in found]).astype(np.int64) if found else np.empty(0, np.int64)) for k in _MEASURES]
+        yield pa.record_batch([batch.column("id"), *columns], names=["id", *_MEASURES])
+
+
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The base measures of every row and ``base_failed``, without a model. Null and empty texts have no words and fail."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = rows.mapInArrow(_measured, f"id {rows.schema['id'].dataType.simpleString()}, {', '.join(f'{k} long' for k in _MEASURES)}")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return out.select(F.col("id").alias(id_col), *_MEASURES, failed.alias("base_failed"))
+
+
+#: Of the measures, which need no model.
+MEASURES_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d
+), g AS (SELECT doc_id, i, (w[i], w[i + 1], w[i + 2]) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)
+), r AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING count(*) > 1
+), c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g SEMI JOIN r USING (doc_id, g)) GROUP BY doc_id
+), l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+"""

@@ -40,6 +40,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def quality_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op6_quality_rules`` that need no model, so that SQL can check them."""
+    return quality.measure(_table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"), urls.rules_table(spark, urls.RULES))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "quality_measures": quality_measures,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
     "op9_training_order": op9_training_order,
@@ -89,6 +95,7 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.SQL,
     "op4_decontamination": decontaminate.SQL,
     "op5_jaccard_join": jaccard.SQL,
+    "quality_measures": quality.MEASURES_SQL,
     "op7_url_filters": urls.SQL,
     "op8_warc": warc.SQL,
     "op12_fill_in_middle": middle.SQL,
