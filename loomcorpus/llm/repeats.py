@@ -12,7 +12,8 @@ stack is kept of the intervals with a common prefix of ``right`` bytes. When one
 are ordered by the bytes before them, and their intervals with ``left`` common bytes are those that no byte before
 extends; where ``left + right`` is ``min_bytes`` or more and the members don't all lie in one inner
 interval, no byte behind does either, and they are a maximal repeat group with all its occurrences. Grams with more than ``MAX_BUCKET`` different reaches don't meet in one task: the
-windows of each reach are counted by their hashes, with partial sums first.
+windows of each reach are counted by their hashes, with partial sums first, and those found once go back to their
+anchor, so no window is joined with its copies.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import cleaned, sent, stored
+from loomcorpus.llm.common import cleaned, stored
 from loomcorpus.llm.shingles import mix
 
 #: Bytes that a repeated string must have.
@@ -335,9 +336,13 @@ def _found(texts: DataFrame, asked: DataFrame, min_bytes: int, widest: bool) ->
     found = sorted_.mapInArrow(lambda b: _scanned(b, min_bytes, widest), _FOUND)
     rows = bytes_.where("hot").select(*_KEY, "pos", "g", "left", "right").dropDuplicates([*_KEY, "pos"])
     windows = rows.mapInArrow(lambda b: _windows(b, min_bytes), "h long, i long, pos long, g long, right int, w long")
-    repeated = stored(windows.groupBy("g", "right", "w").count().where("count > 1").drop("count"), "repeated")
-    windows = windows.join(sent(repeated, MAX_SENT), ["g", "right", "w"])
-    ends = windows.groupBy(*_KEY, "pos").agg((F.lit(min_bytes) - F.min("right")).alias("left"), F.max("right").alias("right"))
+    # A window found once belongs to one anchor; of the windows that fit an anchor's reach, all others are repeated.
+    alone = windows.groupBy("g", "right", "w").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*_KEY, "pos")]).where("n = 1")
+    fit = rows.select(*_KEY, "pos", (F.lit(min_bytes) - F.length("left")).alias("low"), F.least(F.length("right"), F.lit(min_bytes)).alias("high")).where("low <= high")
+    fit = fit.unionByName(alone.select(*_KEY, "pos", "right"), allowMissingColumns=True)
+    fit = fit.groupBy(*_KEY, "pos").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list("right").alias("alone"))
+    fit = fit.select(*_KEY, "pos", F.array_except(F.sequence("low", "high"), "alone").alias("rights")).where("size(rights) > 0")
+    ends = fit.select(*_KEY, "pos", (F.lit(min_bytes) - F.array_min("rights")).alias("left"), F.array_max("rights").alias("right"))
     return stored(found.unionByName(ends.withColumn("group", F.lit(None).cast("long"))), "found")
 
 

@@ -61,6 +61,17 @@ def test_hot_grams_and_small_chunks_change_nothing(spark, monkeypatch):
     assert got(spark, texts, 30) == want
 
 
+def test_windows_of_hot_grams_are_not_joined(spark, monkeypatch):
+    """The windows of a hot gram are counted by sums alone, so no join makes rows by the size of a group."""
+    texts = mixed(11, 60, "abcd", 120) + ["ab" * 40, "ba" * 40 + "c", "cd" * 15]
+    plans, kept = [], repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda table, name: plans.append(table._jdf.queryExecution().optimizedPlan().toString()) or kept(table, name))
+    monkeypatch.setattr(repeats, "MAX_BUCKET", 1)
+    assert got(spark, texts, 30) == brute(texts, 30)
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert joins and not [line for line in joins if " w#" in line or "(w#" in line]
+
+
 def test_long_texts_in_pieces(monkeypatch):
     """The anchors of a text don't depend on the pieces that it is read in."""
     import pyarrow as pa
