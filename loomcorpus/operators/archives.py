@@ -34,24 +34,29 @@ def landed(entries: DataFrame) -> DataFrame:
     return entries.select("archive", "path", "title", "mimetype", "redirect", html.alias("html"))
 
 
+def ruled_out(entries: DataFrame, seen: DataFrame) -> DataFrame:
+    """Every archive entry with ``early``, why it is ruled out before its text is read: redirects, other types and paths
+    seen before are ``ignored``, then translations ``foreign``; null for the others."""
+    plain = ~F.coalesce("redirect", F.lit(False)) & (F.col("mimetype") == "text/html")
+    known = seen.select("path", F.lit(True).alias("_seen")).distinct()
+    live = F.coalesce(plain, F.lit(False)) & F.col("_seen").isNull()
+    early = F.when(~live, "ignored").when(path_language(F.col("path")).isNotNull(), "foreign")
+    return entries.join(known, "path", "left").withColumn("early", early).drop("_seen")
+
+
 def article_actions(entries: DataFrame, seen: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``(path, title, action, hash, content)`` of every archive entry.
 
     ``entries``: path, title, mimetype, redirect, html; ``seen``: path; ``catalogue``: hash. The first that
-    fits: redirects, other types and paths seen before are ``ignored``; then ``foreign``, ``stub``, and
+    fits: ``ignored`` and ``foreign`` as in ``ruled_out``; then ``stub``, and
     ``duplicate`` of the catalogue or of an entry with a smaller path; else ``article``.
     """
-    plain = ~F.coalesce("redirect", F.lit(False)) & (F.col("mimetype") == "text/html")
-    known = seen.select("path", F.lit(True).alias("_seen")).distinct()
-    rows = entries.join(known, "path", "left").withColumn("_live", F.coalesce(plain, F.lit(False)) & F.col("_seen").isNull())
-    live = rows.withColumn("content", F.when(F.col("_live") & path_language(F.col("path")).isNull(), html_text(F.col("html"))))
+    # Python gets the pages that are read, and nulls for the others.
+    live = ruled_out(entries, seen).withColumn("content", html_text(F.when(F.col("early").isNull(), F.col("html"))))
     live = live.withColumn("hash", F.when(F.length("content") >= STUB, F.md5("content")))
     first = live.where("hash is not null").groupBy("hash").agg(F.min("path").alias("_first"))
     live = live.join(first, "hash", "left").join(catalogue.select("hash", F.lit(True).alias("_known")).distinct(), "hash", "left")
-    action = (
-        F.when(~F.col("_live"), "ignored").when(path_language(F.col("path")).isNotNull(), "foreign").when(F.col("hash").isNull(), "stub")
-        .when(F.col("_known") | (F.col("_first") < F.col("path")), "duplicate").otherwise("article")
-    )
+    action = F.when(F.col("early").isNotNull(), F.col("early")).when(F.col("hash").isNull(), "stub").when(F.col("_known") | (F.col("_first") < F.col("path")), "duplicate").otherwise("article")
     return live.select("path", "title", action.alias("action"), "hash", "content")
 
 

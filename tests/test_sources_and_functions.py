@@ -11,7 +11,7 @@ from loomcorpus.functions import semistructured as J
 from loomcorpus.functions import markup
 from loomcorpus.functions import text as X
 from loomcorpus.functions import vectors as V
-from loomcorpus.operators import analytics, library, state
+from loomcorpus.operators import analytics, archives, library, state
 from loomcorpus.sources import readers
 
 
@@ -139,3 +139,23 @@ def test_readers(spark, tmp_path):
 @pytest.mark.parametrize("title,bad", [(None, True), ("abc", True), ("Untitled", True), ("Good title", False)])
 def test_garbage_titles(spark, title, bad):
     assert values(spark, [title], X.garbage_title(F.col("x"), ["untitled"], ["microsoft word"])) == [bad]
+
+
+def test_entries_are_ruled_out_without_their_text(spark):
+    """Neither Python nor the pages' HTML is needed; where the text is read, pages that are ruled out aren't sent to Python."""
+    rows = [("A/1", "text/html", False), ("A/2/de", "text/html", None), ("A/3", "image/png", False), ("A/4", "text/html", True), ("A/5", "text/html", False), ("A/6", None, False)]
+    entries = spark.createDataFrame([(p, "t", m, r, f"<p>{p} {'word ' * 60}") for p, m, r in rows], "path string, title string, mimetype string, redirect boolean, html string")
+    seen = spark.createDataFrame([("A/5",), ("A/5",)], "path string")
+    found = archives.ruled_out(entries, seen).select("path", "early")
+    assert dict(found.collect()) == {"A/1": None, "A/2/de": "foreign", "A/3": "ignored", "A/4": "ignored", "A/5": "ignored", "A/6": "ignored"}
+    assert "EvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()
+    actions = archives.article_actions(entries, seen, spark.createDataFrame([], "hash string"))
+    assert {r.path: (r.action, r.content is not None) for r in actions.collect()} == {
+        "A/1": ("article", True), "A/2/de": ("foreign", False), "A/3": ("ignored", False), "A/4": ("ignored", False), "A/5": ("ignored", False), "A/6": ("ignored", False)
+    }
+
+
+def test_archive_articles_reads_no_text(spark):
+    from loomcorpus.plans import QUERIES
+
+    assert "EvalPython" not in QUERIES["s17_archive_articles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
