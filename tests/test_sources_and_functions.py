@@ -159,3 +159,17 @@ def test_archive_articles_reads_no_text(spark):
     from loomcorpus.plans import QUERIES
 
     assert "EvalPython" not in QUERIES["s17_archive_articles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_enrichment_outcome_and_its_sql_list_ten_windows(spark, tmp_path):
+    import duckdb
+
+    from loomcorpus.plans import ORACLES, QUERIES
+
+    rows = [(1, (7 * i) % 13, 30.0, "R") for i in range(13)] + [(1, 2, 40.0, "A"), (2, 1, 9.0, "R"), (2, 1, 9.0, "R"), (3, 1, 9.0, "N")]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW lineitem AS FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = sorted(db.execute(ORACLES["a16_enrichment_outcome"]).fetchall())
+    assert sorted(map(tuple, QUERIES["a16_enrichment_outcome"](spark, str(tmp_path)).collect())) == want
+    assert want[0][-1] == "13 of 14 windows failed: 0, 1, 2, 3, 4, 5, 6, 7, 8, 9"
