@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -302,15 +304,28 @@ def _(t: Tables) -> DataFrame:
 
 
 def page_text_sql() -> str:
+    """Character references as the HTML standard reads them: the names and the apostrophe's number with or without a
+    semicolon, the longest name first, within one stretch of text. Those of ``<``, ``>`` and ``&`` wait as noncharacters
+    until the tags are gone."""
     x = "html"
+    heads = ("nbsp", "lt", "gt", "quot", "amp", "LT", "GT", "QUOT", "AMP")
+    waiting = {"<": 64976, ">": 64977, "&": 64978}
+    names = sorted((n for n in html5 if n.startswith(heads)), key=len, reverse=True)
+    # Twice: the character behind one reference may begin the next.
+    for _ in range(2):
+        x = rf"regexp_replace({x}, '&#0*39(;|([^0-9;])|$)', chr(39) || '\2', 'g')"
+    for name in names:
+        plain = " || ".join(f"chr({waiting.get(c, ord(c))})" for c in html5[name])
+        x = f"replace({x}, '&{name}', {plain})"
     for tag in sorted(markup.DROPPED):
         x = rf"regexp_replace({x}, '(?is)<{tag}\b.*?</{tag}\s*>', '', 'g')"
     for pattern, plain in ((r"(?i)<br\s*/?>", "chr(10)"), (r"(?i)<li\b[^>]*>", "'- '"), ("(?i)</li>", "chr(10)"), (r"(?s)<!--.*?-->", "''"), (r"(?s)<[^>]+>", "''")):
         x = f"regexp_replace({x}, '{pattern}', {plain}, 'g')"
-    for entity, plain in (("nbsp", "chr(160)"), ("lt", "'<'"), ("gt", "'>'"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("amp", "'&'")):
-        x = f"replace({x}, '&{entity};', {plain})"
+    for plain, code in waiting.items():
+        x = f"replace({x}, chr({code}), '{plain}')"
     x = rf"regexp_replace(regexp_replace({x}, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"
-    return rf"SELECT page_id, regexp_replace({x}, '^\s+|\s+$', '', 'g') AS content FROM pages"
+    blank = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
+    return rf"SELECT page_id, regexp_replace({x}, '^{blank}|{blank}$', '', 'g') AS content FROM pages"
 
 
 @query("c23_page_text", page_text_sql())

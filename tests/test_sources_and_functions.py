@@ -161,6 +161,23 @@ def test_archive_articles_reads_no_text(spark):
     assert "EvalPython" not in QUERIES["s17_archive_articles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_page_text_sql_reads_references_as_the_parser_does():
+    """Names without a semicolon, longer names, references cut by a tag, and blanks at the ends."""
+    import duckdb
+
+    from loomcorpus.plans.analytics_queries import page_text_sql
+
+    pages = [
+        "<h1>a &ampTo</h1><p>x &amp; &amp;lt; &lt;b&gt; &ltimes; &ltfoo &GT &#39s &#39&#39&#39</p>", "<h1>x &am</h1>pour <b>q&amp</b>; r", " &nbsp;x y&nbsp;",
+        "<p>a &quotb&quot; &ampamp; &amp", "a&nbspb &AMPc &QUOT;", "<li>a &lt</li>c &amp;AMP &amp;#39; &am&amp;p;", None,
+    ]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE pages (page_id INT, html VARCHAR)")
+    db.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(pages)))
+    got = [r[1] for r in db.execute(f"{page_text_sql()} ORDER BY page_id").fetchall()]
+    assert got == [p if p is None else markup.read_html(p) for p in pages]
+
+
 def test_enrichment_outcome_and_its_sql_list_ten_windows(spark, tmp_path):
     import duckdb
 
