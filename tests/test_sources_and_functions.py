@@ -190,3 +190,19 @@ def test_enrichment_outcome_and_its_sql_list_ten_windows(spark, tmp_path):
     want = sorted(db.execute(ORACLES["a16_enrichment_outcome"]).fetchall())
     assert sorted(map(tuple, QUERIES["a16_enrichment_outcome"](spark, str(tmp_path)).collect())) == want
     assert want[0][-1] == "13 of 14 windows failed: 0, 1, 2, 3, 4, 5, 6, 7, 8, 9"
+
+
+def test_archive_actions_measure_stubs_by_the_text_that_the_sql_has(spark, tmp_path):
+    """A reference without a semicolon is one character of the 200."""
+    import duckdb
+
+    from loomcorpus.plans import ORACLES, QUERIES
+
+    spark.createDataFrame([(1, f"<p>{'x' * 195}&ampTo</p>"), (2, f"<p>{'x' * 197}&ampTo</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, "text")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    for name in ("pages", "documents"):
+        db.execute(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(db.execute(ORACLES["s17_archive_actions"]).fetchall())
+    assert want == [("article", 1), ("stub", 1)]
+    assert sorted(map(tuple, QUERIES["s17_archive_actions"](spark, str(tmp_path)).collect())) == want
