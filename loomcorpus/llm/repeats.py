@@ -11,13 +11,19 @@ the texts, and Spark sorts it by gram and following bytes, which is the suffix a
 stack is kept of the intervals with a common prefix of ``right`` bytes. When one closes, its members
 are ordered by the bytes before them, and their intervals with ``left`` common bytes are those that no byte before
 extends; where ``left + right`` is ``min_bytes`` or more and the members don't all lie in one inner
-interval, no byte behind does either, and they are a maximal repeat group with all its occurrences. Grams with more than ``MAX_BUCKET`` different reaches don't meet in one task: the
-windows of each reach are counted by their hashes, with partial sums first, and those found once go back to their
-anchor, so no window is joined with its copies.
+interval, no byte behind does either, and they are a maximal repeat group with all its occurrences.
+
+Grams with more than ``MAX_BUCKET`` different reaches don't meet in one task, and their windows aren't listed either. The
+range of places that a window can have around the anchor is cut into ``PARTS``; reaches can share a window of a part only
+if they agree in the bytes that all its windows hold. By these bytes (their hashes, counted with partial sums first) the
+gram falls into smaller groups: a reach alone in its group has no repeated window there, reaches of equal bytes have all
+of them and go on as one, groups of ``MAX_BUCKET`` or fewer are scanned as above, and only the others are cut again, until a
+part is one window.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -26,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcorpus.llm.common import cleaned, stored
+from loomcorpus.llm.common import cleaned, sent, stored
 from loomcorpus.llm.shingles import mix
 
 #: Bytes that a repeated string must have.
 MIN_BYTES = 200
 #: Different reaches of one gram that are scanned in one task at most.
 MAX_BUCKET = 1024
+#: Parts that the windows of a group of more reaches are cut into at a time.
+PARTS = 4
 #: Rows of a per-text or per-window table that are broadcast at most; more are joined by a shuffle.
 MAX_SENT = 500_000
 _KEY = ["h", "i"]
@@ -247,21 +255,6 @@ def _scanned(batches: Iterator[pa.RecordBatch], min_bytes: int, widest: bool) ->
     yield batch_of()
 
 
-def _windows(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Every window around each anchor, by hash: ``right`` of its bytes lie at or behind the anchor."""
-    k = gram_bytes(min_bytes)
-    for batch in batches:
-        for h, i, pos, g, left, right in zip(*[batch.column(c).to_pylist() for c in (*_KEY, "pos", "g", "left", "right")], strict=True):
-            data = np.frombuffer(left[::-1] + right, dtype=np.uint8)
-            sums = np.zeros(len(data) + 1, dtype=np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
-            starts = np.arange(max(0, len(left) - (min_bytes - k)), min(len(left), len(data) - min_bytes) + 1)
-            hashes = mix((sums[starts + min_bytes] - sums[starts]) * _power(_INVERSE, len(data) + 1)[starts])
-            n = len(starts)
-            columns = [np.full(n, v, np.int64) for v in (h, i, pos, g)] + [(starts + min_bytes - len(left)).astype(np.int32), hashes.view(np.int64)]
-            yield pa.record_batch([pa.array(c) for c in columns], names=[*_KEY, "pos", "g", "right", "w"])
-
-
 def _pack(exact: int, left: Column, right: Column) -> Column:
     """An anchor's place, whether its edges were looked up, and its reach, as one long."""
     return F.col("pos") * (1 << 33) + F.lit(exact) * (1 << 32) + left.cast("long") * (1 << 16) + right.cast("long")
@@ -324,26 +317,59 @@ def _sent_lists(table: DataFrame, lists: str) -> DataFrame:
     return F.broadcast(table) if rows <= MAX_SENT and entries <= 4 * MAX_SENT else table
 
 
+def _scan(rows: DataFrame, min_bytes: int, widest: bool) -> DataFrame:
+    sorted_ = rows.select(*_KEY, "pos", "g", "left", "right").repartition("g").sortWithinPartitions("g", "right", "left", *_KEY, "pos")
+    return sorted_.mapInArrow(lambda b: _scanned(b, min_bytes, widest), _FOUND)
+
+
+def _parts(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """``rows`` for each part of their windows, those of ``low`` to ``high`` bytes at or behind the anchor, in which they have
+    any, with only the bytes of these (``full``: their hash). ``core`` is the hash of the bytes that all windows of the part share."""
+    cuts = [F.expr(f"int(low + (high - low + 1) * {n} div {PARTS})") for n in range(PARTS + 1)]
+    part = F.explode(F.array(*[F.struct(a.alias("low"), (b - 1).alias("high")) for a, b in zip(cuts, cuts[1:], strict=False)]))
+    rows = rows.select(*_KEY, "pos", "g", "left", "right", part.alias("part")).select(*_KEY, "pos", "g", "left", "right", "part.*").where("low <= high")
+    shared = F.expr(f"xxhash64(substring(left, 1, {min_bytes} - high), substring(right, 1, low))").alias("core")
+    bytes_ = [F.expr(f"substring(left, 1, {min_bytes} - low)").alias("left"), F.expr("substring(right, 1, high)").alias("right")]
+    rows = rows.select(*_KEY, "pos", "g", "low", "high", shared, *bytes_)
+    return rows.where(f"length(left) + length(right) >= {min_bytes}").withColumn("full", F.xxhash64("left", "right"))
+
+
+def _divided(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """``(h, i, pos, left, right, group)``: repeated windows of each anchor of a gram with too many reaches, the least and the
+    greatest among them; ``group`` is null."""
+    open_ = stored(rows.dropDuplicates([*_KEY, "pos"]).withColumns({"low": F.lit(gram_bytes(min_bytes)), "high": F.lit(min_bytes)}), "open")
+    found, few = [], []
+    while not open_.isEmpty():
+        parts = _parts(open_, min_bytes)
+        # Reaches of equal bytes have all their windows of the part repeated; one of them goes on for the others.
+        equal = stored(parts.groupBy("g", "low", "core", "full").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "pos")).alias("first")), "equal")
+        groups = equal.groupBy("g", "low", "core").agg(F.count("*").alias("members"), F.sum("n").alias("rows"))
+        groups = sent(stored(groups.where("rows > 1").drop("rows"), "groups"), MAX_SENT)
+        # One row for each group and for each set of equals: the joins keep or drop rows, and make none.
+        parts = parts.join(groups, ["g", "low", "core"]).join(sent(equal.where("n > 1"), MAX_SENT), ["g", "low", "core", "full"], "left")
+        parts = stored(parts.drop("full"), "parts")
+        found.append(parts.where("n > 1").select(*_KEY, "pos", F.length("left").alias("left"), F.length("right").alias("right")))
+        mixed = parts.where("members > 1").where(F.col("n").isNull() | (F.col("first") == F.struct(*_KEY, "pos"))).drop("n", "first")
+        few.append(mixed.where(f"members <= {MAX_BUCKET}").withColumn("g", F.xxhash64("g", "low", "core")))
+        open_ = mixed.where(f"members > {MAX_BUCKET}")
+    found.append(_scan(functools.reduce(DataFrame.union, few), min_bytes, True).drop("group"))
+    ends = functools.reduce(DataFrame.union, found).groupBy(*_KEY, "pos").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    return ends.withColumn("group", F.lit(None).cast("long"))
+
+
 def _found(texts: DataFrame, asked: DataFrame, min_bytes: int, widest: bool) -> DataFrame:
     """``(h, i, pos, left, right, group)``: the occurrences of the maximal repeat groups around the asked anchors. For a gram of
     too many reaches, the least and greatest repeated window of each anchor."""
     by_text = stored(asked.groupBy(*_KEY).agg(F.collect_list(F.struct("pos", "g")).alias("asked")), "by_text")
     bytes_ = texts.join(_sent_lists(by_text, "asked"), _KEY).mapInArrow(lambda b: _reaches(b, min_bytes), "h long, i long, pos long, g long, left binary, right binary")
     hot = asked.where(F.col("members") > MAX_BUCKET).select("g").distinct()
-    few = F.broadcast(hot) if hot.count() <= MAX_SENT else hot
+    n = hot.count()
+    few = F.broadcast(hot) if n <= MAX_SENT else hot
     bytes_ = stored(bytes_.join(few.withColumn("hot", F.lit(True)), "g", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "reach_bytes")
-    sorted_ = bytes_.where("not hot").select(*_KEY, "pos", "g", "left", "right").repartition("g").sortWithinPartitions("g", "right", "left", *_KEY, "pos")
-    found = sorted_.mapInArrow(lambda b: _scanned(b, min_bytes, widest), _FOUND)
-    rows = bytes_.where("hot").select(*_KEY, "pos", "g", "left", "right").dropDuplicates([*_KEY, "pos"])
-    windows = rows.mapInArrow(lambda b: _windows(b, min_bytes), "h long, i long, pos long, g long, right int, w long")
-    # A window found once belongs to one anchor; of the windows that fit an anchor's reach, all others are repeated.
-    alone = windows.groupBy("g", "right", "w").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*_KEY, "pos")]).where("n = 1")
-    fit = rows.select(*_KEY, "pos", (F.lit(min_bytes) - F.length("left")).alias("low"), F.least(F.length("right"), F.lit(min_bytes)).alias("high")).where("low <= high")
-    fit = fit.unionByName(alone.select(*_KEY, "pos", "right"), allowMissingColumns=True)
-    fit = fit.groupBy(*_KEY, "pos").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list("right").alias("alone"))
-    fit = fit.select(*_KEY, "pos", F.array_except(F.sequence("low", "high"), "alone").alias("rights")).where("size(rights) > 0")
-    ends = fit.select(*_KEY, "pos", (F.lit(min_bytes) - F.array_min("rights")).alias("left"), F.array_max("rights").alias("right"))
-    return stored(found.unionByName(ends.withColumn("group", F.lit(None).cast("long"))), "found")
+    found = _scan(bytes_.where("not hot"), min_bytes, widest)
+    if n:
+        found = found.union(_divided(bytes_.where("hot").drop("hot"), min_bytes).select(found.columns))
+    return stored(found, "found")
 
 
 @cleaned

@@ -72,6 +72,48 @@ def test_windows_of_hot_grams_are_not_joined(spark, monkeypatch):
     assert joins and not [line for line in joins if " w#" in line or "(w#" in line]
 
 
+@pytest.mark.parametrize(("bucket", "parts", "sent"), [(1, 2, 0), (3, 4, 9), (6, 7, 0)])
+def test_hot_grams_are_cut_to_the_same_result(spark, monkeypatch, bucket, parts, sent):
+    """Groups that are equal, scanned or cut again find what brute force finds, for any sizes."""
+    texts = mixed(13, 60, "abcd", 120) + mixed(14, 30, "ab", 90) + ["ab" * 40, "ba" * 40 + "c", "cd" * 15, "a" * 70]
+    monkeypatch.setattr(repeats, "MAX_BUCKET", bucket)
+    monkeypatch.setattr(repeats, "PARTS", parts)
+    monkeypatch.setattr(repeats, "MAX_SENT", sent)
+    assert got(spark, texts, 30) == brute(texts, 30)
+
+
+def most_rows(spark, after: int) -> tuple[int, str, int]:
+    """The most rows that a node of the plans made, its name, and the number of the last query; queries up to ``after`` don't count."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs, most = store.executionsList(), (0, "", after)
+    for run in (runs.apply(n).executionId() for n in range(runs.size())):
+        if run <= after:
+            continue
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for node in (nodes.apply(n) for n in range(nodes.size())):
+            for metric in (node.metrics().apply(n) for n in range(node.metrics().size())):
+                value = values.get(metric.accumulatorId())
+                if metric.name() == "number of output rows" and value.isDefined():
+                    most = max(most, (int(value.get().replace(",", "")), node.name(), after))
+    return *most[:2], max(after, *(runs.apply(n).executionId() for n in range(runs.size())))
+
+
+def test_hot_grams_make_few_rows_an_anchor(spark, monkeypatch):
+    """An anchor whose gram has too many reaches for one task is not listed with each of its windows."""
+    draw = random.Random(17)
+    some = lambda n: "".join(draw.choice("abcdefghijklmnop") for _ in range(n))
+    passage = some(420)
+    texts = [some(150) + passage[draw.randint(0, 9) : 420 - draw.randint(0, 9)] + some(150) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    anchors = repeats._edges(repeats._keyed(docs, "doc_id", "text"), 200)[0].count()
+    monkeypatch.setattr(repeats, "MAX_BUCKET", 16)
+    *_, before = most_rows(spark, -1)
+    assert got(spark, texts, 200) == brute(texts, 200)
+    rows, node, _ = most_rows(spark, before)
+    assert anchors >= 300 and 0 < rows < 12 * anchors, (rows, node, anchors)
+
+
 def test_long_texts_in_pieces(monkeypatch):
     """The anchors of a text don't depend on the pieces that it is read in."""
     import pyarrow as pa
