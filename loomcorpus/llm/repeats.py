@@ -14,11 +14,11 @@ extends; where ``left + right`` is ``min_bytes`` or more and the members don't a
 interval, no byte behind does either, and they are a maximal repeat group with all its occurrences.
 
 Grams with more than ``MAX_BUCKET`` different reaches don't meet in one task, and their windows aren't listed either. The
-range of places that a window can have around the anchor is cut into ``PARTS``; reaches can share a window of a part only
-if they agree in the bytes that all its windows hold. By these bytes (their hashes, counted with partial sums first) the
-gram falls into smaller groups: a reach alone in its group has no repeated window there, reaches of equal bytes have all
-of them and go on as one, groups of ``MAX_BUCKET`` or fewer are scanned as above, and only the others are cut again, until a
-part is one window.
+range of places that a window can have around the anchor is cut into ``PARTS``, for the first time where the reach is read
+from its text; reaches can share a window of a part only if they agree in the bytes that all its windows hold. By these bytes
+(their hashes, counted with partial sums first) the gram falls into smaller groups: a reach alone in its group has no repeated
+window there, reaches of equal bytes have all of them and go on as one, groups of ``MAX_BUCKET`` or fewer are scanned as above,
+and only the others are cut again, until a part is one window. So a reach is read as one row, or as ``PARTS`` of fewer bytes.
 """
 
 from __future__ import annotations
@@ -144,18 +144,46 @@ def _anchors(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.R
             yield pa.record_batch([pa.array(x) for x in (h[row], i[row], place, gram, reach)], names=[*_KEY, "pos", "g", "f"])
 
 
-def _reaches(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The bytes around each asked anchor: up to a window before its gram's end, reversed, and a window from its start."""
-    before = min_bytes - gram_bytes(min_bytes)
+def _parts_of(left: bytes, right: bytes, low: int, high: int, min_bytes: int, parts: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """``(low, high, left, right)`` for each part of a reach's windows, those of ``low`` to ``high`` bytes at or behind the anchor, in
+    which it has any, with only the bytes of these."""
+    for n in range(parts):
+        first, last = (low + (high - low + 1) * x // parts for x in (n, n + 1))
+        ahead, behind = left[: min_bytes - first], right[: last - 1]
+        if first < last and len(ahead) + len(behind) >= min_bytes:
+            yield first, last - 1, ahead, behind
+
+
+_PART = "h long, i long, pos long, g long, hot boolean, low int, high int, left binary, right binary"
+
+
+def _part_batch(made: list[tuple]) -> pa.RecordBatch:
+    kinds = [*[pa.int64()] * 4, pa.bool_(), *[pa.int32()] * 2, *[pa.binary()] * 2]
+    columns = list(zip(*made, strict=True)) or [()] * len(kinds)
+    return pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _PART.split(", ")])
+
+
+def _reaches(batches: Iterator[pa.RecordBatch], min_bytes: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The bytes around each asked anchor: up to a window before its gram's end, reversed, and a window from its start; in
+    parts if its gram is hot."""
+    k = gram_bytes(min_bytes)
     for batch in batches:
-        made: list[list] = [[] for _ in range(6)]
+        made: list[tuple] = []
         for h, i, text, asked in zip(*[batch.column(c).to_pylist() for c in (*_KEY, "text", "asked")], strict=True):
             data = text.encode()
             for a in asked:
-                pos = a["pos"]
-                for out, value in zip(made, (h, i, pos, a["g"], data[max(0, pos - before) : pos][::-1], data[pos : pos + min_bytes]), strict=True):
-                    out.append(value)
-        yield pa.record_batch([*[pa.array(x, pa.int64()) for x in made[:4]], *[pa.array(x, pa.binary()) for x in made[4:]]], names=[*_KEY, "pos", "g", "left", "right"])
+                pos, hot = a["pos"], a["hot"]
+                left, right = data[max(0, pos - min_bytes + k) : pos][::-1], data[pos : pos + min_bytes]
+                cut = _parts_of(left, right, k, min_bytes, min_bytes, parts) if hot else [(k, min_bytes, left, right)]
+                made.extend((h, i, pos, a["g"], hot, *part) for part in cut)
+        yield _part_batch(made)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], min_bytes: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the parts of hot grams."""
+    for batch in batches:
+        rows = zip(*[batch.column(c).to_pylist() for c in (*_KEY, "pos", "g", "low", "high", "left", "right")], strict=True)
+        yield _part_batch([(*key, True, *part) for *key, low, high, left, right in rows for part in _parts_of(left, right, low, high, min_bytes, parts)])
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -322,36 +350,31 @@ def _scan(rows: DataFrame, min_bytes: int, widest: bool) -> DataFrame:
     return sorted_.mapInArrow(lambda b: _scanned(b, min_bytes, widest), _FOUND)
 
 
-def _parts(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """``rows`` for each part of their windows, those of ``low`` to ``high`` bytes at or behind the anchor, in which they have
-    any, with only the bytes of these (``full``: their hash). ``core`` is the hash of the bytes that all windows of the part share."""
-    cuts = [F.expr(f"int(low + (high - low + 1) * {n} div {PARTS})") for n in range(PARTS + 1)]
-    part = F.explode(F.array(*[F.struct(a.alias("low"), (b - 1).alias("high")) for a, b in zip(cuts, cuts[1:], strict=False)]))
-    rows = rows.select(*_KEY, "pos", "g", "left", "right", part.alias("part")).select(*_KEY, "pos", "g", "left", "right", "part.*").where("low <= high")
-    shared = F.expr(f"xxhash64(substring(left, 1, {min_bytes} - high), substring(right, 1, low))").alias("core")
-    bytes_ = [F.expr(f"substring(left, 1, {min_bytes} - low)").alias("left"), F.expr("substring(right, 1, high)").alias("right")]
-    rows = rows.select(*_KEY, "pos", "g", "low", "high", shared, *bytes_)
-    return rows.where(f"length(left) + length(right) >= {min_bytes}").withColumn("full", F.xxhash64("left", "right"))
+def _grouped(parts: DataFrame, min_bytes: int) -> DataFrame:
+    """Rows of ``_PART``; ``g`` of hot ones becomes that of the gram, the part and the bytes that all windows of the part share."""
+    shared = F.expr(f"xxhash64(g, low, substring(left, 1, {min_bytes} - high), substring(right, 1, low))")
+    return parts.withColumn("g", F.when(F.col("hot"), shared).otherwise(F.col("g")))
 
 
-def _divided(rows: DataFrame, min_bytes: int) -> DataFrame:
+def _divided(parts: DataFrame, min_bytes: int) -> DataFrame:
     """``(h, i, pos, left, right, group)``: repeated windows of each anchor of a gram with too many reaches, the least and the
-    greatest among them; ``group`` is null."""
-    open_ = stored(rows.dropDuplicates([*_KEY, "pos"]).withColumns({"low": F.lit(gram_bytes(min_bytes)), "high": F.lit(min_bytes)}), "open")
-    found, few = [], []
-    while not open_.isEmpty():
-        parts = _parts(open_, min_bytes)
-        # Reaches of equal bytes have all their windows of the part repeated; one of them goes on for the others.
-        equal = stored(parts.groupBy("g", "low", "core", "full").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "pos")).alias("first")), "equal")
-        groups = equal.groupBy("g", "low", "core").agg(F.count("*").alias("members"), F.sum("n").alias("rows"))
-        groups = sent(stored(groups.where("rows > 1").drop("rows"), "groups"), MAX_SENT)
+    greatest among them; ``group`` is null. ``parts`` are the stored first parts of their reaches."""
+    found, few, n = [], [], PARTS
+    while not parts.isEmpty():
+        parts = parts.withColumns({"full": F.xxhash64("left", "right"), "at": F.xxhash64(*_KEY, "pos")})
+        # Reaches of equal bytes have all their windows of the part repeated; one of them goes on for the others. Rows of one
+        # id and text that were read twice are one reach.
+        equal = stored(parts.groupBy("g", "full").agg(F.min("at").alias("first"), F.max("at").alias("last")), "equal")
+        groups = equal.groupBy("g").agg(F.count("*").alias("members"), F.min("first").alias("first"), F.max("last").alias("last"))
+        groups = sent(stored(groups.where("first <> last").select("g", "members"), "groups"), MAX_SENT)
         # One row for each group and for each set of equals: the joins keep or drop rows, and make none.
-        parts = parts.join(groups, ["g", "low", "core"]).join(sent(equal.where("n > 1"), MAX_SENT), ["g", "low", "core", "full"], "left")
+        parts = parts.join(groups, "g").join(sent(equal.where("first <> last").drop("last"), MAX_SENT), ["g", "full"], "left")
         parts = stored(parts.drop("full"), "parts")
-        found.append(parts.where("n > 1").select(*_KEY, "pos", F.length("left").alias("left"), F.length("right").alias("right")))
-        mixed = parts.where("members > 1").where(F.col("n").isNull() | (F.col("first") == F.struct(*_KEY, "pos"))).drop("n", "first")
-        few.append(mixed.where(f"members <= {MAX_BUCKET}").withColumn("g", F.xxhash64("g", "low", "core")))
-        open_ = mixed.where(f"members > {MAX_BUCKET}")
+        found.append(parts.where("first IS NOT NULL").select(*_KEY, "pos", F.length("left").alias("left"), F.length("right").alias("right")))
+        mixed = parts.where("members > 1 AND (first IS NULL OR first = at)")
+        few.append(mixed.where(f"members <= {MAX_BUCKET}"))
+        parts = mixed.where(f"members > {MAX_BUCKET}").select(*_KEY, "pos", "g", "low", "high", "left", "right")
+        parts = stored(_grouped(parts.mapInArrow(lambda b: _parts(b, min_bytes, n), _PART), min_bytes), "again")
     found.append(_scan(functools.reduce(DataFrame.union, few), min_bytes, True).drop("group"))
     ends = functools.reduce(DataFrame.union, found).groupBy(*_KEY, "pos").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     return ends.withColumn("group", F.lit(None).cast("long"))
@@ -360,15 +383,13 @@ def _divided(rows: DataFrame, min_bytes: int) -> DataFrame:
 def _found(texts: DataFrame, asked: DataFrame, min_bytes: int, widest: bool) -> DataFrame:
     """``(h, i, pos, left, right, group)``: the occurrences of the maximal repeat groups around the asked anchors. For a gram of
     too many reaches, the least and greatest repeated window of each anchor."""
-    by_text = stored(asked.groupBy(*_KEY).agg(F.collect_list(F.struct("pos", "g")).alias("asked")), "by_text")
-    bytes_ = texts.join(_sent_lists(by_text, "asked"), _KEY).mapInArrow(lambda b: _reaches(b, min_bytes), "h long, i long, pos long, g long, left binary, right binary")
-    hot = asked.where(F.col("members") > MAX_BUCKET).select("g").distinct()
-    n = hot.count()
-    few = F.broadcast(hot) if n <= MAX_SENT else hot
-    bytes_ = stored(bytes_.join(few.withColumn("hot", F.lit(True)), "g", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "reach_bytes")
-    found = _scan(bytes_.where("not hot"), min_bytes, widest)
-    if n:
-        found = found.union(_divided(bytes_.where("hot").drop("hot"), min_bytes).select(found.columns))
+    n, hot = PARTS, (F.col("members") > MAX_BUCKET).alias("hot")
+    by_text = stored(asked.groupBy(*_KEY).agg(F.collect_list(F.struct("pos", "g", hot)).alias("asked")), "by_text")
+    bytes_ = texts.join(_sent_lists(by_text, "asked"), _KEY).mapInArrow(lambda b: _reaches(b, min_bytes, n), _PART)
+    bytes_ = stored(_grouped(bytes_, min_bytes), "reach_bytes")
+    found, parts = _scan(bytes_.where("NOT hot"), min_bytes, widest), bytes_.where("hot")
+    if not parts.isEmpty():
+        found = found.union(_divided(parts, min_bytes).select(found.columns))
     return stored(found, "found")
 
 

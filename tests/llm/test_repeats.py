@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pyarrow.parquet as pq
@@ -114,6 +115,43 @@ def test_hot_grams_make_few_rows_an_anchor(spark, monkeypatch):
     assert anchors >= 300 and 0 < rows < 12 * anchors, (rows, node, anchors)
 
 
+def rows_made(spark, after: int) -> tuple[Counter, int]:
+    """The rows that the joins, generators and Arrow functions of the plans made, by name and outputs, and the number of the last query."""
+    store, made, last = spark._jsparkSession.sharedState().statusStore(), Counter(), after
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList()
+    for run in (runs.apply(n).executionId() for n in range(runs.size())):
+        last = max(last, run)
+        if run <= after:
+            continue
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for node in (nodes.apply(n) for n in range(nodes.size())):
+            for metric in (node.metrics().apply(n) for n in range(node.metrics().size())):
+                value = values.get(metric.accumulatorId())
+                if re.search("Join|Generate|Arrow", node.name()) and metric.name() == "number of output rows" and value.isDefined():
+                    made[re.sub(r"#\d+L?|\d+", "", node.desc())[:140]] += int(value.get().replace(",", ""))
+    return made, last
+
+
+def test_rows_grow_with_the_input_while_grams_become_hot(spark, monkeypatch):
+    """Reaches whose gram passes ``MAX_BUCKET`` only on the larger table, and which share no window, make few rows more than others."""
+    monkeypatch.setattr(repeats, "MAX_BUCKET", 20)
+    monkeypatch.setattr(repeats, "MAX_SENT", 0)
+    draw = random.Random(19)
+    some = lambda n: "".join(draw.choice("abcdefghijklmnop") for _ in range(n))
+    *_, last = rows_made(spark, -1)
+    found = []
+    for times in (1, 5):
+        passages = [*[some(150)] * 24 * times, *[p for _ in range(4) for p in [some(150)] * 8 * times], *[p for _ in range(150 * times) for p in [some(300)] * 2]]
+        texts = [some(150) + p + some(150) for p in passages]
+        assert got(spark, texts, 200) == brute(texts, 200)
+        made, last = rows_made(spark, last)
+        found.append(made)
+    small, large = found
+    assert max(large.values()) > 1500
+    assert not {node: (small[node], rows) for node, rows in large.items() if rows > max(500, 8 * small[node])}
+
+
 def test_long_texts_in_pieces(monkeypatch):
     """The anchors of a text don't depend on the pieces that it is read in."""
     import pyarrow as pa
